@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import bpe, chat
+from siltstone.llm import bpe, chat, fingerprints
 from siltstone.llm.common import table
 
 QUERIES = {}
@@ -59,3 +59,14 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe.encode(docs, tokenizer_path())
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op3_fingerprints")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.withColumn("fingerprint", fingerprints.digest(fingerprints.canonical(F.col("text"))))
+    rows = fingerprints.with_next(rows, "doc_id", ["text", "fingerprint"])
+    rows = rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), fingerprints.edited(F.col("text"), F.col("next_text")).alias("edited"), "fingerprint", "next_fingerprint")
+    rows = rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", fingerprints.digest(fingerprints.canonical(F.col("edited"))).alias("edited_fingerprint"), "next_fingerprint")
+    rows = fingerprints.with_groups(rows, docs)
+    return rows.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", fingerprints.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"), fingerprints.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"), "group_id", "copies")
