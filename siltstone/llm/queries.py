@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import bpe, chat, fingerprints
+from siltstone.llm import bpe, chat, fingerprints, toxicity
 from siltstone.llm.common import table
 
 QUERIES = {}
@@ -70,3 +70,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", fingerprints.digest(fingerprints.canonical(F.col("edited"))).alias("edited_fingerprint"), "next_fingerprint")
     rows = fingerprints.with_groups(rows, docs)
     return rows.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", fingerprints.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"), fingerprints.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"), "group_id", "copies")
+
+
+@query("op7_toxicity")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).drop("text")
