@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import bpe, chat, fingerprints, quality, toxicity
+from siltstone.llm import bpe, chat, fingerprints, quality, toxicity, url_filter
 from siltstone.llm.common import table
 
 QUERIES = {}
@@ -85,3 +85,13 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     scored = quality.score(docs, model)
     return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "n_lines", "bad_lines")
+
+
+#: The rules of the URL query (verdict, host, path).
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+@query("op10_url_filter")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
