@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import bpe, chat, fingerprints, quality, toxicity, url_filter
+from siltstone.llm import bpe, chat, fingerprints, html, quality, toxicity, url_filter
 from siltstone.llm.common import table
 
 QUERIES = {}
@@ -95,3 +95,8 @@ URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow",
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+@query("op5_html_extraction")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
