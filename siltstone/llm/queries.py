@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import bpe, chat, fingerprints, html, quality, toxicity, url_filter
+from siltstone.llm import bpe, chat, fingerprints, html, quality, simhash, toxicity, url_filter
 from siltstone.llm.common import table
 
 QUERIES = {}
@@ -100,3 +100,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_html_extraction")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
+
+
+@query("op4_simhash")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), "component_id")
