@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import bpe, chat, fingerprints, html, linededup, quality, simhash, toxicity, url_filter
+from siltstone.llm import bpe, chat, decontaminate, fingerprints, html, linededup, quality, simhash, toxicity, url_filter
 from siltstone.llm.common import table
 
 QUERIES = {}
@@ -113,3 +113,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = linededup.deduplicate(docs)
     return found.select("doc_id", "n_lines", "n_deleted", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"), "text")
+
+
+@query("op8_decontamination")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
