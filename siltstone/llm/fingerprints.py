@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import col, cut
+from siltstone.llm.common import col, cut, small_enough
 
 #: One seed for each 64-bit part of the digest.
 SEEDS = (11, 23, 47, 91)
@@ -42,15 +42,18 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, 1.0).otherwise(0.0)
 
 
-def copies(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def copies(df: DataFrame, doc_id: str = "doc_id", text: str = "text", most_broadcast: int = 500_000) -> DataFrame:
     """One row per digest that several rows share: fingerprint, texts (distinct canonical texts under it),
     group_id (the smallest id, null before others only if all are null) and copies (rows).
 
     Only rows of shared digests are shuffled with their text, and equal texts of a task are combined before.
+    Up to ``most_broadcast`` shared digests (64 bytes each) are broadcast to find those rows; beyond that
+    the rows are joined with them by shuffle.
     """
     rows = df.select(col(doc_id).alias("doc_id"), canonical(col(text)).alias("canon")).withColumn("fingerprint", digest(F.col("canon")))
-    shared = rows.groupBy("fingerprint").count().where("count > 1").select("fingerprint")
-    same = rows.join(shared.hint("shuffle_hash"), "fingerprint", "left_semi").groupBy("fingerprint", "canon").agg(F.min("doc_id").alias("group_id"), F.count("*").alias("copies"))
+    shared = cut(rows.groupBy("fingerprint").count().where("count > 1").select("fingerprint"))
+    shared = F.broadcast(shared) if small_enough(shared, most_broadcast) else shared.hint("shuffle_hash")
+    same = rows.join(shared, "fingerprint", "left_semi").groupBy("fingerprint", "canon").agg(F.min("doc_id").alias("group_id"), F.count("*").alias("copies"))
     return same.groupBy("fingerprint").agg(F.count("*").alias("texts"), F.min("group_id").alias("group_id"), F.sum("copies").alias("copies"))
 
 
