@@ -187,8 +187,9 @@ def deletions(df: DataFrame, doc_id: str, text: str, min_words: int = MIN_WORDS)
     """(doc, th, start, end): half-open spans of deleted lines, by id and hash of the document's text; spans may overlap."""
     deal = partitions(df.sparkSession)
     docs = df.select(col(doc_id).cast("long").alias("doc"), F.xxhash64(F.coalesce(col(text), F.lit(""))).alias("th"), line_ids(F.coalesce(col(text), F.lit(""))).alias("lines"))
-    lines = docs.select("doc", "th", F.explode("lines").alias("l")).select("doc", "th", "l.*")
-    repeated = lines.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a", "b")
+    # Both are written: the lines are read twice, and of two written tables Spark can split a very frequent line's join.
+    lines = cut(docs.select("doc", "th", F.explode("lines").alias("l")).select("doc", "th", "l.*"))
+    repeated = cut(lines.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a", "b"))
     kept = lines.join(repeated, ["a", "b"]).groupBy("doc", "th").agg(F.sort_array(F.collect_set(F.struct("pos", "a", "b", "w"))).alias("rows"))
     found = cut(stretches(kept, min_words))
     # Of equal stretches the first stays to be looked at; the others are copies from end to end.
