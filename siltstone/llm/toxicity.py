@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from siltstone.llm.common import col
+from siltstone.llm.common import col, lean, texts_of
 
 WORD = re.compile(r"[^\W\d_]+")
 BEGINNINGS = (4, 5, 6, 7, 8)
@@ -33,13 +33,23 @@ def word_features(word: str) -> list[str]:
     return ["=" + word, *(word[:n] for n in BEGINNINGS if len(word) > n)]
 
 
+def text_features(text: str, only: Container[str] | None = None) -> Counter:
+    """Counts of a text's features, or of those in ``only``."""
+    c: Counter = Counter()
+    for w, n in Counter(WORD.findall(text.lower())).items():
+        for f in word_features(w):
+            if only is None or f in only:
+                c[f] += n
+    return c
+
+
 @dataclass
 class Model:
     weights: dict[str, float]
     length_weight: float
     thresholds: np.ndarray
 
-    def scorer(self, most_words: int = 300_000):
+    def scorer(self, most_words: int = 100_000):
         """A function from text to the weighted sum; it remembers the features of words it has met."""
         known: dict[str, tuple[str, ...]] = {}
         weights = self.weights
@@ -90,32 +100,30 @@ def fit_thresholds(x: np.ndarray, grades: np.ndarray, levels: int = 4, rounds: i
 
 def fit_model(texts: list[str], labels: list[int], least_ratio: float = 6.0) -> Model:
     """Fit on texts and their toxic labels. Without a toxic row nothing is ever toxic."""
-    counted, words = [], []
-    totals, rows, chars = (Counter(), Counter()), Counter(), [1, 1]
-    for text, y in zip(texts, labels, strict=True):
-        found = WORD.findall(text.lower())
-        c: Counter = Counter()
-        for w, k in Counter(found).items():
-            for f in word_features(w):
-                c[f] += k
-        counted.append(c)
-        words.append(len(found))
-        totals[y].update(c)
-        chars[y] += len(found)
-        if y:
-            rows.update(c.keys())
+    # Texts are gone over again for each count, so that memory holds the counts of candidates only.
+    rows, totals, chars = Counter(), (Counter(), Counter()), [1, 1]
+    for text in (t for t, y in zip(texts, labels, strict=True) if y):
+        c = text_features(text)
+        rows.update(c.keys())
+        totals[1].update(c)
     least = max(3, round(0.005 * sum(labels)))
-    chosen = sorted(f for f, n in rows.items() if n >= least and totals[1][f] / chars[1] >= least_ratio * (totals[0][f] + 0.5) / chars[0])
+    candidates = {f for f, n in rows.items() if n >= least}
+    words = []
+    for text, y in zip(texts, labels, strict=True):
+        words.append(len(WORD.findall(text.lower())))
+        chars[y] += words[-1]
+        if not y:
+            totals[0].update(text_features(text, candidates))
+    chosen = sorted(f for f in candidates if totals[1][f] / chars[1] >= least_ratio * (totals[0][f] + 0.5) / chars[0])
     if not chosen:
         return Model({}, 0.0, np.array([20.0, 21.0, 22.0]))
     place = {f: k for k, f in enumerate(chosen)}
     x = np.zeros((len(texts), len(chosen) + 1), np.float32)
     hits = np.zeros(len(texts))
-    for r, c in enumerate(counted):
-        for f, n in c.items():
-            if (k := place.get(f)) is not None:
-                x[r, k] = np.log1p(n)
-                hits[r] += n
+    for r, text in enumerate(texts):
+        for f, n in text_features(text, place).items():
+            x[r, place[f]] = np.log1p(n)
+            hits[r] += n
         x[r, -1] = np.log1p(words[r])
     y = np.array(labels)
     terciles = np.quantile(hits[y == 1], [1 / 3, 2 / 3])
@@ -153,10 +161,10 @@ def score(df: DataFrame, model: Model, text: str = "text", cut_at: float = 0.5)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = sent.value.scorer()
         for batch in batches:
-            z = np.array([sums(t or "") for t in batch.column(where).to_pylist()], dtype=np.float64)
+            z = np.array([sums(t) for t in texts_of(batch.column(where))], dtype=np.float64)
             above = logistic(z[:, None] - sent.value.thresholds[None, :])  # P(grade > k)
             steps = np.concatenate([np.ones((len(z), 1)), above, np.zeros((len(z), 1))], axis=1)
             out = [above.sum(axis=1), np.argmax(steps[:, :-1] - steps[:, 1:], axis=1).astype(np.int32), above[:, 0], (above[:, 0] >= cut_at).astype(np.int32)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, out)], [*names, *SCORES.names])
 
-    return df.mapInArrow(run, StructType([*df.schema.fields, *SCORES.fields]))
+    return df.mapInArrow(lean(run), StructType([*df.schema.fields, *SCORES.fields]))
