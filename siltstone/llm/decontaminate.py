@@ -7,8 +7,9 @@ re-parameterised has the same template, but its slots must be consistent: over a
 shares with an item, one value of the item stands for one value of the document and the reverse. A document
 contains an item if the windows that are consistent make up 0.8 or more of the item's, in either template.
 
-While the benchmark has at most ``most_windows`` windows its table is broadcast and the join needs no shuffle;
-a larger one is joined with the documents' windows by shuffle.
+While the benchmark has at most ``most_windows`` windows its table is broadcast and the join needs no shuffle.
+A larger one is joined by shuffle, with those windows of the documents that pass a bitmap of the benchmark's
+hashes; the bitmap's size is fixed, and what it lets through by chance the join drops.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import col, free_name, small_enough
+from siltstone.llm.common import col, free_name, lean, small_enough
 
 WINDOW = 5
 SHARE = 0.8
@@ -33,7 +34,7 @@ UNITS = frozenset("mm cm m km inch inches foot feet yard yards mile miles mg g k
 EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 NUMBER = re.compile(r"\d[\d.,:/]*(?:st|nd|rd|th)?")
 NUM, NAME, UNIT, DEAD, NONE = (np.uint64(k) for k in (2, 4, 6, 8, 10))
-PLAIN, NAMED = 0, 1
+BITS = 1 << 26
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -52,7 +53,7 @@ class Ids(dict):
     """Template id of each raw word, odd if it may be a name, remembered up to a number of words. With a vocabulary,
     words that stand in no benchmark window are dead."""
 
-    def __init__(self, vocabulary: set[str] | None, most: int = 300_000):
+    def __init__(self, vocabulary: set[str] | None, most: int = 100_000):
         super().__init__()
         self.vocabulary, self.most = vocabulary, most
 
@@ -129,8 +130,20 @@ def signed(x) -> int:
     return x - 2**64 if x >= 2**63 else x
 
 
-def windows(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Distinct windows of each row: key, kind (of template), window (hash), slots, words (those of the template)."""
+def bitmap(table: DataFrame) -> np.ndarray:
+    """Which remainders of window hashes modulo BITS occur, a bit each; at most BITS / 64 numbers are collected."""
+    place = F.col("window").bitwiseAND(F.lit(BITS - 1))
+    found = table.select(F.shiftright(place, 6).alias("at"), F.expr("shiftleft(1L, cast(window & 63 as int))").alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("bits")).collect()
+    out = np.zeros(BITS // 64, np.int64)
+    for r in found:
+        out[r["at"]] = r["bits"]
+    return out
+
+
+def windows(df: DataFrame, key: str, text: str, known: np.ndarray | None = None) -> DataFrame:
+    """Distinct windows of each row: key, kind (of template), window (hash), slots, words (those of the template);
+    with ``known`` only those whose bit is set."""
+    sent = None if known is None else df.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = Ids(None)
@@ -138,17 +151,22 @@ def windows(df: DataFrame, key: str, text: str) -> DataFrame:
             for name, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 raw = (t or "").split()
                 *kinds, places = templates(raw, ids)
-                rows = {(kind, signed(h), tuple(slots_at(raw, k, places, j))): [clean(raw[p]).lower() for p in places[j : j + WINDOW]] for kind, k in enumerate(kinds) for j, h in enumerate(window_hashes(k, kind))}
+                rows = {}
+                for kind, k in enumerate(kinds):
+                    h = window_hashes(k, kind)
+                    at = np.arange(len(h)) if sent is None else passing(h, sent.value)
+                    for j in at.tolist():
+                        rows[kind, signed(h[j]), tuple(slots_at(raw, k, places, j))] = [clean(raw[p]).lower() for p in places[j : j + WINDOW]]
                 if rows:
                     kind, window, slots = zip(*rows, strict=True)
                     texts = pa.list_(pa.string())
                     yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows), batch.schema.field(0).type), pa.array(kind, pa.int32()), pa.array(window, pa.int64()), pa.array(map(list, slots), texts), pa.array(list(rows.values()), texts)], ["key", "kind", "window", "slots", "words"])
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(col(key), col(text)).mapInArrow(run, f"key {kind}, kind int, window long, slots array<string>, words array<string>")
+    return df.select(col(key), col(text)).mapInArrow(lean(run), f"key {kind}, kind int, window long, slots array<string>, words array<string>")
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", share: float = SHARE, most_windows: int = 500_000) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", share: float = SHARE, most_windows: int = 200_000) -> DataFrame:
     """(doc_id, item_id, windows, matched, share) for every document that contains an item.
 
     Null and empty texts contain nothing, and items without words are contained in nothing. A text of fewer
@@ -208,13 +226,18 @@ def broadcast_matches(docs: DataFrame, table: DataFrame, share: float) -> DataFr
                 at, item, total, got = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array(item, pa.int64()), pa.array(total, pa.int64()), pa.array(got, pa.int64())], ["doc_id", "item", "windows", "matched"])
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item long, windows long, matched long")
+    return docs.mapInArrow(lean(run), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item long, windows long, matched long")
+
+
+def passing(h: np.ndarray, known: np.ndarray) -> np.ndarray:
+    place = (h & np.uint64(BITS - 1)).astype(np.int64)
+    return np.flatnonzero(known[place >> 6] >> (place & 63) & 1)
 
 
 def shuffle_matches(docs: DataFrame, table: DataFrame, share: float) -> DataFrame:
     keyed = docs.withColumn("doc", F.struct("doc_id", F.xxhash64("t").alias("th")))
     totals = table.groupBy("item", "kind").agg(F.count_distinct("window").alias("windows"))
-    hits = windows(keyed, "doc", "t").select(F.col("key").alias("doc"), "kind", "window", "slots").join(table.drop("words"), ["kind", "window"])
+    hits = windows(keyed, "doc", "t", bitmap(table)).select(F.col("key").alias("doc"), "kind", "window", "slots").join(table.drop("words"), ["kind", "window"])
     pairs = hits.groupBy("doc", "item", "kind").agg(F.collect_list(F.struct("window", "item_slots", "slots")).alias("pairs"), F.count_distinct("window").alias("shared"))
     pairs = pairs.join(totals, ["item", "kind"]).where(F.col("shared") >= share * F.col("windows")).select("doc.doc_id", "item", "windows", "pairs")
 
@@ -224,7 +247,7 @@ def shuffle_matches(docs: DataFrame, table: DataFrame, share: float) -> DataFram
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(got, pa.int64())], ["doc_id", "item", "windows", "matched"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return pairs.mapInArrow(run, f"doc_id {kind}, item long, windows long, matched long").where(F.col("matched") >= share * F.col("windows"))
+    return pairs.mapInArrow(lean(run), f"doc_id {kind}, item long, windows long, matched long").where(F.col("matched") >= share * F.col("windows"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", most_broadcast: int = 1_000_000, **options) -> DataFrame:

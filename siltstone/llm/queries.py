@@ -115,6 +115,22 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_deleted", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"), "text")
 
 
+#: By windows of the fewest whole lines with 50 words, forwards and backwards: one that begins earlier as well is a copy.
+ORACLES["op1_line_dedup"] = r"""
+WITH d AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, unnest(range(1, len(ls) + 1)) AS i, unnest(ls) AS line FROM d),
+n AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM l),
+w AS (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS s FROM n),
+f AS (SELECT a.doc_id, a.i AS b, min(z.i) AS e FROM w a JOIN w z ON a.doc_id = z.doc_id AND z.i >= a.i AND z.s - a.s + a.n >= 50 GROUP BY 1, 2),
+r AS (SELECT z.doc_id, max(a.i) AS b, z.i AS e FROM w a JOIN w z ON a.doc_id = z.doc_id AND z.i >= a.i AND z.s - a.s + a.n >= 50 GROUP BY z.doc_id, z.i),
+runs AS (SELECT 0 AS back, * FROM f UNION ALL SELECT 1, * FROM r),
+named AS (SELECT back, doc_id, b, e, array_to_string(list_slice(ls, b, e), chr(10)) AS t FROM runs JOIN d USING (doc_id)),
+late AS (SELECT * FROM named QUALIFY row_number() OVER (PARTITION BY back, t ORDER BY doc_id, b) > 1),
+gone AS (SELECT DISTINCT l.doc_id, l.i FROM late JOIN l ON l.doc_id = late.doc_id AND l.i BETWEEN b AND e),
+kept AS (SELECT l.doc_id, count(*) AS n_lines, count(g.i) AS n_deleted, coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (g.i IS NULL), '') AS t FROM l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.i = l.i GROUP BY 1)
+SELECT doc_id, CASE WHEN text IS NULL THEN 0 ELSE n_lines END AS n_lines, n_deleted, sha256(t) AS text_sha256, CASE WHEN text IS NOT NULL THEN t END AS text FROM kept JOIN d USING (doc_id)"""
+
+
 @query("op8_decontamination")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -9,7 +9,7 @@ def test_reparameterised_question_and_inconsistent_one(spark):
     bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     docs = [(1, "so: Mary has 15 apples and buys 27 more. How many apples does Mary have after she gives 4 pounds to Tom and walks 8 km home? yes"), (2, "so: Mary has 15 apples and buys 27 more. How many apples does Jane have after she gives 15 pounds to Mary and walks 27 km home? no"), (3, ITEM.upper()), (4, ITEM.lower() + " " + "filler " * 3000), (5, ITEM[:60])]
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    for limit in (500_000, 1):
+    for limit in (200_000, 1):
         got = {r.doc_id: r.share for r in decontaminate.matches(df, bench, most_windows=limit).collect()}
         assert set(got) == {1, 3, 4} and all(s >= 0.8 for s in got.values())
 
@@ -35,7 +35,7 @@ def test_against_brute_force_on_verbatim_copies(spark):
 def test_edges(spark):
     items = spark.createDataFrame([(1, ITEM, "c"), (1, ITEM, "c"), (2, None, "c"), (3, "", "c"), (4, "two words", "c"), (None, "a b c d e f g", "c")], "item_id long, text string, window string")
     docs = spark.createDataFrame([(1, None, 1), (2, "", 1), (3, "Two words!", 1), (4, "two words more", 1), (None, ITEM, 1), (6, ITEM, 1), (6, ITEM, 1), (7, "x a b c d e f g y", 1), (8, "1 2 3 4 5 6 " * 20_000, 1)], "doc_id long, text string, share int")
-    for limit in (500_000, 1):
+    for limit in (200_000, 1):
         got = sorted(((r.doc_id, r.item_id) for r in decontaminate.matches(docs, items, most_windows=limit).collect()), key=str)
         assert got == sorted([(3, 4), (None, 1), (6, 1), (7, None)], key=str)
     assert decontaminate.matches(docs.where("false"), items).collect() == [] and decontaminate.matches(docs, items.where("false")).collect() == []
