@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,3 +48,23 @@ def col(name: str):
 def small_enough(df: DataFrame, max_rows: int) -> bool:
     """Whether ``df`` (already materialised) has at most ``max_rows`` rows; reads no more than that."""
     return df.limit(max_rows + 1).count() <= max_rows
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``run`` for mapInArrow; when a task ends, the worker gives the memory it has freed back to the machine, as it
+    stays alive for other tasks beside the JVM."""
+
+    @functools.wraps(run)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
+
+    return whole
+
+
+def texts_of(column: pa.Array) -> Iterator[str]:
+    """The texts of a column one by one, null as the empty text."""
+    for x in column:
+        yield x.as_py() or ""

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from siltstone.llm.common import col, cut, free_name, small_enough
+from siltstone.llm.common import col, cut, free_name, lean, small_enough, texts_of
 
 #: Element names by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -202,7 +202,7 @@ def subtrees(pages: DataFrame, key: str, host: str, html: str) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.bool_()), strict=True)], ["key", "host", "content", "hash", "live"])
 
-    return pages.select(key, host, html).mapInArrow(run, "key long, host string, content long, hash long, live boolean")
+    return pages.select(key, host, html).mapInArrow(lean(run), "key long, host string, content long, hash long, live boolean")
 
 
 def signed(x: int) -> int:
@@ -241,9 +241,9 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", least_pages:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for raw, hashes in zip(batch.column(where).to_pylist(), batch.column(which).to_pylist(), strict=True):
+            for raw, hashes in zip(texts_of(batch.column(where)), batch.column(which).to_pylist(), strict=True):
                 template = frozenset(h % 2**64 for h in hashes) if hashes else frozenset()
-                texts.append("\n".join(Page(raw or "", template).lines()))
+                texts.append("\n".join(Page(raw, template).lines()))
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in kept), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], [*names, "text", "n_chars"])
 
-    return keyed.mapInArrow(run, StructType([*pages.schema.fields, StructField("text", StringType()), StructField("n_chars", LongType())]))
+    return keyed.mapInArrow(lean(run), StructType([*pages.schema.fields, StructField("text", StringType()), StructField("n_chars", LongType())]))

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from siltstone.llm.common import col, cut, free_name, partitions, small_enough
+from siltstone.llm.common import col, cut, free_name, lean, partitions, small_enough
 
 MIN_WORDS = 50
 
@@ -56,7 +56,7 @@ def stretches(lines: DataFrame, min_words: int) -> DataFrame:
                 types = (pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], ["doc", "th", "start", "a", "b", "w"])
 
-    return lines.mapInArrow(run, "doc long, th long, start int, a array<long>, b array<long>, w array<int>")
+    return lines.mapInArrow(lean(run), "doc long, th long, start int, a array<long>, b array<long>, w array<int>")
 
 
 def ranked(pairs: DataFrame, keys: list[str], deal: int) -> DataFrame:
@@ -76,7 +76,7 @@ def ranked(pairs: DataFrame, keys: list[str], deal: int) -> DataFrame:
 
     sorted_pairs = pairs.select(*names).repartitionByRange(deal, *keys).sortWithinPartitions(*keys)
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in sorted_pairs.schema.fields)
-    summed = cut(sorted_pairs.mapInArrow(run, fields + ", before long").withColumn("task", F.spark_partition_id()))
+    summed = cut(sorted_pairs.mapInArrow(lean(run), fields + ", before long").withColumn("task", F.spark_partition_id()))
     totals = {r[0]: r[1] for r in summed.groupBy("task").agg(F.max(F.col("before") + F.col("n"))).collect()}
     offsets, at = {}, 0
     for task in sorted(totals):
@@ -133,7 +133,7 @@ def shortest_prefixes(runs: DataFrame, min_words: int) -> DataFrame:
                 types = (pa.int64(), pa.bool_(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], ["sid", "back", "m", "p", "q"])
 
-    return runs.select("sid", "back", "a", "b", "w").mapInArrow(run, "sid long, back boolean, m array<int>, p array<long>, q array<long>")
+    return runs.select("sid", "back", "a", "b", "w").mapInArrow(lean(run), "sid long, back boolean, m array<int>, p array<long>, q array<long>")
 
 
 def signed(x: int) -> int:
@@ -163,7 +163,7 @@ def later_copies(suffixes: DataFrame, deal: int) -> DataFrame:
 
     order = ["rank", "sid", "at"]
     rows = suffixes.select("p", "q", "sid", "at", "m", "rank").repartitionByRange(deal, *order).sortWithinPartitions(*order).drop("rank")
-    parts = cut(rows.mapInArrow(run, "p long, q long, sid long, at int, m int, part long").withColumn("task", F.spark_partition_id()))
+    parts = cut(rows.mapInArrow(lean(run), "p long, q long, sid long, at int, m int, part long").withColumn("task", F.spark_partition_id()))
     # The first and last interval of each partition: equal ones of neighbours are one.
     ends = parts.groupBy("task").agg(F.min_by(F.struct("p", "q", "part"), "part").alias("first"), F.max_by(F.struct("p", "q", "part"), "part").alias("last")).orderBy("task").collect()
     same, open_name, before = {}, None, None
@@ -239,7 +239,7 @@ def deduplicate(df: DataFrame, doc_id: str = "doc_id", text: str = "text", min_w
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for whole, found in zip(batch.column(where).to_pylist(), batch.column(len(names)).to_pylist(), strict=True):
+            for whole, found in zip((x.as_py() for x in batch.column(where)), batch.column(len(names)).to_pylist(), strict=True):
                 if whole is None or not found:
                     out.append((whole, 0 if whole is None else whole.count("\n") + 1, 0, []))
                     continue
@@ -260,4 +260,4 @@ def deduplicate(df: DataFrame, doc_id: str = "doc_id", text: str = "text", min_w
             yield pa.RecordBatch.from_arrays(arrays, [*names, "n_lines", "n_deleted", "deleted_spans"])
 
     spans_type = ArrayType(StructType([StructField("start", IntegerType()), StructField("end", IntegerType())]))
-    return joined.mapInArrow(run, StructType([*df.schema.fields, StructField("n_lines", LongType()), StructField("n_deleted", LongType()), StructField("deleted_spans", spans_type)]))
+    return joined.mapInArrow(lean(run), StructType([*df.schema.fields, StructField("n_lines", LongType()), StructField("n_deleted", LongType()), StructField("deleted_spans", spans_type)]))

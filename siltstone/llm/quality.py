@@ -15,11 +15,12 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
-from siltstone.llm.common import col
+from siltstone.llm.common import col, lean, texts_of
 
 UPPER, LOWER, DIGIT, SPACE, PIPE, SHOUT, MILD, SYMBOL, WIDE, NEWLINE, KINDS = range(11)
 SCORES = StructType([StructField("score", DoubleType()), StructField("predicted", IntegerType()), StructField("n_lines", LongType()), StructField("bad_lines", LongType())])
@@ -188,7 +189,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     return fit_model([r[1] for r in found], [r[2] for r in found])
 
 
-def score(df: DataFrame, model: Model, text: str = "text", cut_at: float = 0.3, most_chars: int = 4_000_000) -> DataFrame:
+def score(df: DataFrame, model: Model, text: str = "text", cut_at: float = 0.3, most_bytes: int = 2_000_000) -> DataFrame:
     """``df`` with score (0 to 1, likelihood of good quality), predicted (1 if score >= ``cut_at``), n_lines, bad_lines.
 
     A null text is scored as the empty text, which is one empty line. Columns of these names are replaced,
@@ -201,16 +202,16 @@ def score(df: DataFrame, model: Model, text: str = "text", cut_at: float = 0.3,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(where).to_pylist()]
+            sizes = pc.fill_null(pc.binary_length(batch.column(where)), 0).to_pylist()
             begin = 0
-            while begin < len(texts):
-                end, chars = begin, 0
-                while end < len(texts) and (end == begin or chars + len(texts[end]) <= most_chars):
-                    chars += len(texts[end])
+            while begin < len(sizes):
+                end, total = begin, 0
+                while end < len(sizes) and (end == begin or total + sizes[end] <= most_bytes):
+                    total += sizes[end]
                     end += 1
-                good, lines, bad = sent.value.score(texts[begin:end])
+                good, lines, bad = sent.value.score(list(texts_of(batch.column(where).slice(begin, end - begin))))
                 out = [good, (good >= cut_at).astype(np.int32), lines.astype(np.int64), bad]
                 yield pa.RecordBatch.from_arrays([*(c.slice(begin, end - begin) for c in batch.columns), *map(pa.array, out)], [*names, *SCORES.names])
                 begin = end
 
-    return df.mapInArrow(run, StructType([*df.schema.fields, *SCORES.fields]))
+    return df.mapInArrow(lean(run), StructType([*df.schema.fields, *SCORES.fields]))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from siltstone.llm.common import col, cut, free_name, partitions, small_enough
+from siltstone.llm.common import col, cut, free_name, lean, partitions, small_enough
 from siltstone.llm.components import components
 
 SEED = 42
@@ -62,7 +62,7 @@ def with_simhash(df: DataFrame, text: str = "text", to: str = "simhash") -> Data
             found = [signed(simhash(t)) if t else 0 for t in (x.as_py() for x in batch.column(len(kept)))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.int64())], [*kept, to])
 
-    return rows.mapInArrow(run, StructType([*(f for f in df.schema.fields if f.name in kept), StructField(to, LongType())]))
+    return rows.mapInArrow(lean(run), StructType([*(f for f in df.schema.fields if f.name in kept), StructField(to, LongType())]))
 
 
 def blocks_of(mask: int, parts: int) -> list[int]:
@@ -173,7 +173,7 @@ def forest_links(rows: DataFrame, budget: int) -> DataFrame:
         child = np.flatnonzero(forest.root != np.arange(len(names)))
         yield pa.RecordBatch.from_arrays([pa.array(names[child].view(np.int64)), pa.array(names[forest.root[child]].view(np.int64))], ["u", "v"])
 
-    return rows.mapInArrow(run, "u long, v long")
+    return rows.mapInArrow(lean(run), "u long, v long")
 
 
 def links(values: DataFrame, budget: int = BUDGET, least_hot: int = 1000) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from siltstone.llm.common import col, free_name
+from siltstone.llm.common import col, free_name, lean
 
 SLOTS = 1 << 19
 ORDER = 4
@@ -115,7 +115,7 @@ def count(df: DataFrame, text: str, accepted: str) -> Model:
         at = np.flatnonzero(tables)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(tables.ravel()[at])], ["slot", "n"])
 
-    found = df.select(col(text), col(accepted)).mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    found = df.select(col(text), col(accepted)).mapInArrow(lean(run), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
     tables = np.zeros(4 * SLOTS, np.float32)
     tables[found["slot"].to_numpy(np.int64)] = found["n"].to_numpy()
     tables = tables.reshape(4, SLOTS)
@@ -132,7 +132,7 @@ def score(df: DataFrame, model: Model, text: str, to: str) -> DataFrame:
             found = sent.value.score([t or "" for t in batch.column(where).to_pylist()])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], [*names, to])
 
-    return df.mapInArrow(run, StructType([*df.schema.fields, StructField(to, DoubleType())]))
+    return df.mapInArrow(lean(run), StructType([*df.schema.fields, StructField(to, DoubleType())]))
 
 
 def fit(df: DataFrame, text: str, accepted: str) -> Model:
