@@ -15,20 +15,23 @@ from __future__ import annotations
 import heapq
 import json
 import unicodedata
-from collections import defaultdict
-from collections.abc import Iterable, Iterator
-from itertools import chain
+from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 from tokenizers import Tokenizer
 
-#: The split pattern and end-of-word mark of the word-level BPE vocabulary.
+from siltstone.llm.common import lean
+
+#: Fixed value: the split pattern of the word-level BPE vocabulary.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-WORD_END = "</w>"
+#: Merges up to this rank are applied by array operations.
+LOWEST = 256
 #: Unicode White_Space; Python's own \s has four control characters more.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -64,14 +67,16 @@ class Vocabulary:
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             self.merges[self.ids[a] * size + self.ids[b]] = (rank, self.ids[a + b])
         letters = byte_letters()
-        self.inner = [self.ids[c] for c in letters]
-        self.last = [self.ids[c + self.end] for c in letters]
+        self.inner = np.array([self.ids[c] for c in letters], np.int64)
+        self.last = np.array([self.ids[c + self.end] for c in letters], np.int64)
+        # The first merges with their pairs: key, both symbols, the new one.
+        self.lowest = [(key, *divmod(key, size), new) for key, (rank, new) in self.merges.items() if rank < LOWEST]
 
 
 class Encoder:
     """Encodes texts; remembers the words that it has met, up to ``most_words``."""
 
-    def __init__(self, vocabulary: Vocabulary, most_words: int = 400_000):
+    def __init__(self, vocabulary: Vocabulary, most_words: int = 250_000):
         self.v, self.most_words = vocabulary, most_words
         names = sorted(vocabulary.special, key=len, reverse=True)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
@@ -79,19 +84,18 @@ class Encoder:
         self.rare = regex.compile(r"[^\x00-\u024f\u2010-\u2027\u2030-\u205e]")
         self.library = Tokenizer.from_str(vocabulary.file)
         self.bytes = {c: b for b, c in enumerate(byte_letters())}
+        self.turn = 0
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.ids: list[np.ndarray] = []
-        self.shown: list[str] = []
+        self.known: dict[str, tuple[str, bytes]] = {}  # a word's decoded text, and its ids in four bytes each
+        self.met: set[str] = set()
         for name, k in self.v.special.items():  # a special string is kept under a key that no word has
             self.add("\0" + name, [k])
 
     def add(self, word: str, ids: list[int]) -> None:
-        self.known[word] = len(self.ids)
-        self.ids.append(np.array(ids, dtype=np.int32))
-        self.shown.append(" ".join([self.v.names[k] for k in ids]))
+        names = self.v.names
+        self.known[word] = " ".join([names[k] for k in ids]), array("i", ids).tobytes()
 
     def normal(self, text: str) -> str:
         if text.isascii():
@@ -117,84 +121,138 @@ class Encoder:
                 out += self.plain(part)
         return out
 
-    def learn(self, words: Iterable[str]) -> None:
-        """Encode new words by the pair occurrence index."""
-        words, v = list(words), self.v
-        symbols: list[int] = []
-        starts: list[int] = []
-        for w in words:
-            raw = w.encode("utf-8", "surrogatepass")
-            starts.append(len(symbols))
-            symbols.extend([v.inner[b] for b in raw[:-1]])
-            symbols.append(v.last[raw[-1]])
-            symbols.append(-1)  # a wall between words
-        n, size, merges = len(symbols), v.size, v.merges
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        places: dict[int, list[int]] = defaultdict(list)
-        for p in range(n - 1):
-            a, b = symbols[p], symbols[p + 1]
-            if a >= 0 and b >= 0 and (key := a * size + b) in merges:
-                places[key].append(p)
+    def learn(self, words: list[str]) -> None:
+        """Encode new words by the pair occurrence index.
+
+        The lowest ranks, whose pairs have many positions, are applied to all of them by array operations; from
+        there on each pair has a list of its positions.
+        """
+        v = self.v
+        size, merges = v.size, v.merges
+        raw = [w.encode("utf-8", "surrogatepass") for w in words]
+        data = np.frombuffer(b"\0".join(raw) + b"\0", np.uint8)
+        ends = np.cumsum([len(r) + 1 for r in raw]) - 1  # a wall stands after each word
+        laid = v.inner[data]
+        laid[ends - 1] = v.last[data[ends - 1]]
+        laid[ends] = -1
+        n = len(laid)
+        follow, prior = np.arange(1, n + 1), np.arange(-1, n - 1)
+        keys = np.full(n, -1, np.int64)
+        keys[:-1] = np.where((laid[:-1] >= 0) & (laid[1:] >= 0), laid[:-1] * size + laid[1:], -1)
+        for key, a, b, new in v.lowest:
+            p = np.flatnonzero(keys == key)
+            if a == b and len(p) > 1:  # in a run of one symbol every other position merges
+                kept, taken = [], -1
+                for x in p.tolist():
+                    if x != taken:
+                        kept.append(x)
+                        taken = int(follow[x])
+                p = np.array(kept)
+            if not len(p):
+                continue
+            q = follow[p]
+            laid[p], laid[q], keys[q] = new, -2, -1
+            end = follow[q]
+            follow[p], prior[end] = end, p
+            right = laid[end]
+            keys[p] = np.where(right >= 0, new * size + right, -1)
+            start = prior[p]
+            p, start = p[start >= 0], start[start >= 0]
+            left = laid[start]
+            keys[start] = np.where(left >= 0, left * size + laid[p], -1)
+        order = np.argsort(keys, kind="stable")
+        found, firsts = np.unique(keys[order], return_index=True)
+        groups = np.split(order, firsts[1:])
+        places = {key: group.tolist() for key, group in zip(found.tolist(), groups, strict=True) if key in merges}
+        symbols, after, before = laid.tolist(), follow.tolist(), prior.tolist()
         queue = [(merges[key][0], key) for key in places]
         heapq.heapify(queue)
         while queue:
             _, key = heapq.heappop(queue)
             a, b = divmod(key, size)
             new = merges[key][1]
+            left, right = new * size, new
             for p in sorted(places.pop(key)):
-                q = after[p] if symbols[p] == a else -1
-                if q < 0 or symbols[q] != b:
+                if symbols[p] != a:
+                    continue
+                q = after[p]
+                if symbols[q] != b:
                     continue  # another merge has taken one of the two
                 symbols[p], symbols[q] = new, -2
                 end = after[p] = after[q]
                 before[end] = p
+                x = symbols[end]
+                if x >= 0 and (pair := left + x) in merges:
+                    if pair in places:
+                        places[pair].append(p)
+                    else:
+                        places[pair] = [p]
+                        heapq.heappush(queue, (merges[pair][0], pair))
                 start = before[p]
-                for x, y, at in ((symbols[start] if start >= 0 else -1, new, start), (new, symbols[end], p)):
-                    if x >= 0 and y >= 0 and (pair := x * size + y) in merges:
-                        if pair not in places:
-                            heapq.heappush(queue, (merges[pair][0], pair))
-                        places[pair].append(at)
-        for w, start in zip(words, starts, strict=True):
-            ids, p = [], start
-            while symbols[p] != -1:
-                ids.append(symbols[p])
-                p = after[p]
-            self.add(w, ids)
+                if start >= 0 and (x := symbols[start]) >= 0 and (pair := x * size + right) in merges:
+                    if pair in places:
+                        places[pair].append(start)
+                    else:
+                        places[pair] = [start]
+                        heapq.heappush(queue, (merges[pair][0], pair))
+        merged = np.array(symbols)
+        kept = merged[merged != -2]
+        walls = np.flatnonzero(kept == -1)
+        flat, begin = kept.tolist(), 0
+        for w, wall in zip(words, walls.tolist(), strict=True):
+            self.add(w, flat[begin:wall])
+            begin = wall + 1
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
         """All ids in one row, where each text's ids begin and end, and the decoded texts."""
-        if len(self.known) > self.most_words:
-            self.forget()
         split = [self.split(t) for t in texts]
+        if len(self.known) > self.most_words:  # words that were met again stay, while they leave room for others
+            kept = {w: self.known[w] for w in self.met} if len(self.met) < self.most_words // 2 else {}
+            self.forget()
+            self.known.update(kept)
         known = self.known
-        if fresh := {w for words in split for w in words if w not in known}:
-            self.learn(fresh)
-        index = [[known[w] for w in words] for words in split]
-        decoded = [" ".join([self.shown[k] for k in row]) for row in index]
-        flat = np.fromiter(chain.from_iterable(index), dtype=np.int64)
-        lengths = np.array([len(x) for x in self.ids], dtype=np.int64)
-        table = np.concatenate(self.ids) if self.ids else np.zeros(0, np.int32)
-        first = np.concatenate([[0], np.cumsum(lengths)])[:-1]
-        each = lengths[flat]
-        ends = np.concatenate([[0], np.cumsum(each)])
-        ids = table[np.repeat(first[flat] - ends[:-1], each) + np.arange(ends[-1])]
-        rows = np.concatenate([[0], np.cumsum([len(r) for r in index])]).astype(np.int64)
-        return ids, ends[rows], decoded
-
-
-def chunks(texts: list[str], most_chars: int) -> Iterator[tuple[int, int]]:
-    """Slices of about ``most_chars`` characters; a longer text is a slice of its own."""
+        rows = [list(map(known.get, words)) for words in split]
+        self.turn += 1
+        if self.turn % 4 == 0:  # a sample shows which words come again
+            for words, row in zip(split, rows, strict=True):
+                self.met.update([w for w, x in zip(words, row, strict=True) if x is not None])
+        missing = [(words, row, [k for k, x in enumerate(row) if x is None]) for words, row in zip(split, rows, strict=True) if None in row]
+        if missing:
+            self.learn(list({words[k] for words, _, at in missing for k in at}))
+            for words, row, at in missing:
+                for k in at:
+                    row[k] = known[words[k]]
+        decoded = [" ".join([x[0] for x in row]) for row in rows]
+        parts = [b"".join([x[1] for x in row]) for row in rows]
+        ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in parts])]).astype(np.int64)
+        return np.frombuffer(b"".join(parts), np.int32), ends, decoded
+
+
+#: A Python worker's encoders by vocabulary: what a task has learnt serves the worker's next tasks as well.
+ENCODERS: dict[int, Encoder] = {}
+
+
+def encoder_of(vocabulary: Vocabulary) -> Encoder:
+    key = hash(vocabulary.file)
+    if key not in ENCODERS:
+        ENCODERS.clear()
+        ENCODERS[key] = Encoder(vocabulary)
+    return ENCODERS[key]
+
+
+def chunks(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Slices of about ``most`` bytes; a longer text is a slice of its own."""
     begin = total = 0
-    for k, t in enumerate(texts):
-        if k > begin and total + len(t) > most_chars:
+    for k, n in enumerate(sizes):
+        if k > begin and total + n > most:
             yield begin, k
             begin, total = k, 0
-        total += len(t)
-    if begin < len(texts):
-        yield begin, len(texts)
+        total += n
+    if begin < len(sizes):
+        yield begin, len(sizes)
 
 
-def encode(df: DataFrame, path: str, text: str = "text", most_chars: int = 2_000_000) -> DataFrame:
+def encode(df: DataFrame, path: str, text: str = "text", most_chars: int = 1_000_000) -> DataFrame:
     """``df`` with ``ids`` (array of int) and ``decoded`` (string) for column ``text``.
 
     Strings of special tokens inside a text become their ids. A null or empty text has no ids and
@@ -207,16 +265,16 @@ def encode(df: DataFrame, path: str, text: str = "text", most_chars: int = 2_000
     where = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary.value)
+        encoder = encoder_of(vocabulary.value)
         for batch in batches:
-            texts = [t or "" for t in batch.column(where).to_pylist()]
-            for begin, end in chunks(texts, most_chars):
-                ids, ends, decoded = encoder.encode(texts[begin:end])
+            sizes = pc.fill_null(pc.binary_length(batch.column(where)), 0).to_pylist()
+            for begin, end in chunks(sizes, most_chars):
+                ids, ends, decoded = encoder.encode([t or "" for t in batch.column(where).slice(begin, end - begin).to_pylist()])
                 arrays = [c.slice(begin, end - begin) for c in batch.columns]
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([*arrays, lists, pa.array(decoded, pa.string())], [*names, "ids", "decoded"])
 
-    return df.mapInArrow(run, StructType([*df.schema.fields, StructField("ids", ArrayType(IntegerType())), StructField("decoded", StringType())]))
+    return df.mapInArrow(lean(run), StructType([*df.schema.fields, StructField("ids", ArrayType(IntegerType())), StructField("decoded", StringType())]))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
@@ -235,4 +293,4 @@ def decode(df: DataFrame, path: str, ids: str = "ids", to: str = "decoded") -> D
             rows = [" ".join([shown[k] for k in row or [] if k is not None and 0 <= k < len(shown)]) for row in batch.column(where).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, pa.string())], [*names, to])
 
-    return df.mapInArrow(run, df.schema.add(to, "string"))
+    return df.mapInArrow(lean(run), StructType([*df.schema.fields, StructField(to, StringType())]))
