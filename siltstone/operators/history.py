@@ -80,6 +80,7 @@ def equivalence(pairs: DataFrame) -> DataFrame:
     gone = c("after_job").isNull()
     named = (F.size("before_steps") > 0) & (F.size("after_steps") > 0)
     contract = ~gone & ((named & (c("before_steps") != c("after_steps"))) | F.coalesce(c("step_skipped"), F.lit(False)))
+    # The names of the reasons.
     reasons = strings(
         (~c("before_workflow").eqNullSafe(c("after_workflow")), "workflow_identity_changed"),
         (gone, "job_removed"),
@@ -97,6 +98,7 @@ def equivalence(pairs: DataFrame) -> DataFrame:
 def confounders(rows: DataFrame) -> DataFrame:
     """``rows`` with the sorted set of what else may explain the change of result."""
     c = F.col
+    # The names of the confounders.
     found = strings(
         (c("change_count") > 1, "multiple_commits_between_failure_and_success"),
         (c("before_failure_count") > 1, "multiple_failure_fingerprints"),
@@ -213,3 +215,51 @@ def change_features(changes: DataFrame) -> DataFrame:
         "file_count": F.size("files"), "workflow_changed": touches(WORKFLOW_PATH), "test_changed": touches(TEST_PATH), "environment_changed": touches(ENVIRONMENT_PATH),
         "lockfile_changed": touches(LOCK_PATH), "weakening": weak, "change_fingerprint": F.sha2(F.array_join(paths, "\n"), 256),
     })
+
+
+def normalized_runs(objects: DataFrame) -> DataFrame:
+    """Typed runs from provider objects (JSON text): the execution is named by run and attempt, the workflow by path,
+    else id, else name; blanks are null, attempts below one unknown."""
+    get = lambda key: F.get_json_object("payload", f"$.{key}")
+    text = lambda key: F.when(F.trim(get(key)) != "", get(key))
+    attempt = F.when(get("run_attempt").cast("int") >= 1, get("run_attempt").cast("int"))
+    return objects.select(
+        text("id").alias("provider_run_ref"),
+        F.concat(F.lit("run:"), text("id"), F.lit(":attempt:"), F.coalesce(attempt, F.lit(1)).cast("string")).alias("execution_ref"),
+        text("head_sha").alias("revision"),
+        F.coalesce(text("path"), text("workflow_id"), text("name")).alias("workflow_identity"),
+        attempt.alias("attempt"), text("conclusion").alias("conclusion"),
+    )
+
+
+def hydrated(episodes: DataFrame, jobs: DataFrame, runs: DataFrame, commits: DataFrame) -> DataFrame:
+    """Episodes with times: the failure's from its job, else its run; the repair's from its commit, else the run after."""
+    job = jobs.select("job_ref", F.coalesce("completed_at", "started_at").alias("job_time"))
+    run = runs.select("run_ref", F.coalesce("updated_at", "created_at").alias("run_time"))
+    before, after = run.withColumnsRenamed({"run_ref": "before_run", "run_time": "before_time"}), run.withColumnsRenamed({"run_ref": "after_run", "run_time": "after_time"})
+    out = episodes.join(job, "job_ref", "left").join(before, "before_run", "left").join(after, "after_run", "left").join(commits, "revision", "left")
+    return out.select("episode_id", F.coalesce("job_time", "before_time").alias("failure_at"), F.coalesce("committed_at", "after_time").alias("repair_at"), F.col("after_time").alias("validated_at"))
+
+
+def episodes(runs: DataFrame, transitions: DataFrame, changes: DataFrame, paths: DataFrame, flakes: DataFrame) -> DataFrame:
+    """Repair episodes: each failed run with the run after it, what changed on the path between, and what that proves.
+
+    ``transitions``: run_id, next_run_id, distance. ``changes``: workflow, revision and the flags of the change.
+    ``paths``: workflow, before, after, path. ``flakes``: revision, workflow, flake_class.
+    """
+    flags = ("workflow_changed", "environment_changed", "test_changed", "lockfile_changed", "is_merge")
+    first = runs.select("run_id", "workflow", F.col("revision").alias("before"), F.col("conclusion").alias("before_conclusion"))
+    then = runs.select(F.col("run_id").alias("next_run_id"), F.col("revision").alias("after"), F.col("conclusion").alias("after_conclusion"))
+    pairs = transitions.join(first, "run_id").join(then, "next_run_id")
+    steps = paths.select("workflow", "before", "after", F.explode("path").alias("revision")).join(changes, ["workflow", "revision"])
+    summed = steps.groupBy("workflow", "before", "after").agg(F.count(F.lit(1)).alias("change_count"), *(F.bool_or(f).alias(f) for f in flags))
+    rows = pairs.join(summed, ["workflow", "before", "after"], "left").join(flakes.select("workflow", F.col("revision").alias("before"), "flake_class"), ["workflow", "before"], "left")
+    no, none = F.lit(False), F.array().cast("array<string>")
+    same = F.col("before") == F.col("after")
+    rows = rows.withColumns({f: F.coalesce(f, no) for f in flags} | {
+        "change_count": F.coalesce("change_count", F.lit(0)), "same_revision": same, "before_workflow": F.col("workflow"), "after_workflow": F.col("workflow"), "before_job": F.lit("job"), "after_job": F.lit("job"),
+        "before_steps": F.array(F.lit("step")), "after_steps": F.array(F.lit("step")), "step_skipped": no, "weakening": none, "before_failure_count": F.lit(1), "attempt_history_missing": no, "extra_confounders": none,
+        "target_conclusion": F.col("after_conclusion"), "empty_change": no, "target_failure_present": F.coalesce(F.col("after_conclusion") == "failure", no), "new_failure_count": F.lit(0), "other_failure": no,
+    })
+    out = attribution(confounders(equivalence(rows)))
+    return out.select("run_id", "next_run_id", "change_count", "grade", "attribution_class", "outcome", "evidence_completeness", "suspected_flake")

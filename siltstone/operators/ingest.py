@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.functions.canonical import canonical_json, identity, namespaced
+from siltstone.functions.canonical import canonical_json, identity, namespaced, pseudonym
 from siltstone.schemas import EVENT_CLASSES, REGISTRY
 
 # What must not be in an event (key words, credentials, absolute paths, git object ids).
@@ -222,3 +222,54 @@ def normalized_event(events: DataFrame) -> DataFrame:
     if "unknowns" in events.columns:
         out = out.withColumn("unknowns", F.array_sort("unknowns"))
     return out.withColumn("payload", canonical_json(F.col("payload"))).withColumn("payload_hash", F.sha2("payload", 256))
+
+
+def redacted_bundles(bundles: DataFrame, path_key: bytes) -> DataFrame:
+    """Bundles whose paths are keyed tokens, whose snapshot id and revision are hashes, without the repository root."""
+
+    def place(p: Column) -> Column:
+        return p.withField("normalized_path", pseudonym("path_", path_key, p["normalized_path"]))
+
+    def finding(f: Column) -> Column:
+        return f.withField("locations", F.transform(f["locations"], place))
+
+    hashed = lambda c: F.concat(F.lit("sha256:"), F.sha2(c, 256))
+    snapshot = F.col("snapshot").withField("snapshot_id", hashed(F.col("snapshot.snapshot_id"))).withField("revision", hashed(F.col("snapshot.revision"))).dropFields("repository_root")
+    return bundles.withColumn("findings", F.transform("findings", finding)).withColumn("snapshot", snapshot)
+
+
+def envelopes(bundles: DataFrame, repository_key: bytes) -> DataFrame:
+    """The event that carries a redacted bundle: id from the document's hash, pseudonym of the repository, payload."""
+    payload = F.to_json(F.struct("findings", "snapshot"))
+    event = F.concat(F.lit("finding-bundle_"), F.sha2(payload, 256))
+    return bundles.select("record", event.alias("event_id"), F.lit("static_finding").alias("event_class"), F.lit("producer_redacted").alias("redaction_status"), pseudonym("repository_", repository_key, F.col("repository")).alias("repository_identity"), payload.alias("payload"))
+
+
+def unknown_lineage(rows: DataFrame, allowed: tuple[str, ...], lineage: str = "lineage") -> DataFrame:
+    """Rows whose lineage map has keys beyond the allowed ones, with those keys."""
+    extra = F.array_sort(F.array_except(F.map_keys(lineage), F.array(*map(F.lit, allowed))))
+    return rows.withColumn("unknown_keys", extra).where(F.size("unknown_keys") > 0)
+
+
+def ingress_status() -> Column:
+    """HTTP status of a request, in the order of the checks: path, method, token, size, document, disposition."""
+    return (
+        F.when(F.col("path") != "/events", 404)
+        .when(F.col("method") != "POST", 405)
+        .when(~F.coalesce(F.col("authorized"), F.lit(False)), 401)
+        .when(F.col("size") > 1048576, 413)
+        .when(F.col("malformed"), 422)
+        .when(F.col("disposition") == "conflict", 409)
+        .when(F.col("disposition") == "quarantined", 422)
+        .when(F.col("disposition") == "unavailable", 503)
+        .otherwise(201)
+    )
+
+
+def verify_store(records: DataFrame, entries: DataFrame, **children: DataFrame) -> DataFrame:
+    """(problem, n) over the whole store: gaps in the ledger, orphans of each kind, records that differ from their
+    identity. Empty for an intact store."""
+    gaps = ledger_gaps(entries).select(F.concat(F.lit("ledger "), "problem").alias("problem"))
+    lost = orphans(records, **children).select(F.concat(F.lit("orphan "), "kind").alias("problem"))
+    twice = records.groupBy("record_id").count().where("count > 1").select(F.lit("record repeated").alias("problem"))
+    return gaps.unionByName(lost).unionByName(twice).groupBy("problem").agg(F.count(F.lit(1)).alias("n"))

@@ -34,8 +34,8 @@ def snapshot_digest(rows: DataFrame, *columns: str) -> DataFrame:
     """One row: the order-free digest of the given columns. Rows are first digested per partition of their hash, so
     what meets in one task is a digest per bucket."""
     text = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
-    buckets = rows.select(text.alias("row")).groupBy(F.pmod(F.xxhash64("row"), F.lit(256)).alias("bucket")).agg(F.count(F.lit(1)).alias("n"), set_digest(F.col("row")).alias("digest"))
-    return buckets.agg(F.sum("n").alias("row_count"), set_digest(F.concat_ws(":", F.col("bucket").cast("string"), "digest")).alias("digest"))
+    buckets = rows.select(text.alias("row")).groupBy(F.substring(F.sha2("row", 256), 1, 2).alias("bucket")).agg(F.count(F.lit(1)).alias("n"), set_digest(F.col("row")).alias("digest"))
+    return buckets.agg(F.sum("n").alias("row_count"), set_digest(F.concat_ws(":", "bucket", "digest")).alias("digest"))
 
 
 def unsorted_rows(rows: DataFrame, partition: list[str], position: str, key: str) -> DataFrame:
@@ -60,3 +60,12 @@ def write_snapshot(rows: DataFrame, path: str) -> None:
 def read_snapshot(spark, path: str, schema) -> DataFrame:
     """The rows as they were written, with the declared schema; directory columns are not read."""
     return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+
+
+def report_document(rows: DataFrame, snapshot_id: str, *order: str) -> DataFrame:
+    """One row: a report as canonical JSON (rows in the given order, nulls kept) and its sha256. For reports, whose
+    rows are groups, not for data."""
+    named = rows.select(F.struct(*order).alias("o"), F.to_json(F.struct(*sorted(rows.columns)), {"ignoreNullFields": "false"}).alias("j"))
+    whole = named.agg(F.array_sort(F.collect_list(F.struct("o", "j"))).alias("rows"))
+    text = F.concat(F.lit('{"rows":['), F.array_join(F.transform("rows", lambda r: r["j"]), ","), F.lit(f'],"source_snapshot_id":"{snapshot_id}"}}'))
+    return whole.select(text.alias("document")).withColumn("report_hash", F.sha2("document", 256))

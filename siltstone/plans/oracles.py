@@ -251,3 +251,52 @@ add("redaction_paths", """, n as (select delivery, note, event_id from deliverie
 add("windowed_events", "select strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') as window_start, event_type, count(*) as n, round(sum(value), 4) as total from events group by 1, 2")
 add("streaming_ingest", """, r as (select sha256(event_id) as id, delivery, row_number() over (partition by event_id order by delivery) as k from deliveries where event_id is not null)
   select 'accepted' as disposition, count(distinct id) as n, count(distinct id) as records from r union all select 'duplicate', count(*), count(distinct id) from r where k > 1""", deliveries)
+
+
+def hmac_sql(key: bytes, value: str) -> str:
+    block = key.ljust(64, b"\0")
+    inner, outer = ("".join(f"\\x{b ^ pad:02X}" for b in block) for pad in (0x36, 0x5C))
+    return f"sha256('{outer}'::blob || unhex(sha256('{inner}'::blob || encode({value}))))"
+
+
+REPOSITORY_KEY, PATH_KEY = b"a key of the test that is long enough", b"another key of the test, also long"
+add("pseudonyms", f"select c_custkey, 'repository_' || {hmac_sql(REPOSITORY_KEY, 'c_name')} as token from customer")
+add("redacted_bundles", f"""select l_orderkey as record, l_orderkey || '-' || l_linenumber as finding_id, 'path_' || {hmac_sql(PATH_KEY, "'src/' || l_returnflag || '.py'")} as path,
+  'sha256:' || sha256('snap' || l_orderkey) as snapshot_id, 'sha256:' || sha256('rev' || l_orderkey) as revision from lineitem where l_linenumber <= 2""")
+add("bundle_envelopes", f"""select distinct l_orderkey as record, 'static_finding' as event_class, 'producer_redacted' as redaction_status, 'repository_' || {hmac_sql(REPOSITORY_KEY, "'repo' || (l_orderkey % 9)")} as repository_identity,
+  cast(79 as int) as id_length from lineitem where l_linenumber <= 2""")
+add("unknown_lineage", "select o_orderkey as delivery, 'odd,zeta' as unknown_keys from orders where o_orderkey % 3 = 0")
+add("ingress_status", """select o_orderkey as request, cast(case when o_orderkey % 11 = 0 then 404 when o_orderkey % 13 = 0 then 405 when o_orderkey % 19 = 0 or o_orderkey % 17 = 0 then 401 when o_orderkey % 23 = 0 then 413
+  when o_orderkey % 29 = 0 then 422 else [201, 409, 422, 503, 201][o_orderkey % 5 + 1] end as int) as status from orders""")
+add("verify_store", """, s as (select row_number() over (order by delivery) as k from deliveries), e as (select k from s where k % 500 <> 3),
+  p as (select 'ledger missing' as problem from s where k % 500 = 3 and k > 1 and k < (select max(k) from e) union all select 'orphan observation' from (select distinct record_id from learned where record_id not in (select record_id from records)))
+  select problem, count(*) as n from p group by 1""", *stored_records)
+add("report_document", """, j as (select recurrence_fingerprint as f, event_class as c, '{"canonical_rule_id":' || case when canonical_rule_id is null then 'null' else '"' || canonical_rule_id || '"' end || ',"event_class":"' || event_class || '","occurrence_count":' || occurrence_count
+  || ',"recurrence_fingerprint":"' || recurrence_fingerprint || '"}' as j from recurrence), w as (select '{"rows":[' || string_agg(j, ',' order by f, c) || '],"source_snapshot_id":"cs_test"}' as document from j)
+  select document, sha256(document) as report_hash from w""", stored, OBS, RECURRENCE)
+add("snapshot_digest", """, r as (select '{"record_id":"' || record_id || '","recurrence_fingerprint":"' || recurrence_fingerprint || '"}' as j from obs),
+  b as (select substring(sha256(j), 1, 2) as b, count(*) as n, sha256('[' || string_agg(j, ',' order by j) || ']') as d from r group by 1)
+  select cast(sum(n) as bigint) as row_count, sha256('[' || string_agg(b || ':' || d, ',' order by b) || ']') as digest from b""", stored, OBS)
+add("normalized_runs", """select cast(event_id as varchar) as provider_run_ref, 'run:' || event_id || ':attempt:' || greatest(1, event_id % 4) as execution_ref, 'sha' || user_id as revision,
+  case when event_id % 3 = 0 then '.github/ci.yml' when event_id % 5 <> 0 then cast(event_id % 7 as varchar) else 'CI' end as workflow_identity, cast(nullif(event_id % 4, 0) as int) as attempt,
+  case when event_id % 2 = 0 then 'success' end as conclusion from events""")
+add("hydrated_episodes", """with e as (select event_id as n, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') as t from events), r as (select n, t from e where n % 7 <> 0)
+  select e.n as episode_id, coalesce(case when e.n % 3 <> 0 and (e.n % 2 = 0 or e.n % 5 <> 0) then e.t end, a.t) as failure_at, coalesce(case when e.n % 4 = 1 then e.t end, b.t) as repair_at, b.t as validated_at
+  from e left join r a on a.n = e.n left join r b on b.n = e.n + 1""")
+add("episodes", """, fl as (select *, lag(conclusion) over (partition by revision, workflow order by attempt, updated_at, run_id) as b from runs where conclusion is not null),
+  fc as (select revision, workflow, case when count(*) filter (b in ('failure', 'success') and conclusion in ('failure', 'success') and b <> conclusion) >= 2 or (bool_or(conclusion = 'failure') and bool_or(conclusion = 'success')) then true else false end as flaky from fl group by 1, 2),
+  c as (select f.run_id, r.run_id as next_run_id, 0 as kind, r.attempt as far from runs f join runs r on r.workflow = f.workflow and r.revision = f.revision and r.attempt > f.attempt where f.conclusion = 'failure'
+  union all select f.run_id, r.run_id, 1, len(p.path) from runs f join paths p on p.workflow = f.workflow and p.before = f.revision and len(p.path) > 0 join runs r on r.workflow = f.workflow and r.revision = p.after where f.conclusion = 'failure'),
+  nx as (select run_id, next_run_id from c qualify row_number() over (partition by run_id order by kind, far, next_run_id) = 1),
+  st as (select workflow, before, after, unnest(path) as revision from paths),
+  ch as (select st.workflow, before, after, count(*) as n, bool_or(number % 7 = 3) as wf, bool_or(number % 11 = 4) as env, bool_or(number % 3 = 1 or number % 13 = 5 or number % 5 = 0) as other
+    from st join revs on revs.workflow = st.workflow and revs.workflow || '-r' || revs.number = st.revision group by 1, 2, 3),
+  j as (select nx.*, a.revision = z.revision as same, z.conclusion as result, coalesce(ch.n, 0) as n, coalesce(wf, false) as wf, coalesce(env, false) as env, coalesce(other, false) as other, coalesce(fc.flaky, false) as flaky
+    , a.conclusion = 'cancelled' or coalesce(z.conclusion = 'cancelled', false) as cancelled from nx join runs a using (run_id) join runs z on z.run_id = nx.next_run_id left join ch on ch.workflow = a.workflow and ch.before = a.revision and ch.after = z.revision left join fc on fc.workflow = a.workflow and fc.revision = a.revision),
+  k as (select *, case when same and result = 'success' then 1 when wf or env then 2 when not same and n = 0 then 3 when result is null or result in ('cancelled', 'timed_out', 'skipped') then 4 when same then 5 when n > 1 or other or cancelled then 6 else 7 end as kase,
+    case when result = 'failure' then 'repeated_failure' when result = 'success' then 'clean_verified' else 'outcome_unknown' end as raw from j),
+  o as (select *, case when kase <= 3 then 'outcome_unknown' when kase = 4 then 'unresolved' when kase = 5 and raw = 'clean_verified' then 'outcome_unknown' else raw end as oc, case when wf or env then 65 else 100 end as complete from k)
+  select run_id, next_run_id, n as change_count, case when flaky and oc = 'clean_verified' then 'U' else ['C', 'U', 'U', 'U', 'C', 'C', 'B'][kase] end as grade,
+  case when flaky and oc = 'clean_verified' then 'unresolved' else ['transition_inferred', 'unresolved', 'unresolved', 'unresolved', 'transition_inferred', 'transition_inferred', 'direct_transition_verified'][kase] end as attribution_class,
+  case when flaky and oc = 'clean_verified' then 'outcome_unknown' else oc end as outcome,
+  least(complete, [70, 50, 50, 60, 75, 85, 100][kase], case when flaky and oc = 'clean_verified' then 50 else 100 end) as evidence_completeness, kase = 1 or (flaky and oc = 'clean_verified') as suspected_flake from o""", *history, recursive=True)

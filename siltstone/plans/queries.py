@@ -439,3 +439,82 @@ def streaming_ingest(spark, sf_dir):
     ingest_stream(spark, f"{store}/source", rows.schema, store, files_per_batch=2).awaitTermination()
     ledger = spark.read.parquet(f"{store}/ledger")
     return ledger.groupBy("disposition").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("record_id").alias("records"))
+
+
+REPOSITORY_KEY, PATH_KEY = b"a key of the test that is long enough", b"another key of the test, also long"
+
+
+def finding_bundles(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").where("l_linenumber <= 2")
+    one = F.struct(F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("finding_id"), F.array(F.struct(F.concat(F.lit("src/"), F.col("l_returnflag"), F.lit(".py")).alias("normalized_path"), F.col("l_linenumber").alias("start_line"))).alias("locations"))
+    rows = lines.groupBy(F.col("l_orderkey").alias("record")).agg(F.array_sort(F.collect_list(one)).alias("findings"))
+    text = F.col("record").cast("string")
+    return rows.withColumn("snapshot", F.struct(F.concat(F.lit("snap"), text).alias("snapshot_id"), F.concat(F.lit("rev"), text).alias("revision"), F.lit("/home/dev/repo").alias("repository_root"))).withColumn("repository", F.concat(F.lit("repo"), (F.col("record") % 9).cast("string")))
+
+
+@query
+def redacted_bundles(spark, sf_dir):
+    rows = I.redacted_bundles(finding_bundles(spark, sf_dir), PATH_KEY)
+    return rows.select("record", F.explode("findings").alias("f"), "snapshot").select("record", "f.finding_id", F.col("f.locations")[0]["normalized_path"].alias("path"), "snapshot.snapshot_id", "snapshot.revision")
+
+
+@query
+def bundle_envelopes(spark, sf_dir):
+    return I.envelopes(I.redacted_bundles(finding_bundles(spark, sf_dir), PATH_KEY), REPOSITORY_KEY).select("record", "event_class", "redaction_status", "repository_identity", F.length("event_id").alias("id_length"))
+
+
+@query
+def unknown_lineage(spark, sf_dir):
+    k = F.col("o_orderkey")
+    lineage = F.map_from_arrays(F.when(k % 3 == 0, F.array(F.lit("parent"), F.lit("zeta"), F.lit("odd"))).otherwise(F.array(F.lit("parent"))), F.when(k % 3 == 0, F.array(*map(F.lit, "abc"))).otherwise(F.array(F.lit("a"))))
+    rows = I.unknown_lineage(table(spark, sf_dir, "orders").select(k.alias("delivery"), lineage.alias("lineage")), ("parent", "source"))
+    return rows.select("delivery", F.array_join("unknown_keys", ",").alias("unknown_keys"))
+
+
+@query
+def ingress_status(spark, sf_dir):
+    k = F.col("o_orderkey")
+    kinds = F.element_at(F.array(*map(F.lit, ("accepted", "conflict", "quarantined", "unavailable", "duplicate"))), (k % 5 + 1).cast("int"))
+    rows = table(spark, sf_dir, "orders").select(k.alias("request"), F.when(k % 11 == 0, "/other").otherwise("/events").alias("path"), F.when(k % 13 == 0, "GET").otherwise("POST").alias("method"), F.when(k % 19 != 0, k % 17 != 0).alias("authorized"), F.when(k % 23 == 0, 2000000).otherwise(10).alias("size"), (k % 29 == 0).alias("malformed"), kinds.alias("disposition"))
+    return rows.select("request", I.ingress_status().alias("status"))
+
+
+@query
+def verify_store(spark, sf_dir):
+    entries = I.ledger(deliveries(spark, sf_dir).select("delivery"), ["delivery"]).where("sequence % 500 != 3")
+    return I.verify_store(records(spark, sf_dir), entries, observation=learned(spark, sf_dir))
+
+
+@query
+def report_document(spark, sf_dir):
+    rows = M.recurrence(observations(spark, sf_dir)).select("recurrence_fingerprint", "event_class", "canonical_rule_id", "occurrence_count")
+    return S.report_document(rows, "cs_test", "recurrence_fingerprint", "event_class")
+
+
+@query
+def normalized_runs(spark, sf_dir):
+    k = F.col("event_id")
+    doc = F.to_json(F.struct(k.cast("string").alias("id"), F.concat(F.lit("sha"), F.col("user_id").cast("string")).alias("head_sha"), (k % 4).alias("run_attempt"), F.when(k % 3 == 0, ".github/ci.yml").when(k % 3 == 1, " ").alias("path"), F.when(k % 5 != 0, (k % 7).cast("string")).alias("workflow_id"), F.lit("CI").alias("name"), F.when(k % 2 == 0, "success").alias("conclusion")))
+    return H.normalized_runs(table(spark, sf_dir, "events").select(doc.alias("payload")))
+
+
+@query
+def hydrated_episodes(spark, sf_dir):
+    k = F.col("event_id")
+    rows = table(spark, sf_dir, "events").select(k.alias("n"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("at"))
+    name = lambda prefix, x: F.concat(F.lit(prefix), x.cast("string"))
+    episodes = rows.select(F.col("n").alias("episode_id"), name("j", F.col("n")).alias("job_ref"), name("r", F.col("n")).alias("before_run"), name("r", F.col("n") + 1).alias("after_run"), name("c", F.col("n")).alias("revision"))
+    jobs = rows.where("n % 3 != 0").select(name("j", F.col("n")).alias("job_ref"), F.when(F.col("n") % 2 == 0, F.col("at")).alias("completed_at"), F.when(F.col("n") % 5 != 0, F.col("at")).alias("started_at"))
+    all_runs = rows.where("n % 7 != 0").select(name("r", F.col("n")).alias("run_ref"), F.when(F.col("n") % 4 != 0, F.col("at")).alias("updated_at"), F.col("at").alias("created_at"))
+    times = rows.where("n % 4 = 1").select(name("c", F.col("n")).alias("revision"), F.col("at").alias("committed_at"))
+    return H.hydrated(episodes, jobs, all_runs, times)
+
+
+@query
+def episodes(spark, sf_dir):
+    all_runs = runs(spark, sf_dir)
+    paths = H.unique_paths(commits(spark, sf_dir), wanted(spark, sf_dir), depth=8)
+    after = H.next_runs(all_runs.where("conclusion = 'failure'"), all_runs, paths.select("workflow", "before", "after", F.size("path").alias("distance")))
+    n = F.col("number")
+    changes = all_runs.select("workflow", "revision", "number").distinct().select("workflow", "revision", (n % 7 == 3).alias("workflow_changed"), (n % 11 == 4).alias("environment_changed"), (n % 3 == 1).alias("test_changed"), (n % 13 == 5).alias("lockfile_changed"), ((n % 5 == 0) & (n > 0)).alias("is_merge"))
+    return H.episodes(all_runs, after, changes, paths, H.flake_classes(all_runs))
