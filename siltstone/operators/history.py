@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.functions.canonical import set_digest
+from siltstone.session import cut
 
 
 def flake_classes(runs: DataFrame) -> DataFrame:
@@ -29,23 +30,25 @@ def flake_classes(runs: DataFrame) -> DataFrame:
 def unique_paths(commits: DataFrame, wanted: DataFrame, depth: int = 64) -> DataFrame:
     """(workflow, before, after, path) for pairs whose commits are joined by exactly one chain of parents.
 
-    ``commits``: workflow, revision, parent (null at the root). ``wanted``: workflow, before, after. The search
-    walks from ``after`` towards the parents, in the recursion of SQL; walks end at ``before``, at a root, at a
-    cycle or at ``depth``. The path leaves out ``before`` and ends in ``after``; equal ends have an empty path.
+    ``commits``: workflow, revision, parent (null at the root). ``wanted``: workflow, before, after. All walks go
+    from ``after`` towards the parents a step at a time and end at ``before``, at a root, at a cycle or at ``depth``.
+    Walks that meet in a commit are counted together, so merges don't multiply them: two are as good as many.
+    The path leaves out ``before`` and ends in ``after``; equal ends have an empty path.
     """
-    spark = commits.sparkSession
-    commits.where("parent is not null").select("workflow", "revision", "parent").distinct().createOrReplaceTempView("siltstone_commits")
-    wanted.select("workflow", F.col("before").alias("goal"), F.col("after").alias("tip")).distinct().createOrReplaceTempView("siltstone_wanted")
-    walks = spark.sql(f"""
-        with recursive walk(workflow, goal, tip, at, path, depth) as (
-          select workflow, goal, tip, tip, array(tip), 0 from siltstone_wanted
-          union all
-          select w.workflow, w.goal, w.tip, c.parent, array_append(w.path, c.parent), w.depth + 1
-          from walk w join siltstone_commits c on c.workflow = w.workflow and c.revision = w.at
-          where w.at != w.goal and not array_contains(w.path, c.parent) and w.depth < {int(depth)})
-        select workflow, goal as before, tip as after, path from walk where at = goal""")
-    found = walks.groupBy("workflow", "before", "after").agg(F.count(F.lit(1)).alias("n"), F.min("path").alias("path")).where("n = 1")
-    return found.select("workflow", "before", "after", F.reverse(F.slice("path", 1, F.size("path") - 1)).alias("path"))
+    edges = cut(commits.where("parent is not null").select("workflow", F.col("revision").alias("at"), "parent").distinct())
+    key = ["workflow", "goal", "tip"]
+    front = wanted.select("workflow", F.col("before").alias("goal"), F.col("after").alias("tip")).distinct()
+    front = cut(front.withColumns({"at": F.col("tip"), "path": F.array("tip"), "n": F.lit(1)}))
+    hits = front.where("at = goal")
+    for _ in range(depth):
+        walked = front.where("at != goal").join(edges, ["workflow", "at"]).where(~F.array_contains("path", F.col("parent")))
+        walked = walked.groupBy(*key, F.col("parent").alias("at")).agg(F.min(F.array_append("path", F.col("parent"))).alias("path"), F.least(F.lit(2), F.sum("n")).cast("int").alias("n"))
+        front = cut(walked.select(*key, "at", "path", "n"))
+        if front.isEmpty():
+            break
+        hits = hits.unionByName(front.where("at = goal"))
+    found = hits.groupBy(*key).agg(F.sum("n").alias("n"), F.min("path").alias("path")).where("n = 1")
+    return found.select("workflow", F.col("goal").alias("before"), F.col("tip").alias("after"), F.reverse(F.slice("path", 1, F.size("path") - 1)).alias("path"))
 
 
 def next_runs(failures: DataFrame, runs: DataFrame, distances: DataFrame) -> DataFrame:

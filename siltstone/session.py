@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings that results or plans depend on: UTC everywhere, runtime re-planning with skew handling.
 SETTINGS = {
@@ -35,3 +35,9 @@ def shared_folder(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="siltstone-"))
     return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder, so that later steps don't repeat it and survive lost executors."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
