@@ -82,13 +82,13 @@ def fit_thresholds(x: np.ndarray, grades: np.ndarray, levels: int = 4, rounds: i
     for t in range(1, rounds + 1):
         gaps = np.exp(p[width + 1 :])
         cuts = np.concatenate([[-np.inf], p[width] + np.concatenate([[0], np.cumsum(gaps)]), [np.inf]])
-        z = x @ p[:width]
+        z = (x @ p[:width].astype(x.dtype)).astype(np.float64)
         high, low = logistic(cuts[grades + 1] - z), logistic(cuts[grades] - z)
         high, low = np.where(grades == levels - 1, 1.0, high), np.where(grades == 0, 0.0, low)
         mass = np.maximum(high - low, 1e-9)
         up, down = high * (1 - high) / mass, low * (1 - low) / mass
         g = np.zeros_like(p)
-        g[:width] = x.T @ (up - down) / n + decay * p[:width]
+        g[:width] = x.T @ (up - down).astype(x.dtype) / n + decay * p[:width]
         by_cut = np.array([-(up * (grades == k)).sum() + (down * (grades == k + 1)).sum() for k in range(levels - 1)]) / n
         g[width] = by_cut.sum()
         for k in range(levels - 2):
