@@ -53,7 +53,7 @@ class Ids(dict):
     """Template id of each raw word, odd if it may be a name, remembered up to a number of words. With a vocabulary,
     words that stand in no benchmark window are dead."""
 
-    def __init__(self, vocabulary: set[str] | None, most: int = 100_000):
+    def __init__(self, vocabulary: set[str] | None, most: int = 200_000):
         super().__init__()
         self.vocabulary, self.most = vocabulary, most
 
@@ -71,15 +71,16 @@ class Ids(dict):
         k = int(k)
         if w and k not in (NUM, NONE) and w[0].isupper() and (len(w) == 1 or w[1:].islower()):
             k += 1
-        if len(self) < self.most:
-            self[raw] = k
+        if len(self) >= self.most:
+            self.clear()  # the frequent words are soon met again
+        self[raw] = k
         return k
 
 
 def templates(raw: list[str], ids: Ids) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids of the plain and of the named template, and the place of each among the raw words (what is only
     punctuation has none)."""
-    k = np.array([ids[w] for w in raw], np.uint64)
+    k = np.fromiter(map(ids.__getitem__, raw), np.uint64, len(raw))
     places = np.flatnonzero(k != NONE)
     k = k[places]
     name = (k & np.uint64(1)).astype(bool)
