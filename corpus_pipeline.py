@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import bpe, decontaminate, linededup, simhash, toxicity
+from siltstone.llm import bpe, decontaminate, linededup, neardup, toxicity
 from siltstone.llm.common import cut, table
 from siltstone.llm.queries import tokenizer_path
 
@@ -29,8 +29,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id."""
-    return simhash.deduplicate(docs).select(*docs.columns)
+    """One document of each group of near duplicates (five-word shingles that agree to 0.8): the one with the smallest id."""
+    return neardup.deduplicate(docs).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

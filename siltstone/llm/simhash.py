@@ -35,23 +35,32 @@ def signed(x: int) -> int:
     return x - 2**64 if x >= 2**63 else x
 
 
-def simhash(text: bytes, words: int = SHINGLE) -> int:
-    """Of a text in UTF-8: A-Z lower-cased, words cut at ASCII white space; without words 0."""
+def shingle_hashes(text: bytes, words: int = SHINGLE) -> np.ndarray:
+    """Of a text in UTF-8: A-Z lower-cased, words cut at ASCII white space; a shorter text is one shingle."""
     w = text.lower().split()
     if not w:
-        return 0
+        return np.zeros(0, "<u8")
     if len(w) < words:
         shingles = [b" ".join(w)]
     else:
         shingles = map(b" ".join, zip(*(w[k:] for k in range(words)), strict=False))
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(s, SEED) for s in shingles], dtype="<u8")
+    return np.array([digest(s, SEED) for s in shingles], dtype="<u8")
+
+
+def fingerprint(hashes: np.ndarray) -> int:
+    """Majorities of the hashes' bits; without hashes 0."""
     ones = np.zeros(64, np.int64)
     for k in range(0, len(hashes), 1 << 16):
         ones += np.unpackbits(hashes[k : k + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(ones * 2 > len(hashes), bitorder="little").tobytes(), "little")
 
 
+def simhash(text: bytes, words: int = SHINGLE) -> int:
+    """The fingerprint of a text's shingles; without words 0."""
+    return fingerprint(shingle_hashes(text, words))
+
+
 def with_simhash(df: DataFrame, text: str = "text", to: str = "simhash") -> DataFrame:
     """``df`` without ``text``, with its fingerprint as a signed long; null counts as the empty text."""
     kept = [c for c in df.columns if c not in (text, to)]
@@ -237,7 +246,12 @@ def deduplicate(df: DataFrame, doc_id: str = "doc_id", text: str = "text", budge
 
     Of repeated rows with a representative's id one stays. Rows with a null id stay. All columns are kept.
     """
-    found = cut(near_duplicates(df, doc_id, text, budget))
+    return representatives(df, near_duplicates(df, doc_id, text, budget), doc_id, most_broadcast)
+
+
+def representatives(df: DataFrame, found: DataFrame, doc_id: str, most_broadcast: int) -> DataFrame:
+    """The rows of ``df`` whose id is their component's; ``found``: doc_id, component_id of each row."""
+    found = cut(found)
     gone = found.where("doc_id != component_id").select("doc_id").distinct()
     twice = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
     key = free_name(df, "__id")
