@@ -3,8 +3,8 @@
 Texts become templates: numbers, capitalised words (names) and units after a number are replaced by typed
 placeholders whose values are kept as slots; all other words are lower-cased and stripped of punctuation. A
 second template of each text keeps names as lower-case words, for copies in other case. Windows of five template words are joined by hash with those of the benchmark items. A question that was only
-re-parameterised has the same template, but its slots must be consistent: over all windows that a document
-shares with an item, one value of the item stands for one value of the document and the reverse. A document
+re-parameterised has the same template, but its slots must be consistent: over the windows that a place of a
+document shares with an item, one value of the item stands for one value of the document and the reverse. A document
 contains an item if the windows that are consistent make up 0.8 or more of the item's, in either template.
 
 While the benchmark has at most ``most_windows`` windows its table is broadcast and the join needs no shuffle.
@@ -15,6 +15,7 @@ hashes; the bitmap's size is fixed, and what it lets through by chance the join
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -113,17 +114,55 @@ def slots_at(raw: list[str], k: np.ndarray, places: np.ndarray, begin: int) -> l
     return [clean(raw[places[j]]).lower() for j in range(begin, end) if k[j] in (NUM, NAME, UNIT)]
 
 
-def consistent(pairs: list[tuple[int, list[str], list[str]]]) -> int:
-    """Distinct windows whose slots agree with the mapping that most windows vote for. ``pairs``: window, slots of
-    the item, slots of the document."""
+Pair = tuple[int, int, tuple[str, ...], int, tuple[str, ...]]  # window, its place in the item, its slots there, its place in the document, its slots there
+
+
+def consistent(pairs: list[Pair], least: float = 0) -> int:
+    """Distinct windows whose slots agree with one mapping of values, one to one: that of the place of the document
+    where most do, or that which most windows of the whole document vote for.
+
+    A place is where windows follow each other as in the item; windows beside it, as an insertion leaves them, count if
+    they agree with its mapping. Places that can't reach ``least`` windows are left out.
+    """
+    pairs = sorted(set(pairs), key=lambda p: p[3])
+    most = len({p[0] for p in pairs})
+    got = len(voted(pairs)[0])
+    aligned = defaultdict(list)
+    for p in pairs:
+        aligned[p[3] - p[1]].append(p)
+    span = 2 * (max((p[1] for p in pairs), default=0) + WINDOW)
+    begins = [p[3] for p in pairs]
+    for offset, own in sorted(aligned.items(), key=lambda x: (-len(x[1]), x[0])):
+        if got == most:
+            break
+        beside = pairs[bisect_left(begins, offset - span) : bisect_right(begins, offset + span)]
+        if len({p[0] for p in beside}) < max(least, got + 1):
+            continue
+        seen, there, back = voted(own)
+        for w, _, item, _, doc in sorted(beside, key=lambda p: (abs(p[3] - p[1] - offset), p)):
+            if w in seen:
+                continue
+            new, new_back = {}, {}
+            if all(there.get(a, new.setdefault(a, b)) == b and back.get(b, new_back.setdefault(b, a)) == a for a, b in zip(item, doc, strict=True)):
+                seen.add(w)
+                for a, b in new.items():
+                    there.setdefault(a, b)
+                    back.setdefault(b, a)
+        got = max(got, len(seen))
+    return got
+
+
+def voted(pairs: list[Pair]) -> tuple[set[int], dict[str, str], dict[str, str]]:
+    """Windows that agree with the mapping that most pairs vote for, and the mapping from the item and back."""
     votes, back = defaultdict(Counter), defaultdict(Counter)
-    for _, item, doc in pairs:
+    for _, _, item, _, doc in pairs:
         for a, b in zip(item, doc, strict=True):
             votes[a][b] += 1
             back[b][a] += 1
     best = {a: min(c, key=lambda x: (-c[x], x != a, x)) for a, c in votes.items()}
     only = {b: min(c, key=lambda x: (-c[x], x != b, x)) for b, c in back.items()}
-    return len({w for w, item, doc in pairs if all(best[a] == b and only[b] == a for a, b in zip(item, doc, strict=True))})
+    both = {a: b for a, b in best.items() if only[b] == a}
+    return {w for w, _, item, _, doc in pairs if all(both.get(a) == b for a, b in zip(item, doc, strict=True))}, both, {b: a for a, b in both.items()}
 
 
 def signed(x) -> int:
@@ -142,7 +181,7 @@ def bitmap(table: DataFrame) -> np.ndarray:
 
 
 def windows(df: DataFrame, key: str, text: str, known: np.ndarray | None = None) -> DataFrame:
-    """Distinct windows of each row: key, kind (of template), window (hash), slots, words (those of the template);
+    """Windows of each row: key, kind (of template), window (hash), place, slots, words (those of the template);
     with ``known`` only those whose bit is set."""
     sent = None if known is None else df.sparkSession.sparkContext.broadcast(known)
 
@@ -157,14 +196,14 @@ def windows(df: DataFrame, key: str, text: str, known: np.ndarray | None = None)
                     h = window_hashes(k, kind)
                     at = np.arange(len(h)) if sent is None else passing(h, sent.value)
                     for j in at.tolist():
-                        rows[kind, signed(h[j]), tuple(slots_at(raw, k, places, j))] = [clean(raw[p]).lower() for p in places[j : j + WINDOW]]
+                        rows[kind, signed(h[j]), j, tuple(slots_at(raw, k, places, j))] = [clean(raw[p]).lower() for p in places[j : j + WINDOW]]
                 if rows:
-                    kind, window, slots = zip(*rows, strict=True)
+                    kind, window, place, slots = zip(*rows, strict=True)
                     texts = pa.list_(pa.string())
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows), batch.schema.field(0).type), pa.array(kind, pa.int32()), pa.array(window, pa.int64()), pa.array(map(list, slots), texts), pa.array(list(rows.values()), texts)], ["key", "kind", "window", "slots", "words"])
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows), batch.schema.field(0).type), pa.array(kind, pa.int32()), pa.array(window, pa.int64()), pa.array(place, pa.int64()), pa.array(map(list, slots), texts), pa.array(list(rows.values()), texts)], ["key", "kind", "window", "place", "slots", "words"])
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(col(key), col(text)).mapInArrow(lean(run), f"key {kind}, kind int, window long, slots array<string>, words array<string>")
+    return df.select(col(key), col(text)).mapInArrow(lean(run), f"key {kind}, kind int, window long, place long, slots array<string>, words array<string>")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", share: float = SHARE, most_windows: int = 200_000) -> DataFrame:
@@ -177,7 +216,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
     # Items get a number of their own, so that repeated and null ids stay apart or together as their texts do.
     items = benchmark.select(col(item_id).alias("item_id"), F.coalesce(col(item_text), F.lit("")).alias("t")).withColumn("item", F.xxhash64("item_id", "t"))
     names = items.select("item", "item_id").distinct()
-    table = windows(items.dropDuplicates(["item"]), "item", "t").withColumnsRenamed({"key": "item", "slots": "item_slots"})
+    table = windows(items.dropDuplicates(["item"]), "item", "t").withColumnsRenamed({"key": "item", "place": "item_place", "slots": "item_slots"})
     found = docs.select(col(doc_id).alias("doc_id"), F.coalesce(col(text), F.lit("")).alias("t"))
     if small_enough(table, most_windows):
         pairs = broadcast_matches(found, table, share)
@@ -191,7 +230,7 @@ def broadcast_matches(docs: DataFrame, table: DataFrame, share: float) -> DataFr
     rows = table.collect()  # at most most_windows
     by_window, totals = defaultdict(list), defaultdict(set)
     for r in rows:
-        by_window[r["window"] % 2**64].append(((r["item"], r["kind"]), r["item_slots"]))
+        by_window[r["window"] % 2**64].append(((r["item"], r["kind"]), r["item_place"], tuple(r["item_slots"])))
         totals[r["item"], r["kind"]].add(r["window"])
     vocabulary = {w for r in rows for w in r["words"]}
     hashes = np.array(sorted(by_window), np.uint64)
@@ -212,11 +251,11 @@ def broadcast_matches(docs: DataFrame, table: DataFrame, share: float) -> DataFr
             hit = hashes[place] == h
             pairs = defaultdict(list)
             for j, x in zip(at[hit].tolist(), h[hit].tolist(), strict=True):
-                slots = slots_at(raw, k, places, j)
-                for item, item_slots in by_window[x]:
-                    pairs[item].append((x, item_slots, slots))
+                slots = tuple(slots_at(raw, k, places, j))
+                for item, item_place, item_slots in by_window[x]:
+                    pairs[item].append((x, item_place, item_slots, j, slots))
             for item, p in pairs.items():
-                if len({w for w, _, _ in p}) >= share * totals[item] and (got := consistent(p)) >= share * totals[item]:
+                if len({x[0] for x in p}) >= share * totals[item] and (got := consistent(p, share * totals[item])) >= share * totals[item]:
                     yield item[0], totals[item], got
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,13 +277,13 @@ def passing(h: np.ndarray, known: np.ndarray) -> np.ndarray:
 def shuffle_matches(docs: DataFrame, table: DataFrame, share: float) -> DataFrame:
     keyed = docs.withColumn("doc", F.struct("doc_id", F.xxhash64("t").alias("th")))
     totals = table.groupBy("item", "kind").agg(F.count_distinct("window").alias("windows"))
-    hits = windows(keyed, "doc", "t", bitmap(table)).select(F.col("key").alias("doc"), "kind", "window", "slots").join(table.drop("words"), ["kind", "window"])
-    pairs = hits.groupBy("doc", "item", "kind").agg(F.collect_list(F.struct("window", "item_slots", "slots")).alias("pairs"), F.count_distinct("window").alias("shared"))
+    hits = windows(keyed, "doc", "t", bitmap(table)).select(F.col("key").alias("doc"), "kind", "window", "place", "slots").join(table.drop("words"), ["kind", "window"])
+    pairs = hits.groupBy("doc", "item", "kind").agg(F.collect_list(F.struct("window", "item_place", "item_slots", "place", "slots")).alias("pairs"), F.count_distinct("window").alias("shared"))
     pairs = pairs.join(totals, ["item", "kind"]).where(F.col("shared") >= share * F.col("windows")).select("doc.doc_id", "item", "windows", "pairs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [consistent([(p["window"], p["item_slots"], p["slots"]) for p in row]) for row in batch.column(3).to_pylist()]
+            got = [consistent([(p["window"], p["item_place"], tuple(p["item_slots"]), p["place"], tuple(p["slots"])) for p in row], share * n) for n, row in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(got, pa.int64())], ["doc_id", "item", "windows", "matched"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -40,3 +40,16 @@ def test_edges(spark):
         assert got == sorted([(3, 4), (None, 1), (6, 1), (7, None)], key=str)
     assert decontaminate.matches(docs.where("false"), items).collect() == [] and decontaminate.matches(docs, items.where("false")).collect() == []
     assert sorted(r.doc_id for r in decontaminate.decontaminate(docs, items).collect()) == [1, 2, 4, 8]
+
+
+def test_other_text_does_not_outvote_a_copy(spark):
+    short = "tom has 5 apples and buys 7 more today"
+    first = "Mary has 15 apples and buys 27 more. How many apples does Mary have after she gives 4 pounds to Tom and walks 8 km home?"
+    second = "Paul has 6 apples and buys 9 more. How many apples does Paul have after he gives 3 tons to Eva and walks 11 feet home?".replace(" he ", " she ")
+    mixed = ITEM.replace("Anna has after", "Jane has after").replace("2 kg", "5 kg").replace("3 miles", "7 miles")
+    items = spark.createDataFrame([(1, short), (2, ITEM)], "item_id long, text string")
+    docs = [(1, f"{short} and " + "ann has 9 apples and buys some " * 4), (2, f"{first} then {second}"), (3, f"{second} {first} " * 3), (4, mixed), (5, first.replace("apples does", "apples oh dear me does"))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = [sorted((r.doc_id, r.item_id, r.matched, r.windows) for r in decontaminate.matches(df, items, most_windows=limit).collect()) for limit in (200_000, 1)]
+    assert rows[0] == rows[1] and {(i, b) for i, b, _, _ in rows[0]} >= {(1, 1), (2, 2), (3, 2)}
+    assert all(m == n for i, _, m, n in rows[0] if i == 1) and 4 not in {r[0] for r in rows[0]}
