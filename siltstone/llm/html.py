@@ -209,14 +209,12 @@ def signed(x: int) -> int:
     return x - 2**64 if x >= 2**63 else x
 
 
-def templates(found: DataFrame, least_pages: int, least_share: float) -> DataFrame:
-    """(host, hash) of subtrees on at least so many, and such a share, of the host's pages of different content."""
-    pages = found.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    spread = found.groupBy("host", "hash").agg(F.count_distinct("content").alias("n")).where(F.col("n") >= least_pages)
-    return spread.join(pages, "host").where(F.col("n") >= least_share * F.col("pages")).select("host", "hash")
+def templates(found: DataFrame, least_pages: int) -> DataFrame:
+    """(host, hash) of subtrees on at least so many of the host's pages of different content, however many pages it has."""
+    return found.groupBy("host", "hash").agg(F.count_distinct("content").alias("n")).where(F.col("n") >= least_pages).select("host", "hash")
 
 
-def extract(pages: DataFrame, url: str = "url", html: str = "html", least_pages: int = 10, least_share: float = 0.02, most_broadcast: int = 200_000) -> DataFrame:
+def extract(pages: DataFrame, url: str = "url", html: str = "html", least_pages: int = 10, most_broadcast: int = 200_000) -> DataFrame:
     """``pages`` with ``text`` (blocks joined by one newline; empty if none) and ``n_chars`` (its code points).
 
     A null html is an empty page; a null URL has the empty host. Pages of equal host and html are treated
@@ -228,7 +226,7 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", least_pages:
     key, drop, owner = (free_name(pages, x) for x in ("__key", "__drop", "__host"))
     keyed = pages.withColumn(owner, F.lower(F.regexp_extract(F.coalesce(col(url), F.lit("")), r"://([^/?#]*)", 1))).withColumn(key, F.xxhash64(F.col(owner), col(html)))
     found = cut(subtrees(keyed, key, owner, html).distinct())
-    live = found.where("live").join(templates(found, least_pages, least_share), ["host", "hash"])
+    live = found.where("live").join(templates(found, least_pages), ["host", "hash"])
     drops = cut(live.groupBy(F.col("key").alias(key)).agg(F.collect_set("hash").alias(drop)))
     if drops.isEmpty():
         keyed = keyed.withColumn(drop, F.lit(None).cast("array<bigint>"))

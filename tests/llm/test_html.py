@@ -41,3 +41,10 @@ def test_recurring_containers_go_and_copies_do_not_count(spark):
     assert extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
     once = extract(df, least_pages=1000).where("page_id = 5").first()
     assert once.text.endswith("Follow this site for more")
+
+
+def test_a_rare_template_goes_from_a_large_host_as_from_a_small_one(spark):
+    box = "<div><p>Read our series</p></div>"
+    pages = [(k, f"http://large.example/{k}", f"<article><p>story {k}</p>{box if k < 12 else ''}</article>") for k in range(1000)]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {k: f"story {k}" for k in range(1000)}
