@@ -4,8 +4,9 @@ Two variable-order Markov models, of accepted and of rejected URLs, give each ch
 probability from its longest known context, smoothed by the shorter ones. The score is the difference of the
 two log-likelihoods divided by the length; the threshold is calibrated on URLs that the models haven't seen.
 
-Counts are kept in hashed tables of a fixed number of slots, so what is collected and broadcast has a bound
-that doesn't depend on the data, while every URL counts.
+Counts are exact: a context with its character is a number of its own, and Spark sums the counts of each. While
+there are at most ``most_grams`` of them they are broadcast; of more, chunks of URLs are joined by shuffle with the
+counts that they need.
 """
 
 from __future__ import annotations
@@ -19,10 +20,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from siltstone.llm.common import col, free_name, lean
+from siltstone.llm.common import col, cut, free_name, lean, small_enough
 
+#: Of dense tables for a few texts (``slots``).
 SLOTS = 1 << 19
 ORDER = 4
+#: Bits of a character (a byte, or a text's beginning) in a code.
+BITS = 9
+#: Texts of a chunk.
+CHUNK = 4096
 #: Strength of the shorter context in a longer one's estimate.
 PULL = 2.0
 BINS = 4000
@@ -54,27 +60,30 @@ def rule_of(host_column: Column, path_column: Column, rules: list[tuple[str, str
     return name, verdict
 
 
-def slots(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Slots of each character with its context (a row per order, 0 to ORDER), of the contexts, and each character's text."""
+def codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of each character with its context (a row per order, 0 to ORDER), of the contexts, and each character's
+    text. Different contexts have different codes, and no context has that of a character in one."""
     raw = [t.encode("utf-8", "surrogatepass") for t in texts]
     lengths = np.array([len(r) for r in raw], np.int64)
-    pad = b"\0" * ORDER  # no URL holds it: a text's beginning is a context of its own
-    data = np.frombuffer(pad + pad.join(raw) + pad, np.uint8).astype(np.uint64) + np.uint64(1)
     owner = np.repeat(np.arange(len(raw)), lengths)
     at = np.arange(lengths.sum()) + ORDER * (owner + 1)
+    data = np.zeros(lengths.sum() + ORDER * (len(raw) + 1), np.int64)  # 0: a text's beginning is a context of its own
+    data[at] = np.frombuffer(b"".join(raw), np.uint8).astype(np.int64) + 1
     grams, contexts = [], []
-    context = np.zeros(len(at), np.uint64)
-    with np.errstate(over="ignore"):
-        for n in range(ORDER + 1):
-            if n:
-                context = context * np.uint64(0x100000001B3) + data[at - n]
-            seed = np.uint64((n + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1))
-            mixed = (context ^ seed) * np.uint64(0xBF58476D1CE4E5B9)
-            mixed ^= mixed >> np.uint64(29)
-            gram = (mixed + data[at] * np.uint64(0x94D049BB133111EB)) * np.uint64(0xD6E8FEB86659FD93)
-            grams.append((gram >> np.uint64(40)) % np.uint64(SLOTS))
-            contexts.append((mixed * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(40)) % np.uint64(SLOTS))
-    return np.array(grams).astype(np.int64), np.array(contexts).astype(np.int64), owner
+    context = np.zeros(len(at), np.int64)
+    for n in range(ORDER + 1):
+        if n:
+            context = context | data[at - n] << BITS * (n - 1)
+        contexts.append(context | n + 1 << BITS * ORDER)
+        grams.append(contexts[-1] << BITS | data[at])
+    return np.array(grams), np.array(contexts), owner
+
+
+def slots(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``codes`` folded to SLOTS, for counts of a few texts in dense tables; the queries count by codes."""
+    fold = lambda x: ((x.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(40)).astype(np.int64) % SLOTS
+    grams, contexts, owner = codes(texts)
+    return fold(grams), fold(contexts), owner
 
 
 def log_likelihood(grams: np.ndarray, contexts: np.ndarray, gram_counts: np.ndarray, context_counts: np.ndarray) -> np.ndarray:
@@ -87,42 +96,51 @@ def log_likelihood(grams: np.ndarray, contexts: np.ndarray, gram_counts: np.ndar
 
 @dataclass
 class Model:
-    """Counts by [rejected, accepted] and slot, and the least score that is allowed."""
+    """Codes in ascending order and their counts by [rejected, accepted]."""
+
+    codes: np.ndarray
+    counts: np.ndarray
+
+    @classmethod
+    def of(cls, found: pa.Table) -> Model:
+        code, *counts = (found.column(c).to_numpy() for c in ("code", "rejected", "accepted"))
+        order = np.argsort(code)
+        return cls(code[order], np.array([np.append(c[order], 0) for c in counts], np.float64))  # the last is of unknown codes
 
-    grams: np.ndarray
-    contexts: np.ndarray
-    threshold: float = 0.0
+    def places(self, wanted: np.ndarray) -> np.ndarray:
+        if not len(self.codes):
+            return np.zeros(wanted.shape, np.int64)
+        at = np.minimum(np.searchsorted(self.codes, wanted), len(self.codes) - 1)
+        return np.where(self.codes[at] == wanted, at, len(self.codes))
 
     def score(self, texts: list[str]) -> np.ndarray:
-        g, c, owner = slots(texts)
-        gain = log_likelihood(g, c, self.grams[1], self.contexts[1]) - log_likelihood(g, c, self.grams[0], self.contexts[0])
+        g, c, owner = codes(texts)
+        g, c = self.places(g), self.places(c)
+        gain = log_likelihood(g, c, self.counts[1], self.counts[1]) - log_likelihood(g, c, self.counts[0], self.counts[0])
         total = np.bincount(owner, weights=gain, minlength=len(texts))
         return total / np.maximum(np.bincount(owner, minlength=len(texts)), 1)
 
 
-def count(df: DataFrame, text: str, accepted: str) -> Model:
-    """Counts of all rows' characters in their contexts. Each task sums its rows before the shuffle."""
+def count(df: DataFrame, text: str, accepted: str) -> DataFrame:
+    """(code, rejected, accepted) of all rows' contexts and characters in them. Each batch is summed before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = np.zeros((4, SLOTS), np.int64)
         for batch in batches:
             texts, labels = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for y in (0, 1):
                 if mine := [t for t, label in zip(texts, labels, strict=True) if label == y]:
-                    g, c, _ = slots(mine)
-                    tables[y] += np.bincount(g.ravel(), minlength=SLOTS)
-                    tables[2 + y] += np.bincount(c.ravel(), minlength=SLOTS)
-        at = np.flatnonzero(tables)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(tables.ravel()[at])], ["slot", "n"])
+                    g, c, _ = codes(mine)
+                    code, n = np.unique(np.concatenate([g.ravel(), c.ravel()]), return_counts=True)
+                    by = [n, np.zeros_like(n)]
+                    yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(by[y]), pa.array(by[1 - y])], ["code", "rejected", "accepted"])
 
-    found = df.select(col(text), col(accepted)).mapInArrow(lean(run), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
-    tables = np.zeros(4 * SLOTS, np.float32)
-    tables[found["slot"].to_numpy(np.int64)] = found["n"].to_numpy()
-    tables = tables.reshape(4, SLOTS)
-    return Model(tables[:2], tables[2:])
+    found = df.select(col(text), col(accepted)).mapInArrow(lean(run), "code long, rejected long, accepted long")
+    return cut(found.groupBy("code").agg(F.sum("rejected").alias("rejected"), F.sum("accepted").alias("accepted")))
 
 
-def score(df: DataFrame, model: Model, text: str, to: str) -> DataFrame:
+def score(df: DataFrame, model: Model | DataFrame, text: str, to: str) -> DataFrame:
+    if isinstance(model, DataFrame):
+        return shuffle_score(df, model, text, to)
     sent = df.sparkSession.sparkContext.broadcast(model)
     where = df.columns.index(text)
     names = df.columns
@@ -135,14 +153,41 @@ def score(df: DataFrame, model: Model, text: str, to: str) -> DataFrame:
     return df.mapInArrow(lean(run), StructType([*df.schema.fields, StructField(to, DoubleType())]))
 
 
-def fit(df: DataFrame, text: str, accepted: str) -> Model:
-    """Models of the rows with ``accepted`` 1 or 0; four fifths of the texts are counted, the rest calibrate.
+def shuffle_score(df: DataFrame, table: DataFrame, text: str, to: str) -> DataFrame:
+    """As by a broadcast model, each distinct text in a chunk with the counts of the codes that the chunk holds."""
+    texts = df.select(col(text).alias("t")).distinct()
+    chunks = max(1, texts.count() // CHUNK)
+    texts = texts.select(F.pmod(F.xxhash64("t"), F.lit(chunks)).alias("chunk"), "t")
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            chunk, found = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            for k in np.unique(chunk).tolist():
+                g, c, _ = codes([found[j] or "" for j in np.flatnonzero(chunk == k)])
+                code = np.unique(np.concatenate([g.ravel(), c.ravel()]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(code), k)), pa.array(code)], ["chunk", "code"])
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        t = left.column("t")
+        return pa.table({"t": t, "s": pa.array(Model.of(right).score([x or "" for x in t.to_pylist()]))})
+
+    needed = texts.repartition("chunk").mapInArrow(lean(held), "chunk long, code long").distinct().join(table, "code")
+    scored = texts.groupBy("chunk").cogroup(needed.groupBy("chunk")).applyInArrow(run, "t string, s double")
+    scored = scored.withColumnsRenamed({"t": free_name(df, "__t"), "s": to})
+    return df.join(scored, col(text).eqNullSafe(F.col(scored.columns[0]))).select(*map(col, df.columns), to)
+
+
+def fit(df: DataFrame, text: str, accepted: str, most_grams: int) -> tuple[Model | DataFrame, float]:
+    """Counts of the rows with ``accepted`` 1 or 0 (a model, or the table of more than ``most_grams``), and the least
+    score that is allowed; four fifths of the texts are counted, the rest calibrate.
 
     The threshold is the middle of the scores (on a fixed grid) at which the shares of wrongly allowed and
     wrongly blocked texts have the least sum; without rows of both kinds among the rest it is 0.
     """
     kept = F.pmod(F.crc32(col(text)), F.lit(5)) == 0
-    model = count(df.where(~kept), text, accepted)
+    model, threshold = count(df.where(~kept), text, accepted), 0.0
+    if small_enough(model, most_grams):
+        model = Model.of(model.toArrow())
     width = 2 * SPAN / BINS
     box = F.least(F.lit(BINS - 1), F.greatest(F.lit(0), F.floor((F.col("__s") + SPAN) / width))).cast("int")
     boxes = score(df.where(kept).select(text, accepted), model, text, "__s").groupBy(box.alias("box"), col(accepted).alias("y")).count().collect()
@@ -153,11 +198,11 @@ def fit(df: DataFrame, text: str, accepted: str) -> Model:
         share = hist / hist.sum(axis=1, keepdims=True)
         wrong = np.concatenate([[0], np.cumsum(share[1])]) + 1 - np.concatenate([[0], np.cumsum(share[0])])
         best = np.flatnonzero(wrong <= wrong.min() + 1e-12)
-        model.threshold = float(np.median(best)) * width - SPAN
-    return model
+        threshold = float(np.median(best)) * width - SPAN
+    return model, threshold
 
 
-def judge(df: DataFrame, rules: list[tuple[str, str, str]], url: str = "url") -> DataFrame:
+def judge(df: DataFrame, rules: list[tuple[str, str, str]], url: str = "url", most_grams: int = 1_000_000) -> DataFrame:
     """``df`` with host, path, rule, verdict (allow or block), score.
 
     Rows that a rule fits take its verdict and train the models; the others are allowed from the threshold on.
@@ -170,6 +215,6 @@ def judge(df: DataFrame, rules: list[tuple[str, str, str]], url: str = "url") ->
     text, given, accepted = (free_name(df, x) for x in ("__text", "__given", "__accepted"))
     df = df.withColumn("rule", name).withColumn(given, verdict).withColumn(text, F.concat("host", "path"))
     known = df.where(F.col(given).isNotNull()).select(text, (F.col(given) == "allow").cast("int").alias(accepted))
-    model = fit(known, text, accepted)
+    model, threshold = fit(known, text, accepted, most_grams)
     out = score(df, model, text, "score")
-    return out.withColumn("verdict", F.coalesce(given, F.when(F.col("score") >= model.threshold, "allow").otherwise("block"))).drop(given, text)
+    return out.withColumn("verdict", F.coalesce(given, F.when(F.col("score") >= threshold, "allow").otherwise("block"))).drop(given, text)
