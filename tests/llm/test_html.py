@@ -1,8 +1,15 @@
-from siltstone.llm.html import Page, extract
+import time
+from collections import defaultdict
 
+import pytest
 
-def lines(html, template=frozenset()):
-    return Page(html, template).lines()
+from siltstone.llm.common import table
+from siltstone.llm.html import Page, extract, subtrees, templates
+from siltstone.llm.queries import QUERIES
+
+
+def lines(html, named=True):
+    return Page(html, named=named).lines()
 
 
 def test_article_without_what_surrounds_it():
@@ -48,3 +55,59 @@ def test_a_rare_template_goes_from_a_large_host_as_from_a_small_one(spark):
     pages = [(k, f"http://large.example/{k}", f"<article><p>story {k}</p>{box if k < 12 else ''}</article>") for k in range(1000)]
     got = {r.page_id: r.text for r in extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
     assert got == {k: f"story {k}" for k in range(1000)}
+
+
+def site(n, host="http://pool.example", kinds=20):
+    """Pages without telling names: a menu and a box in ``kinds`` variants, and articles that share a sentence."""
+    menu = lambda k: f"<div><ul>{''.join(f'<li><a href=/{k}/{j}>go {k} {j}</a></li>' for j in range(3))}</ul></div>"
+    box = lambda k: f"<table><tr><td>offer {k}</table>"
+    return [(f"{host}/{k}", f"<body>{menu(k % kinds)}{box(k % kinds)}<section><h1>title {k}</h1><p>story {k}</p><p>{'said by all' if k % 3 == 0 else f'more {k}'}</p></section></body>", f"title {k}\nstory {k}\n{'said by all' if k % 3 == 0 else f'more {k}'}") for k in range(n)]
+
+
+def test_slots_whose_variants_recur_go_without_telling_names(spark):
+    pages = site(200) + site(30, "http://small.example")
+    df = spark.createDataFrame([(k, u, h) for k, (u, h, _) in enumerate(pages)], "page_id long, url string, html string")
+    for limit in (1_000_000, 0):
+        got = {r.page_id: r.text for r in extract(df, most_broadcast=limit).collect()}
+        assert all(got[k] == want for k, (_, _, want) in enumerate(pages[:200]))
+        assert got[205] != pages[205][2]  # too few pages, and no name that tells
+    off = {r.page_id: r.text for r in extract(df, least_share=2.0, least_pages=10**6).collect()}
+    assert all(off[k].startswith("go ") for k in range(200))
+
+
+def test_counts_against_brute_force(spark):
+    pages = site(60, kinds=7) + site(40, "http://b.example", kinds=3) + site(20)
+    df = spark.createDataFrame([(k, "h" + u[7], h) for k, (u, h, _) in enumerate(pages)], "page_id long, host string, html string").selectExpr("page_id as key", "xxhash64(host) as host", "html")
+    hosts = {r.key: r.host for r in df.collect()}
+    counts, shares = defaultdict(set), defaultdict(set)
+    for k, (_, h, _) in enumerate(pages):
+        page = Page(h)
+        for slot, x, _, container in page.subtrees:
+            shares[hosts[k], slot].add(x)
+            counts[hosts[k], slot, x].add(page.content())
+            if container:
+                counts[hosts[k], x].add(page.content())
+    slots, containers = templates(subtrees(df, "key", "host", "html"), 10, 40, 0.5)
+    assert {tuple(r) for r in containers.collect()} == {k for k, v in counts.items() if len(k) == 2 and len(v) >= 10}
+    again = {s: [len(counts[(*s, x)]) for x in xs] for s, xs in shares.items()}
+    wanted = {s for s, n in again.items() if sum(n) >= 10 and sum(x > 1 for x in n) >= 0.5 * len(n)}
+    assert {tuple(r) for r in slots.where("slot != 0").collect()} == wanted
+
+
+@pytest.mark.parametrize("html", ["<a " * 100_000, "<div>" * 100_000, "<p>" * 100_000, "<p>" + "<b>" * 50_000 + "</p>" * 50_000, '<a ">"' * 50_000, "<b>" * 50_000 + "</i>" * 50_000, "<article>" * 50_000, "<ul><li>" * 50_000], ids=range(8))
+def test_hostile_pages_take_linear_time(html):
+    began = time.process_time()
+    Page(html)
+    half = time.process_time()
+    Page(html[: len(html) // 4])
+    assert half - began < 12 * max(time.process_time() - half, 0.05)
+
+
+def test_the_query_on_the_tables_and_what_its_counts_decide(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    pages = table(spark, sf_dir, "pages")
+    got = {r.page_id: r for r in QUERIES["op5_html_extraction"](spark, sf_dir).collect()}
+    named = {r.page_id: "\n".join(Page(r.html or "", named=True).lines()) for r in pages.collect()}
+    assert {k: r.text for k, r in got.items()} == named and all(r.n_chars == len(r.text) for r in got.values())
+    off = {r.page_id: r.text for r in extract(pages, least_share=2.0, least_pages=10**6).collect()}
+    assert sum(off[k] != named[k] for k in named) >= 300
