@@ -1,10 +1,13 @@
 import random
 import re
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from siltstone.llm import linededup
+from siltstone.llm.common import table
+from siltstone.llm.queries import QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -64,3 +67,54 @@ def test_edges(spark):
     assert by[1, "x"].text == long and by[4, "copy"].text == "" and by[4, "copy"].n_deleted == 3000
     assert by[2, "y"].text is None and by[2, "y"].n_lines == 0 and by[3, "z"].text == "" and by[None, "n"].text == "alone"
     assert linededup.deduplicate(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_ids_of_text_and_blank_lines_in_linear_time(spark):
+    passage = " ".join(f"w{k}" for k in range(60))
+    df = spark.createDataFrame([("b", f"x\n{passage}\nend"), ("a", f"{passage}\nother"), (None, passage)], "doc_id string, text string")
+    assert {r.doc_id: r.n_deleted for r in linededup.deduplicate(df).collect()} == {None: 0, "a": 1, "b": 1}
+    times = []
+    for n in (2_000, 30_000):
+        blank = f"{passage}" + "\n" * n + passage
+        began = time.time()
+        rows = linededup.deduplicate(spark.createDataFrame([(1, blank), (2, "start\n" + blank)], "doc_id long, text string")).orderBy("doc_id").collect()
+        times.append(time.time() - began)
+        assert rows[0].n_deleted == 1 and rows[1].text == "start"
+    assert times[1] < 6 * times[0]
+
+
+def test_ranks_decide(spark, monkeypatch):
+    """With ranks that don't tell lines apart, unlike runs would be taken for copies."""
+    texts = [" ".join(f"{d}w{k}" for k in range(30)) + "\n" + "shared " * 30 + "\n" + d for d in "abc"] * 2
+    want = brute(texts, 50)
+    assert run(spark, texts, 50) == want
+    whole = linededup.ranked
+    monkeypatch.setattr(linededup, "ranked", lambda *a: whole(*a).withColumn("rank", linededup.F.lit(1).cast("long")))
+    assert run(spark, texts, 50) != want
+
+
+def test_the_query_against_all_pairs_of_windows(spark):
+    """The query's rows on a whole table against a dictionary of all windows of whole lines with 50 words."""
+    sf_dir = "/root/testdata/sf0.001"
+    docs = {r.doc_id: r.text for r in table(spark, sf_dir, "documents").collect()}
+    seen, gone = set(), {k: set() for k in docs}
+    for back in (False, True):
+        for k in sorted(docs):
+            lines = (docs[k] or "").split("\n")
+            words = [len(WORD.findall(x)) for x in lines]
+            spans = []
+            for i in range(len(lines)):
+                ends = range(i + 1, len(lines) + 1) if not back else range(len(lines) - i, -1, -1)
+                for e in ends:
+                    b, z = (i, e) if not back else (e, len(lines) - i)
+                    if sum(words[b:z]) >= 50:
+                        spans.append((b, z))
+                        break
+            for b, z in sorted(spans):
+                name = (back, tuple(lines[b:z]))
+                if name in seen:
+                    gone[k] |= set(range(b, z))
+                seen.add(name)
+    rows = {r.doc_id: r for r in QUERIES["op1_line_dedup"](spark, sf_dir).collect()}
+    assert {k: r.n_deleted for k, r in rows.items()} == {k: len(g) for k, g in gone.items()}
+    assert all(r.text == (None if docs[k] is None else "\n".join(x for j, x in enumerate(docs[k].split("\n")) if j not in gone[k])) for k, r in rows.items())
