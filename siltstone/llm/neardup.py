@@ -5,6 +5,11 @@ what that joins needs no more pairs among itself. The other pairs are found by t
 that agree to a share s, the first n - ceil(s n) + 1 of each in any common order share one. The order puts shingles
 of many documents last, so that a line that many share pairs none of them. Parities of the shingles by 1024 remainders
 differ in no more places than the sets do, which tells most other pairs; each pair left is checked exactly.
+
+A large group of near copies shares its first shingles, and all its pairs would be many. So while pairs of documents
+that aren't joined yet are many times the rows, each document is only checked against a few others of each of its
+shingles, by another random order in each round; what agrees is joined, and pairs within what is joined are never made.
+What is left after that is checked pair by pair, so that no link is lost.
 """
 
 from __future__ import annotations
@@ -27,7 +32,8 @@ SHARE = 0.8
 #: A shingle of more documents than that is put last in the order; of so many at most, the most frequent.
 FREQUENT = 32
 MOST_FREQUENT = 200_000
-BLOCK = 1024
+#: Rounds against HUBS others, while pairs are more than MANY times the rows.
+ROUNDS, HUBS, MANY = 8, 4, 4
 PARITIES = 1024
 CLOSE = 1e-9
 
@@ -78,13 +84,13 @@ def frequent(found: DataFrame, share: float) -> np.ndarray:
 
 
 def first_grams(rows: DataFrame, last: np.ndarray, share: float) -> DataFrame:
-    """(gram, node, root, size, place) of the first shingles of each set of (node, root, grams), frequent ones ordered last."""
+    """(gram, node, size, place) of the first shingles of each set of (node, grams), frequent ones ordered last."""
     sent = rows.sparkSession.sparkContext.broadcast(last)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for node, root, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for node, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 g = np.frombuffer(raw, np.int64)
                 n = len(g)
                 if not n:
@@ -94,59 +100,47 @@ def first_grams(rows: DataFrame, last: np.ndarray, share: float) -> DataFrame:
                     late = sent.value[at] == g
                     g = np.concatenate([g[~late], g[late]])
                 k = n - least_shared(n, share) + 1
-                out.append((g[:k], np.full(k, node), np.full(k, root), np.full(k, n, np.int32), np.arange(k, dtype=np.int32)))
+                out.append((g[:k], np.full(k, node), np.full(k, n, np.int32), np.arange(k, dtype=np.int32)))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["gram", "node", "root", "size", "place"])
-
-    return rows.select("node", "root", "grams").mapInArrow(lean(run), "gram long, node long, root long, size int, place int")
-
-
-def blocks(starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-    """Pairs of ranges that cover all pairs of each group: la, ha, lb, hb, at most about BLOCK ** 2 index pairs at once."""
-    small = ends - starts <= BLOCK
-    s, e = starts[small], ends[small]
-    for part in np.split(np.arange(len(s)), np.flatnonzero(np.diff(np.cumsum((e - s) ** 2) // BLOCK**2)) + 1):
-        if len(part):
-            yield s[part], e[part], s[part], e[part]
-    for b, e in zip(starts[~small].tolist(), ends[~small].tolist(), strict=True):
-        cuts = [*range(b, e, BLOCK), e]
-        for x in range(len(cuts) - 1):
-            for y in range(x, len(cuts) - 1):
-                yield tuple(np.array([v]) for v in (cuts[x], cuts[x + 1], cuts[y], cuts[y + 1]))
-
-
-def candidates(firsts: DataFrame, share: float) -> DataFrame:
-    """Distinct (u, v), u < v, of nodes that share a first shingle, aren't joined yet and may agree by size and place."""
-
-    def pairs(gram, node, root, size, place) -> Iterator[np.ndarray]:
-        order = np.lexsort((node, gram))
-        order = order[np.append(True, (np.diff(gram[order]) != 0) | (np.diff(node[order]) != 0))]
-        gram, node, root, size, place = (x[order] for x in (gram, node, root, size, place))
-        edge = np.flatnonzero(np.diff(gram)) + 1
-        starts, ends = np.append(0, edge), np.append(edge, len(gram))
-        several = ends - starts > 1
-        for ranges in blocks(starts[several], ends[several]):
-            i, j = simhash.leaf_pairs(*ranges)
-            left = np.minimum(size[i] - place[i], size[j] - place[j])  # the pair's first common shingle and all after it
-            near = (root[i] != root[j]) & (left * (1 + share) >= share * (size[i] + size[j]) - CLOSE)
-            i, j = i[near], j[near]
-            yield np.unique(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["gram", "node", "size", "place"])
+
+    return rows.select("node", "grams").mapInArrow(lean(run), "gram long, node long, size int, place int")
+
+
+def shared(firsts: DataFrame, most_broadcast: int) -> DataFrame:
+    """The rows of ``firsts`` whose shingle several nodes have, each (gram, node) once. Copies are combined before the shuffle."""
+    several = cut(firsts.groupBy("gram").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo != hi").select("gram"))
+    several = F.broadcast(several) if small_enough(several, most_broadcast) else several
+    return cut(firsts.join(several, "gram", "left_semi").groupBy("gram", "node").agg(F.first("size").alias("size"), F.first("place").alias("place")))
+
+
+def rooted(rows: DataFrame, roots: DataFrame, most_broadcast: int) -> tuple[DataFrame, int, int]:
+    """``rows`` with the root of their node and the commonest root of their shingle, only those of shingles with several
+    roots; how many rows, and how many pairs of different roots share a shingle."""
+    named = roots.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    named = F.broadcast(named) if small_enough(named, most_broadcast) else named
+    rows = rows.join(named, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    each = rows.groupBy("gram", "root").agg(F.count("*").alias("c"))
+    per = each.groupBy("gram").agg(F.max(F.struct("c", "root")).alias("most"), F.sum("c").alias("n"), F.sum(F.col("c").cast("double") * F.col("c")).alias("q"), F.count("*").alias("roots"))
+    per = cut(per.where("roots > 1").select("gram", F.col("most.root").alias("major"), "n", ((F.col("n").cast("double") * F.col("n") - F.col("q")) / 2).alias("pairs")))
+    n, pairs = per.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("pairs"), F.lit(0.0))).first()
+    few = per.select("gram", "major")
+    return rows.join(F.broadcast(few) if small_enough(few, most_broadcast) else few, "gram"), int(n), int(pairs)
+
+
+def meeting(left: DataFrame, right: DataFrame, share: float) -> DataFrame:
+    """Distinct (u, v), u < v, of nodes of different roots that share a shingle and may agree by size and place."""
+    a, b = left.select("gram", *(F.col(c).alias(f"{c}1") for c in ("node", "root", "size", "place"))), right.select("gram", "node", "root", "size", "place")
+    rest = F.least(F.col("size1") - F.col("place1"), F.col("size") - F.col("place"))  # the pair's first common shingle and all after it
+    near = (F.col("root") != F.col("root1")) & (rest * (1 + share) >= share * (F.col("size") + F.col("size1")) - CLOSE)
+    return a.join(b, "gram").where(near).select(F.least("node", "node1").alias("u"), F.greatest("node", "node1").alias("v")).distinct()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            now = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            held = now if held is None else [np.concatenate(x) for x in zip(held, now, strict=True)]
-            edge = np.searchsorted(held[0], held[0][-1]) if len(held[0]) else 0  # the last group may go on
-            if edge:
-                for p in pairs(*(x[:edge] for x in held)):
-                    yield pa.RecordBatch.from_arrays([pa.array(p[0]), pa.array(p[1])], ["u", "v"])
-                held = [x[edge:] for x in held]
-        if held is not None and len(held[0]):
-            for p in pairs(*held):
-                yield pa.RecordBatch.from_arrays([pa.array(p[0]), pa.array(p[1])], ["u", "v"])
 
-    return firsts.repartition("gram").sortWithinPartitions("gram").mapInArrow(lean(run), "u long, v long").distinct()
+def hubs(rows: DataFrame, turn: int) -> DataFrame:
+    """A few rows of each shingle, other ones in each turn, the same for shingles of the same nodes."""
+    one = lambda k: F.min(F.struct(F.xxhash64(F.lit(turn * HUBS + k), "node").alias("order"), "node", "root", "size", "place"))
+    found = rows.groupBy("gram").agg(F.array_distinct(F.array(*(one(k) for k in range(HUBS)))).alias("found"))
+    return found.select("gram", F.explode("found").alias("h")).select("gram", "h.node", "h.root", "h.size", "h.place").distinct()
 
 
 def checked(pairs: DataFrame, found: DataFrame, of: str, agree, most_broadcast: int = 1_000_000) -> DataFrame:
@@ -197,12 +191,17 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     near = near.join(name("u"), "u").join(name("v"), "v").select(F.col("nu").alias("u"), F.col("nv").alias("v"))
     near = near.unionByName(nodes.join(heads, "simhash").where("node != head").select(F.col("head").alias("u"), F.col("node").alias("v")))
     near = agreeing(cut(near.distinct()), found, share)
-    joined = components(near).withColumnsRenamed({"u": "node", "v": "root"})
-    joined = F.broadcast(joined) if small_enough(joined, most_broadcast) else joined
-    rows = found.join(joined, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "grams")
-    more = cut(candidates(first_grams(rows, frequent(found, share), share), share))
-    more = agreeing(possible(more, found, share), found, share)
-    roots = components(near.unionByName(more)).withColumnsRenamed({"u": "node", "v": "root"})
+    roots = components(near)
+    rows = shared(first_grams(found, frequent(found, share), share), most_broadcast)
+    for turn in range(ROUNDS + 1):
+        crossing, n, pairs = rooted(rows, roots, most_broadcast)
+        last = pairs <= MANY * n or turn == ROUNDS
+        few = crossing.where("root != major") if last else hubs(crossing, turn)
+        more = agreeing(possible(cut(meeting(few, crossing, share)), found, share), found, share)
+        roots = components(roots.unionByName(more))
+        if last:
+            break
+    roots = roots.withColumnsRenamed({"u": "node", "v": "root"})
     named = nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least")
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     return found.select("doc_id", "node").join(named.join(least, "root").select("node", "component_id"), "node").select("doc_id", "component_id")

@@ -44,7 +44,8 @@ def test_components_against_brute_force(spark, monkeypatch):
     assert len(set(want.values())) < len(docs) - 30
     assert {r.doc_id: r.component_id for r in neardup.near_duplicates(df).collect()} == want
     assert {r.doc_id for r in neardup.deduplicate(df, most_broadcast=0).collect()} == set(want.values())
-    monkeypatch.setattr(neardup, "BLOCK", 4)
+    monkeypatch.setattr(neardup, "MANY", 0)
+    monkeypatch.setattr(neardup, "ROUNDS", 2)
     monkeypatch.setattr(neardup, "FREQUENT", 2)
     assert {r.doc_id: r.component_id for r in neardup.near_duplicates(df).collect()} == want
 
