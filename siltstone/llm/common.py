@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import functools
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -16,18 +17,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the checkpoint folder that driver and executors share.
-
-    The folder is the session's ``spark.checkpoint.dir``. Only where no cluster has named one
-    (tests, a single machine) is a folder of our own chosen.
-    """
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, ``spark.checkpoint.dir``. Only a session on this one machine that
+    names none (as in tests) gets a folder of its own."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="siltstone-"))
+        named = context.getConf().get("spark.checkpoint.dir")
+        if not named and not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="siltstone-"))
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the checkpoint folder that driver and executors share."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def rewritten(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet below the shared folder and read again."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
