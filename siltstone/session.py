@@ -30,10 +30,14 @@ def session(master: str | None = None, partitions: int | None = None, **settings
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; only without one a folder of this machine."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``; a session on this one machine that names
+    none gets a folder of its own."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="siltstone-"))
+        named = context.getConf().get("spark.checkpoint.dir")
+        if not named and not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="siltstone-"))
     return context.getCheckpointDir()
 
 
