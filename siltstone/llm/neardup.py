@@ -143,28 +143,56 @@ def hubs(rows: DataFrame, turn: int) -> DataFrame:
     return found.select("gram", F.explode("found").alias("h")).select("gram", "h.node", "h.root", "h.size", "h.place").distinct()
 
 
-def checked(pairs: DataFrame, found: DataFrame, of: str, agree, most_broadcast: int = 1_000_000) -> DataFrame:
-    """The (u, v) of ``pairs`` whose values of the column ``of`` pass ``agree``."""
-    nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-    nodes = F.broadcast(nodes) if small_enough(nodes, most_broadcast) else nodes  # else all sets are shuffled
-    values = found.select("node", of).join(nodes, "node", "left_semi").dropDuplicates(["node"])
-    both = pairs.join(values.withColumnsRenamed({"node": "u", of: "a"}), "u").join(values.withColumnsRenamed({"node": "v", of: "b"}), "v").select("u", "v", "a", "b")
+def checked(pairs: DataFrame, found: DataFrame, of: str, agree, most_broadcast: int = 1_000_000, most_bytes: int = 16_000_000) -> DataFrame:
+    """The (u, v) of ``pairs`` (written) whose values of the column ``of`` pass ``agree``.
+
+    Of a pair the node with more pairs is sent to the other. While what is sent is small, no value is shuffled.
+    """
+    degree = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).groupBy("node").agg(F.count("*").alias("d"))
+    both = pairs.join(degree.withColumnsRenamed({"node": "u", "d": "du"}), "u").join(degree.withColumnsRenamed({"node": "v", "d": "dv"}), "v")
+    first = F.col("du") >= F.col("dv")
+    both = cut(both.select(F.when(first, F.col("u")).otherwise(F.col("v")).alias("hub"), F.when(first, F.col("v")).otherwise(F.col("u")).alias("node")))
+    values = lambda nodes: found.select("node", of).join(F.broadcast(nodes) if small_enough(nodes, most_broadcast) else nodes, "node", "left_semi")
+    if small_enough(both, most_broadcast):
+        sent = cut(values(both.select(F.col("hub").alias("node")).distinct()).dropDuplicates(["node"]))
+        if (sent.agg(F.sum(F.length(of))).first()[0] or 0) <= most_bytes:
+            return cut(star(both, found, of, agree, dict(map(tuple, sent.collect()))))
+    nodes = both.select("node").unionByName(both.select(F.col("hub").alias("node"))).distinct()
+    held = values(nodes).dropDuplicates(["node"])
+    whole = both.join(held.withColumnsRenamed({"node": "hub", of: "a"}), "hub").join(held.withColumnsRenamed({of: "b"}), "node").select("hub", "node", "a", "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = [agree(np.frombuffer(a.as_py(), np.int64), np.frombuffer(b.as_py(), np.int64)) for a, b in zip(batch.column(2), batch.column(3), strict=True)]
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], ["u", "v"])
 
-    return cut(both.mapInArrow(lean(run), "u long, v long"))
+    return cut(whole.mapInArrow(lean(run), "u long, v long"))
+
+
+def star(pairs: DataFrame, found: DataFrame, of: str, agree, values: dict[int, bytes]) -> DataFrame:
+    """As ``checked`` for pairs (hub, node), the hubs' values given."""
+    sent = found.sparkSession.sparkContext.broadcast(values)
+    per = F.broadcast(pairs.groupBy("node").agg(F.collect_list("hub").alias("hubs")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for node, value, hubs in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+                own = np.frombuffer(value.as_py(), np.int64)
+                out += [(node, h) for h in hubs if agree(own, np.frombuffer(sent.value[h], np.int64))]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["u", "v"])
+
+    return found.select("node", of).join(per, "node").select("node", of, "hubs").mapInArrow(lean(run), "u long, v long").distinct()
 
 
-def agreeing(pairs: DataFrame, found: DataFrame, share: float) -> DataFrame:
+def agreeing(pairs: DataFrame, found: DataFrame, share: float, **limits: int) -> DataFrame:
     """The (u, v) of ``pairs`` whose shingle sets agree to ``share`` or more."""
 
     def agree(a: np.ndarray, b: np.ndarray) -> bool:
         return len(np.intersect1d(a, b, assume_unique=True)) * (1 + share) >= share * (len(a) + len(b)) - CLOSE
 
-    return checked(pairs, found, "grams", agree)
+    return checked(pairs, found, "grams", agree, **limits)
 
 
 def possible(pairs: DataFrame, found: DataFrame, share: float) -> DataFrame:

@@ -56,3 +56,12 @@ def test_the_pipeline_drops_what_agrees_to_four_fifths(spark):
     docs = corpus()
     df = spark.createDataFrame([(i, t, "en") for i, t in docs], "doc_id long, text string, lang string")
     assert {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, df, "").collect()} == set(brute(docs).values())
+
+
+def test_pairs_agree_alike_with_and_without_a_broadcast(spark):
+    df = spark.createDataFrame(corpus()[:80], "doc_id long, text string")
+    found = neardup.cut(neardup.sets(df))
+    nodes = found.select("node").distinct()
+    pairs = neardup.cut(nodes.withColumnRenamed("node", "u").join(nodes.withColumnRenamed("node", "v"), neardup.F.col("u") < neardup.F.col("v")))
+    links = [{tuple(sorted(r)) for r in neardup.agreeing(pairs, found, 0.8, most_bytes=limit).collect()} for limit in (16_000_000, 0)]
+    assert links[0] == links[1] and len(links[0]) > 10
