@@ -5,30 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import cut
+from siltstone.llm.common import cut, small_enough
 
 
 def checksum(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, most_broadcast: int = 500_000) -> DataFrame:
     """(u, v) with v the smallest node that u reaches, for every node u that isn't its component's smallest.
 
     Alternates two star steps until nothing changes, which takes a number of rounds logarithmic in the
     length of the chains: every larger neighbour of a node is linked to the node's smallest neighbour, then
     every smaller one is. Minima are combined before the shuffle, and the joins that bring them back to the
-    links can be split by Spark where a node has many.
+    links can be split by Spark where a node has many. Up to ``most_broadcast`` links the minima are broadcast, as the steps never
+    add links.
     """
     links = cut(links.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    few = F.broadcast if small_enough(links, most_broadcast) else lambda df: df
     before = None
     while (now := checksum(links)) != before:
         before = now
         both = links.select(F.col("u").alias("n"), F.col("v").alias("m")).unionByName(links.select(F.col("v").alias("n"), F.col("u").alias("m")))
         least = both.groupBy("n").agg(F.min("m").alias("least")).select("n", F.least("n", "least").alias("least"))
-        large = both.where("m > n").join(least, "n").select(F.col("m").alias("u"), F.col("least").alias("v")).distinct()
+        large = both.where("m > n").join(few(least), "n").select(F.col("m").alias("u"), F.col("least").alias("v")).distinct()
         # A node's smallest neighbour among the smaller ones, itself kept as a link.
         least = large.groupBy("u").agg(F.min("v").alias("least"))
-        small = large.join(least, "u").where("v != least").select(F.col("v").alias("u"), F.col("least").alias("v"))
+        small = large.join(few(least), "u").where("v != least").select(F.col("v").alias("u"), F.col("least").alias("v"))
         links = cut(small.unionByName(least.select("u", F.col("least").alias("v"))).distinct())
     return links

@@ -14,14 +14,15 @@ What is left after that is checked pair by pair, so that no link is lost.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from siltstone.llm import simhash
 from siltstone.llm.common import col, cut, lean, small_enough
@@ -33,15 +34,15 @@ SHARE = 0.8
 FREQUENT = 32
 MOST_FREQUENT = 200_000
 #: Rounds against HUBS others, while pairs are more than MANY times the rows.
-ROUNDS, HUBS, MANY = 8, 4, 4
+ROUNDS, HUBS, MANY = 1, 8, 4
 PARITIES = 1024
 CLOSE = 1e-9
 
 
-def parities(grams: np.ndarray) -> bytes:
-    """Their number as a long, and whether an odd number of ``grams`` has each remainder modulo PARITIES, a bit each."""
+def parities(grams: np.ndarray) -> np.ndarray:
+    """Whether an odd number of ``grams`` has each remainder modulo PARITIES, a bit each."""
     found = np.bincount((grams % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES)
-    return np.int64(len(grams)).tobytes() + np.packbits((found & 1).astype(bool)).tobytes()
+    return np.packbits((found & 1).astype(bool)).view(np.int64)
 
 
 def sets(df: DataFrame) -> DataFrame:
@@ -55,9 +56,9 @@ def sets(df: DataFrame) -> DataFrame:
             odd = [parities(g) for g in each]
             node = [simhash.signed(xxhash.xxh64_intdigest(g)) for g in grams]
             prints = [simhash.signed(simhash.fingerprint(h)) for h in hashes]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(node, pa.int64()), pa.array(prints, pa.int64()), pa.array(odd, pa.binary()), pa.array(grams, pa.binary())], ["doc_id", "node", "simhash", "odd", "grams"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(node, pa.int64()), pa.array(prints, pa.int64()), pa.array(odd, pa.list_(pa.int64())), pa.array(grams, pa.binary())], ["doc_id", "node", "simhash", "odd", "grams"])
 
-    kind = StructType([df.schema["doc_id"], StructField("node", LongType()), StructField("simhash", LongType()), StructField("odd", BinaryType()), StructField("grams", BinaryType())])
+    kind = StructType([df.schema["doc_id"], StructField("node", LongType()), StructField("simhash", LongType()), StructField("odd", ArrayType(LongType())), StructField("grams", BinaryType())])
     return df.select("doc_id", F.col("text").cast("binary")).mapInArrow(lean(run), kind)
 
 
@@ -107,11 +108,12 @@ def first_grams(rows: DataFrame, last: np.ndarray, share: float) -> DataFrame:
     return rows.select("node", "grams").mapInArrow(lean(run), "gram long, node long, size int, place int")
 
 
-def shared(firsts: DataFrame, most_broadcast: int) -> DataFrame:
-    """The rows of ``firsts`` whose shingle several nodes have, each (gram, node) once. Copies are combined before the shuffle."""
+def shared(firsts: DataFrame, found: DataFrame, most_broadcast: int) -> DataFrame:
+    """The rows of ``firsts`` whose shingle several nodes have, each (gram, node) once, with the node's parities. Copies are combined before the shuffle."""
     several = cut(firsts.groupBy("gram").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo != hi").select("gram"))
     several = F.broadcast(several) if small_enough(several, most_broadcast) else several
-    return cut(firsts.join(several, "gram", "left_semi").groupBy("gram", "node").agg(F.first("size").alias("size"), F.first("place").alias("place")))
+    rows = cut(firsts.join(several, "gram", "left_semi").groupBy("gram", "node").agg(F.first("size").alias("size"), F.first("place").alias("place")))
+    return rows.join(found.select("node", "odd").dropDuplicates(["node"]), "node")
 
 
 def rooted(rows: DataFrame, roots: DataFrame, most_broadcast: int) -> tuple[DataFrame, int, int]:
@@ -129,18 +131,21 @@ def rooted(rows: DataFrame, roots: DataFrame, most_broadcast: int) -> tuple[Data
 
 
 def meeting(left: DataFrame, right: DataFrame, share: float) -> DataFrame:
-    """Distinct (u, v), u < v, of nodes of different roots that share a shingle and may agree by size and place."""
-    a, b = left.select("gram", *(F.col(c).alias(f"{c}1") for c in ("node", "root", "size", "place"))), right.select("gram", "node", "root", "size", "place")
+    """Distinct (u, v), u < v, of nodes of different roots that share a shingle and may agree by size, place and parities."""
+    names = ("node", "root", "size", "place", "odd")
+    a, b = left.select("gram", *(F.col(c).alias(f"{c}1") for c in names)), right.select("gram", *names)
     rest = F.least(F.col("size1") - F.col("place1"), F.col("size") - F.col("place"))  # the pair's first common shingle and all after it
     near = (F.col("root") != F.col("root1")) & (rest * (1 + share) >= share * (F.col("size") + F.col("size1")) - CLOSE)
+    apart = functools.reduce(Column.__add__, (F.bit_count(F.col("odd")[k].bitwiseXOR(F.col("odd1")[k])) for k in range(PARITIES // 64)))
+    near = near & (apart * (1 + share) <= (1 - share) * (F.col("size") + F.col("size1")) + CLOSE)
     return a.join(b, "gram").where(near).select(F.least("node", "node1").alias("u"), F.greatest("node", "node1").alias("v")).distinct()
 
 
 def hubs(rows: DataFrame, turn: int) -> DataFrame:
     """A few rows of each shingle, other ones in each turn, the same for shingles of the same nodes."""
-    one = lambda k: F.min(F.struct(F.xxhash64(F.lit(turn * HUBS + k), "node").alias("order"), "node", "root", "size", "place"))
+    one = lambda k: F.min(F.struct(F.xxhash64(F.lit(turn * HUBS + k), "node").alias("order"), "node", "root", "size", "place", "odd"))
     found = rows.groupBy("gram").agg(F.array_distinct(F.array(*(one(k) for k in range(HUBS)))).alias("found"))
-    return found.select("gram", F.explode("found").alias("h")).select("gram", "h.node", "h.root", "h.size", "h.place").distinct()
+    return found.select("gram", F.explode("found").alias("h")).select("gram", "h.node", "h.root", "h.size", "h.place", "h.odd")
 
 
 def checked(pairs: DataFrame, found: DataFrame, of: str, agree, most_broadcast: int = 1_000_000, most_bytes: int = 16_000_000) -> DataFrame:
@@ -149,6 +154,7 @@ def checked(pairs: DataFrame, found: DataFrame, of: str, agree, most_broadcast:
     Of a pair the node with more pairs is sent to the other. While what is sent is small, no value is shuffled.
     """
     degree = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).groupBy("node").agg(F.count("*").alias("d"))
+    degree = F.broadcast(degree) if small_enough(pairs, most_broadcast) else degree
     both = pairs.join(degree.withColumnsRenamed({"node": "u", "d": "du"}), "u").join(degree.withColumnsRenamed({"node": "v", "d": "dv"}), "v")
     first = F.col("du") >= F.col("dv")
     both = cut(both.select(F.when(first, F.col("u")).otherwise(F.col("v")).alias("hub"), F.when(first, F.col("v")).otherwise(F.col("u")).alias("node")))
@@ -195,15 +201,6 @@ def agreeing(pairs: DataFrame, found: DataFrame, share: float, **limits: int) ->
     return checked(pairs, found, "grams", agree, **limits)
 
 
-def possible(pairs: DataFrame, found: DataFrame, share: float) -> DataFrame:
-    """The (u, v) of ``pairs`` whose sets may agree to ``share``, by their sizes (which stand first) and parities."""
-
-    def agree(a: np.ndarray, b: np.ndarray) -> bool:
-        return np.bitwise_count((a[1:] ^ b[1:]).view(np.uint64)).sum() * (1 + share) <= (1 - share) * (a[0] + b[0]) + CLOSE
-
-    return checked(pairs, found, "odd", agree)
-
-
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", share: float = SHARE, most_broadcast: int = 1_000_000) -> DataFrame:
     """One row per row of ``df``: doc_id, component_id (the smallest id reachable over links of texts whose five-word
     shingles agree to ``share`` or more, the row itself included).
@@ -220,12 +217,13 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     near = near.unionByName(nodes.join(heads, "simhash").where("node != head").select(F.col("head").alias("u"), F.col("node").alias("v")))
     near = agreeing(cut(near.distinct()), found, share)
     roots = components(near)
-    rows = shared(first_grams(found, frequent(found, share), share), most_broadcast)
+    rows = shared(first_grams(found, frequent(found, share), share), found, most_broadcast)
     for turn in range(ROUNDS + 1):
         crossing, n, pairs = rooted(rows, roots, most_broadcast)
         last = pairs <= MANY * n or turn == ROUNDS
         few = crossing.where("root != major") if last else hubs(crossing, turn)
-        more = agreeing(possible(cut(meeting(few, crossing, share)), found, share), found, share)
+        more = cut(meeting(few, crossing, share))
+        more = agreeing(more, found, share)
         roots = components(roots.unionByName(more))
         if last:
             break
