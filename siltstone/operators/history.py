@@ -27,11 +27,11 @@ def flake_classes(runs: DataFrame) -> DataFrame:
     return counts.withColumn("flake_class", kind)
 
 
-def unique_paths(commits: DataFrame, wanted: DataFrame, depth: int = 64) -> DataFrame:
+def unique_paths(commits: DataFrame, wanted: DataFrame) -> DataFrame:
     """(workflow, before, after, path) for pairs whose commits are joined by exactly one chain of parents.
 
     ``commits``: workflow, revision, parent (null at the root). ``wanted``: workflow, before, after. All walks go
-    from ``after`` towards the parents a step at a time and end at ``before``, at a root, at a cycle or at ``depth``.
+    from ``after`` towards the parents a step at a time and end at ``before``, at a root or at a cycle.
     Walks that meet in a commit are counted together, so merges don't multiply them: two are as good as many.
     The path leaves out ``before`` and ends in ``after``; equal ends have an empty path.
     """
@@ -40,13 +40,11 @@ def unique_paths(commits: DataFrame, wanted: DataFrame, depth: int = 64) -> Data
     front = wanted.select("workflow", F.col("before").alias("goal"), F.col("after").alias("tip")).distinct()
     front = cut(front.withColumns({"at": F.col("tip"), "path": F.array("tip"), "n": F.lit(1)}))
     hits = front.where("at = goal")
-    for _ in range(depth):
+    while not front.isEmpty():
         walked = front.where("at != goal").join(edges, ["workflow", "at"]).where(~F.array_contains("path", F.col("parent")))
         walked = walked.groupBy(*key, F.col("parent").alias("at")).agg(F.min(F.array_append("path", F.col("parent"))).alias("path"), F.least(F.lit(2), F.sum("n")).cast("int").alias("n"))
         front = cut(walked.select(*key, "at", "path", "n"))
-        if front.isEmpty():
-            break
-        hits = hits.unionByName(front.where("at = goal"))
+        hits = cut(hits.unionByName(front.where("at = goal")))
     found = hits.groupBy(*key).agg(F.sum("n").alias("n"), F.min("path").alias("path")).where("n = 1")
     return found.select("workflow", F.col("goal").alias("before"), F.col("tip").alias("after"), F.reverse(F.slice("path", 1, F.size("path") - 1)).alias("path"))
 

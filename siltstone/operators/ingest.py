@@ -16,8 +16,8 @@ OBJECT_ID = r"\b[0-9a-fA-F]{40}\b"
 
 
 def redaction_hits(text: Column, object_ids: bool = True) -> Column:
-    """Names of the rules that a value breaks, in a fixed order."""
-    rules = {"sensitive_key": SENSITIVE_KEY} | {f"credential_{k}": p for k, p in enumerate(SENSITIVE_VALUES)} | {"absolute_path": ABSOLUTE_PATH} | ({"object_id": OBJECT_ID} if object_ids else {})
+    """Names of the rules that a value breaks, in a fixed order; words for secrets count in keys alone (``redaction_paths``)."""
+    rules = {f"credential_{k}": p for k, p in enumerate(SENSITIVE_VALUES)} | {"absolute_path": ABSOLUTE_PATH} | ({"object_id": OBJECT_ID} if object_ids else {})
     return F.array_compact(F.array(*(F.when(text.rlike(p), F.lit(name)) for name, p in rules.items())))
 
 
@@ -74,17 +74,18 @@ def registry(spark, rows=REGISTRY) -> DataFrame:
 
 
 def compatibility(events: DataFrame, known: DataFrame) -> DataFrame:
-    """``events`` with ``incompatible``: null, or why producer, class, contract or SDK don't fit the registry."""
-    producers = F.broadcast(known)  # the registry has a line per producer and is written by hand
-    joined = events.join(producers, events.producer_id == F.col("r_producer"), "left")
+    """``events`` with ``incompatible``: null, or why producer, class, contract or SDK don't fit the registry, in which a
+    producer may have several lines. One without an SDK contract must not name any."""
+    one = known.where("r_status = 'active'").groupBy("r_producer").agg(*(F.collect_set(c).alias(c) for c in ("r_contract", "r_sdk", "r_class")))
+    joined = events.join(F.broadcast(one), events.producer_id == F.col("r_producer"), "left")  # written by hand, a few lines
+    among = lambda value, known_values: F.coalesce(F.array_contains(known_values, F.col(value)), F.lit(False))
+    sdk = F.when(F.size("r_sdk") == 0, F.col("sdk_contract").isNull()).otherwise(among("sdk_contract", F.col("r_sdk")))
     why = (
         F.when(F.col("r_producer").isNull(), "unknown_producer")
-        .when(F.col("r_status") != "active", "unknown_producer")
-        .when(F.col("event_class") != F.col("r_class"), "incompatible_producer_contract")
-        .when(F.col("producer_contract") != F.col("r_contract"), "incompatible_producer_contract")
-        .when(F.col("r_sdk").isNotNull() & ~F.col("sdk_contract").eqNullSafe(F.col("r_sdk")), "incompatible_sdk_contract")
+        .when(~among("event_class", F.col("r_class")) | ~among("producer_contract", F.col("r_contract")), "incompatible_producer_contract")
+        .when(~sdk, "incompatible_sdk_contract")
     )
-    return joined.withColumn("incompatible", why).drop("r_producer", "r_contract", "r_sdk", "r_status", "r_class")
+    return joined.withColumn("incompatible", why).drop("r_producer", "r_contract", "r_sdk", "r_class")
 
 
 def record_id(events: DataFrame) -> Column:
@@ -93,30 +94,33 @@ def record_id(events: DataFrame) -> Column:
 
 
 def schema_errors() -> Column:
-    """Messages of the envelope checks, sorted; empty for a valid event."""
+    """Messages of the envelope checks, sorted; empty for a valid event. What is missing is bad."""
     checks = {
         "event_class: not in the domain": ~F.col("event_class").isin(*EVENT_CLASSES),
         "event_id: missing or malformed": F.coalesce(~F.col("event_id").rlike(r"^[A-Za-z0-9][A-Za-z0-9._:-]{0,255}$"), F.lit(True)),
+        "producer_contract: missing": F.col("producer_contract").isNull(),
         "producer_id: missing": F.col("producer_id").isNull(),
         "snapshot_or_run_id: length": ~F.length("snapshot_or_run_id").between(1, 512),
     }
-    return F.array_compact(F.array(*(F.when(F.coalesce(bad, F.lit(False)), F.lit(text)) for text, bad in checks.items())))
+    return F.array_compact(F.array(*(F.when(F.coalesce(bad, F.lit(True)), F.lit(text)) for text, bad in checks.items())))
 
 
 def dispositions(deliveries: DataFrame, known: DataFrame) -> DataFrame:
     """Each delivery's disposition, from an ordered chain: schema, registry, redaction, then first or repeated.
 
     Needs ``payload_hash`` and ``text`` (what redaction looks at). Among acceptable deliveries of one record the
-    first by ``delivery`` is accepted and the others are duplicates.
+    first by ``delivery`` is accepted and the others are duplicates; of repeated rows of one delivery one is the first.
     """
     rows = compatibility(deliveries.withColumn("errors", schema_errors()), known)
     rows = rows.withColumn("hits", redaction_hits(F.col("text"))).withColumn("record_id", record_id(rows))
-    reason = F.when(F.size("errors") > 0, "invalid_schema").when(F.col("incompatible").isNotNull(), F.col("incompatible")).when(F.size("hits") > 0, "redaction_required")
+    reason = F.when(F.size("errors") > 0, "invalid_schema").when(F.col("incompatible").isNotNull(), F.col("incompatible")).when(F.size("hits") > 0, "sensitive_content")
     rows = rows.withColumn("reason", reason)
     firsts = rows.where("reason is null").groupBy("record_id").agg(F.min("delivery").alias("first"))
     rows = rows.join(firsts, "record_id", "left")
-    status = F.when(F.col("reason").isNotNull(), "quarantined").when(F.col("delivery") == F.col("first"), "accepted").otherwise("duplicate")
-    return rows.withColumn("disposition", status).drop("first", "hits", "errors", "incompatible")
+    again = F.row_number().over(Window.partitionBy("record_id", "delivery", F.col("reason").isNull()).orderBy("delivery"))
+    rows = rows.withColumn("again", again)
+    status = F.when(F.col("reason").isNotNull(), "quarantined").when((F.col("delivery") == F.col("first")) & (F.col("again") == 1), "accepted").otherwise("duplicate")
+    return rows.withColumn("disposition", status).drop("first", "again", "hits", "errors", "incompatible")
 
 
 def unseen(events: DataFrame, records: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -147,13 +151,18 @@ def ledger(rows: DataFrame, order: list[str], ranges: int = 64) -> DataFrame:
     return placed.withColumn("__n", F.row_number().over(window)).join(shifts, "__range").withColumn("sequence", F.col("__n") + F.col("__shift")).drop("__range", "__n", "__shift")
 
 
-def ledger_gaps(entries: DataFrame) -> DataFrame:
-    """Sequences that are missing or repeated; no row if the ledger is dense. By aggregates alone."""
+def ledger_gaps(entries: DataFrame, width: int = 100_000) -> DataFrame:
+    """Sequences from 1 on that are missing or repeated, a row each; no row if the ledger is dense.
+
+    Ranges of ``width`` sequences are looked through by themselves, between a mark before and one behind each.
+    """
     twice = entries.groupBy("sequence").count().where("count > 1").select("sequence", F.lit("repeated").alias("problem"))
-    known = entries.select("sequence").distinct()
-    after = known.select((F.col("sequence") + 1).alias("sequence"))
-    top = entries.agg(F.max("sequence").alias("top"))
-    missing = after.join(known, "sequence", "left_anti").join(F.broadcast(top), after.sequence <= F.col("top"))
+    top = entries.agg(F.max("sequence")).first()[0] or 0
+    k = F.col("id") * width
+    marks = entries.sparkSession.range(-(-top // width)).select("id", F.explode(F.array(k, F.least(k + width, F.lit(top)) + 1)).alias("at"))
+    known = entries.where("sequence >= 1").select(F.floor((F.col("sequence") - 1) / width).alias("id"), F.col("sequence").cast("long").alias("at")).distinct()
+    after = known.unionByName(marks).withColumn("next", F.lead("at").over(Window.partitionBy("id").orderBy("at")))
+    missing = after.where("next > at + 1").select(F.explode(F.sequence(F.col("at") + 1, F.col("next") - 1)).alias("sequence"))
     return twice.unionByName(missing.select("sequence", F.lit("missing").alias("problem")))
 
 

@@ -126,10 +126,10 @@ def test_hmac_and_canonical_json(spark):
 
 
 def test_redaction_rules(spark):
-    cases = {"Authorization: x": "sensitive_key", "Bearer abcdefghijklmnop": "credential_1", "ghp_" + "a" * 20: "credential_2", "github_pat_" + "b" * 22: "credential_3", "AKIA" + "A" * 16: "credential_4", "in /home/me/x": "absolute_path", "C:\\x\\y": "absolute_path", "a" * 40: "object_id", "-----BEGIN RSA PRIVATE KEY-----": "credential_0"}
+    cases = {"Bearer abcdefghijklmnop": "credential_1", "ghp_" + "a" * 20: "credential_2", "github_pat_" + "b" * 22: "credential_3", "AKIA" + "A" * 16: "credential_4", "in /home/me/x": "absolute_path", "C:\\x\\y": "absolute_path", "a" * 40: "object_id", "-----BEGIN RSA PRIVATE KEY-----": "credential_0"}
     df = spark.createDataFrame([(t,) for t in cases], "t string").select("t", ingest.redaction_hits(F.col("t")).alias("hits"))
     assert all(cases[r.t] in r.hits for r in df.collect())
-    fine = spark.createDataFrame([("a" * 64,), ("src/home/x",), ("plain",), (None,)], "t string")
+    fine = spark.createDataFrame([("a" * 64,), ("src/home/x",), ("rotate the token budget",), (None,)], "t string")
     assert [r.h for r in fine.select(ingest.redaction_hits(F.col("t")).alias("h")).collect()] == [[], [], [], []]
     docs = spark.createDataFrame([(1, '{"a":[{"b":"/tmp/x"},{"password":1}]}'), (2, "{"), (3, None)], "id long, doc string")
     assert {tuple(r) for r in ingest.redaction_paths(docs, "id", "doc").collect()} == {(1, "a[0].b", "sensitive_value"), (1, "a[1].password", "sensitive_key"), (2, "", "malformed")}
@@ -196,3 +196,22 @@ def test_flakes_need_conclusions_side_by_side(spark):
     df = spark.createDataFrame([(r, "w", k, "t", k, c) for k, (r, c) in enumerate(runs)], "revision string, workflow string, attempt int, updated_at string, run_id int, conclusion string")
     got = {r.revision: (r.alternations, r.flake_class) for r in history.flake_classes(df).collect()}
     assert got == {"r1": (2, "verified"), "r2": (0, "suspected"), "r3": (0, "none")}
+
+
+def test_gaps_of_any_length_and_at_the_start(spark):
+    rows = [(k,) for k in range(1, 61) if k not in (1, 2, 9, 20, 21, 22, 23, 24, 41)] + [(30,)]
+    for width in (100_000, 7, 10):
+        got = {tuple(r) for r in ingest.ledger_gaps(spark.createDataFrame(rows, "sequence long"), width).collect()}
+        assert got == {(k, "missing") for k in (1, 2, 9, 20, 21, 22, 23, 24, 41)} | {(30, "repeated")}
+    assert ingest.ledger_gaps(spark.createDataFrame([], "sequence long")).collect() == []
+
+
+def test_dispositions_of_nulls_repeats_and_several_contracts(spark):
+    known = spark.createDataFrame([("p", "a/v1", "sdk/v1", "active", "static_finding"), ("p", "a/v2", "sdk/v2", "active", "static_finding"), ("q", "b/v1", None, "active", "repair_attempt"), ("r", "c/v1", None, "planned", "gate_outcome")], "r_producer string, r_contract string, r_sdk string, r_status string, r_class string")
+    good = ("e", "p", "a/v2", "sdk/v2", "static_finding", "run", "h", "rotate the token budget")
+    changed = lambda **k: tuple(k.get(n, v) for n, v in zip(("event_id", "producer_id", "producer_contract", "sdk_contract", "event_class", "snapshot_or_run_id", "payload_hash", "text"), good, strict=True))
+    rows = [(1, *good), (1, *good), (2, *good), (3, *changed(event_class=None)), (4, *changed(producer_contract=None)), (5, *changed(snapshot_or_run_id=None)), (6, *changed(producer_id="r")), (7, *changed(sdk_contract=None)), (8, *changed(producer_contract="b/v1")), (9, *changed(text="see /home/me/x")), (10, *changed(producer_id="q", producer_contract="b/v1", event_class="repair_attempt", sdk_contract="sdk/v9"))]
+    df = spark.createDataFrame(rows, "delivery long, event_id string, producer_id string, producer_contract string, sdk_contract string, event_class string, snapshot_or_run_id string, payload_hash string, text string")
+    got = sorted((r.delivery, r.disposition, r.reason or "") for r in ingest.dispositions(df, known).collect())
+    bad = {3: "invalid_schema", 4: "invalid_schema", 5: "invalid_schema", 6: "unknown_producer", 7: "incompatible_sdk_contract", 8: "incompatible_producer_contract", 9: "sensitive_content", 10: "incompatible_sdk_contract"}
+    assert got == sorted([(1, "accepted", ""), (1, "duplicate", ""), (2, "duplicate", ""), *((k, "quarantined", v) for k, v in bad.items())])
