@@ -195,32 +195,41 @@ def orphans(records: DataFrame, **children: DataFrame) -> DataFrame:
     return out
 
 
+def said(text: Column) -> Column:
+    """The text, null if it is blank."""
+    return F.when(F.trim(text) != "", text)
+
+
 def finding_observations(bundles: DataFrame) -> DataFrame:
-    """A row per finding: keyed by its rule, else by the producer's fingerprint; component is the first location's
-    path. An empty bundle gives none."""
+    """A row per finding: keyed by its rule, else by the producer's fingerprint, else by the finding's id, else by the
+    record; component is the first location's path. An empty bundle gives none."""
     f = F.col("f")
-    key = F.when(F.coalesce(f["canonical_rule_id"], F.lit("")) != "", namespaced("rule", f["canonical_rule_id"])).otherwise(namespaced("producer-fingerprint", f["fingerprint"]))
+    key = F.when(F.coalesce(f["canonical_rule_id"], F.lit("")) != "", namespaced("rule", f["canonical_rule_id"])).otherwise(namespaced("producer-fingerprint", F.coalesce(said(f["fingerprint"]), said(f["finding_id"]), F.col("record_id").cast("string"))))
     return bundles.select("record_id", "occurrence_scope", F.explode("findings").alias("f")).select("record_id", "occurrence_scope", f["finding_id"].alias("finding_id"), f["canonical_rule_id"].alias("canonical_rule_id"), key.alias("recurrence_fingerprint"), F.try_element_at(f["locations"], F.lit(1))["normalized_path"].alias("component"))
 
 
 def resolver_observations(feedback: DataFrame) -> DataFrame:
-    """One row per feedback; results outside the domain are unknown, and duration buckets never become minutes."""
-    result = F.when(F.col("validation_result").isin("passed", "failed", "partial"), F.col("validation_result")).otherwise("unknown")
-    return feedback.select("record_id", namespaced("failure", F.col("failure_fingerprint")).alias("recurrence_fingerprint"), F.col("remediation_class"), result.alias("validation_outcome"), F.lit(None).cast("bigint").alias("effort_minutes"))
+    """One row per feedback; results outside the domain are unknown (none stays null), duration buckets never become
+    minutes, and without a failure's fingerprint the record is the key."""
+    given = said(F.col("validation_result"))
+    result = F.when(given.isin("passed", "failed", "partial"), given).when(given.isNotNull(), "unknown")
+    key = F.coalesce(namespaced("failure", said(F.col("failure_fingerprint"))), namespaced("record", F.col("record_id").cast("string")))
+    return feedback.select("record_id", key.alias("recurrence_fingerprint"), F.col("remediation_class"), result.alias("validation_outcome"), F.lit(None).cast("bigint").alias("effort_minutes"))
 
 
 #: Validation outcome of each historical outcome.
-HISTORICAL = {"clean_verified": "passed", "target_failure_resolved": "passed", "repeated_failure": "failed", "new_failure": "failed", "partial_resolution": "partial", "outcome_unknown": "unknown", "unresolved": "unknown"}
+HISTORICAL = {"clean_verified": "passed", "target_failure_resolved": "passed", "repeated_failure": "failed", "new_failure": "failed", "outcome_unknown": "unknown", "unresolved": "unknown"}
 
 
 def historical_observations(events: DataFrame) -> DataFrame:
-    """Outcome by literal map; a suspected flake is inconclusive, else a passed validation confirms the failure."""
-    outcome = F.lit("unknown")
-    for name, value in HISTORICAL.items():
-        outcome = F.when(F.col("outcome") == name, value).otherwise(outcome)
+    """Outcome by literal map, others unknown, none null; a suspected flake is inconclusive, else a passed validation
+    confirms the failure. The key is that of the same failure in a resolver's feedback, without one the record's."""
+    given = said(F.col("outcome"))
+    known = F.create_map(*(F.lit(x) for kv in HISTORICAL.items() for x in kv))
+    outcome = F.when(given.isNotNull(), F.coalesce(F.try_element_at(known, given), F.lit("unknown")))
     disposition = F.when(F.col("suspected_flake"), "inconclusive").when(outcome == "passed", "confirmed_true_positive")
-    key = F.coalesce(F.col("semantic_identity"), namespaced("record", F.col("record_id")))
-    return events.select("record_id", key.alias("recurrence_key"), outcome.alias("validation_outcome"), disposition.alias("false_positive_disposition"))
+    key = F.coalesce(namespaced("failure", said(F.col("semantic_identity"))), namespaced("record", F.col("record_id").cast("string")))
+    return events.select("record_id", key.alias("recurrence_fingerprint"), outcome.alias("validation_outcome"), disposition.alias("false_positive_disposition"))
 
 
 def normalized_event(events: DataFrame) -> DataFrame:

@@ -192,12 +192,12 @@ add("redaction_hits", f""", t as (select 'document' as kind, doc_id as id, text
   select kind, id, rule from (select kind, id, unnest([{HITS.format(t='text')}]) as rule from t) where rule is not null""", deliveries)
 add("float_rejection", "select event_id, event_id % 3 = 0 as has_float from events")
 add("finding_explode", f"""with f as (select l_orderkey as record_id, 'repo_' || (l_orderkey % 40) as occurrence_scope, l_orderkey || '-' || l_linenumber as finding_id,
-  case when l_partkey % 5 <> 0 then 'rule_' || (l_partkey % 50) when l_partkey % 2 = 0 then '' end as canonical_rule_id, 'fp' || l_suppkey as fp, case when l_quantity > 10 then 'src/' || l_returnflag end as component from lineitem)
+  case when l_partkey % 5 <> 0 then 'rule_' || (l_partkey % 50) when l_partkey % 2 = 0 then '' end as canonical_rule_id, case when l_suppkey % 7 <> 0 then 'fp' || l_suppkey else l_orderkey || '-' || l_linenumber end as fp, case when l_quantity > 10 then 'src/' || l_returnflag end as component from lineitem)
   select record_id, occurrence_scope, finding_id, canonical_rule_id, case when coalesce(canonical_rule_id, '') <> '' then sha256('rule' || {NUL} || canonical_rule_id) else sha256('producer-fingerprint' || {NUL} || fp) end as recurrence_fingerprint, component from f""")
-add("resolver_projection", f"""select o_orderkey as record_id, sha256('failure' || {NUL} || 'f' || (o_custkey % 100)) as recurrence_fingerprint, case when o_orderstatus = 'O' then 'code_change' end as remediation_class,
-  case o_orderkey % 4 when 0 then 'passed' when 1 then 'failed' else 'unknown' end as validation_outcome, cast(null as bigint) as effort_minutes from orders""")
-add("historical_projection", f"""with h as (select cast(o_orderkey as varchar) as record_id, o_orderkey as k, ['passed', 'passed', 'failed', 'failed', 'partial', 'unknown', 'unknown', 'unknown'][o_orderkey % 8 + 1] as v from orders)
-  select record_id, case when k % 5 <> 0 then 'historical:' || (k % 77) else sha256('record' || {NUL} || record_id) end as recurrence_key, v as validation_outcome,
+add("resolver_projection", f"""select o_orderkey as record_id, case when o_custkey % 9 <> 0 then sha256('failure' || {NUL} || 'f' || (o_custkey % 100)) else sha256('record' || {NUL} || o_orderkey) end as recurrence_fingerprint, case when o_orderstatus = 'O' then 'code_change' end as remediation_class,
+  case o_orderkey % 4 when 0 then 'passed' when 1 then 'failed' when 2 then 'unknown' end as validation_outcome, cast(null as bigint) as effort_minutes from orders""")
+add("historical_projection", f"""with h as (select cast(o_orderkey as varchar) as record_id, o_orderkey as k, case when o_orderkey % 11 <> 0 then ['passed', 'passed', 'failed', 'failed', 'unknown', 'unknown', 'unknown', 'unknown'][o_orderkey % 8 + 1] end as v from orders)
+  select record_id, case when k % 5 <> 0 then sha256('failure' || {NUL} || 'historical:' || (k % 77)) else sha256('record' || {NUL} || record_id) end as recurrence_fingerprint, v as validation_outcome,
   case when k % 9 = 0 then 'inconclusive' when v = 'passed' then 'confirmed_true_positive' end as false_positive_disposition from h""")
 history = (runs_raw, RUNS)
 add("path_unique", "select workflow, before, after, array_to_string(path, '>') as path from paths", *history, recursive=True)

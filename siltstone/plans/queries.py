@@ -278,7 +278,7 @@ def finding_explode(spark, sf_dir):
     one = F.struct(
         F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("finding_id"),
         F.when(F.col("l_partkey") % 5 != 0, F.concat(F.lit("rule_"), (F.col("l_partkey") % 50).cast("string"))).otherwise(F.when(F.col("l_partkey") % 2 == 0, "")).alias("canonical_rule_id"),
-        F.concat(F.lit("fp"), F.col("l_suppkey").cast("string")).alias("fingerprint"),
+        F.when(F.col("l_suppkey") % 7 != 0, F.concat(F.lit("fp"), F.col("l_suppkey").cast("string"))).alias("fingerprint"),
         F.when(F.col("l_quantity") > 10, F.array(F.struct(F.concat(F.lit("src/"), F.col("l_returnflag")).alias("normalized_path")))).otherwise(F.array().cast("array<struct<normalized_path:string>>")).alias("locations"),
     )
     bundles = lines.groupBy(F.col("l_orderkey").alias("record_id")).agg(F.collect_list(one).alias("findings"))
@@ -288,7 +288,7 @@ def finding_explode(spark, sf_dir):
 @query
 def resolver_projection(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("record_id"), F.concat(F.lit("f"), (F.col("o_custkey") % 100).cast("string")).alias("failure_fingerprint"),
+        F.col("o_orderkey").alias("record_id"), F.when(F.col("o_custkey") % 9 != 0, F.concat(F.lit("f"), (F.col("o_custkey") % 100).cast("string"))).alias("failure_fingerprint"),
         F.when(F.col("o_orderstatus") == "O", "code_change").alias("remediation_class"),
         F.when(F.col("o_orderkey") % 4 == 0, "passed").when(F.col("o_orderkey") % 4 == 1, "failed").when(F.col("o_orderkey") % 4 == 2, "flaky").alias("validation_result"))
     return I.resolver_observations(rows)
@@ -299,7 +299,7 @@ def historical_projection(spark, sf_dir):
     names = ["clean_verified", "target_failure_resolved", "repeated_failure", "new_failure", "partial_resolution", "outcome_unknown", "unresolved", "unheard_of"]
     k = F.col("o_orderkey")
     rows = table(spark, sf_dir, "orders").select(
-        k.cast("string").alias("record_id"), F.element_at(F.array(*map(F.lit, names)), (k % 8 + 1).cast("int")).alias("outcome"),
+        k.cast("string").alias("record_id"), F.when(k % 11 != 0, F.element_at(F.array(*map(F.lit, names)), (k % 8 + 1).cast("int"))).alias("outcome"),
         (k % 9 == 0).alias("suspected_flake"), F.when(k % 5 != 0, F.concat(F.lit("historical:"), (k % 77).cast("string"))).alias("semantic_identity"))
     return I.historical_observations(rows)
 

@@ -215,3 +215,18 @@ def test_dispositions_of_nulls_repeats_and_several_contracts(spark):
     got = sorted((r.delivery, r.disposition, r.reason or "") for r in ingest.dispositions(df, known).collect())
     bad = {3: "invalid_schema", 4: "invalid_schema", 5: "invalid_schema", 6: "unknown_producer", 7: "incompatible_sdk_contract", 8: "incompatible_producer_contract", 9: "sensitive_content", 10: "incompatible_sdk_contract"}
     assert got == sorted([(1, "accepted", ""), (1, "duplicate", ""), (2, "duplicate", ""), *((k, "quarantined", v) for k, v in bad.items())])
+
+
+def test_projections_of_nulls(spark):
+    resolved = spark.createDataFrame([(1, "f", "passed"), (2, None, None), (3, " ", "odd")], "record_id long, failure_fingerprint string, validation_result string").withColumn("remediation_class", F.lit(None).cast("string"))
+    got = {r.record_id: r for r in ingest.resolver_observations(resolved).collect()}
+    assert [got[k].validation_outcome for k in (1, 2, 3)] == ["passed", None, "unknown"] and len({got[k].recurrence_fingerprint for k in got} - {None}) == 3
+    past = spark.createDataFrame([("1", "partial_resolution", False, "f"), ("2", None, False, None), ("3", "clean_verified", False, "f")], "record_id string, outcome string, suspected_flake boolean, semantic_identity string")
+    seen = {r.record_id: r for r in ingest.historical_observations(past).collect()}
+    assert [seen[k].validation_outcome for k in "123"] == ["unknown", None, "passed"] and seen["3"].recurrence_fingerprint == got[1].recurrence_fingerprint
+
+
+def test_paths_of_any_length(spark):
+    chain = spark.createDataFrame([("w", f"r{k}", f"r{k - 1}" if k else None) for k in range(81)], "workflow string, revision string, parent string")
+    found = history.unique_paths(chain, spark.createDataFrame([("w", "r0", "r80")], "workflow string, before string, after string")).first()
+    assert found.path == [f"r{k}" for k in range(1, 81)]
