@@ -10,6 +10,9 @@ A large group of near copies shares its first shingles, and all its pairs would
 that aren't joined yet are many times the rows, each document is only checked against a few others of each of its
 shingles, by another random order in each round; what agrees is joined, and pairs within what is joined are never made.
 What is left after that is checked pair by pair, so that no link is lost.
+
+Sets of shingles are larger than the texts, so they are never written: each step hashes the texts again, and only what
+is small for a document (its node, fingerprint and parities) is kept.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
@@ -37,6 +40,8 @@ MOST_FREQUENT = 200_000
 ROUNDS, HUBS, MANY = 1, 8, 4
 PARITIES = 1024
 CLOSE = 1e-9
+#: Texts whose shingles are in a worker's memory at once.
+AT_ONCE = 256
 
 
 def parities(grams: np.ndarray) -> np.ndarray:
@@ -45,54 +50,73 @@ def parities(grams: np.ndarray) -> np.ndarray:
     return np.packbits((found & 1).astype(bool)).view(np.int64)
 
 
+def hashed(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Slices of the batches, with the hashes of the shingles of each text in the column ``text``."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, AT_ONCE):
+            part = batch.slice(k, AT_ONCE)
+            yield part, [simhash.shingle_hashes(t.as_py() or b"", WORDS) for t in part.column(text)]
+
+
+def distinct(hashes: np.ndarray) -> tuple[int, np.ndarray]:
+    """The node and the set of a text's shingles, ascending as unsigned numbers."""
+    grams = np.unique(hashes)
+    return simhash.signed(xxhash.xxh64_intdigest(grams.tobytes())), grams.view(np.int64)
+
+
 def sets(df: DataFrame) -> DataFrame:
     """doc_id, node (of equal shingle sets), simhash, odd (parities), grams (distinct hashes of shingles, ascending) of (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hashes = [simhash.shingle_hashes(t.as_py() or b"", WORDS) for t in batch.column(1)]
-            each = [np.unique(h) for h in hashes]
-            grams = [g.tobytes() for g in each]
-            odd = [parities(g) for g in each]
-            node = [simhash.signed(xxhash.xxh64_intdigest(g)) for g in grams]
+        for part, hashes in hashed(batches, 1):
+            node, grams = zip(*map(distinct, hashes), strict=True)
+            odd = [parities(g.view(np.uint64)) for g in grams]
             prints = [simhash.signed(simhash.fingerprint(h)) for h in hashes]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(node, pa.int64()), pa.array(prints, pa.int64()), pa.array(odd, pa.list_(pa.int64())), pa.array(grams, pa.binary())], ["doc_id", "node", "simhash", "odd", "grams"])
+            raw = pa.array([g.tobytes() for g in grams], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(node, pa.int64()), pa.array(prints, pa.int64()), pa.array(odd, pa.list_(pa.int64())), raw], ["doc_id", "node", "simhash", "odd", "grams"])
 
     kind = StructType([df.schema["doc_id"], StructField("node", LongType()), StructField("simhash", LongType()), StructField("odd", ArrayType(LongType())), StructField("grams", BinaryType())])
     return df.select("doc_id", F.col("text").cast("binary")).mapInArrow(lean(run), kind)
 
 
+def gram_sets(df: DataFrame) -> DataFrame:
+    """(node, grams) of (doc_id, text), hashed where it is used."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, hashes in hashed(batches, 0):
+            node, grams = zip(*map(distinct, hashes), strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array([g.tobytes() for g in grams], pa.binary())], ["node", "grams"])
+
+    return df.select(F.col("text").cast("binary")).mapInArrow(lean(run), "node long, grams binary")
+
+
 def least_shared(n: int, share: float) -> int:
     """How many of ``n`` shingles a set must share at least with one that agrees to ``share``."""
     return int(np.ceil(share * n - CLOSE))
 
 
-def frequent(found: DataFrame, share: float) -> np.ndarray:
+def frequent(df: DataFrame, share: float) -> np.ndarray:
     """Shingles that many documents have among the first ones by hash, ascending."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            first = []
-            for raw in batch.column(0):
-                g = np.frombuffer(raw.as_py(), np.int64)
-                first.append(g[: int(1.5 * (len(g) - least_shared(len(g), share))) + 1])
-            if first:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(first))], ["gram"])
-
-    counts = found.select("grams").mapInArrow(lean(run), "gram long").groupBy("gram").count().where(F.col("count") > FREQUENT)
+        for _, hashes in hashed(batches, 0):
+            each = (distinct(h)[1] for h in hashes)
+            first = [g[: int(1.5 * (len(g) - least_shared(len(g), share))) + 1] for g in each]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(first))], ["gram"])
+
+    counts = df.select(F.col("text").cast("binary")).mapInArrow(lean(run), "gram long").groupBy("gram").count().where(F.col("count") > FREQUENT)
     top = counts.orderBy(F.desc("count"), "gram").limit(MOST_FREQUENT).select("gram").toPandas()
     return np.sort(top["gram"].to_numpy(np.int64))
 
 
-def first_grams(rows: DataFrame, last: np.ndarray, share: float) -> DataFrame:
-    """(gram, node, size, place) of the first shingles of each set of (node, grams), frequent ones ordered last."""
-    sent = rows.sparkSession.sparkContext.broadcast(last)
+def first_grams(df: DataFrame, last: np.ndarray, share: float) -> DataFrame:
+    """(gram, node, size, place) of the first shingles of each text, frequent ones ordered last."""
+    sent = df.sparkSession.sparkContext.broadcast(last)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for _, hashes in hashed(batches, 0):
             out = []
-            for node, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                g = np.frombuffer(raw, np.int64)
+            for node, g in map(distinct, hashes):
                 n = len(g)
                 if not n:
                     continue
@@ -105,15 +129,14 @@ def first_grams(rows: DataFrame, last: np.ndarray, share: float) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["gram", "node", "size", "place"])
 
-    return rows.select("node", "grams").mapInArrow(lean(run), "gram long, node long, size int, place int")
+    return df.select(F.col("text").cast("binary")).mapInArrow(lean(run), "gram long, node long, size int, place int")
 
 
-def shared(firsts: DataFrame, found: DataFrame, most_broadcast: int) -> DataFrame:
-    """The rows of ``firsts`` whose shingle several nodes have, each (gram, node) once, with the node's parities. Copies are combined before the shuffle."""
+def shared(firsts: DataFrame, most_broadcast: int) -> DataFrame:
+    """The rows of ``firsts`` whose shingle several nodes have, each (gram, node) once. Copies are combined before the shuffle."""
     several = cut(firsts.groupBy("gram").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo != hi").select("gram"))
     several = F.broadcast(several) if small_enough(several, most_broadcast) else several
-    rows = cut(firsts.join(several, "gram", "left_semi").groupBy("gram", "node").agg(F.first("size").alias("size"), F.first("place").alias("place")))
-    return rows.join(found.select("node", "odd").dropDuplicates(["node"]), "node")
+    return cut(firsts.join(several, "gram", "left_semi").groupBy("gram", "node").agg(F.first("size").alias("size"), F.first("place").alias("place")))
 
 
 def rooted(rows: DataFrame, roots: DataFrame, most_broadcast: int) -> tuple[DataFrame, int, int]:
@@ -130,8 +153,10 @@ def rooted(rows: DataFrame, roots: DataFrame, most_broadcast: int) -> tuple[Data
     return rows.join(F.broadcast(few) if small_enough(few, most_broadcast) else few, "gram"), int(n), int(pairs)
 
 
-def meeting(left: DataFrame, right: DataFrame, share: float) -> DataFrame:
-    """Distinct (u, v), u < v, of nodes of different roots that share a shingle and may agree by size, place and parities."""
+def meeting(left: DataFrame, right: DataFrame, odd: DataFrame, share: float) -> DataFrame:
+    """Distinct (u, v), u < v, of nodes of different roots that share a shingle and may agree by size, place and
+    parities (``odd``: of each node). Parities are the widest column, so they come last."""
+    left, right = left.join(odd, "node"), right.join(odd, "node")
     names = ("node", "root", "size", "place", "odd")
     a, b = left.select("gram", *(F.col(c).alias(f"{c}1") for c in names)), right.select("gram", *names)
     rest = F.least(F.col("size1") - F.col("place1"), F.col("size") - F.col("place"))  # the pair's first common shingle and all after it
@@ -142,10 +167,10 @@ def meeting(left: DataFrame, right: DataFrame, share: float) -> DataFrame:
 
 
 def hubs(rows: DataFrame, turn: int) -> DataFrame:
-    """A few rows of each shingle, other ones in each turn, the same for shingles of the same nodes."""
-    one = lambda k: F.min(F.struct(F.xxhash64(F.lit(turn * HUBS + k), "node").alias("order"), "node", "root", "size", "place", "odd"))
-    found = rows.groupBy("gram").agg(F.array_distinct(F.array(*(one(k) for k in range(HUBS)))).alias("found"))
-    return found.select("gram", F.explode("found").alias("h")).select("gram", "h.node", "h.root", "h.size", "h.place", "h.odd")
+    """A few rows of each shingle by a random order of the nodes, another one in each turn; Spark keeps as few of each
+    task before the shuffle."""
+    order = Window.partitionBy("gram").orderBy(F.xxhash64(F.lit(turn), "node"), "node")
+    return rows.withColumn("__place", F.row_number().over(order)).where(F.col("__place") <= HUBS).select("gram", "node", "root", "size", "place")
 
 
 def checked(pairs: DataFrame, found: DataFrame, of: str, agree, most_broadcast: int = 1_000_000, most_bytes: int = 16_000_000) -> DataFrame:
@@ -205,25 +230,28 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     """One row per row of ``df``: doc_id, component_id (the smallest id reachable over links of texts whose five-word
     shingles agree to ``share`` or more, the row itself included).
 
+    ``df`` is read several times and must give the same rows each time; its texts are hashed again instead of kept.
     Words are cut and lower-cased as by ``simhash``; a text of fewer than five words is one shingle, texts without
     words agree with each other. Null ids and repeated rows are treated as by ``simhash.near_duplicates``.
     """
-    found = cut(sets(df.select(col(doc_id).alias("doc_id"), col(text).alias("text"))))
+    docs = df.select(col(doc_id).alias("doc_id"), col(text).alias("text"))
+    found, whole = cut(sets(docs).drop("grams")), gram_sets(docs)
     nodes = cut(found.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("simhash").alias("simhash")))
     heads = cut(nodes.groupBy("simhash").agg(F.min("node").alias("head")))
     near = simhash.links(heads.select("simhash"))
     name = lambda k: heads.select(F.col("simhash").alias(k), F.col("head").alias(f"n{k}"))
     near = near.join(name("u"), "u").join(name("v"), "v").select(F.col("nu").alias("u"), F.col("nv").alias("v"))
     near = near.unionByName(nodes.join(heads, "simhash").where("node != head").select(F.col("head").alias("u"), F.col("node").alias("v")))
-    near = agreeing(cut(near.distinct()), found, share)
+    near = agreeing(cut(near.distinct()), whole, share)
     roots = components(near)
-    rows = shared(first_grams(found, frequent(found, share), share), found, most_broadcast)
+    rows = shared(first_grams(docs, frequent(docs, share), share), most_broadcast)
+    odd = found.select("node", "odd").dropDuplicates(["node"])
     for turn in range(ROUNDS + 1):
         crossing, n, pairs = rooted(rows, roots, most_broadcast)
         last = pairs <= MANY * n or turn == ROUNDS
         few = crossing.where("root != major") if last else hubs(crossing, turn)
-        more = cut(meeting(few, crossing, share))
-        more = agreeing(more, found, share)
+        more = cut(meeting(few, crossing, odd, share))
+        more = agreeing(more, whole, share)
         roots = components(roots.unionByName(more))
         if last:
             break
