@@ -11,8 +11,9 @@ that aren't joined yet are many times the rows, each document is only checked ag
 shingles, by another random order in each round; what agrees is joined, and pairs within what is joined are never made.
 What is left after that is checked pair by pair, so that no link is lost.
 
-Sets of shingles are larger than the texts, so they are never written: each step hashes the texts again, and only what
-is small for a document (its node, fingerprint and parities) is kept.
+Sets of shingles are larger than the texts, so they are never written: steps hash the texts again, and only those that
+they need. What is shuffled of shingles is packed: 48 bits of the hashes, sorted, as differences. A chance agreement
+of 48 bits only adds a pair to check, and in a check is one shingle in n * m / 2**48 of two sets of n and m.
 """
 
 from __future__ import annotations
@@ -25,10 +26,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from siltstone.llm import simhash
-from siltstone.llm.common import col, cut, lean, small_enough
+from siltstone.llm.common import col, cut, lean, partitions, small_enough
 from siltstone.llm.components import components
 
 WORDS = 5
@@ -42,6 +43,8 @@ PARITIES = 1024
 CLOSE = 1e-9
 #: Texts whose shingles are in a worker's memory at once.
 AT_ONCE = 256
+#: About how many shingles a task packs at once.
+FLUSH = 1 << 20
 
 
 def parities(grams: np.ndarray) -> np.ndarray:
@@ -59,84 +62,178 @@ def hashed(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[pa.Re
 
 
 def distinct(hashes: np.ndarray) -> tuple[int, np.ndarray]:
-    """The node and the set of a text's shingles, ascending as unsigned numbers."""
+    """The node and the set of a text's shingles, ascending."""
     grams = np.unique(hashes)
-    return simhash.signed(xxhash.xxh64_intdigest(grams.tobytes())), grams.view(np.int64)
+    return simhash.signed(xxhash.xxh64_intdigest(grams.tobytes())), grams
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers from 0, their bytes of equal weight together, compressed."""
+    planes = np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def unpacked(raw: bytes, n: int) -> np.ndarray:
+    if not n:
+        return np.zeros(0, np.uint64)
+    planes = np.frombuffer(pa.decompress(raw, n * 8, "zstd", asbytes=True), np.uint8).reshape(8, n)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
+
+
+def steps(ascending: np.ndarray) -> np.ndarray:
+    return np.diff(ascending, prepend=np.uint64(0))
 
 
 def sets(df: DataFrame) -> DataFrame:
-    """doc_id, node (of equal shingle sets), simhash, odd (parities), grams (distinct hashes of shingles, ascending) of (doc_id, text)."""
+    """doc_id, node (of equal shingle sets), simhash, odd (parities) of (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, hashes in hashed(batches, 1):
             node, grams = zip(*map(distinct, hashes), strict=True)
-            odd = [parities(g.view(np.uint64)) for g in grams]
+            odd = [parities(g) for g in grams]
             prints = [simhash.signed(simhash.fingerprint(h)) for h in hashes]
-            raw = pa.array([g.tobytes() for g in grams], pa.binary())
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(node, pa.int64()), pa.array(prints, pa.int64()), pa.array(odd, pa.list_(pa.int64())), raw], ["doc_id", "node", "simhash", "odd", "grams"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(node, pa.int64()), pa.array(prints, pa.int64()), pa.array(odd, pa.list_(pa.int64()))], ["doc_id", "node", "simhash", "odd"])
 
-    kind = StructType([df.schema["doc_id"], StructField("node", LongType()), StructField("simhash", LongType()), StructField("odd", ArrayType(LongType())), StructField("grams", BinaryType())])
+    kind = StructType([df.schema["doc_id"], StructField("node", LongType()), StructField("simhash", LongType()), StructField("odd", ArrayType(LongType()))])
     return df.select("doc_id", F.col("text").cast("binary")).mapInArrow(lean(run), kind)
 
 
-def gram_sets(df: DataFrame) -> DataFrame:
-    """(node, grams) of (doc_id, text), hashed where it is used."""
+def least_shared(n: int, share: float) -> int:
+    """How many of ``n`` shingles a set must share at least with one that agrees to ``share``."""
+    return int(np.ceil(share * n - CLOSE))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, hashes in hashed(batches, 0):
-            node, grams = zip(*map(distinct, hashes), strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array([g.tobytes() for g in grams], pa.binary())], ["node", "grams"])
 
-    return df.select(F.col("text").cast("binary")).mapInArrow(lean(run), "node long, grams binary")
+def part_of(grams: np.ndarray, parts: int) -> np.ndarray:
+    """The part that a shingle is dealt to, by the highest of its 48 bits; ascending shingles have ascending parts."""
+    return ((grams >> np.uint64(16)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
-def least_shared(n: int, share: float) -> int:
-    """How many of ``n`` shingles a set must share at least with one that agrees to ``share``."""
-    return int(np.ceil(share * n - CLOSE))
+def runs(key: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Where each run of equal entries begins and ends."""
+    edge = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]]) if len(key) else []
+    yield from zip(edge[:-1], edge[1:], strict=True)
 
 
 def frequent(df: DataFrame, share: float) -> np.ndarray:
-    """Shingles that many documents have among the first ones by hash, ascending."""
+    """Shingles (48 bits) that many documents have among the first ones by hash, ascending."""
+    parts = partitions(df.sparkSession)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, hashes in hashed(batches, 0):
-            each = (distinct(h)[1] for h in hashes)
-            first = [g[: int(1.5 * (len(g) - least_shared(len(g), share))) + 1] for g in each]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(first))], ["gram"])
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+
+        def flush() -> pa.RecordBatch:
+            grams, c = np.unique(np.concatenate(held), return_counts=True)
+            at = part_of(grams, parts)
+            rows = [(at[i], j - i, packed(steps(grams[i:j])), packed(c[i:j])) for i, j in runs(at)]
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], ["part", "n", "gram", "c"])
 
-    counts = df.select(F.col("text").cast("binary")).mapInArrow(lean(run), "gram long").groupBy("gram").count().where(F.col("count") > FREQUENT)
+        for _, hashes in hashed(batches, 0):
+            for _, g in map(distinct, hashes):
+                held.append(g[: int(1.5 * (len(g) - least_shared(len(g), share))) + 1] >> np.uint64(16))
+                n += len(held[-1])
+            if n > FLUSH:
+                yield flush()
+                held, n = [], 0
+        if n:
+            yield flush()
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [(unpacked(g.as_py(), n), unpacked(c.as_py(), n)) for b in batches for n, g, c in zip(b.column(1).to_pylist(), b.column(2), b.column(3), strict=True)]
+        if not found:
+            return
+        grams, c = (np.concatenate(x) for x in zip(*((np.cumsum(g, dtype=np.uint64), c) for g, c in found), strict=True))
+        order = np.argsort(grams)
+        grams, c = grams[order], c[order]
+        first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+        grams, c = grams[first], np.add.reduceat(c, first)
+        many = c > FREQUENT
+        yield pa.RecordBatch.from_arrays([pa.array(x[many].astype(np.int64)) for x in (grams, c)], ["gram", "count"])
+
+    counts = df.select(F.col("text").cast("binary")).mapInArrow(lean(count), "part int, n int, gram binary, c binary")
+    counts = counts.repartition(parts, "part").mapInArrow(lean(total), "gram long, count long")
     top = counts.orderBy(F.desc("count"), "gram").limit(MOST_FREQUENT).select("gram").toPandas()
-    return np.sort(top["gram"].to_numpy(np.int64))
+    return np.sort(top["gram"].to_numpy(np.uint64))
+
+
+def with_partner(gram: np.ndarray, size: np.ndarray, place: np.ndarray, share: float) -> np.ndarray:
+    """Which rows have a row of the same shingle (sorted by it) that they may agree with by size and place; all of
+    a shingle with more than 2 * FREQUENT rows."""
+    keep = np.zeros(len(gram), bool)
+    for i, j in ((i, j) for i, j in runs(gram) if j - i > 2 * FREQUENT):
+        keep[i:j] = True
+    for d in range(1, 2 * FREQUENT):
+        i = np.flatnonzero(gram[d:] == gram[:-d])
+        if not len(i):
+            break
+        rest = np.minimum(size[i] - place[i], size[i + d] - place[i + d])
+        i = i[rest * (1 + share) >= share * (size[i] + size[i + d]) - CLOSE]
+        keep[i] = keep[i + d] = True
+    return keep
+
 
+def shared(df: DataFrame, last: np.ndarray, share: float) -> DataFrame:
+    """(gram, node, size, place) of the first shingles of each text that several nodes may have, ``last`` ones ordered
+    last, each (gram, node) once.
 
-def first_grams(df: DataFrame, last: np.ndarray, share: float) -> DataFrame:
-    """(gram, node, size, place) of the first shingles of each text, frequent ones ordered last."""
+    Tasks pack the rows for the part of each shingle, where those that one node alone has leave. Rows of ``last``
+    shingles, of which one may be in any number of texts, are dealt by shingle and node and all stay.
+    """
+    parts = partitions(df.sparkSession)
     sent = df.sparkSession.sparkContext.broadcast(last)
+    columns = ("gram", "node", "size", "place")
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+
+        def flush() -> pa.RecordBatch:
+            gram, node, size, place, hot = (np.concatenate(x) for x in zip(*held, strict=True))
+            at = np.where(hot, (((gram ^ node) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.int64) % parts, part_of(gram, parts)) * 2 + hot
+            order = np.lexsort((gram, at))
+            gram, node, size, place, at = (x[order] for x in (gram, node, size, place, at))
+            rows = [(at[i] >> 1, bool(at[i] & 1), j - i, packed(steps(gram[i:j])), *(packed(x[i:j]) for x in (node, size, place))) for i, j in runs(at)]
+            kinds = (pa.int32(), pa.bool_(), pa.int32(), *[pa.binary()] * 4)
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["part", "hot", "n", *columns])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, hashes in hashed(batches, 0):
-            out = []
             for node, g in map(distinct, hashes):
-                n = len(g)
-                if not n:
+                if not len(g):
                     continue
+                size, g = len(g), g >> np.uint64(16)
+                late = np.zeros(size, bool)
                 if len(sent.value):
-                    at = np.minimum(np.searchsorted(sent.value, g), len(sent.value) - 1)
-                    late = sent.value[at] == g
-                    g = np.concatenate([g[~late], g[late]])
-                k = n - least_shared(n, share) + 1
-                out.append((g[:k], np.full(k, node), np.full(k, n, np.int32), np.arange(k, dtype=np.int32)))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["gram", "node", "size", "place"])
-
-    return df.select(F.col("text").cast("binary")).mapInArrow(lean(run), "gram long, node long, size int, place int")
-
-
-def shared(firsts: DataFrame, most_broadcast: int) -> DataFrame:
-    """The rows of ``firsts`` whose shingle several nodes have, each (gram, node) once. Copies are combined before the shuffle."""
-    several = cut(firsts.groupBy("gram").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo != hi").select("gram"))
-    several = F.broadcast(several) if small_enough(several, most_broadcast) else several
-    return cut(firsts.join(several, "gram", "left_semi").groupBy("gram", "node").agg(F.first("size").alias("size"), F.first("place").alias("place")))
+                    late = sent.value[np.minimum(np.searchsorted(sent.value, g), len(sent.value) - 1)] == g
+                    order = np.argsort(late, kind="stable")
+                    g, late = g[order], late[order]
+                k = size - least_shared(size, share) + 1
+                held.append((g[:k], np.full(k, node).view(np.uint64), np.full(k, size), np.arange(k), late[:k]))
+                n += k
+            if n > FLUSH:
+                yield flush()
+                held, n = [], 0
+        if n:
+            yield flush()
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = {True: [], False: []}
+        for b in batches:
+            for hot, n, *raw in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), *b.columns[3:], strict=True):
+                gram, *rest = (unpacked(x.as_py(), n) for x in raw)
+                found[hot].append((np.cumsum(gram, dtype=np.uint64), *rest))
+        for hot, rows in found.items():
+            if not rows:
+                continue
+            gram, node, size, place = (np.concatenate(x) for x in zip(*rows, strict=True))
+            order = np.lexsort((place, node, gram))
+            gram, node, size, place = (x[order].view(np.int64) for x in (gram, node, size, place))
+            once = np.concatenate([[True], (gram[1:] != gram[:-1]) | (node[1:] != node[:-1])])
+            gram, node, size, place = (x[once] for x in (gram, node, size, place))
+            keep = np.ones(len(gram), bool) if hot else with_partner(gram, size, place, share)
+            for k in range(0, len(at := np.flatnonzero(keep)), FLUSH):
+                i = at[k : k + FLUSH]
+                yield pa.RecordBatch.from_arrays([pa.array(gram[i]), pa.array(node[i]), pa.array(size[i].astype(np.int32)), pa.array(place[i].astype(np.int32))], columns)
+
+    dealt = df.select(F.col("text").cast("binary")).mapInArrow(lean(deal), "part int, hot boolean, n int, gram binary, node binary, size binary, place binary")
+    return cut(dealt.repartition(parts, "part").mapInArrow(lean(meet), "gram long, node long, size int, place int"))
 
 
 def rooted(rows: DataFrame, roots: DataFrame, most_broadcast: int) -> tuple[DataFrame, int, int]:
@@ -173,57 +270,66 @@ def hubs(rows: DataFrame, turn: int) -> DataFrame:
     return rows.withColumn("__place", F.row_number().over(order)).where(F.col("__place") <= HUBS).select("gram", "node", "root", "size", "place")
 
 
-def checked(pairs: DataFrame, found: DataFrame, of: str, agree, most_broadcast: int = 1_000_000, most_bytes: int = 16_000_000) -> DataFrame:
-    """The (u, v) of ``pairs`` (written) whose values of the column ``of`` pass ``agree``.
+def agreeing(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, share: float, most_broadcast: int = 1_000_000) -> DataFrame:
+    """The (u, v) of ``pairs`` (written) whose shingle sets agree to ``share`` or more; ``docs``: doc_id, text;
+    ``nodes``: node, least (an id that has it).
 
-    Of a pair the node with more pairs is sent to the other. While what is sent is small, no value is shuffled.
+    Of a pair the node with more pairs is the hub. Only texts in pairs are hashed. The set of a hub and those to compare
+    with it meet in tasks, as many for each hub as its pairs need, the hub's own first.
     """
     degree = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).groupBy("node").agg(F.count("*").alias("d"))
     degree = F.broadcast(degree) if small_enough(pairs, most_broadcast) else degree
     both = pairs.join(degree.withColumnsRenamed({"node": "u", "d": "du"}), "u").join(degree.withColumnsRenamed({"node": "v", "d": "dv"}), "v")
-    first = F.col("du") >= F.col("dv")
-    both = cut(both.select(F.when(first, F.col("u")).otherwise(F.col("v")).alias("hub"), F.when(first, F.col("v")).otherwise(F.col("u")).alias("node")))
-    values = lambda nodes: found.select("node", of).join(F.broadcast(nodes) if small_enough(nodes, most_broadcast) else nodes, "node", "left_semi")
-    if small_enough(both, most_broadcast):
-        sent = cut(values(both.select(F.col("hub").alias("node")).distinct()).dropDuplicates(["node"]))
-        if (sent.agg(F.sum(F.length(of))).first()[0] or 0) <= most_bytes:
-            return cut(star(both, found, of, agree, dict(map(tuple, sent.collect()))))
-    nodes = both.select("node").unionByName(both.select(F.col("hub").alias("node"))).distinct()
-    held = values(nodes).dropDuplicates(["node"])
-    whole = both.join(held.withColumnsRenamed({"node": "hub", of: "a"}), "hub").join(held.withColumnsRenamed({of: "b"}), "node").select("hub", "node", "a", "b")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = [agree(np.frombuffer(a.as_py(), np.int64), np.frombuffer(b.as_py(), np.int64)) for a, b in zip(batch.column(2), batch.column(3), strict=True)]
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], ["u", "v"])
-
-    return cut(whole.mapInArrow(lean(run), "u long, v long"))
-
-
-def star(pairs: DataFrame, found: DataFrame, of: str, agree, values: dict[int, bytes]) -> DataFrame:
-    """As ``checked`` for pairs (hub, node), the hubs' values given."""
-    sent = found.sparkSession.sparkContext.broadcast(values)
-    per = F.broadcast(pairs.groupBy("node").agg(F.collect_list("hub").alias("hubs")))
+    first, salts = F.col("du") >= F.col("dv"), F.ceil(F.greatest("du", "dv") / AT_ONCE).cast("int")
+    both = cut(both.select(F.when(first, F.col("u")).otherwise(F.col("v")).alias("hub"), F.when(first, F.col("v")).otherwise(F.col("u")).alias("node"), salts.alias("salts")))
+    others = both.select("hub", "node", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt"), F.lit(False).alias("own"))
+    own = both.select("hub", "salts").distinct().select("hub", F.col("hub").alias("node"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(True).alias("own"))
+    wanted = cut(others.unionByName(own).join(nodes.select("node", F.col("least").alias("__id")), "node"))
+    few = F.broadcast(wanted) if small_enough(wanted, most_broadcast) else wanted
+    raw = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    rows = raw.join(few, F.col("doc_id") == F.col("__id")).select("text", "hub", "salt", "own", "node")
+    rows = rows.mapInArrow(lean(packed_sets), "hub long, salt int, own boolean, node long, n int, grams binary")
+    if not (lost := wanted.where("__id is null")).isEmpty():  # nodes of rows without an id only
+        nameless = raw.where("doc_id is null").select("text", *(F.lit(None).cast(t).alias(c) for c, t in (("hub", "long"), ("salt", "int"), ("own", "boolean"), ("node", "long"))))
+        nameless = nameless.mapInArrow(lean(packed_sets), "hub long, salt int, own boolean, node long, n int, grams binary").select("node", "n", "grams").dropDuplicates(["node"])
+        rows = rows.unionByName(lost.join(nameless, "node").select(*rows.columns))
+    met = rows.repartition(partitions(docs.sparkSession), "hub", "salt").sortWithinPartitions("hub", "salt", F.desc("own"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub, grams = None, None
         for batch in batches:
             out = []
-            for node, value, hubs in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
-                own = np.frombuffer(value.as_py(), np.int64)
-                out += [(node, h) for h in hubs if agree(own, np.frombuffer(sent.value[h], np.int64))]
+            for h, own, node, n, raw in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3, 4)), batch.column(5), strict=True):
+                if own:
+                    if h != hub:
+                        hub, grams = h, np.cumsum(unpacked(raw.as_py(), n), dtype=np.uint64)
+                    continue
+                if h != hub:
+                    raise ValueError(f"the shingles of {h} did not come first")
+                same = len(np.intersect1d(grams, np.cumsum(unpacked(raw.as_py(), n), dtype=np.uint64)))
+                if same * (1 + share) >= share * (n + len(grams)) - CLOSE:
+                    out.append((min(h, node), max(h, node)))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["u", "v"])
 
-    return found.select("node", of).join(per, "node").select("node", of, "hubs").mapInArrow(lean(run), "u long, v long").distinct()
-
-
-def agreeing(pairs: DataFrame, found: DataFrame, share: float, **limits: int) -> DataFrame:
-    """The (u, v) of ``pairs`` whose shingle sets agree to ``share`` or more."""
+    return cut(met.mapInArrow(lean(run), "u long, v long").distinct())
 
-    def agree(a: np.ndarray, b: np.ndarray) -> bool:
-        return len(np.intersect1d(a, b, assume_unique=True)) * (1 + share) >= share * (len(a) + len(b)) - CLOSE
 
-    return checked(pairs, found, "grams", agree, **limits)
+def packed_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """hub, salt, own, node, n, grams of (text, hub, salt, own, node); rows whose text has another node than theirs leave."""
+    text, node, n, grams = None, None, 0, b""
+    for batch in batches:
+        for k in range(0, batch.num_rows, AT_ONCE):
+            part, found = batch.slice(k, AT_ONCE), []
+            for t, wanted in zip(part.column(0), part.column(4).to_pylist(), strict=True):
+                t = t.as_py() or b""
+                if t != text:
+                    text, (node, g) = t, distinct(simhash.shingle_hashes(t, WORDS))
+                    n, grams = len(g), packed(steps(g >> np.uint64(16)))
+                found.append((node, n, grams) if wanted in (None, node) else (None, None, None))
+            sets_ = [pa.array(c, t) for c, t in zip(zip(*found, strict=True), (pa.int64(), pa.int32(), pa.binary()), strict=True)]
+            whole = pa.RecordBatch.from_arrays([*part.columns[1:4], *sets_], ["hub", "salt", "own", "node", "n", "grams"])
+            yield whole.filter(sets_[0].is_valid())
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", share: float = SHARE, most_broadcast: int = 1_000_000) -> DataFrame:
@@ -235,23 +341,23 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     words agree with each other. Null ids and repeated rows are treated as by ``simhash.near_duplicates``.
     """
     docs = df.select(col(doc_id).alias("doc_id"), col(text).alias("text"))
-    found, whole = cut(sets(docs).drop("grams")), gram_sets(docs)
+    found = cut(sets(docs))
     nodes = cut(found.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("simhash").alias("simhash")))
     heads = cut(nodes.groupBy("simhash").agg(F.min("node").alias("head")))
     near = simhash.links(heads.select("simhash"))
     name = lambda k: heads.select(F.col("simhash").alias(k), F.col("head").alias(f"n{k}"))
     near = near.join(name("u"), "u").join(name("v"), "v").select(F.col("nu").alias("u"), F.col("nv").alias("v"))
     near = near.unionByName(nodes.join(heads, "simhash").where("node != head").select(F.col("head").alias("u"), F.col("node").alias("v")))
-    near = agreeing(cut(near.distinct()), whole, share)
+    near = agreeing(cut(near.distinct()), docs, nodes, share, most_broadcast)
     roots = components(near)
-    rows = shared(first_grams(docs, frequent(docs, share), share), most_broadcast)
+    rows = shared(docs, frequent(docs, share), share)
     odd = found.select("node", "odd").dropDuplicates(["node"])
     for turn in range(ROUNDS + 1):
         crossing, n, pairs = rooted(rows, roots, most_broadcast)
         last = pairs <= MANY * n or turn == ROUNDS
         few = crossing.where("root != major") if last else hubs(crossing, turn)
         more = cut(meeting(few, crossing, odd, share))
-        more = agreeing(more, whole, share)
+        more = agreeing(more, docs, nodes, share, most_broadcast)
         roots = components(roots.unionByName(more))
         if last:
             break
