@@ -44,7 +44,7 @@ CLOSE = 1e-9
 #: Texts whose shingles are in a worker's memory at once.
 AT_ONCE = 256
 #: About how many shingles a task packs at once.
-FLUSH = 1 << 20
+FLUSH = 1 << 19
 
 
 def parities(grams: np.ndarray) -> np.ndarray:
