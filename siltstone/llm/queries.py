@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import bpe, chat, decontaminate, fingerprints, html, linededup, quality, simhash, toxicity, url_filter
+from siltstone.llm import bpe, chat, decontaminate, fingerprints, html, infill, linededup, quality, simhash, toxicity, url_filter
 from siltstone.llm.common import table
 
 QUERIES = {}
@@ -134,3 +134,21 @@ SELECT doc_id, CASE WHEN text IS NULL THEN 0 ELSE n_lines END AS n_lines, n_dele
 @query("op8_decontamination")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_fill_in_middle")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = infill.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    chars = lambda part: F.length(part).cast("long").alias(f"{part}_chars")
+    restored = infill.restored(F.col("output"), F.col("form"))
+    return out.select("doc_id", "n", "form", chars("prefix"), chars("middle"), F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"))
+
+
+ORACLES["op13_fill_in_middle"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || doc_id) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS us, list_transform([0, 1, 2, 3], lambda k: CAST('0x' || substr(h, 8 * k + 1, 8) AS BIGINT)) AS r FROM d),
+c AS (SELECT *, len(us) AS n, least(r[1] % (len(us) + 1), r[2] % (len(us) + 1)) AS a, greatest(r[1] % (len(us) + 1), r[2] % (len(us) + 1)) AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r[3] % 100 >= 50 THEN 'plain' WHEN r[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, coalesce(array_to_string(us[1:a], ''), '') AS x, coalesce(array_to_string(us[a + 1:b], ''), '') AS y, coalesce(array_to_string(us[b + 1:n], ''), '') AS z FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(x) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(y) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || x || '<S>' || z || '<M>' || y ELSE '<S>' || z || '<P>' || x || '<M>' || y END) AS output_sha256, sha256(t) AS restored_sha256 FROM p"""
