@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import bpe, chat, decontaminate, fingerprints, html, infill, linededup, quality, simhash, toxicity, url_filter
+from siltstone.llm import bpe, chat, decontaminate, fingerprints, html, infill, linededup, quality, ranked, sharding, simhash, toxicity, url_filter
 from siltstone.llm.common import table
 
 QUERIES = {}
@@ -152,3 +152,50 @@ c AS (SELECT *, len(us) AS n, least(r[1] % (len(us) + 1), r[2] % (len(us) + 1))
 p AS (SELECT *, coalesce(array_to_string(us[1:a], ''), '') AS x, coalesce(array_to_string(us[a + 1:b], ''), '') AS y, coalesce(array_to_string(us[b + 1:n], ''), '') AS z FROM c)
 SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(x) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(y) END AS middle_chars,
   sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || x || '<S>' || z || '<M>' || y ELSE '<S>' || z || '<P>' || x || '<M>' || y END) AS output_sha256, sha256(t) AS restored_sha256 FROM p"""
+
+
+@query("op11_sharding")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang", "n_chars")
+    out = sharding.shard(docs, 40, keep=["doc_id"])
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def sharding_sql(shards: int = 40) -> str:
+    """Every level of the tree by a sort of each node; the checksum a byte at a time."""
+    digest = lambda c: f"coalesce(CAST('0x' || substr(sha256({c}), 1, 15) AS BIGINT), 0)"
+    steps = [f"""WITH bits AS MATERIALIZED (SELECT list_transform(range(256), lambda k: list_reduce(list_prepend(CAST(k AS BIGINT), range(8)), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS tab),
+bytes AS (SELECT doc_id, list_prepend(CAST(4294967295 AS BIGINT), list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: CAST('0x' || h AS BIGINT))) AS b FROM documents),
+crcs AS (SELECT doc_id, xor(list_reduce(b, lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295) AS text_crc32 FROM bytes, bits),
+s0 AS (SELECT doc_id, strlen(coalesce(text, '')) + 16 AS size, {digest('source')} AS d0, {digest('lang')} AS d1, coalesce(n_chars, 0) AS d2, 0 AS node, {shards} AS m FROM documents)"""]
+    level, last = shards, 0
+    while level > 1:
+        spread = ", ".join(f"CAST(max(d{k}) OVER w - min(d{k}) OVER w AS DOUBLE) / greatest(1, (SELECT max(d{k}) - min(d{k}) FROM s0)) AS w{k}" for k in range(3))
+        steps.append(f"k{last} AS (SELECT *, sum(size) OVER w AS total, {spread} FROM s{last} WINDOW w AS (PARTITION BY node))")
+        steps.append(f"c{last} AS (SELECT *, sum(size) OVER (PARTITION BY node ORDER BY CASE WHEN w0 >= w1 AND w0 >= w2 THEN d0 WHEN w1 >= w2 THEN d1 ELSE d2 END, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING) AS upto FROM k{last})")
+        right = "m > 1 AND (2 * upto - size) * m > 2 * total * (m // 2)"
+        steps.append(f"s{last + 1} AS (SELECT doc_id, size, d0, d1, d2, node + CASE WHEN {right} THEN m // 2 ELSE 0 END AS node, CASE WHEN m = 1 THEN 1 WHEN {right} THEN m - m // 2 ELSE m // 2 END AS m FROM c{last})")
+        level, last = level - level // 2, last + 1
+    return ",\n".join(steps) + f"""
+SELECT doc_id, size, text_crc32, 'bytes' AS law, CAST(node AS INT) AS shard, row_number() OVER (PARTITION BY node ORDER BY doc_id NULLS FIRST) - 1 AS slot, CAST(NULL AS INT) AS grown_shard FROM s{last} JOIN crcs USING (doc_id)"""
+
+
+ORACLES["op11_sharding"] = sharding_sql()
+
+
+@query("op12_ranked_search")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+ORACLES["op12_ranked_search"] = r"""
+WITH texts AS (SELECT 0 AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+words AS (SELECT kind, id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM texts),
+tfs AS (SELECT id, t, count(*) AS tf FROM words WHERE kind = 0 GROUP BY ALL), ns AS (SELECT id, CAST(sum(tf) AS BIGINT) AS n FROM tfs GROUP BY 1),
+corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS len FROM ns), dfs AS (SELECT t, count(*) AS df FROM tfs GROUP BY 1),
+ws AS (SELECT t, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM dfs, corpus),
+ms AS (SELECT id, 100 - 50 + (50 * n * docs) // len AS m FROM ns, corpus),
+scores AS (SELECT i.id AS item_id, tfs.id AS doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM (SELECT DISTINCT id, t FROM words WHERE kind = 1) i JOIN ws USING (t) JOIN tfs USING (t) JOIN ms ON ms.id = tfs.id GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score FROM scores WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 50"""
