@@ -12,9 +12,9 @@ from siltstone.session import cut
 def flake_classes(runs: DataFrame) -> DataFrame:
     """Per (revision, workflow): alternations of failure and success in order of attempt, and the class.
 
-    Runs without a conclusion leave before neighbours are compared.
+    Runs without a conclusion leave before neighbours are compared; unknown attempts and times come first.
     """
-    order = Window.partitionBy("revision", "workflow").orderBy("attempt", "updated_at", "run_id")
+    order = Window.partitionBy("revision", "workflow").orderBy(F.coalesce("attempt", F.lit(0)), F.coalesce("updated_at", F.lit("")), "run_id")
     seen = runs.where("conclusion is not null").withColumn("before", F.lag("conclusion").over(order))
     decided = F.col("before").isin("failure", "success") & F.col("conclusion").isin("failure", "success")
     counts = seen.groupBy("revision", "workflow").agg(
@@ -27,13 +27,117 @@ def flake_classes(runs: DataFrame) -> DataFrame:
     return counts.withColumn("flake_class", kind)
 
 
+MOST = 2  #: Paths are counted to two: what matters is whether there is exactly one.
+
+
+def jumps(edges: DataFrame, longest: int) -> tuple[list[DataFrame], DataFrame, DataFrame | None]:
+    """Jump tables of a commit graph, its generations, and the workflows whose graph has a cycle (None without any).
+
+    ``edges``: workflow, at, to (a parent). Table k has a row (workflow, at, to, n, mid) for commits that are 2^k steps
+    apart: n paths, and if it is one, the commit in its middle. The generation of a commit is the length of the longest
+    walk from it to a root. ``longest``: commits of the largest workflow; a walk of more steps is one in a cycle.
+    """
+    nodes = edges.select("workflow", F.explode(F.array("at", "to")).alias("node")).distinct()
+    generation = cut(nodes.withColumn("generation", F.lit(0).cast("long")))
+    tables = [cut(edges.select("workflow", "at", "to", F.lit(1).alias("n"), F.lit(None).cast("string").alias("mid")))]
+    while not tables[-1].isEmpty():
+        step = 2 ** (len(tables) - 1)
+        if step > longest:
+            return tables[:-1], generation, tables[-1].select("workflow").distinct()
+        here, there = tables[-1].alias("x"), tables[-1].select("workflow", F.col("at").alias("to"), F.col("to").alias("end"), F.col("n").alias("m"))
+        further = here.join(generation.select("workflow", F.col("node").alias("to"), F.col("generation").alias("g")), ["workflow", "to"])
+        further = further.groupBy("workflow", F.col("at").alias("node")).agg((F.max("g") + step).alias("g"))
+        generation = cut(generation.join(further, ["workflow", "node"], "left").select("workflow", "node", F.greatest("generation", F.coalesce("g", F.lit(0))).alias("generation")))
+        twice = here.join(there, ["workflow", "to"]).groupBy("workflow", "at", "end")
+        twice = twice.agg(F.least(F.lit(MOST), F.sum(F.col("n") * F.col("m"))).cast("int").alias("n"), F.min("to").alias("mid"))
+        tables.append(cut(twice.select("workflow", "at", F.col("end").alias("to"), "n", "mid")))
+    return tables[:-1], generation, None
+
+
+def counted_paths(tables: list[DataFrame], goals: DataFrame, within=None, settled=None) -> DataFrame:
+    """(workflow, at, goal, n, far, level, via) for all commits that a goal can be reached from.
+
+    ``goals``: workflow, goal. n paths (to two); if it is one, it has ``far`` steps, and begins with a jump of 2^level
+    steps to ``via`` (level -1: none). Round k adds the paths of 2^k to 2^(k+1) - 1 steps as a jump and a shorter path.
+    ``within`` may filter what a round adds; ``settled(found, steps)`` may name goals that need no longer paths.
+    """
+    found = cut(goals.select("workflow", F.col("goal").alias("at"), "goal", F.lit(1).alias("n"), F.lit(0).cast("long").alias("far"), F.lit(-1).alias("level"), F.lit(None).cast("string").alias("via")))
+    done = None
+    for k, table in enumerate(tables):
+        jump = table.select("workflow", F.col("at").alias("from"), F.col("to").alias("at"), F.col("n").alias("m"))
+        longer = found.join(jump, ["workflow", "at"]).select("workflow", F.col("from").alias("at"), "goal", F.least(F.lit(MOST), F.col("n") * F.col("m")).alias("n"), (F.col("far") + 2**k).alias("far"), F.lit(k).alias("level"), F.col("at").alias("via"))
+        both = found.unionByName(within(longer) if within else longer).groupBy("workflow", "at", "goal")
+        found = cut(both.agg(F.least(F.lit(MOST), F.sum("n")).cast("int").alias("n"), F.min("far").alias("far"), F.max("level").alias("level"), F.min("via").alias("via")))
+        if settled is not None and k + 1 < len(tables):
+            ready = cut(settled(found, 2 ** (k + 1)))
+            out = found.join(ready, ["workflow", "goal"], "left_semi")
+            done = out if done is None else done.unionByName(out)
+            found = found.join(ready, ["workflow", "goal"], "left_anti")
+    return found if done is None else done.unionByName(found)
+
+
+def spelled(pairs: DataFrame, found: DataFrame, tables: list[DataFrame]) -> DataFrame:
+    """(workflow, before, after, path) of pairs that one path joins, from the jumps that it is made of.
+
+    From the largest jumps down, each is split in its middle, until single steps with their place in the path are left.
+    """
+    key = ["workflow", "before", "after"]
+    origin = cut(found.where("n = 1 and level >= 0").select("workflow", F.col("goal").alias("before"), "at", "level", "via"))
+    heads = pairs.select(*key, F.col("after").alias("at"), F.lit(0).cast("long").alias("place"))
+    parts = None
+    for k in reversed(range(len(tables))):
+        step = 2**k
+        if parts is not None:
+            middle = tables[k + 1].where("n = 1").select("workflow", "at", "to", "mid")
+            halves = F.explode(F.array(F.struct(F.col("at"), F.col("mid").alias("to"), F.col("place")), F.struct(F.col("mid").alias("at"), F.col("to"), (F.col("place") + step).alias("place"))))
+            parts = parts.join(middle, ["workflow", "at", "to"]).select(*key, halves.alias("h")).select(*key, "h.*")
+        first = origin.where(F.col("level") == k).drop("level")
+        heads = heads.join(first, ["workflow", "before", "at"], "left")
+        taken = heads.where("via is not null").select(*key, "at", F.col("via").alias("to"), "place")
+        parts = cut(taken if parts is None else parts.unionByName(taken))
+        heads = cut(heads.select(*key, F.coalesce("via", "at").alias("at"), (F.col("place") + F.when(F.col("via").isNull(), 0).otherwise(step)).alias("place")))
+    if parts is None:
+        return pairs.select(*key, F.array().cast("array<string>").alias("path"))
+    listed = parts.groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("place")).alias("place"), "at"))), lambda x: x["at"]).alias("path"))
+    return pairs.select(*key).join(listed, key, "left").select(*key, F.coalesce("path", F.array().cast("array<string>")).alias("path"))
+
+
+def graph_of(commits: DataFrame) -> tuple[DataFrame, int]:
+    """Edges (workflow, at, to) of a commit table, each once, and the commits of the largest workflow."""
+    edges = cut(commits.where("parent is not null").select("workflow", F.col("revision").alias("at"), F.col("parent").alias("to")).distinct())
+    return edges, edges.groupBy("workflow").count().agg(F.max("count")).first()[0] or 0
+
+
 def unique_paths(commits: DataFrame, wanted: DataFrame) -> DataFrame:
     """(workflow, before, after, path) for pairs whose commits are joined by exactly one chain of parents.
 
-    ``commits``: workflow, revision, parent (null at the root). ``wanted``: workflow, before, after. All walks go
-    from ``after`` towards the parents a step at a time and end at ``before``, at a root or at a cycle.
+    ``commits``: workflow, revision, parent (null at the root). ``wanted``: workflow, before, after. The path leaves out
+    ``before`` and ends in ``after``; equal ends have an empty path. Rounds grow with the logarithm of the longest path;
+    only commits between a goal and the highest generation of its wanted tips are counted. Workflows whose graph has a
+    cycle, which no history of commits has, are walked step by step.
+    """
+    wanted = cut(wanted.select("workflow", "before", "after").distinct())
+    edges, longest = graph_of(commits)
+    tables, generation, cyclic = jumps(edges, longest + 1)
+    acyclic = wanted if cyclic is None else wanted.join(cyclic, "workflow", "left_anti")
+    height = generation.select("workflow", F.col("node").alias("after"), "generation")
+    top = cut(acyclic.join(height, ["workflow", "after"], "left").groupBy("workflow", F.col("before").alias("goal")).agg(F.coalesce(F.max("generation"), F.lit(0)).alias("top")))
+
+    def within(longer: DataFrame) -> DataFrame:
+        """Commits above all tips of a goal lead to none of them, and leave."""
+        near = longer.join(height.withColumnRenamed("after", "at"), ["workflow", "at"]).join(top, ["workflow", "goal"])
+        return near.where("generation <= top").select(*longer.columns)
+
+    found = counted_paths(tables, top.select("workflow", "goal"), within)
+    one = found.where("n = 1").select("workflow", F.col("goal").alias("before"), F.col("at").alias("after")).join(acyclic, ["workflow", "before", "after"])
+    out = spelled(cut(one), found, tables)
+    return out if cyclic is None else out.unionByName(walked_paths(commits.join(cyclic, "workflow", "left_semi"), wanted.join(cyclic, "workflow", "left_semi")))
+
+
+def walked_paths(commits: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``unique_paths`` by walking from ``after`` towards the parents a step at a time; walks end where they meet themselves.
+
     Walks that meet in a commit are counted together, so merges don't multiply them: two are as good as many.
-    The path leaves out ``before`` and ends in ``after``; equal ends have an empty path.
     """
     edges = cut(commits.where("parent is not null").select("workflow", F.col("revision").alias("at"), "parent").distinct())
     key = ["workflow", "goal", "tip"]
@@ -42,27 +146,77 @@ def unique_paths(commits: DataFrame, wanted: DataFrame) -> DataFrame:
     hits = front.where("at = goal")
     while not front.isEmpty():
         walked = front.where("at != goal").join(edges, ["workflow", "at"]).where(~F.array_contains("path", F.col("parent")))
-        walked = walked.groupBy(*key, F.col("parent").alias("at")).agg(F.min(F.array_append("path", F.col("parent"))).alias("path"), F.least(F.lit(2), F.sum("n")).cast("int").alias("n"))
+        walked = walked.groupBy(*key, F.col("parent").alias("at")).agg(F.min(F.array_append("path", F.col("parent"))).alias("path"), F.least(F.lit(MOST), F.sum("n")).cast("int").alias("n"))
         front = cut(walked.select(*key, "at", "path", "n"))
         hits = cut(hits.unionByName(front.where("at = goal")))
     found = hits.groupBy(*key).agg(F.sum("n").alias("n"), F.min("path").alias("path")).where("n = 1")
     return found.select("workflow", F.col("goal").alias("before"), F.col("tip").alias("after"), F.reverse(F.slice("path", 1, F.size("path") - 1)).alias("path"))
 
 
-def next_runs(failures: DataFrame, runs: DataFrame, distances: DataFrame) -> DataFrame:
-    """(run_id, next_run_id, distance): for each failed run the next of its workflow — a later attempt at the same
-    revision first, else the run at the nearest descendant revision; ties by run id. ``distances``: workflow,
-    before, after, distance (commits on the unique path).
+def nearest_descendants(commits: DataFrame, failed: DataFrame, tested: DataFrame) -> DataFrame:
+    """(workflow, before, after, distance): for each failed revision the revisions among ``tested`` (workflow, revision)
+    that are nearest by a unique path; several if they are equally near.
 
-    A minimum over a struct decides, so candidates are combined before the shuffle.
+    Paths are counted for all goals at once, in rounds of doubled length. A goal leaves as soon as a pair is final (no
+    path can be longer than the difference of generations) and no pair that is still open could be nearer, so the work
+    depends on how far away the next run is, not on the length of the history.
+    """
+    goals = cut(failed.select("workflow", F.col("revision").alias("goal")).distinct())
+    edges, longest = graph_of(commits)
+    tables, generation, cyclic = jumps(edges, longest + 1)
+    height = cut(generation.select("workflow", F.col("node").alias("at"), "generation"))
+    tips = cut(tested.select("workflow", F.col("revision").alias("at")).distinct())
+
+    def settled(found: DataFrame, steps: int) -> DataFrame:
+        rows = found.where("n = 1 and far > 0").join(tips, ["workflow", "at"]).join(height, ["workflow", "at"])
+        rows = rows.join(height.select("workflow", F.col("at").alias("goal"), F.col("generation").alias("below")), ["workflow", "goal"])
+        final = F.col("generation") - F.col("below") < steps
+        best = rows.groupBy("workflow", "goal").agg(F.min(F.when(final, F.col("far"))).alias("nearest"), F.min(F.when(~final, F.col("far"))).alias("open"))
+        return best.where("nearest is not null and (open is null or open > nearest)").select("workflow", "goal")
+
+    acyclic = goals if cyclic is None else goals.join(cyclic, "workflow", "left_anti")
+    found = counted_paths(tables, acyclic, settled=settled).where("n = 1 and far > 0").join(tips, ["workflow", "at"])
+    out = found.select("workflow", F.col("goal").alias("before"), F.col("at").alias("after"), F.col("far").alias("distance"))
+    if cyclic is not None:
+        pairs = goals.join(cyclic, "workflow", "left_semi").select("workflow", F.col("goal").alias("before")).join(tips.select("workflow", F.col("at").alias("after")), "workflow")
+        walked = walked_paths(commits.join(cyclic, "workflow", "left_semi"), pairs)
+        out = out.unionByName(walked.select("workflow", "before", "after", F.size("path").cast("long").alias("distance")).where("distance > 0"))
+    best = out.groupBy("workflow", "before").agg(F.min("distance").alias("best"))
+    return out.join(best, ["workflow", "before"]).where("distance = best").drop("best")
+
+
+def known_attempt(attempt: Column) -> Column:
+    """An attempt from one on, else null: unknown."""
+    return F.when(attempt >= 1, attempt)
+
+
+def next_runs(failures: DataFrame, runs: DataFrame, nearest: DataFrame) -> DataFrame:
+    """(run_id, next_run_id, distance): for each failed run the next of its workflow: another run at the same revision
+    with a later attempt first, where an unknown attempt on either side counts as later; else a run at the nearest
+    descendant revision. Ties by attempt (unknown first) and run id; missing workflows or revisions are one of their kind.
+
+    ``failures`` are rows of ``runs``; ``nearest``: workflow, before, after, distance (commits on the unique path). Runs
+    of a revision meet as attempts, combined before the shuffle, never as pairs.
     """
-    f = failures.select("workflow", F.col("revision").alias("before"), F.col("attempt").alias("attempt0"), F.col("run_id").alias("failed_run"))
-    r = runs.select("workflow", F.col("revision").alias("after"), "attempt", "run_id")
-    same = f.join(r, (f.workflow == r.workflow) & (f.before == r.after) & (r.attempt > f.attempt0)).select("failed_run", F.struct(F.lit(0).alias("kind"), F.col("attempt").cast("long").alias("far"), "run_id").alias("c"))
-    first = r.groupBy("workflow", "after").agg(F.min("run_id").alias("run_id"))
-    near = distances.where("distance > 0").join(first, ["workflow", "after"])
-    later = f.join(near, ["workflow", "before"]).select("failed_run", F.struct(F.lit(1).alias("kind"), F.col("distance").cast("long").alias("far"), "run_id").alias("c"))
-    best = same.unionByName(later).groupBy("failed_run").agg(F.min("c").alias("c"))
+    f = failures.select("workflow", F.col("revision").alias("before"), known_attempt(F.col("attempt")).alias("attempt0"), F.col("run_id").alias("failed_run"))
+    r = runs.select(F.col("workflow").alias("w"), F.col("revision").alias("after"), known_attempt(F.col("attempt")).alias("attempt"), "run_id")
+    candidate = lambda kind, far, run: F.struct(F.lit(kind).alias("kind"), far.cast("long").alias("far"), run.alias("run_id"))
+    group = ["w", "after"]
+    here = F.col("workflow").eqNullSafe(F.col("w")) & F.col("before").eqNullSafe(F.col("after"))
+    first = r.groupBy(*group, "attempt").agg(F.min("run_id").alias("run_id"))
+    known = first.where("attempt is not null")
+    after_it = F.lead(candidate(0, F.col("attempt"), F.col("run_id"))).over(Window.partitionBy(*group).orderBy("attempt"))
+    lowest = known.groupBy(*group).agg(F.min(candidate(0, F.col("attempt"), F.col("run_id"))).alias("lowest"))
+    unknown = first.where("attempt is null").select(*group, F.col("run_id").alias("u1"))
+    second = r.where("attempt is null").join(unknown.select(F.col("w").alias("w1"), F.col("after").alias("a1"), "u1"), F.col("w").eqNullSafe(F.col("w1")) & F.col("after").eqNullSafe(F.col("a1"))).where("run_id != u1").groupBy(*group).agg(F.min("run_id").alias("u2"))
+    rows = f
+    for side, condition in ((unknown, here), (second, here), (lowest, here), (known.withColumn("next", after_it).drop("run_id"), here & (F.col("attempt0") == F.col("attempt")))):
+        rows = rows.join(side, condition, "left").drop("w", "after", "attempt")
+    other = F.when(F.col("u1") != F.col("failed_run"), F.col("u1")).otherwise(F.col("u2"))
+    same = F.when(other.isNotNull(), candidate(0, F.lit(0), other)).when(F.col("attempt0").isNull(), F.col("lowest")).otherwise(F.col("next"))
+    near = nearest.where("distance > 0").join(first.groupBy(F.col("w").alias("workflow"), "after").agg(F.min("run_id").alias("run_id")), ["workflow", "after"])
+    near = near.groupBy("workflow", "before").agg(F.min(candidate(1, F.col("distance"), F.col("run_id"))).alias("near"))
+    best = rows.select("workflow", "before", "failed_run", same.alias("same")).join(near, ["workflow", "before"], "left").withColumn("c", F.coalesce("same", "near")).where("c is not null")
     return best.select(F.col("failed_run").alias("run_id"), F.col("c.run_id").alias("next_run_id"), F.when(F.col("c.kind") == 0, F.lit(0).cast("long")).otherwise(F.col("c.far")).alias("distance"))
 
 

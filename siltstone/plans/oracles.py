@@ -108,11 +108,11 @@ learned as (select case when delivery % 83 = 0 then record_id || 'x' else record
   from records, (select unnest([0, 1]) as k) where delivery % 4 <> 0 and (k = 0 or delivery % 3 = 0)),
 snapshot as (select r.record_id, r.event_class, r.producer_id, o.superseded_by, l.effort_minutes from records r left join overlay o using (record_id) left join learned l on l.record_id = r.record_id
   where lifecycle_state not in ('RETRACTED', 'REJECTED', 'QUARANTINED'))"""
-RUNS = """runs as (select run_id, workflow, workflow || '-r' || cast((seq - 1) // 4 as varchar) as revision, (seq - 1) // 4 as number, (seq - 1) % 4 + 1 as attempt, conclusion, updated_at from runs_raw),
+RUNS = """runs as (select run_id, workflow, workflow || '-r' || cast((seq - 1) // 4 as varchar) as revision, (seq - 1) // 4 as number, case when run_id % 23 <> 0 then (seq - 1) % 4 + 1 end as attempt, conclusion, updated_at from runs_raw),
 revs as (select distinct workflow, number from runs),
 commits as (select workflow, workflow || '-r' || number as revision, case when number > 0 then workflow || '-r' || (number - 1) end as parent from revs
   union all select workflow, workflow || '-r' || number, workflow || '-r' || (number - 2) from revs where number % 5 = 0 and number > 0),
-wanted as (select workflow, workflow || '-r' || (number - k) as goal, workflow || '-r' || number as tip from revs, (select unnest([0, 1, 2, 3]) as k) where k <= number),
+wanted as (select a.workflow, a.workflow || '-r' || a.number as goal, b.workflow || '-r' || b.number as tip from revs a join revs b on a.workflow = b.workflow and a.number <= b.number),
 walk as (select workflow, goal, tip, tip as spot, [tip] as path, 0 as depth from wanted
   union all select w.workflow, w.goal, w.tip, c.parent, list_append(w.path, c.parent), w.depth + 1 from walk w join commits c on c.workflow = w.workflow and c.revision = w.spot
   where c.parent is not null and w.spot <> w.goal and not list_contains(w.path, c.parent)),
@@ -201,11 +201,11 @@ add("historical_projection", f"""with h as (select cast(o_orderkey as varchar) a
   case when k % 9 = 0 then 'inconclusive' when v = 'passed' then 'confirmed_true_positive' end as false_positive_disposition from h""")
 history = (runs_raw, RUNS)
 add("path_unique", "select workflow, before, after, array_to_string(path, '>') as path from paths", *history, recursive=True)
-add("flake_classes", """, s as (select *, lag(conclusion) over (partition by revision, workflow order by attempt, updated_at, run_id) as b from runs where conclusion is not null),
+add("flake_classes", """, s as (select *, lag(conclusion) over (partition by revision, workflow order by coalesce(attempt, 0), updated_at, run_id) as b from runs where conclusion is not null),
   c as (select revision, workflow, count(*) filter (b in ('failure', 'success') and conclusion in ('failure', 'success') and b <> conclusion) as alternations, count(*) filter (conclusion = 'failure') as failures,
   count(*) filter (conclusion = 'success') as successes, count(*) filter (conclusion in ('cancelled', 'timed_out')) as interrupted from s group by 1, 2)
   select *, case when alternations >= 2 then 'verified' when failures > 0 and successes > 0 then 'suspected' else 'none' end as flake_class from c""", *history, recursive=True)
-add("next_run", """, c as (select f.run_id, r.run_id as next_run_id, 0 as kind, r.attempt as far from runs f join runs r on r.workflow = f.workflow and r.revision = f.revision and r.attempt > f.attempt where f.conclusion = 'failure'
+add("next_run", """, c as (select f.run_id, r.run_id as next_run_id, 0 as kind, coalesce(r.attempt, 0) as far from runs f join runs r on r.workflow = f.workflow and r.revision = f.revision and r.run_id <> f.run_id and coalesce(r.attempt > f.attempt, true) where f.conclusion = 'failure'
   union all select f.run_id, r.run_id, 1, len(p.path) from runs f join paths p on p.workflow = f.workflow and p.before = f.revision and len(p.path) > 0 join runs r on r.workflow = f.workflow and r.revision = p.after where f.conclusion = 'failure')
   select run_id, next_run_id, cast(case when kind = 0 then 0 else far end as bigint) as distance from c qualify row_number() over (partition by run_id order by kind, far, next_run_id) = 1""", *history, recursive=True)
 add("evidence_graph", """select 'node' as part, 'run' as type, count(distinct run_id) as n from runs union all select 'node', 'workflow', count(distinct workflow) from runs
@@ -282,9 +282,9 @@ add("normalized_runs", """select cast(event_id as varchar) as provider_run_ref,
 add("hydrated_episodes", """with e as (select event_id as n, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') as t from events), r as (select n, t from e where n % 7 <> 0)
   select e.n as episode_id, coalesce(case when e.n % 3 <> 0 and (e.n % 2 = 0 or e.n % 5 <> 0) then e.t end, a.t) as failure_at, coalesce(case when e.n % 4 = 1 then e.t end, b.t) as repair_at, b.t as validated_at
   from e left join r a on a.n = e.n left join r b on b.n = e.n + 1""")
-add("episodes", """, fl as (select *, lag(conclusion) over (partition by revision, workflow order by attempt, updated_at, run_id) as b from runs where conclusion is not null),
+add("episodes", """, fl as (select *, lag(conclusion) over (partition by revision, workflow order by coalesce(attempt, 0), updated_at, run_id) as b from runs where conclusion is not null),
   fc as (select revision, workflow, case when count(*) filter (b in ('failure', 'success') and conclusion in ('failure', 'success') and b <> conclusion) >= 2 or (bool_or(conclusion = 'failure') and bool_or(conclusion = 'success')) then true else false end as flaky from fl group by 1, 2),
-  c as (select f.run_id, r.run_id as next_run_id, 0 as kind, r.attempt as far from runs f join runs r on r.workflow = f.workflow and r.revision = f.revision and r.attempt > f.attempt where f.conclusion = 'failure'
+  c as (select f.run_id, r.run_id as next_run_id, 0 as kind, coalesce(r.attempt, 0) as far from runs f join runs r on r.workflow = f.workflow and r.revision = f.revision and r.run_id <> f.run_id and coalesce(r.attempt > f.attempt, true) where f.conclusion = 'failure'
   union all select f.run_id, r.run_id, 1, len(p.path) from runs f join paths p on p.workflow = f.workflow and p.before = f.revision and len(p.path) > 0 join runs r on r.workflow = f.workflow and r.revision = p.after where f.conclusion = 'failure'),
   nx as (select run_id, next_run_id from c qualify row_number() over (partition by run_id order by kind, far, next_run_id) = 1),
   st as (select workflow, before, after, unnest(path) as revision from paths),
