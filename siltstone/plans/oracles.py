@@ -90,13 +90,17 @@ HITS = """case when regexp_matches({t}, '-----BEGIN [A-Z ]*PRIVATE KEY-----') th
 DELIVERED = """delivered as (select *, sha256('note:' || note) as payload_hash,
   'cr_' || sha256('{"event_class":"' || event_class || '","payload_hash":"' || sha256('note:' || note) || '","producer_contract":"' || producer_contract || '","producer_id":"' || producer_id || '","snapshot_or_run_id":"' || snapshot_or_run_id || '"}') as record_id from deliveries)"""
 JUDGED = (
-    """reasons as (select *, case when event_class = 'weather' or event_id is null then 'invalid_schema'
-  when producer_id not in ('sdk', 'resolver') then 'unknown_producer'
-  when event_class <> (case producer_id when 'sdk' then 'static_finding' else 'repair_attempt' end) then 'incompatible_producer_contract'
-  when producer_contract <> (case producer_id when 'sdk' then 'finding-bundle/v1' else 'resolver-feedback/v1' end) then 'incompatible_producer_contract'
-  when sdk_contract is distinct from (case producer_id when 'sdk' then 'sdk/v1' end) then 'incompatible_sdk_contract'
-  when coalesce(HITS) is not null then 'sensitive_content' end as reason from delivered),
-judged as (select *, case when reason is not null then 'quarantined' when delivery = min(delivery) filter (reason is null) over (partition by record_id) then 'accepted' else 'duplicate' end as disposition from reasons)"""
+    """hashed as (select *, sha256(payload_json) as hash, k.* from deliveries, lateral (select delivery % 97 = 5 or (delivery % 97 = 6 and delivery % 113 <> 11) as malformed,
+    event_class = 'weather' or event_id is null or delivery % 107 = 9 or delivery % 109 = 10 or delivery % 113 = 11 as wrong) k),
+  named as (select *, 'cr_' || sha256('{"event_class":"' || event_class || '","payload_hash":"' || hash || '","producer_contract":"' || producer_contract || '","producer_id":"' || producer_id || '","snapshot_or_run_id":"' || snapshot_or_run_id || '"}') as rid from hashed),
+  stored as (select rid, min(case when delivery % 100 = 0 then 'another' else hash end) as old from named where delivery % 50 = 0 group by 1),
+  reasons as (select n.delivery, case when not malformed and not wrong then n.rid end as record_id, old is not null as known, case when malformed then 'malformed_event' when wrong then 'invalid_schema'
+    when producer_id not in ('sdk', 'resolver') then 'unknown_producer'
+    when event_class <> (case producer_id when 'sdk' then 'static_finding' else 'repair_attempt' end) then 'incompatible_producer_contract'
+    when producer_contract <> (case producer_id when 'sdk' then 'finding-bundle/v1' else 'resolver-feedback/v1' end) then 'incompatible_producer_contract'
+    when sdk_contract is distinct from (case producer_id when 'sdk' then 'sdk/v1' end) then 'incompatible_sdk_contract'
+    when delivery % 101 = 7 then 'redaction_required' when coalesce(HITS) is not null or delivery % 103 = 8 then 'sensitive_content' when old <> hash then 'fingerprint_collision' end as reason from named n left join stored s on s.rid = n.rid),
+judged as (select *, case when reason is not null then 'quarantined' when not known and delivery = min(delivery) filter (reason is null) over (partition by record_id) then 'accepted' else 'duplicate' end as disposition from reasons)"""
 ).replace("HITS", HITS.format(t="note"))
 RECORDS = """firsts as (select * from delivered where event_id is not null qualify row_number() over (partition by record_id order by delivery) = 1),
 records as (select record_id, event_id as source_event_id, producer_id, event_class, producer_contract, payload_hash, delivery,
@@ -163,9 +167,30 @@ add("surface_domain", """select surface, outcome_class, case surface when 'CI' t
 add("outcome_dedup", """, rows as (select pack_id || ':' || canonical_rule_id || ':' || surface as outcome_id, outcome_key as delivery, outcome_class from outcomes),
   ranked as (select *, first_value(delivery) over w as d0, first_value(outcome_class) over w as c0 from rows window w as (partition by outcome_id order by delivery, sha256(outcome_class)))
   select outcome_id, delivery, case when delivery = d0 then 'accepted' when outcome_class = c0 then 'duplicate' else 'conflict' end as status from ranked""", outcomes)
-judged = (deliveries, DELIVERED, JUDGED)
+judged = (deliveries, JUDGED)
 add("ingest_dispositions", "select delivery, record_id, reason, disposition from judged", *judged)
 add("ledger_counts", "select disposition, reason, count(*) as n, count(distinct record_id) as records from judged group by all", *judged)
+CLASSES = "static_finding, CI_failure_classification, repair_attempt, verification_outcome, editor_diagnostic_outcome, false_positive_disposition, gate_outcome"
+add("envelope_errors", f""", e as (select delivery, unnest([case when delivery % 107 = 9 then {{'path': '', 'message': 'has unknown fields colour'}} end, case when event_class = 'weather' then {{'path': 'event_class', 'message': 'is none of {CLASSES}'}} end,
+  case when event_id is null then {{'path': 'event_id', 'message': 'is not of type string, but null'}} end, case when delivery % 113 = 11 then {{'path': 'payload', 'message': 'is not of type object, but array'}} end,
+  case when delivery % 109 = 10 then {{'path': 'unknowns/0/reason', 'message': 'is none of not_observed, not_applicable, producer_did_not_emit, redacted, incompatible_version, unavailable'}} end]) as x from deliveries where delivery % 97 <> 5 and (delivery % 97 <> 6 or delivery % 113 = 11))
+  select delivery, x.path as path, x.message as message from e where x is not null union all select delivery, '', 'is malformed' from deliveries where delivery % 97 = 5 or (delivery % 97 = 6 and delivery % 113 <> 11)""", deliveries)
+add("learning_projection", f"""with l as (select l_orderkey as k, nullif(case when l_partkey % 5 <> 0 then 'rule_' || (l_partkey % 50) end, '') as rule, case when l_suppkey % 7 <> 0 then 'fp' || l_suppkey else l_orderkey || '-' || l_linenumber end as fp, case when l_quantity > 10 then 'src/' || l_returnflag end as component from lineitem),
+  o as (select o_orderkey as k, case when o_orderkey % 9 <> 0 then 'repo_' || (o_orderkey % 40) end as repo, * from orders),
+  h as (select *, case when k % 5 <> 0 then 'h' || (k % 77) end as id, case when k % 7 < 3 then 'canonical' when k % 7 < 6 then 'historical' end as authority, case when k % 11 <> 0 then ['clean_verified', 'target_failure_resolved', 'repeated_failure', 'new_failure', 'partial_resolution', 'outcome_unknown', 'unresolved', 'unheard_of'][k % 8 + 1] end as said,
+    case when k % 11 <> 0 then ['passed', 'passed', 'failed', 'failed', 'unknown', 'unknown', 'unknown', 'unknown'][k % 8 + 1] end as v from o where k % 3 = 1),
+  f as (select *, case when o_custkey % 9 <> 0 then 'f' || (o_custkey % 100) end as id, case k % 4 when 0 then 'passed' when 1 then 'failed' when 2 then 'flaky' end as said from o where k % 3 = 0),
+  u as (select 'b-' || k as record_id, 'finding-bundle/v1' as producer_contract, case when k % 9 <> 0 then 'repo_' || (k % 40) end as repo, case when rule is not null then sha256('rule' || {NUL} || rule) else sha256('producer-fingerprint' || {NUL} || fp) end as recurrence_fingerprint, rule as canonical_rule_id, component,
+      null as remediation_class, null as validation_outcome, null as false_positive_disposition, [case when k % 9 = 0 then 'scope is record-local: no repository' end, case when rule is null then 'recurrence is of the instance: no rule' end] as notes from l
+    union all select 'f-' || k, 'resolver-feedback/v1', repo, case when id is not null then sha256('failure' || {NUL} || id) else sha256('record' || {NUL} || 'f-' || k) end, null, null, case when o_orderstatus = 'O' then 'code_change' end, case said when 'flaky' then 'unknown' else said end, null,
+      [case when repo is null then 'scope is record-local: no repository' end, case when id is null then 'recurrence is record-local: no failure' end, case when said = 'flaky' then 'result unknown: flaky' end, case when k % 5 = 0 then 'effort is a bucket' end] from f
+    union all select 'h-' || k, 'historical-resolution/v1', repo, case when id is not null then sha256('failure' || {NUL} || id) else sha256('record' || {NUL} || 'h-' || k) end, case when authority = 'canonical' then id end, null, case when k % 2 = 0 then 'code_change' end, v,
+      case when k % 9 = 0 then 'inconclusive' when v = 'passed' then 'confirmed_true_positive' end, [case when repo is null then 'scope is record-local: no repository' end, case when id is null then 'recurrence is record-local: no failure' end,
+      case when authority = 'historical' then 'rule unknown: authority historical' end, case when said in ('partial_resolution', 'unheard_of') then 'outcome unknown: ' || said end, case when k % 9 = 0 then 'suspected flake: no repair credit' end, 'effort is unknown: reconstructed'] from h
+    union all select 'g-' || k, 'gate-outcome/v1', repo, sha256('record' || {NUL} || 'g-' || k), null, null, null, null, null, [case when repo is null then 'scope is record-local: no repository' end, 'no projection for gate-outcome/v1'] from o where k % 3 = 2)
+  select record_id, 'p' as producer_id, 'static_finding' as event_class, producer_contract, coalesce(repo, 'record:' || record_id) as occurrence_scope, recurrence_fingerprint, canonical_rule_id,
+    case when producer_contract = 'historical-resolution/v1' then coalesce(repo, 'record:' || record_id) when producer_contract = 'gate-outcome/v1' then null else repo end as repository_identity, component, remediation_class, validation_outcome, false_positive_disposition, cast(null as bigint) as effort_minutes,
+    array_to_string(list_filter(notes, lambda x: x is not null), '; ') as limitations from u""")
 add("ledger_sequence", "select delivery, event_id, row_number() over (order by delivery) as sequence from deliveries", deliveries)
 add("ledger_gaps", """, s as (select row_number() over (order by delivery) as sequence from deliveries), e as (select * from s where sequence > 2 and sequence % 1000 not in (7, 20, 21, 22, 23, 24) union all select * from s where sequence % 1000 = 9)
   select sequence, 'repeated' as problem from e group by 1 having count(*) > 1 union all

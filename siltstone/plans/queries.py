@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from siltstone.functions import canonical
 from siltstone.operators import candidates as C
 from siltstone.operators import effectiveness as E
+from siltstone.operators import envelope as V
 from siltstone.operators import history as H
 from siltstone.operators import ingest as I
 from siltstone.operators import metrics as M
@@ -147,15 +148,63 @@ def deliveries(spark, sf_dir):
     return rows.withColumn("text", F.col("note")).withColumn("payload_hash", F.sha2(F.concat(F.lit("note:"), "note"), 256))
 
 
+def disposed(spark, sf_dir):
+    """Deliveries against a store that has some of their records already, a few of those with another payload."""
+    rows = view(spark, sf_dir, "deliveries")
+    old = rows.where("delivery % 50 = 0").withColumn("payload_hash", F.sha2("payload_json", 256))
+    old = old.select(I.record_id(old).alias("record_id"), F.when(F.col("delivery") % 100 == 0, "another").otherwise(F.col("payload_hash")).alias("payload_hash"))
+    return V.dispositions(rows.select("delivery", "document"), I.registry(spark), old.where("record_id is not null"))
+
+
 @query
 def ingest_dispositions(spark, sf_dir):
-    return I.dispositions(deliveries(spark, sf_dir), I.registry(spark)).select("delivery", "record_id", "reason", "disposition")
+    return disposed(spark, sf_dir).select("delivery", "record_id", "reason", "disposition")
 
 
 @query
 def ledger_counts(spark, sf_dir):
-    rows = I.dispositions(deliveries(spark, sf_dir), I.registry(spark))
-    return rows.groupBy("disposition", "reason").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("record_id").alias("records"))
+    return disposed(spark, sf_dir).groupBy("disposition", "reason").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("record_id").alias("records"))
+
+
+@query
+def envelope_errors(spark, sf_dir):
+    return V.validation_errors(view(spark, sf_dir, "deliveries").select("delivery", "document"))
+
+
+def json_text(**fields) -> F.Column:
+    """A JSON object of text fields, without those that are null."""
+    return F.to_json(F.struct(*(c.alias(n) for n, c in fields.items())))
+
+
+def contract_events(spark, sf_dir):
+    """Accepted events of four contracts: bundles from order lines, feedback, history and a gate's outcome from orders."""
+    lines = table(spark, sf_dir, "lineitem")
+    place = F.when(F.col("l_quantity") > 10, F.array(F.struct(F.concat(F.lit("src/"), F.col("l_returnflag")).alias("normalized_path"))))
+    one = F.struct(
+        F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("finding_id"),
+        F.when(F.col("l_partkey") % 5 != 0, F.concat(F.lit("rule_"), (F.col("l_partkey") % 50).cast("string"))).otherwise(F.when(F.col("l_partkey") % 2 == 0, "")).alias("canonical_rule_id"),
+        F.when(F.col("l_suppkey") % 7 != 0, F.concat(F.lit("fp"), F.col("l_suppkey").cast("string"))).alias("fingerprint"), place.alias("locations"))
+    repo = lambda k: F.when(k % 9 != 0, F.concat(F.lit("repo_"), (k % 40).cast("string")))
+    bundles = lines.groupBy("l_orderkey").agg(F.collect_list(one).alias("findings"))
+    event = lambda prefix, k, contract, payload: (F.concat(F.lit(prefix), k.cast("string")).alias("record_id"), F.lit("p").alias("producer_id"), F.lit("static_finding").alias("event_class"), F.lit(contract).alias("producer_contract"), payload.alias("payload"))
+    out = bundles.select(*event("b-", F.col("l_orderkey"), V.SDK, json_text(bundle=F.struct("findings"), repository_pseudonym=repo(F.col("l_orderkey")))))
+    orders, k = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    feedback = json_text(
+        failure=F.struct(F.when(F.col("o_custkey") % 9 != 0, F.concat(F.lit("f"), (F.col("o_custkey") % 100).cast("string"))).alias("fingerprint")), resolution=F.struct(F.when(F.col("o_orderstatus") == "O", "code_change").alias("remediation_class")),
+        validation=F.struct(F.when(k % 4 == 0, "passed").when(k % 4 == 1, "failed").when(k % 4 == 2, "flaky").alias("result"), F.when(k % 5 == 0, "short").alias("duration_bucket")), repository_pseudonym=repo(k))
+    names = ["clean_verified", "target_failure_resolved", "repeated_failure", "new_failure", "partial_resolution", "outcome_unknown", "unresolved", "unheard_of"]
+    past = json_text(
+        failure=F.struct(F.when(k % 5 != 0, F.concat(F.lit("h"), (k % 77).cast("string"))).alias("semantic_failure_identity"), F.when(k % 7 < 3, "canonical").when(k % 7 < 6, "historical").alias("identity_authority")),
+        intervention=F.struct(F.when(k % 2 == 0, "code_change").alias("remediation_class")), validation=F.struct(F.when(k % 11 != 0, F.element_at(F.array(*map(F.lit, names)), (k % 8 + 1).cast("int"))).alias("outcome")),
+        historical_evidence=F.struct((k % 9 == 0).alias("suspected_flake")), repository_identity=repo(k))
+    for prefix, left, contract, payload in (("f-", 0, V.RESOLVER, feedback), ("h-", 1, V.HISTORY, past), ("g-", 2, "gate-outcome/v1", json_text(repository_pseudonym=repo(k)))):
+        out = out.unionByName(orders.where(k % 3 == left).select(*event(prefix, k, contract, payload)))
+    return out
+
+
+@query
+def learning_projection(spark, sf_dir):
+    return V.observations(contract_events(spark, sf_dir)).withColumn("limitations", F.array_join("limitations", "; "))
 
 
 @query

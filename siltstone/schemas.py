@@ -35,6 +35,42 @@ REGISTRY = (
     ("triage", "disposition/v1", None, "planned", "false_positive_disposition"),
 )
 
+# What an event document must be like.
+ENVELOPE_RULES = {
+    "type": "object",
+    "additionalProperties": False,
+    "required": ["schema_version", "producer_id", "producer_contract", "event_id", "event_class", "event_time", "snapshot_or_run_id", "redaction_status", "limitations", "payload"],
+    "properties": {
+        "schema_version": {"const": "corpus-event/v1"},
+        "producer_id": {"type": "string", "minLength": 1, "maxLength": 255},
+        "producer_contract": {"type": "string", "minLength": 1, "maxLength": 255},
+        "sdk_contract": {"type": ["string", "null"]},
+        "event_id": {"type": "string", "pattern": "^[A-Za-z0-9][A-Za-z0-9._:-]{0,255}$"},
+        "event_class": {"enum": list(EVENT_CLASSES)},
+        "event_time": {"type": "string", "pattern": r"^\d{4}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])[Tt]([01]\d|2[0-3]):[0-5]\d:([0-5]\d|60)(\.\d+)?([Zz]|[+-]([01]\d|2[0-3]):[0-5]\d)$"},
+        "snapshot_or_run_id": {"type": "string", "minLength": 1, "maxLength": 512},
+        "redaction_status": {"enum": list(REDACTION_STATES)},
+        "limitations": {"type": "array", "items": {"type": "string", "minLength": 1}, "uniqueItems": True},
+        "unknowns": {
+            "type": "array",
+            "items": {
+                "type": "object",
+                "additionalProperties": False,
+                "required": ["field", "reason"],
+                "properties": {"field": {"type": "string", "minLength": 1}, "reason": {"enum": ["not_observed", "not_applicable", "producer_did_not_emit", "redacted", "incompatible_version", "unavailable"]}},
+            },
+        },
+        "lineage": {
+            "type": "object",
+            "additionalProperties": False,
+            "required": ["producer_event_hash"],
+            "properties": {"producer_event_hash": {"type": "string", "pattern": "^[0-9a-f]{64}$"}, "parent_event_ids": {"type": "array", "items": {"type": "string", "minLength": 1}, "uniqueItems": True}},
+        },
+        "payload": {"type": "object"},
+    },
+}
+
+# Columns and documents of the data model.
 LEARNING_COLUMNS = ("occurrence_scope", "recurrence_fingerprint", "canonical_rule_id", "repository_identity", "component", "remediation_class", "effort_minutes", "validation_outcome", "false_positive_disposition", "pack_version")
 RECORD_COLUMNS = ("record_id", "source_event_id", "producer_id", "event_class", "lifecycle_state", "redaction_status", "producer_contract", "payload_content_hash", "limitations_json", "superseded_by", "source_record_hash")
 

@@ -86,6 +86,20 @@ def outcome_columns(d: Dialect) -> dict[str, str]:
 def delivery_columns(d: Dialect) -> dict[str, str]:
     """Deliveries of corpus events, made from orders: some malformed, incompatible, sensitive or repeated."""
     k = "o_orderkey"
+    quoted = lambda c: f"case when {c} is null then 'null' else concat('\"', {c}, '\"') end"
+    flat = plain_delivery(d)
+    payload = f"case when {k} % 103 = 8 then concat('{{\"api_key\":\"x\",\"note\":\"', {flat['note']}, '\"}}') else concat('{{\"note\":\"', {flat['note']}, '\"}}') end"
+    said = [f"'{{\"schema_version\":\"corpus-event/v1\"'"]
+    said += [f"',\"{c}\":'" + f", {quoted('(' + flat[c] + ')')}" for c in ("producer_id", "producer_contract", "sdk_contract", "event_id", "event_class", "snapshot_or_run_id")]
+    said += [f"',\"event_time\":\"', {flat['observed_at']}, '\",\"limitations\":[\"b\",\"a\",\"b\"]'", f"',\"redaction_status\":\"', case when {k} % 101 = 7 then 'quarantine_required' else 'producer_redacted' end, '\"'"]
+    said += [f"case when {k} % 107 = 9 then ',\"colour\":\"red\"' else '' end", f"case when {k} % 109 = 10 then ',\"unknowns\":[{{\"field\":\"f\",\"reason\":\"why\"}}]' else '' end"]
+    said += [f"',\"payload\":', case when {k} % 113 = 11 then '[1]' when {k} % 97 = 6 then '{{\"v\":1.5}}' else {payload} end, '}}'"]
+    return flat | {"payload_json": payload, "document": f"case when {k} % 97 = 5 then '{{\"broken\":' else concat({', '.join(said)}) end"}
+
+
+def plain_delivery(d: Dialect) -> dict[str, str]:
+    """What the documents of the deliveries say, as columns."""
+    k = "o_orderkey"
     return {
         "delivery": f"{k}",
         "event_id": f"case when {k} % 41 = 0 then null else concat('ev-', {d.text(f'{k} - {k} % 7 * (case when {k} % 5 = 0 then 1 else 0 end)')}) end",

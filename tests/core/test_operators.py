@@ -206,17 +206,6 @@ def test_gaps_of_any_length_and_at_the_start(spark):
     assert ingest.ledger_gaps(spark.createDataFrame([], "sequence long")).collect() == []
 
 
-def test_dispositions_of_nulls_repeats_and_several_contracts(spark):
-    known = spark.createDataFrame([("p", "a/v1", "sdk/v1", "active", "static_finding"), ("p", "a/v2", "sdk/v2", "active", "static_finding"), ("q", "b/v1", None, "active", "repair_attempt"), ("r", "c/v1", None, "planned", "gate_outcome")], "r_producer string, r_contract string, r_sdk string, r_status string, r_class string")
-    good = ("e", "p", "a/v2", "sdk/v2", "static_finding", "run", "h", "rotate the token budget")
-    changed = lambda **k: tuple(k.get(n, v) for n, v in zip(("event_id", "producer_id", "producer_contract", "sdk_contract", "event_class", "snapshot_or_run_id", "payload_hash", "text"), good, strict=True))
-    rows = [(1, *good), (1, *good), (2, *good), (3, *changed(event_class=None)), (4, *changed(producer_contract=None)), (5, *changed(snapshot_or_run_id=None)), (6, *changed(producer_id="r")), (7, *changed(sdk_contract=None)), (8, *changed(producer_contract="b/v1")), (9, *changed(text="see /home/me/x")), (10, *changed(producer_id="q", producer_contract="b/v1", event_class="repair_attempt", sdk_contract="sdk/v9"))]
-    df = spark.createDataFrame(rows, "delivery long, event_id string, producer_id string, producer_contract string, sdk_contract string, event_class string, snapshot_or_run_id string, payload_hash string, text string")
-    got = sorted((r.delivery, r.disposition, r.reason or "") for r in ingest.dispositions(df, known).collect())
-    bad = {3: "invalid_schema", 4: "invalid_schema", 5: "invalid_schema", 6: "unknown_producer", 7: "incompatible_sdk_contract", 8: "incompatible_producer_contract", 9: "sensitive_content", 10: "incompatible_sdk_contract"}
-    assert got == sorted([(1, "accepted", ""), (1, "duplicate", ""), (2, "duplicate", ""), *((k, "quarantined", v) for k, v in bad.items())])
-
-
 def test_projections_of_nulls(spark):
     resolved = spark.createDataFrame([(1, "f", "passed"), (2, None, None), (3, " ", "odd")], "record_id long, failure_fingerprint string, validation_result string").withColumn("remediation_class", F.lit(None).cast("string"))
     got = {r.record_id: r for r in ingest.resolver_observations(resolved).collect()}
