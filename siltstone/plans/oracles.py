@@ -273,8 +273,11 @@ add("redaction_paths", """, n as (select delivery, note, event_id from deliverie
   select delivery, 'payload.note', 'sensitive_value' from n where delivery % 47 <> 0 and delivery % 53 <> 0 and delivery % 59 = 0 union all
   select delivery, 'payload.note', 'sensitive_value' from n where delivery % 47 <> 0 and delivery % 53 <> 0 and delivery % 59 <> 0 and delivery % 61 = 0""", deliveries)
 add("windowed_events", "select strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') as window_start, event_type, count(*) as n, round(sum(value), 4) as total from events group by 1, 2")
-add("streaming_ingest", """, r as (select sha256(event_id) as id, delivery, row_number() over (partition by event_id order by delivery) as k from deliveries where event_id is not null)
-  select 'accepted' as disposition, count(distinct id) as n, count(distinct id) as records from r union all select 'duplicate', count(*), count(distinct id) from r where k > 1""", deliveries)
+add("streaming_ingest", """, r as (select delivery, sha256(event_id) as id from deliveries union all select delivery, sha256(event_id) from deliveries where delivery % 20 = 0),
+  c as (select delivery, sha256(event_id) || case when delivery % 22 = 0 then 'x' else '' end as id from deliveries where delivery % 11 = 0 and event_id is not null),
+  o as (select id, max('r' || delivery) as last from c where id in (select id from r) group by 1)
+  select 'event' as kind, 'accepted' as disposition, count(distinct id) as n, count(distinct id) as records, null as last from r union all select 'event', 'duplicate', count(id) - count(distinct id), (select count(*) from (select id from r where id is not null group by 1 having count(*) > 1)), null from r
+  union all select 'event', 'quarantined', count(*), 0, null from r where id is null union all select 'correction', 'recorded', count(*), count(distinct id), null from c union all select 'overlay', 'superseded', count(*), count(*), max(last) from o""", deliveries)
 
 
 def hmac_sql(key: bytes, value: str) -> str:

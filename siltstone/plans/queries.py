@@ -475,20 +475,24 @@ def windowed_events(spark, sf_dir):
 
 @query
 def streaming_ingest(spark, sf_dir):
-    """Deliveries through the stream, written to a store in the shared folder, and the ledger's totals."""
+    """Deliveries through the stream to a store in the shared folder, a twentieth of them twice, with corrections of
+    records that come, that came, and that never do; the ledger's and the overlay's totals."""
     import uuid
 
     from siltstone.session import shared_folder
-
-    store = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
-    rows = deliveries(spark, sf_dir).where("event_id is not null")
-    rows = rows.select("delivery", F.sha2("event_id", 256).alias("record_id"))
-    rows.repartition(4, "delivery").write.parquet(f"{store}/source")
     from siltstone.streaming.ingest import ingest_stream
 
-    ingest_stream(spark, f"{store}/source", rows.schema, store, files_per_batch=2).awaitTermination()
-    ledger = spark.read.parquet(f"{store}/ledger")
-    return ledger.groupBy("disposition").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("record_id").alias("records"))
+    store = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    null = F.lit(None).cast("string")
+    rows = deliveries(spark, sf_dir).select("delivery", F.sha2("event_id", 256).alias("record_id"), null.alias("kind"), null.alias("replacement"))
+    target = F.when(F.col("delivery") % 22 == 0, F.concat("record_id", F.lit("x"))).otherwise(F.col("record_id"))
+    fixes = rows.where("delivery % 11 = 0 and record_id is not null").select("delivery", target.alias("record_id"), F.lit("correction").alias("kind"), F.concat(F.lit("r"), F.col("delivery").cast("string")).alias("replacement"))
+    for part in (fixes, rows.where("delivery % 20 = 0"), rows):
+        part.repartition(2, "delivery").write.mode("append").parquet(f"{store}/source")
+    ingest_stream(spark, f"{store}/source", rows.schema, store, files_per_batch=3).awaitTermination()
+    ledger = spark.read.parquet(f"{store}/ledger").select("kind", "disposition", "record_id", null.alias("superseded_by"))
+    overlay = spark.read.parquet(f"{store}/overlay").groupBy("kind", "disposition", "record_id").agg(F.max("superseded_by").alias("superseded_by"))
+    return ledger.unionByName(overlay).groupBy("kind", "disposition").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("record_id").alias("records"), F.max("superseded_by").alias("last"))
 
 
 REPOSITORY_KEY, PATH_KEY = b"a key of the test that is long enough", b"another key of the test, also long"

@@ -1,47 +1,105 @@
-"""Streaming ingestion: the batch operators on each micro-batch, with the store itself as state."""
+"""Streaming ingestion with state per record, and event-time windows.
+
+State is Spark's own: ``transformWithState`` keeps, for each record id, whether it was accepted and which corrections
+wait for it, checkpointed with the stream's offsets. A batch that is replayed after a failure starts from the state
+before it and writes the same folder again, so the effect is that of one run.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.types import StructType
+
+PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+LEDGER = "record_id string, delivery long, kind string, disposition string, superseded_by string"
+
+
+class Record(StatefulProcessor):
+    """One record: its first delivery is accepted, later ones are duplicates; corrections name what replaces it.
+
+    Rows of a key are read once and never kept, however many there are. A correction that comes before its record
+    waits, and takes effect with the record; of several the greatest replacement holds, as in the batch overlay.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.known = handle.getValueState("known", "accepted boolean, superseded_by string")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        (record,) = key
+        accepted, replaced = (self.known.get() or (False, None)) if self.known.exists() else (False, None)
+        was, before, first = accepted, replaced, None
+        for row in rows:
+            if row.kind == "correction":
+                if row.replacement is not None and row.replacement != record and (replaced is None or row.replacement > replaced):
+                    replaced = row.replacement
+                yield self.entry(record, row.delivery, "correction", "recorded", row.replacement)
+            elif accepted or (first is not None and self.later(row, first)):
+                yield self.entry(record, row.delivery, "event", "duplicate", None)
+            else:
+                if first is not None:
+                    yield self.entry(record, first.delivery, "event", "duplicate", None)
+                first = row
+        if first is not None:
+            accepted = True
+            yield self.entry(record, first.delivery, "event", "accepted", None)
+        if accepted and replaced is not None and (not was or replaced != before):
+            yield self.entry(record, None, "overlay", "superseded", replaced)
+        if (accepted, replaced) != (was, before):
+            self.known.update((accepted, replaced))
+
+    def handleInitialState(self, key: tuple, initialState: Row, timerValues) -> None:
+        self.known.update((True, initialState.superseded_by))
+
+    @staticmethod
+    def later(row: Row, first: Row) -> bool:
+        return row.delivery is not None and (first.delivery is None or row.delivery >= first.delivery)
+
+    @staticmethod
+    def entry(record, delivery, kind, disposition, replacement) -> Row:
+        return Row(record_id=record, delivery=delivery, kind=kind, disposition=disposition, superseded_by=replacement)
+
+    def close(self) -> None:
+        pass
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a folder has data, by Spark's own file system, so any store will do."""
-    jvm = spark.sparkContext._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+def marked(deliveries: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """Ledger entries of a stream of ``deliveries``: record_id, delivery, kind (event or correction; null is event) and
+    replacement. Without a record id a delivery is quarantined. ``stored``: record_id and superseded_by of records that
+    the store has from before the stream."""
+    rows = deliveries.select("record_id", F.col("delivery").cast("long").alias("delivery"), F.coalesce("kind", F.lit("event")).alias("kind"), "replacement")
+    nameless = rows.where("record_id is null").select("record_id", "delivery", "kind", F.lit("quarantined").alias("disposition"), F.lit(None).cast("string").alias("superseded_by"))
+    initial = None if stored is None else stored.select("record_id", "superseded_by").groupBy("record_id")
+    named = rows.where("record_id is not null").groupBy("record_id")
+    return named.transformWithState(Record(), LEDGER, "append", "none", initial).unionByName(nameless)
 
 
-def ingest_stream(spark: SparkSession, source: str, schema, store: str, id_column: str = "record_id", files_per_batch: int = 8) -> StreamingQuery:
-    """Ingest all files of ``source`` that aren't yet: new records are appended to ``store``/records, and every
-    delivery to ``store``/ledger as accepted or duplicate.
+def ingest_stream(spark: SparkSession, source: str, schema, store: str, id_column: str = "record_id", files_per_batch: int = 8, stored: DataFrame | None = None) -> StreamingQuery:
+    """Ingest all files of ``source`` that aren't yet. Every delivery gets a row in ``store``/ledger; accepted records go
+    to ``store``/records, what supersedes a record to ``store``/overlay (the greatest replacement holds).
 
-    A batch that is replayed after a failure writes to the same ledger folder again (batch number in its name)
-    and finds its own records by their batch, so the effect is that of one run.
+    ``schema`` has ``delivery`` and the id; ``kind`` and ``replacement``, if there, make a row a correction of its record.
     """
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
+    names = (schema if isinstance(schema, StructType) else StructType.fromDDL(schema)).fieldNames()
+    parts = {"ledger": "kind != 'overlay'", "records": "disposition = 'accepted'", "overlay": "kind = 'overlay'"}
 
     def write(batch: DataFrame, number: int) -> None:
-        session = batch.sparkSession
-        records = f"{store}/records"
-        numbered = batch.withColumn("batch", F.lit(number).cast("long"))
-        if exists(session, records):
-            known = session.read.parquet(records).where(F.col("batch") < number).select(id_column).distinct()
-        else:
-            known = numbered.select(id_column).limit(0)
-        first = numbered.groupBy(id_column).agg(F.min("delivery").alias("first_delivery"))
-        marked = numbered.join(first, id_column).join(known.withColumn("known", F.lit(True)), id_column, "left")
-        status = F.when(F.col("known") | (F.col("delivery") != F.col("first_delivery")), "duplicate").otherwise("accepted")
-        marked = marked.withColumn("disposition", status).drop("first_delivery", "known").persist()
+        batch = batch.withColumnRenamed("record_id", id_column).persist()
         try:
-            marked.select("delivery", id_column, "disposition").write.mode("overwrite").parquet(f"{store}/ledger/n={number}")
-            marked.where("disposition = 'accepted'").drop("disposition").write.mode("overwrite").parquet(f"{records}/n={number}")
+            for folder, condition in parts.items():
+                batch.where(condition).write.mode("overwrite").parquet(f"{store}/{folder}/n={number}")
         finally:
-            marked.unpersist()
+            batch.unpersist()
 
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{store}/checkpoint").trigger(availableNow=True).start()
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source).withColumnRenamed(id_column, "record_id")
+    for name in ("kind", "replacement"):
+        if name not in names:
+            stream = stream.withColumn(name, F.lit(None).cast("string"))
+    return marked(stream, stored).writeStream.foreachBatch(write).option("checkpointLocation", f"{store}/checkpoint").trigger(availableNow=True).start()
 
 
 def windowed_counts(events: DataFrame, length: str = "1 hour", late: str = "10 minutes") -> DataFrame:

@@ -52,6 +52,27 @@ def test_stream_equals_batch_after_redelivery(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/store/records").select("record_id").distinct().count() == 7
 
 
+def test_repeats_null_ids_and_corrections_in_any_order(spark, tmp_path):
+    schema = "delivery long, record_id string, kind string, replacement string"
+    batches = [
+        [(5, "a", None, None), (5, "a", None, None), (3, "a", None, None), (1, None, None, None), (2, None, None, None), (6, "late", "correction", "r1")],
+        [(7, "a", None, None), (8, "late", None, None), (9, "a", "correction", "r2"), (10, "a", "correction", "r1"), (None, "b", None, None)],
+        [(11, "a", "correction", "r1"), (12, "never", "correction", "r3"), (13, "b", None, None), (14, "b", "correction", None), (15, "old", None, None)],
+    ]
+    stored = spark.createDataFrame([("old", None)], "record_id string, superseded_by string")
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        ingest_stream(spark, f"{tmp_path}/in", schema, f"{tmp_path}/store", stored=stored).awaitTermination()
+    ledger = spark.read.parquet(f"{tmp_path}/store/ledger")
+    got = sorted((r.delivery or 0, r.record_id or "", r.disposition) for r in ledger.collect())
+    assert got == [
+        (0, "b", "accepted"), (1, "", "quarantined"), (2, "", "quarantined"), (3, "a", "accepted"), (5, "a", "duplicate"), (5, "a", "duplicate"), (6, "late", "recorded"), (7, "a", "duplicate"), (8, "late", "accepted"),
+        (9, "a", "recorded"), (10, "a", "recorded"), (11, "a", "recorded"), (12, "never", "recorded"), (13, "b", "duplicate"), (14, "b", "recorded"), (15, "old", "duplicate"),
+    ]
+    assert sorted((r.record_id, r.superseded_by) for r in spark.read.parquet(f"{tmp_path}/store/overlay").collect()) == [("a", "r2"), ("late", "r1")]
+    assert sorted(r.record_id for r in spark.read.parquet(f"{tmp_path}/store/records").collect()) == ["a", "b", "late"]
+
+
 def test_windows(spark):
     df = spark.createDataFrame([("2024-01-01 00:10:00", "a", 1.0), ("2024-01-01 00:50:00", "a", 2.0), ("2024-01-01 01:00:00", "a", 4.0)], "t string, event_type string, value double").withColumn("ts", F.to_timestamp("t"))
     assert sorted((r.n, r.total) for r in windowed_counts(df).collect()) == [(1, 4.0), (2, 3.0)]
