@@ -42,9 +42,11 @@ ROUNDS, HUBS, MANY = 1, 8, 4
 PARITIES = 1024
 CLOSE = 1e-9
 #: Texts whose shingles are in a worker's memory at once.
-AT_ONCE = 256
+AT_ONCE = 64
 #: About how many shingles a task packs at once.
-FLUSH = 1 << 19
+FLUSH = 1 << 18
+#: Packed rows unfold to several times their size in a task, so they go to so many times the usual partitions.
+PARTS = 2
 
 
 def parities(grams: np.ndarray) -> np.ndarray:
@@ -116,7 +118,7 @@ def runs(key: np.ndarray) -> Iterator[tuple[int, int]]:
 
 def frequent(df: DataFrame, share: float) -> np.ndarray:
     """Shingles (48 bits) that many documents have among the first ones by hash, ascending."""
-    parts = partitions(df.sparkSession)
+    parts = PARTS * partitions(df.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -178,7 +180,7 @@ def shared(df: DataFrame, last: np.ndarray, share: float) -> DataFrame:
     Tasks pack the rows for the part of each shingle, where those that one node alone has leave. Rows of ``last``
     shingles, of which one may be in any number of texts, are dealt by shingle and node and all stay.
     """
-    parts = partitions(df.sparkSession)
+    parts = PARTS * partitions(df.sparkSession)
     sent = df.sparkSession.sparkContext.broadcast(last)
     columns = ("gram", "node", "size", "place")
 
