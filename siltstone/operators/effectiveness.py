@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.functions.canonical import ratio
@@ -130,7 +130,9 @@ def drift(packs: DataFrame, key: str, period: str) -> DataFrame:
 
 def outcome_ingest(rows: DataFrame) -> DataFrame:
     """Outcomes by identity: the first delivery is accepted, equal ones are duplicates, and a differing document
-    under the same identity is a conflict, reported as a row."""
+    under the same identity is a conflict, reported as a row. Of repeated rows of the first delivery one is accepted."""
     first = rows.groupBy("outcome_id").agg(F.min(F.struct("delivery", "document_hash")).alias("first"))
-    status = F.when(F.col("delivery") == F.col("first.delivery"), "accepted").when(F.col("document_hash") == F.col("first.document_hash"), "duplicate").otherwise("conflict")
-    return rows.join(first, "outcome_id").select("outcome_id", "delivery", status.alias("status"))
+    again = F.row_number().over(Window.partitionBy("outcome_id", "delivery", "document_hash").orderBy("delivery"))
+    it = F.struct("delivery", "document_hash").eqNullSafe(F.col("first"))
+    status = F.when(it & (F.col("again") == 1), "accepted").when(F.col("document_hash").eqNullSafe(F.col("first.document_hash")), "duplicate").otherwise("conflict")
+    return rows.withColumn("again", again).join(first, "outcome_id").select("outcome_id", "delivery", status.alias("status"))

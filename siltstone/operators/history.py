@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.functions.canonical import set_digest
+from siltstone.functions.canonical import identity, set_digest
 from siltstone.session import cut
 
 
@@ -275,7 +275,8 @@ MATERIAL = ("multiple_commits_between_failure_and_success", "multiple_failure_fi
 
 
 def attribution(rows: DataFrame) -> DataFrame:
-    """``rows`` (with equivalence and confounders) with grade, attribution_class, outcome and evidence_completeness.
+    """``rows`` (with equivalence and confounders) with grade, attribution_class, outcome, evidence_completeness and
+    limitations; confounders gain what the case itself shows.
 
     The first case that holds decides: a rerun that passes, no equivalent validation, no intervention on record,
     no result; then the result names the outcome, and reruns and material confounders cap the grade. Flaky
@@ -312,13 +313,23 @@ def attribution(rows: DataFrame) -> DataFrame:
         .when((c("case") == "rerun") & (c("raw_outcome") == "clean_verified"), "outcome_unknown")
         .otherwise(c("raw_outcome"))
     )
-    out = out.withColumns({"grade": grade, "attribution_class": kind, "outcome": final, "evidence_completeness": F.least("completeness", pick(cap)), "suspected_flake": c("case") == "rerun_passed"})
+    # What a case adds to the confounders, and why it limits the attribution.
+    adds = {"rerun_passed": ("flaky_failure_pattern", "rerun_without_code_change"), "no_intervention": ("intervention_evidence_missing",), "rerun": ("rerun_without_code_change",)}
+    why = {"rerun_passed": "same revision fail/pass cannot receive repair credit", "no_intervention": "revision changed without complete intervention evidence", "no_result": "validation_outcome_unavailable", "rerun": "rerun without revision change carries no repair credit", "confounded": "material confounders cap attribution strength"}
+    none = F.array().cast("array<string>")
+    by_case = lambda values, default: F.coalesce(*(F.when(c("case") == k, F.array(*map(F.lit, v))) for k, v in values.items()), default)
+    unproved = F.array_sort(F.array_union("equivalence_reasons", F.array(F.lit("validation_equivalence_not_proved"))))
+    reasons = F.when(c("case") == "not_equivalent", unproved).otherwise(by_case({k: (v,) for k, v in why.items()}, none))
+    out = out.withColumns({"grade": grade, "attribution_class": kind, "outcome": final, "evidence_completeness": F.least("completeness", pick(cap)), "suspected_flake": c("case") == "rerun_passed", "limitations": reasons, "confounders": F.array_sort(F.array_union("confounders", by_case(adds, none)))})
     flaky = (F.coalesce("flake_class", F.lit("none")) != "none") & (c("outcome") == "clean_verified")
+    also = lambda name, text: F.when(flaky, F.array_sort(F.array_union(name, F.array(F.lit(text))))).otherwise(c(name))
     return out.withColumns({
         "grade": F.when(flaky, "U").otherwise(c("grade")),
         "attribution_class": F.when(flaky, "unresolved").otherwise(c("attribution_class")),
         "evidence_completeness": F.when(flaky, F.least(F.lit(50), c("evidence_completeness"))).otherwise(c("evidence_completeness")),
         "suspected_flake": c("suspected_flake") | flaky,
+        "confounders": also("confounders", "verified_flaky_failure"),
+        "limitations": also("limitations", "verified flaky failure cannot receive repair credit"),
         "outcome": F.when(flaky, "outcome_unknown").otherwise(c("outcome")),
     }).drop("case", "raw_outcome")
 
@@ -351,25 +362,34 @@ def graph_digest(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return rows.agg(F.count(F.lit(1)).alias("row_count"), set_digest(F.col("row")).alias("digest"))
 
 
-# What kind of change a path stands for, and patch lines that weaken a validation.
-TEST_PATH = r"(^|/)(tests?|__tests__|spec)/|(_test|\.test|\.spec|_spec)\.[a-z]+$|(^|/)test_[^/]*$"
+# What kind of change a path stands for, and added lines that skip a validation.
 WORKFLOW_PATH = r"^\.github/workflows/"
-ENVIRONMENT_PATH = r"(^|/)(Dockerfile|\.tool-versions|\.nvmrc|\.python-version|runtime\.txt|environment\.ya?ml)$"
-LOCK_PATH = r"(^|/)(package-lock\.json|yarn\.lock|pnpm-lock\.yaml|poetry\.lock|uv\.lock|Pipfile\.lock|Cargo\.lock|go\.sum|Gemfile\.lock)$"
-WEAKENING = {"validation_made_optional": r"^\+.*(continue-on-error:\s*true|\|\|\s*true)", "assertion_removed": r"^-\s*assert\b", "test_skipped": r"^\+.*(@pytest\.mark\.skip|\.skip\()"}
+TEST_PATH = r"(?i)^tests/|/tests/|_test\.py$|^test_"
+ENVIRONMENT_PATH = r"(?i)(^|/)(pyproject\.toml|poetry\.lock|uv\.lock|package-lock\.json|pnpm-lock\.yaml|yarn\.lock|requirements\.txt|dockerfile|requirements-[^/]*)$"
+LOCK_PATH = r"(?i)(\.lock|(^|/)(package-lock\.json|pnpm-lock\.yaml|yarn\.lock))$"
+SKIP_MARKERS = ("pytest.mark.skip", "pytest.mark.xfail", "pytest.skip(", "unittest.skip", "skiptests(", "if: false", "if: ${{ false }}")
+
+
+def change_flags(files: Column) -> dict[str, Column]:
+    """What a change touches and how it weakens checks, from its files (array of path, status, patch; null: not observed)."""
+    seen = F.coalesce(files, F.array().cast("array<struct<path:string,status:string,patch:string>>"))
+    touches = lambda pattern: F.exists(seen, lambda f: f["path"].rlike(pattern))
+    removed = F.exists(seen, lambda f: (f["status"] == "removed") & (f["path"].rlike(TEST_PATH) | f["path"].rlike(WORKFLOW_PATH)))
+    added = F.filter(F.flatten(F.transform(seen, lambda f: F.split(F.coalesce(f["patch"], F.lit("")), r"\r\n|\r|\n"))), lambda x: F.startswith(x, F.lit("+")) & ~F.startswith(x, F.lit("+++")))
+    marked = lambda x: F.array(*(F.contains(F.lower(x), F.lit(m)) for m in SKIP_MARKERS))
+    skips = F.exists(added, lambda x: F.array_contains(marked(x), True))
+    names = ((removed, "validation_file_removed"), (skips, "validation_skip_added"), (files.isNull(), "files_unobserved"))
+    rows = F.array_sort(F.transform(seen, lambda f: F.struct(f["path"].alias("path"), F.coalesce(f["status"], F.lit("unknown")).alias("status"), f["patch"].alias("patch"))))
+    document = F.transform(rows, lambda f: F.to_json(F.struct(f["patch"].alias("patch"), f["path"].alias("path"), f["status"].alias("status")), {"ignoreNullFields": "false"}))
+    return {
+        "file_count": F.size(seen), "workflow_changed": touches(WORKFLOW_PATH), "test_changed": touches(TEST_PATH), "environment_changed": touches(ENVIRONMENT_PATH),
+        "lockfile_changed": touches(LOCK_PATH), "weakening": strings(*names), "change_fingerprint": F.sha2(F.concat(F.lit("["), F.array_join(document, ","), F.lit("]")), 256),
+    }
 
 
 def change_features(changes: DataFrame) -> DataFrame:
-    """Flags of a change from its files (array of path, patch): what it touches, and how its patches weaken checks."""
-    touches = lambda pattern: F.exists("files", lambda f: f["path"].rlike(pattern))
-    lines = F.flatten(F.transform("files", lambda f: F.split(F.coalesce(f["patch"], F.lit("")), "\n")))
-    in_a_line = lambda pattern: F.exists(lines, lambda line: line.rlike(pattern))
-    weak = F.array_compact(F.array(*(F.when(in_a_line(p), F.lit(name)) for name, p in sorted(WEAKENING.items()))))
-    paths = F.array_sort(F.transform("files", lambda f: f["path"]))
-    return changes.withColumns({
-        "file_count": F.size("files"), "workflow_changed": touches(WORKFLOW_PATH), "test_changed": touches(TEST_PATH), "environment_changed": touches(ENVIRONMENT_PATH),
-        "lockfile_changed": touches(LOCK_PATH), "weakening": weak, "change_fingerprint": F.sha2(F.array_join(paths, "\n"), 256),
-    })
+    """``changes`` with the flags of ``change_flags`` of their ``files``."""
+    return changes.withColumns(change_flags(F.col("files")))
 
 
 def normalized_runs(objects: DataFrame) -> DataFrame:
@@ -396,25 +416,91 @@ def hydrated(episodes: DataFrame, jobs: DataFrame, runs: DataFrame, commits: Dat
     return out.select("episode_id", F.coalesce("job_time", "before_time").alias("failure_at"), F.coalesce("committed_at", "after_time").alias("repair_at"), F.col("after_time").alias("validated_at"))
 
 
-def episodes(runs: DataFrame, transitions: DataFrame, changes: DataFrame, paths: DataFrame, flakes: DataFrame) -> DataFrame:
-    """Repair episodes: each failed run with the run after it, what changed on the path between, and what that proves.
+RAN = ("success", "failure", "cancelled", "timed_out")
+
+
+def step_became_skipped(before: Column, after: Column) -> Column:
+    """Whether a step that ran before is skipped after, by name; of steps of one name the last counts."""
+    last = lambda steps, name: F.try_element_at(F.filter(steps, lambda s: s["name"] == name), F.lit(-1))["state"]
+    return F.exists(after, lambda s: (last(after, s["name"]) == "skipped") & F.coalesce(last(F.filter(before, lambda b: b["name"] == s["name"]), s["name"]).isin(*RAN), F.lit(False)))
 
-    ``transitions``: run_id, next_run_id, distance. ``changes``: workflow, revision and the flags of the change.
-    ``paths``: workflow, before, after, path. ``flakes``: revision, workflow, flake_class.
+
+def episodes(seen: DataFrame) -> DataFrame:
+    """Repair episodes from the observations of ``objects.normalized``, a scope (a pull request) at a time: each failure
+    with the run after it, what changed on the path between, and what that proves.
+
+    The failures of both runs are compared by semantic identity: whether the target is still there, how many others are
+    new, how many there were before. Jobs are matched by name, steps by job, changes by the commits of the path; a commit
+    on the path without a change is missing evidence. Failures without run, job, name or identity, and those with no run
+    after them, give no episode.
     """
+    c = F.col
+    seen = cut(seen)
+    of = lambda kind: seen.where(c("kind") == kind)
+    latest = lambda rows, *keys: rows.groupBy(*keys).agg(F.max_by(F.struct(*rows.columns), "observation_id").alias("x")).select("x.*")
+    lane = F.concat_ws("\0", "scope", "workflow")
+    runs = cut(latest(of("ci_execution").where("execution_ref is not null"), "scope", "execution_ref").withColumn("lane", lane))
+    as_runs = runs.select(c("lane").alias("workflow"), "revision", "attempt", F.concat_ws("\0", "scope", "execution_ref").alias("run_id"), "conclusion", c("finished_at").alias("updated_at"), "scope", "execution_ref")
+    jobs = cut(of("ci_job").select("scope", "execution_ref", c("ref").alias("job_ref"), "name", "steps", "conclusion", "observation_id", "started_at", "finished_at"))
+    failures = of("failure").where("execution_ref is not null and ref is not null and name is not null and semantic_identity is not null")
+    commits = latest(of("commit").where("revision is not null"), "scope", "revision")
+    edges = commits.select(c("scope").alias("workflow"), "revision", F.explode_outer("parents").alias("parent"))
+    edges = cut(edges)
+    # Next runs, in lanes of scope and workflow; each lane has the commits of its scope.
+    lanes = runs.select("scope", "lane").distinct()
+    lane_edges = edges.join(lanes.withColumnRenamed("scope", "workflow"), "workflow").select(c("lane").alias("workflow"), "revision", "parent")
+    failed = failures.select("scope", "execution_ref").distinct().join(as_runs, ["scope", "execution_ref"])
+    near = nearest_descendants(lane_edges, failed.where("revision is not null"), as_runs.where("revision is not null"))
+    after = next_runs(failed, as_runs, near)
+    side = lambda rows, prefix: rows.select(*(c(n).alias(f"{prefix}_{n}") for n in ("run_id", "execution_ref", "revision", "conclusion", "attempt")), "scope")
+    pairs = after.select(c("run_id").alias("before_run_id"), c("next_run_id").alias("after_run_id")).join(side(as_runs, "before"), "before_run_id").join(side(as_runs, "after"), ["after_run_id", "scope"])
+    pairs = cut(pairs.where("before_revision is not null and after_revision is not null"))
+    # What changed on the way.
+    ways = unique_paths(edges, pairs.select(c("scope").alias("workflow"), c("before_revision").alias("before"), c("after_revision").alias("after")))
+    ways = cut(ways.select(c("workflow").alias("scope"), c("before").alias("before_revision"), c("after").alias("after_revision"), "path"))
+    ends = ["scope", "before_revision", "after_revision"]
+    changes = latest(of("change"), "scope", "revision").select("scope", "revision", "file_count", "workflow_changed", "environment_changed", "test_changed", "lockfile_changed", "is_merge", "weakening", "change_fingerprint", "finished_at")
     flags = ("workflow_changed", "environment_changed", "test_changed", "lockfile_changed", "is_merge")
-    first = runs.select("run_id", "workflow", F.col("revision").alias("before"), F.col("conclusion").alias("before_conclusion"))
-    then = runs.select(F.col("run_id").alias("next_run_id"), F.col("revision").alias("after"), F.col("conclusion").alias("after_conclusion"))
-    pairs = transitions.join(first, "run_id").join(then, "next_run_id")
-    steps = paths.select("workflow", "before", "after", F.explode("path").alias("revision")).join(changes, ["workflow", "revision"])
-    summed = steps.groupBy("workflow", "before", "after").agg(F.count(F.lit(1)).alias("change_count"), *(F.bool_or(f).alias(f) for f in flags))
-    rows = pairs.join(summed, ["workflow", "before", "after"], "left").join(flakes.select("workflow", F.col("revision").alias("before"), "flake_class"), ["workflow", "before"], "left")
+    steps = ways.select(*ends, F.posexplode("path").alias("place", "revision")).join(changes, ["scope", "revision"])
+    made = F.transform(F.array_sort(F.collect_list(F.struct("place", "change_fingerprint"))), lambda x: x["change_fingerprint"])
+    summed = steps.groupBy(*ends).agg(
+        F.count(F.lit(1)).alias("change_count"), F.bool_or(c("file_count") == 0).alias("empty_change"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("weakening")))).alias("weakening"),
+        F.sha2(F.concat(F.lit('["'), F.array_join(made, '","'), F.lit('"]')), 256).alias("change_fingerprint"), F.max(F.when(c("finished_at").isNotNull(), F.struct("place", "finished_at"))).alias("committed"), *(F.bool_or(f).alias(f) for f in flags))
+    # Failures of both runs by semantic identity, and jobs by name.
+    marks = failures.groupBy("scope", "execution_ref", "semantic_identity").agg(F.count(F.lit(1)).alias("n"))
+    whole = marks.groupBy("scope", "execution_ref").agg(F.sum("n").alias("all_failures"), F.count(F.lit(1)).alias("identities"))
+    broken = jobs.where("conclusion = 'failure'").groupBy("scope", "execution_ref").agg(F.count(F.lit(1)).alias("broken_jobs"))
+    named = jobs.groupBy("scope", "execution_ref", "name").agg(F.min_by(F.struct("observation_id", "steps", "conclusion", "name"), "observation_id").alias("after_job"))
+    then = lambda rows, *more: rows.withColumnsRenamed({"execution_ref": "after_execution_ref"} | dict(more))
+    rows = failures.select("scope", c("execution_ref").alias("before_execution_ref"), c("ref").alias("job_ref"), "name", "semantic_identity", "occurrence_identity", c("observation_id").alias("failure_id"))
+    rows = rows.join(jobs.select("scope", c("execution_ref").alias("before_execution_ref"), "job_ref", c("steps").alias("first_steps"), c("started_at").alias("job_started"), c("finished_at").alias("job_finished")), ["scope", "before_execution_ref", "job_ref"])
+    rows = rows.join(pairs, ["scope", "before_execution_ref"]).join(ways, ends, "left").join(summed, ends, "left")
+    rows = rows.join(whole.select("scope", c("execution_ref").alias("before_execution_ref"), c("identities").alias("before_failure_count")), ["scope", "before_execution_ref"])
+    for side_rows, keys in ((then(named), ["scope", "after_execution_ref", "name"]), (then(marks, ("n", "same_failures")), ["scope", "after_execution_ref", "semantic_identity"]), (then(whole).drop("identities"), ["scope", "after_execution_ref"]), (then(broken), ["scope", "after_execution_ref"])):
+        rows = rows.join(side_rows, keys, "left")
+    notes = seen.where("kind in ('pull_request', 'review_signal')").groupBy("scope").agg(
+        F.bool_or((c("kind") == "review_signal") & (c("name") == "base_ref_changed")).alias("rebased"), F.bool_or((c("kind") == "review_signal") & (c("name") == "head_ref_force_pushed")).alias("forced"),
+        F.bool_or((c("kind") == "pull_request") & (c("name") == "squash")).alias("squashed"), F.bool_or(c("kind") == "pull_request").alias("known"))
+    rows = rows.join(notes.where("known"), "scope")  # without the pull request there is no context
+    classes = flake_classes(as_runs).select(c("workflow").alias("lane"), c("revision").alias("before_revision"), "flake_class")
+    gaps = runs.select("scope", "execution_ref", F.array_contains("limitations", "provider_attempt_history_missing").alias("gap"))
+    rows = rows.join(runs.select("scope", c("execution_ref").alias("before_execution_ref"), "lane", c("workflow").alias("before_workflow")), ["scope", "before_execution_ref"]).join(classes, ["lane", "before_revision"], "left")
+    rows = rows.join(gaps.select("scope", c("execution_ref").alias("before_execution_ref"), c("gap").alias("gap0")), ["scope", "before_execution_ref"]).join(gaps.select("scope", c("execution_ref").alias("after_execution_ref"), c("gap").alias("gap1")), ["scope", "after_execution_ref"])
     no, none = F.lit(False), F.array().cast("array<string>")
-    same = F.col("before") == F.col("after")
-    rows = rows.withColumns({f: F.coalesce(f, no) for f in flags} | {
-        "change_count": F.coalesce("change_count", F.lit(0)), "same_revision": same, "before_workflow": F.col("workflow"), "after_workflow": F.col("workflow"), "before_job": F.lit("job"), "after_job": F.lit("job"),
-        "before_steps": F.array(F.lit("step")), "after_steps": F.array(F.lit("step")), "step_skipped": no, "weakening": none, "before_failure_count": F.lit(1), "attempt_history_missing": no, "extra_confounders": none,
-        "target_conclusion": F.col("after_conclusion"), "empty_change": no, "target_failure_present": F.coalesce(F.col("after_conclusion") == "failure", no), "new_failure_count": F.lit(0), "other_failure": no,
+    same = c("before_revision") == c("after_revision")
+    way = F.coalesce(F.size("path"), F.lit(0))
+    names = lambda steps: F.transform(F.coalesce(steps, F.array().cast("array<struct<name:string,state:string>>")), lambda s: s["name"])
+    other_broken = F.coalesce("broken_jobs", F.lit(0)) - F.when(c("after_job.conclusion") == "failure", 1).otherwise(0)
+    rows = rows.withColumns({f: F.coalesce(f, no) for f in (*flags, "empty_change")} | {
+        "change_count": F.coalesce("change_count", F.lit(0)), "weakening": F.coalesce("weakening", none), "same_revision": same, "after_workflow": c("before_workflow"), "before_job": c("name"),
+        "target_failure_present": F.coalesce("same_failures", F.lit(0)) > 0, "new_failure_count": F.coalesce("all_failures", F.lit(0)) - F.coalesce("same_failures", F.lit(0)), "other_failure": other_broken > 0,
+        "target_conclusion": c("after_job.conclusion"), "attempt_history_missing": F.coalesce("gap0", no) | F.coalesce("gap1", no), "before_steps": names(c("first_steps")), "after_steps": names(c("after_job.steps")),
+        "step_skipped": F.coalesce(step_became_skipped(F.coalesce("first_steps", F.from_json(F.lit("[]"), "array<struct<name:string,state:string>>")), c("after_job.steps")), no),
     })
-    out = attribution(confounders(equivalence(rows)))
-    return out.select("run_id", "next_run_id", "change_count", "grade", "attribution_class", "outcome", "evidence_completeness", "suspected_flake")
+    rows = rows.withColumn("extra_confounders", strings((c("rebased"), "base_branch_update"), (c("forced"), "force_updated_pr_branch"), (c("squashed"), "squash_merge"), (c("change_count") != way, "intervention_evidence_missing")))
+    rows = rows.withColumn("after_job", c("after_job.name"))
+    out = attribution(confounders(equivalence(cut(rows))))
+    state = F.when(c("target_failure_present"), "present").when(c("after_job").isNotNull(), "absent").otherwise("unknown")
+    out = out.withColumn("failure_after", state)
+    shown = ("scope", "failure_id", "before_execution_ref", "after_execution_ref", "job_ref", "name", "semantic_identity", "before_revision", "after_revision", "change_count", "before_failure_count", "new_failure_count", "failure_after", "equivalent", "equivalence_reasons", "confounders", "limitations", "grade", "attribution_class", "outcome", "evidence_completeness", "suspected_flake", "flake_class", "change_fingerprint")
+    return out.select(identity("hep_", {n: c(n).cast("string") for n in ("scope", "failure_id", "after_execution_ref", "outcome")}).alias("episode_id"), *shown)

@@ -122,18 +122,22 @@ def ledger(rows: DataFrame, order: list[str], ranges: int = 64) -> DataFrame:
 
 
 def ledger_gaps(entries: DataFrame, width: int = 100_000) -> DataFrame:
-    """Sequences from 1 on that are missing or repeated, a row each; no row if the ledger is dense.
+    """(first, last, problem): stretches of sequences from 1 on that are missing, sequences that are repeated, and those
+    that none can have (below 1, or null); no row if the ledger is dense.
 
-    Ranges of ``width`` sequences are looked through by themselves, between a mark before and one behind each.
+    Ranges of ``width`` sequences are looked through by themselves, and what begins in one reaches to the first sequence
+    of the next that has any, so that one huge sequence is one row.
     """
-    twice = entries.groupBy("sequence").count().where("count > 1").select("sequence", F.lit("repeated").alias("problem"))
-    top = entries.agg(F.max("sequence")).first()[0] or 0
-    k = F.col("id") * width
-    marks = entries.sparkSession.range(-(-top // width)).select("id", F.explode(F.array(k, F.least(k + width, F.lit(top)) + 1)).alias("at"))
-    known = entries.where("sequence >= 1").select(F.floor((F.col("sequence") - 1) / width).alias("id"), F.col("sequence").cast("long").alias("at")).distinct()
-    after = known.unionByName(marks).withColumn("next", F.lead("at").over(Window.partitionBy("id").orderBy("at")))
-    missing = after.where("next > at + 1").select(F.explode(F.sequence(F.col("at") + 1, F.col("next") - 1)).alias("sequence"))
-    return twice.unionByName(missing.select("sequence", F.lit("missing").alias("problem")))
+    per = entries.groupBy("sequence").agg(F.count(F.lit(1)).alias("count"))
+    never = per.where("sequence is null or sequence < 1").select(F.col("sequence").cast("long").alias("first"), F.col("sequence").cast("long").alias("last"), F.lit("invalid").alias("problem"))
+    known = per.where("sequence >= 1").select(F.col("sequence").cast("long").alias("at"), "count")
+    twice = known.where("count > 1").select(F.col("at").alias("first"), F.col("at").alias("last"), F.lit("repeated").alias("problem"))
+    known = known.withColumn("id", F.floor((F.col("at") - 1) / width))
+    inner = known.withColumn("before", F.lag("at").over(Window.partitionBy("id").orderBy("at"))).where("before is not null")
+    ends = known.groupBy("id").agg(F.min("at").alias("at"), F.max("at").alias("top"))  # a row per range
+    outer = ends.withColumn("before", F.coalesce(F.lag("top").over(Window.orderBy("id")), F.lit(0)))
+    missing = inner.select("before", "at").unionByName(outer.select("before", "at")).where("at > before + 1")
+    return never.unionByName(twice).unionByName(missing.select((F.col("before") + 1).alias("first"), (F.col("at") - 1).alias("last"), F.lit("missing").alias("problem")))
 
 
 def superseded(corrections: DataFrame, records: DataFrame) -> DataFrame:
@@ -255,9 +259,25 @@ def ingress_status() -> Column:
 
 
 def verify_store(records: DataFrame, entries: DataFrame, **children: DataFrame) -> DataFrame:
-    """(problem, n) over the whole store: gaps in the ledger, orphans of each kind, records that differ from their
-    identity. Empty for an intact store."""
-    gaps = ledger_gaps(entries).select(F.concat(F.lit("ledger "), "problem").alias("problem"))
-    lost = orphans(records, **children).select(F.concat(F.lit("orphan "), "kind").alias("problem"))
-    twice = records.groupBy("record_id").count().where("count > 1").select(F.lit("record repeated").alias("problem"))
-    return gaps.unionByName(lost).unionByName(twice).groupBy("problem").agg(F.count(F.lit(1)).alias("n"))
+    """(problem, n) over the whole store; empty for an intact one.
+
+    Looks for gaps, repeats and impossible numbers in the ledger, entries whose record isn't there and records that no
+    entry accepted (where entries have record_id and disposition), orphans of each kind, repeated records, and records
+    whose id is not that of their producer, contract, class, run and payload hash (where they have a run).
+    """
+    problem = lambda rows, name: rows.select((name if isinstance(name, Column) else F.lit(name)).alias("problem"))
+    gaps = ledger_gaps(entries)
+    found = [gaps.select(F.concat(F.lit("ledger "), "problem").alias("problem"), (F.col("last") - F.col("first") + 1).alias("n")).select("problem", F.coalesce("n", F.lit(1)).alias("n"))]
+    single = [problem(orphans(records, **children), F.concat(F.lit("orphan "), "kind")), problem(records.groupBy("record_id").count().where("count > 1"), "record repeated")] if children else [problem(records.groupBy("record_id").count().where("count > 1"), "record repeated")]
+    if {"record_id", "disposition"} <= set(entries.columns):
+        kept = entries.where("disposition in ('accepted', 'duplicate')")
+        single.append(problem(kept.join(records.select("record_id"), "record_id", "left_anti"), "ledger record missing"))
+        single.append(problem(records.join(entries.where("disposition = 'accepted'").select("record_id"), "record_id", "left_anti"), "record never accepted"))
+    if "snapshot_or_run_id" in records.columns:
+        single.append(problem(records.where(~F.col("record_id").eqNullSafe(record_id(records))), "record identity"))
+    for rows in single:
+        found.append(rows.withColumn("n", F.lit(1).cast("long")))
+    out = found[0]
+    for rows in found[1:]:
+        out = out.unionByName(rows)
+    return out.groupBy("problem").agg(F.sum("n").alias("n"))

@@ -192,9 +192,10 @@ add("learning_projection", f"""with l as (select l_orderkey as k, nullif(case wh
     case when producer_contract = 'historical-resolution/v1' then coalesce(repo, 'record:' || record_id) when producer_contract = 'gate-outcome/v1' then null else repo end as repository_identity, component, remediation_class, validation_outcome, false_positive_disposition, cast(null as bigint) as effort_minutes,
     array_to_string(list_filter(notes, lambda x: x is not null), '; ') as limitations from u""")
 add("ledger_sequence", "select delivery, event_id, row_number() over (order by delivery) as sequence from deliveries", deliveries)
-add("ledger_gaps", """, s as (select row_number() over (order by delivery) as sequence from deliveries), e as (select * from s where sequence > 2 and sequence % 1000 not in (7, 20, 21, 22, 23, 24) union all select * from s where sequence % 1000 = 9)
-  select sequence, 'repeated' as problem from e group by 1 having count(*) > 1 union all
-  select sequence, 'missing' from s where sequence not in (select sequence from e) and sequence <= (select max(sequence) from e)""", deliveries)
+add("ledger_gaps", """, s as (select row_number() over (order by delivery) as sequence from deliveries), e as (select * from s where sequence > 2 and sequence % 1000 not in (7, 20, 21, 22, 23, 24) union all select * from s where sequence % 1000 = 9),
+  o as (select case when sequence % 5000 = 11 then -sequence end as sequence from s where sequence % 2500 = 11), g as (select distinct sequence, lag(sequence, 1, 0) over (order by sequence) as before from (select distinct sequence from e))
+  select sequence as first, sequence as last, 'repeated' as problem from e group by 1 having count(*) > 1 union all select distinct sequence, sequence, 'invalid' from o
+  union all select before + 1, sequence - 1, 'missing' from g where sequence > before + 1""", deliveries)
 stored_records = (deliveries, DELIVERED, RECORDS)
 add("dedup_records", "select record_id, source_event_id, delivery from records", *stored_records)
 add("canonical_ids", "select delivery, record_id from delivered", deliveries, DELIVERED)
@@ -236,6 +237,10 @@ add("next_run", """, c as (select f.run_id, r.run_id as next_run_id, 0 as kind,
 add("evidence_graph", """select 'node' as part, 'run' as type, count(distinct run_id) as n from runs union all select 'node', 'workflow', count(distinct workflow) from runs
   union all select 'node', 'revision', count(*) from (select revision from runs union select revision from commits) union all select 'edge', 'executes', count(*) from (select distinct run_id, workflow from runs)
   union all select 'edge', 'tests', count(*) from (select distinct run_id, revision from runs) union all select 'edge', 'parent', count(*) from (select distinct revision, parent from commits where parent is not null)""", *history, recursive=True)
+# What a case and a flaky workflow add to the confounders, and the reasons of each case.
+CONFOUNDED = "list_sort(list_distinct(list_filter(list_concat({found}, [case when kase = 1 then 'flaky_failure_pattern' end, case when kase in (1, 5) then 'rerun_without_code_change' end, case when kase = 3 then 'intervention_evidence_missing' end, case when flaky then 'verified_flaky_failure' end]), lambda x: x is not null)))"
+LIMITS = """list_sort(list_concat(case kase when 1 then ['same revision fail/pass cannot receive repair credit'] when 2 then list_concat({reasons}, ['validation_equivalence_not_proved']) when 3 then ['revision changed without complete intervention evidence']
+  when 4 then ['validation_outcome_unavailable'] when 5 then ['rerun without revision change carries no repair credit'] when 6 then ['material confounders cap attribution strength'] else [] end, case when flaky then ['verified flaky failure cannot receive repair credit'] else [] end))"""
 add("episode_attribution", """with e as (select event_id as k from events),
   a as (select k, k % 23 = 0 as gone, k % 3 as changes, k % 6 = 0 as same, case when k % 8 = 0 then 'failure' when k % 59 = 0 then 'skipped' when k % 61 <> 0 then 'success' end as result from e),
   b as (select *, list_sort(list_distinct(list_filter([case when k % 29 = 0 then 'workflow_identity_changed' end, case when gone then 'job_removed' end, case when not gone and k % 31 = 0 then 'job_semantics_changed' end,
@@ -251,15 +256,15 @@ add("episode_attribution", """with e as (select event_id as k from events),
   g as (select *, case when kase <= 3 then 'outcome_unknown' when kase = 4 then 'unresolved' when kase = 5 and raw = 'clean_verified' then 'outcome_unknown' else raw end as o from f),
   h as (select *, k % 4 = 1 and o = 'clean_verified' as flaky, ['C', 'U', 'U', 'U', 'C', 'C', 'B'][kase] as g0, least(complete, [70, 50, 50, 60, 75, 85, 100][kase]) as c0,
     ['transition_inferred', 'unresolved', 'unresolved', 'unresolved', 'transition_inferred', 'transition_inferred', 'direct_transition_verified'][kase] as k0 from g)
-  select k as episode, array_to_string(r, ',') as reasons, complete as completeness, array_to_string(c, ',') as confounders, case when flaky then 'U' else g0 end as grade, case when flaky then 'unresolved' else k0 end as attribution_class,
+  select k as episode, array_to_string(r, ',') as reasons, complete as completeness, array_to_string(""" + CONFOUNDED.format(found='c') + """, ',') as confounders, case when flaky then 'U' else g0 end as grade, case when flaky then 'unresolved' else k0 end as attribution_class,
   case when flaky then 'outcome_unknown' else o end as outcome, case when flaky then least(50, c0) else c0 end as evidence_completeness, kase = 1 or flaky as suspected_flake,
-  case when flaky or g0 = 'U' then 'unknown' when g0 = 'B' then 'strong' else 'moderate' end as strength from h""")
+  case when flaky or g0 = 'U' then 'unknown' when g0 = 'B' then 'strong' else 'moderate' end as strength, array_to_string(""" + LIMITS.format(reasons='r') + """, ',') as limitations from h""")
 add("native_event_stack", """with e as (select 'hep_' || sha256(cast(o_orderkey as varchar)) as id from orders), s as (select id, unnest([0, 1, 2]) as k from e)
   select id || ':' || k as event_id, case when k > 0 then id || ':' || (k - 1) end as parent_event_id, ['failure', 'repair', 'verification'][k + 1] as observation_kind from s""")
-add("change_features", """with c as (select p_partkey as k, list_sort(list_filter([case when p_partkey % 2 = 0 then 'src/core/app.py' end, case when p_partkey % 3 = 0 then 'tests/test_app.py' end,
-  case when p_partkey % 5 = 0 then '.github/workflows/ci.yml' end, case when p_partkey % 7 = 0 then 'poetry.lock' end, case when p_partkey % 11 = 0 then 'docker/Dockerfile' end], lambda x: x is not null)) as p from part)
-  select k as change, cast(len(p) as int) as file_count, k % 5 = 0 as workflow_changed, k % 3 = 0 as test_changed, k % 11 = 0 as environment_changed, k % 7 = 0 as lockfile_changed,
-  concat_ws(',', case when k % 3 = 0 then 'assertion_removed' end, case when k % 5 = 0 then 'validation_made_optional' end) as weakening, sha256(array_to_string(p, chr(10))) as change_fingerprint from c""")
+add("change_features", """with c as (select p_partkey as k, p_partkey % 19 <> 0 as seen from part)
+  select k as change, cast(case when seen then (k % 2 = 0)::int + (k % 3 = 0)::int + (k % 5 = 0)::int + (k % 7 = 0)::int + (k % 11 = 0)::int + (k % 13 = 0)::int + (k % 17 = 0)::int else 0 end as int) as file_count, seen and k % 5 = 0 as workflow_changed,
+  seen and (k % 3 = 0 or k % 13 = 0 or k % 17 = 0) as test_changed, seen and k % 11 = 0 as environment_changed, seen and k % 7 = 0 as lockfile_changed,
+  concat_ws(',', case when not seen then 'files_unobserved' end, case when seen and k % 13 = 0 then 'validation_file_removed' end, case when seen and (k % 5 = 0 or k % 17 = 0) then 'validation_skip_added' end) as weakening from c""")
 add("channel_history", """with p as (select 'channel_' || (o_custkey % 50) as channel, o_orderkey as sequence, (o_orderkey % 12) || '.' || (o_orderkey % 5) || '.0' as v from orders),
   q as (select *, lag(v) over (partition by channel order by sequence) as pv, max(sequence) over (partition by channel) as top from p),
   l as (select * from q qualify row_number() over (partition by channel, v order by sequence desc) = 1)
@@ -295,8 +300,10 @@ add("bundle_envelopes", f"""select distinct l_orderkey as record, 'static_findin
 add("unknown_lineage", "select o_orderkey as delivery, 'odd,zeta' as unknown_keys from orders where o_orderkey % 3 = 0")
 add("ingress_status", """select o_orderkey as request, cast(case when o_orderkey % 11 = 0 then 404 when o_orderkey % 13 = 0 then 405 when o_orderkey % 19 = 0 or o_orderkey % 17 = 0 then 401 when o_orderkey % 23 = 0 then 413
   when o_orderkey % 29 = 0 then 422 else [201, 409, 422, 503, 201][o_orderkey % 5 + 1] end as int) as status from orders""")
-add("verify_store", """, s as (select row_number() over (order by delivery) as k from deliveries), e as (select k from s where k % 500 <> 3),
-  p as (select 'ledger missing' as problem from s where k % 500 = 3 and k > 1 and k < (select max(k) from e) union all select 'orphan observation' from (select distinct record_id from learned where record_id not in (select record_id from records)))
+add("verify_store", """, s as (select delivery, row_number() over (order by delivery) as k from deliveries), e as (select s.*, case when s.delivery % 211 = 3 then record_id || 'z' else record_id end as record_id from s left join records r using (delivery) where k % 500 <> 3),
+  p as (select 'ledger missing' as problem from s where k % 500 = 3 and k < (select max(k) from e) union all select 'orphan observation' from (select distinct record_id from learned where record_id not in (select record_id from records))
+    union all select 'ledger record missing' from e where record_id is not null and record_id not in (select record_id from records) union all select 'record never accepted' from records where record_id not in (select record_id from e where record_id is not null)
+    union all select 'record identity' from records where delivery % 301 = 7)
   select problem, count(*) as n from p group by 1""", *stored_records)
 add("report_document", """, j as (select recurrence_fingerprint as f, event_class as c, '{"canonical_rule_id":' || case when canonical_rule_id is null then 'null' else '"' || canonical_rule_id || '"' end || ',"event_class":"' || event_class || '","occurrence_count":' || occurrence_count
   || ',"recurrence_fingerprint":"' || recurrence_fingerprint || '"}' as j from recurrence), w as (select '{"rows":[' || string_agg(j, ',' order by f, c) || '],"source_snapshot_id":"cs_test"}' as document from j)
@@ -310,20 +317,53 @@ add("normalized_runs", """select cast(event_id as varchar) as provider_run_ref,
 add("hydrated_episodes", """with e as (select event_id as n, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') as t from events), r as (select n, t from e where n % 7 <> 0)
   select e.n as episode_id, coalesce(case when e.n % 3 <> 0 and (e.n % 2 = 0 or e.n % 5 <> 0) then e.t end, a.t) as failure_at, coalesce(case when e.n % 4 = 1 then e.t end, b.t) as repair_at, b.t as validated_at
   from e left join r a on a.n = e.n left join r b on b.n = e.n + 1""")
-add("episodes", """, fl as (select *, lag(conclusion) over (partition by revision, workflow order by coalesce(attempt, 0), updated_at, run_id) as b from runs where conclusion is not null),
-  fc as (select revision, workflow, case when count(*) filter (b in ('failure', 'success') and conclusion in ('failure', 'success') and b <> conclusion) >= 2 or (bool_or(conclusion = 'failure') and bool_or(conclusion = 'success')) then true else false end as flaky from fl group by 1, 2),
-  c as (select f.run_id, r.run_id as next_run_id, 0 as kind, coalesce(r.attempt, 0) as far from runs f join runs r on r.workflow = f.workflow and r.revision = f.revision and r.run_id <> f.run_id and coalesce(r.attempt > f.attempt, true) where f.conclusion = 'failure'
-  union all select f.run_id, r.run_id, 1, len(p.path) from runs f join paths p on p.workflow = f.workflow and p.before = f.revision and len(p.path) > 0 join runs r on r.workflow = f.workflow and r.revision = p.after where f.conclusion = 'failure'),
-  nx as (select run_id, next_run_id from c qualify row_number() over (partition by run_id order by kind, far, next_run_id) = 1),
-  st as (select workflow, before, after, unnest(path) as revision from paths),
-  ch as (select st.workflow, before, after, count(*) as n, bool_or(number % 7 = 3) as wf, bool_or(number % 11 = 4) as env, bool_or(number % 3 = 1 or number % 13 = 5 or number % 5 = 0) as other
-    from st join revs on revs.workflow = st.workflow and revs.workflow || '-r' || revs.number = st.revision group by 1, 2, 3),
-  j as (select nx.*, a.revision = z.revision as same, z.conclusion as result, coalesce(ch.n, 0) as n, coalesce(wf, false) as wf, coalesce(env, false) as env, coalesce(other, false) as other, coalesce(fc.flaky, false) as flaky
-    , a.conclusion = 'cancelled' or coalesce(z.conclusion = 'cancelled', false) as cancelled from nx join runs a using (run_id) join runs z on z.run_id = nx.next_run_id left join ch on ch.workflow = a.workflow and ch.before = a.revision and ch.after = z.revision left join fc on fc.workflow = a.workflow and fc.revision = a.revision),
-  k as (select *, case when same and result = 'success' then 1 when wf or env then 2 when not same and n = 0 then 3 when result is null or result in ('cancelled', 'timed_out', 'skipped') then 4 when same then 5 when n > 1 or other or cancelled then 6 else 7 end as kase,
-    case when result = 'failure' then 'repeated_failure' when result = 'success' then 'clean_verified' else 'outcome_unknown' end as raw from j),
-  o as (select *, case when kase <= 3 then 'outcome_unknown' when kase = 4 then 'unresolved' when kase = 5 and raw = 'clean_verified' then 'outcome_unknown' else raw end as oc, case when wf or env then 65 else 100 end as complete from k)
-  select run_id, next_run_id, n as change_count, case when flaky and oc = 'clean_verified' then 'U' else ['C', 'U', 'U', 'U', 'C', 'C', 'B'][kase] end as grade,
-  case when flaky and oc = 'clean_verified' then 'unresolved' else ['transition_inferred', 'unresolved', 'unresolved', 'unresolved', 'transition_inferred', 'transition_inferred', 'direct_transition_verified'][kase] end as attribution_class,
-  case when flaky and oc = 'clean_verified' then 'outcome_unknown' else oc end as outcome,
-  least(complete, [70, 50, 50, 60, 75, 85, 100][kase], case when flaky and oc = 'clean_verified' then 50 else 100 end) as evidence_completeness, kase = 1 or (flaky and oc = 'clean_verified') as suspected_flake from o""", *history, recursive=True)
+#: What the provider's objects say, by the arithmetic that made them; paths again, as some commits were never seen.
+OBJECTS = """ex as (select *, run_id as k, cast(regexp_extract(workflow, '([0-9]+)$', 1) as bigint) as u, run_id || case when attempt is not null then ':attempt:' || attempt else '' end as ref, coalesce(conclusion = 'failure', false) and run_id % 31 <> 0 as test_failed, run_id % 14 = 3 as build_failed from runs),
+changed as (select workflow, workflow || '-r' || number as revision, number as n, number % 23 <> 8 as seen from revs where number > 0 and number % 31 <> 10),
+flags as (select *, seen and n % 7 = 3 as wf, seen and (n % 11 = 4 or n % 13 = 5) as env, seen and (n % 3 = 1 or n % 17 = 6) as test, seen and n % 13 = 5 as lock, n % 5 = 0 as merged, seen and n % 17 = 6 as removed, seen and n % 19 = 7 as skips,
+  not seen or not (n % 29 <> 9 or n % 7 = 3 or n % 11 = 4 or n % 3 = 1 or n % 13 = 5 or n % 17 = 6 or n % 19 = 7) as empty from changed),
+known as (select c.* from commits c join flags f on f.workflow = c.workflow and f.revision = c.revision),
+stroll as (select workflow, goal, tip, tip as spot, [tip] as path from wanted union all select w.workflow, w.goal, w.tip, c.parent, list_append(w.path, c.parent) from stroll w join known c on c.workflow = w.workflow and c.revision = w.spot where c.parent is not null and w.spot <> w.goal),
+ways as (select workflow, goal as before, tip as after, list_reverse(min(path)[:-2]) as path from stroll where spot = goal group by 1, 2, 3 having count(*) = 1)"""
+add("normalized_objects", """, """ + OBJECTS + """, j as (select *, unnest([0, 1]) as t from ex),
+  w as (select f.*, concat_ws(',', case when not seen then 'files_unobserved' end, case when removed then 'validation_file_removed' end, case when skips then 'validation_skip_added' end) as weak from flags f),
+  jobs as (select workflow as scope, case t when 0 then 'b' else 't' end || k as source, cast(2 * k + t as varchar) as jref, ref, revision, case t when 0 then 'build' else 'test' end as name, attempt, case when t = 1 then conclusion when build_failed then 'failure' else 'success' end as conclusion,
+    case when t = 1 and k % 41 = 0 then '' when t = 1 then 'run' else 'compile' end as failed from j where t = 0 or k % 31 <> 0),
+  p as (select workflow as scope, max(u) as u, max(number) as top from ex group by 1)
+  select scope, 'pull' as source, 'pull_request' as kind, cast(u as varchar) as ref, null as execution_ref, case when u % 6 <> 0 then scope || '-r' || top end as revision, case when u % 7 = 0 then 'squash' end as name, cast(null as int) as attempt, null as conclusion, null as parents, null as weakening, null as failed_steps,
+    case when u % 6 <> 0 then 'complete' else 'partial' end as availability, '' as limitations from p
+  union all select scope, 'event', 'review_signal', null, null, null, case u % 5 when 0 then 'base_ref_changed' else 'head_ref_force_pushed' end, null, null, null, null, null, 'direct_provider_event', '' from p where u % 5 < 2
+  union all select r.workflow, 'c' || number, 'commit', null, null, r.workflow || '-r' || number, null, null, null, case when number = 0 then '' when number % 5 = 0 then r.workflow || '-r' || greatest(number - 1, number - 2) || ',' || r.workflow || '-r' || (number - 2) else r.workflow || '-r' || (number - 1) end, null, null, 'complete', '' from revs r where number % 31 <> 10
+  union all select workflow, 'c' || n, 'change', null, null, revision, null, null, null, case when n % 5 = 0 then workflow || '-r' || (n - 1) || ',' || workflow || '-r' || (n - 2) else workflow || '-r' || (n - 1) end, weak, null, case when empty then 'partial' else 'complete' end, '' from w
+  union all select workflow, 'r' || k, 'ci_execution', cast(k as varchar), ref, revision, null, cast(attempt as int), conclusion, null, null, null, 'complete', case when k % 47 = 0 then 'provider_attempt_history_missing' else '' end from ex
+  union all select scope, source, 'ci_job', jref, ref, revision, name, cast(attempt as int), conclusion, null, null, null, 'complete', '' from jobs
+  union all select scope, source, 'failure', jref, ref, revision, name, cast(attempt as int), null, null, null, failed, case when failed = '' then 'partial' else 'complete' end, case when failed = '' then 'failed_step_unavailable' else '' end from jobs where conclusion = 'failure'
+  union all select workflow, 'k' || k, 'validation', cast(k as varchar), null, null, 'lint', null, conclusion, null, null, null, 'complete', '' from ex where k % 10 = 0
+  union all select workflow, 'l' || k, 'textual_hint', null, null, null, 'job_log', null, null, null, null, null, 'digest_only', 'raw_log_not_normalized_or_projected' from ex where k % 10 = 1""", *history, recursive=True)
+add("episodes", """, """ + OBJECTS + """, fl as (select *, lag(conclusion) over (partition by revision, workflow order by coalesce(attempt, 0), updated_at, run_id) as b from runs where conclusion is not null),
+  fc as (select revision, workflow, count(*) filter (b in ('failure', 'success') and conclusion in ('failure', 'success') and b <> conclusion) >= 2 or (bool_or(conclusion = 'failure') and bool_or(conclusion = 'success')) as unsteady from fl group by 1, 2),
+  bad as (select *, k as k1 from ex where test_failed or build_failed),
+  cand as (select f.k1, r.k as k2, 0 as kind, coalesce(r.attempt, 0) as far, r.ref from bad f join ex r on r.workflow = f.workflow and r.revision = f.revision and r.k <> f.k1 and coalesce(r.attempt > f.attempt, true)
+    union all select f.k1, r.k, 1, len(p.path), r.ref from bad f join ways p on p.workflow = f.workflow and p.before = f.revision and len(p.path) > 0 join ex r on r.workflow = f.workflow and r.revision = p.after),
+  nx as (select k1, k2 from cand qualify row_number() over (partition by k1 order by kind, far, ref) = 1),
+  st as (select workflow, before, after, unnest(path) as revision from ways),
+  ch as (select st.workflow, before, after, count(*) as n, bool_or(wf) as wf, bool_or(env) as env, bool_or(test) as test, bool_or(lock) as lock, bool_or(merged) as merged, bool_or(empty) as empty, bool_or(removed) as removed, bool_or(skips) as skips, bool_or(not seen) as unseen from st join flags f on f.workflow = st.workflow and f.revision = st.revision group by 1, 2, 3),
+  fails as (select k1, 'test' as name, 2 * k1 + 1 as job, case when k1 % 41 = 0 then 'test:' else 'test:run' end as id from bad where test_failed union all select k1, 'build', 2 * k1, 'build' from bad where build_failed),
+  sides as (select f.*, a.workflow, a.u, a.ref as ref1, z.ref as ref2, z.k as k2, a.revision as rev1, z.revision as rev2, a.revision = z.revision as same, a.conclusion as c1, z.conclusion as c2, z.test_failed as tf, z.build_failed as bf, f.name = 'test' and z.k % 31 = 0 as gone, a.test_failed and a.build_failed as two,
+    case when z.k % 41 = 0 then 'test:' else 'test:run' end as id2 from fails f join nx using (k1) join ex a on a.k = k1 join ex z on z.k = k2),
+  j as (select s.*, coalesce(len(p.path), 0) as way, coalesce(ch.n, 0) as n, coalesce(wf, false) as wf, coalesce(env, false) as env, coalesce(test, false) as test, coalesce(lock, false) as lock, coalesce(merged, false) as merged, coalesce(empty, false) as empty, coalesce(removed, false) as removed, coalesce(skips, false) as skips, coalesce(unseen, false) as unseen, coalesce(unsteady, false) as unsteady,
+    case when gone then null when name = 'test' then c2 when bf then 'failure' else 'success' end as result, (tf and name = 'test' and id = id2) or (bf and name = 'build') as present, tf::int + bf::int as all2
+    from sides s left join ways p on p.workflow = s.workflow and p.before = rev1 and p.after = rev2 left join ch on ch.workflow = s.workflow and ch.before = rev1 and ch.after = rev2 left join fc on fc.workflow = s.workflow and fc.revision = rev1),
+  x as (select *, all2 - present::int as fresh, all2 - (coalesce(result, '') = 'failure')::int > 0 as other, name = 'build' or (k1 % 41 <> 0 and k2 % 41 <> 0) as named,
+    not gone and name = 'test' and ((k1 % 41 <> 0 and k2 % 41 <> 0 and (k1 % 37 = 0) <> (k2 % 37 = 0)) or (k2 % 43 = 0 and coalesce(c2, '') = 'success' and k2 % 41 <> 0 and k2 % 37 <> 0 and k1 % 41 <> 0)) as contract from j),
+  y as (select *, list_sort(list_filter([case when gone then 'job_removed' end, case when wf then 'workflow_definition_changed' end, case when env then 'material_environment_change_unaccounted' end, case when unseen then 'files_unobserved' end, case when removed then 'validation_file_removed' end, case when skips then 'validation_skip_added' end, case when contract then 'validation_contract_changed' end], lambda v: v is not null)) as r,
+    list_sort(list_filter([case when n > 1 then 'multiple_commits_between_failure_and_success' end, case when two then 'multiple_failure_fingerprints' end, case when same then 'rerun_without_code_change' end, case when lock then 'dependency_lockfile_change' end, case when wf then 'workflow_definition_change' end, case when env then 'environment_change' end, case when test then 'test_change' end,
+    case when merged then 'merge_commit' end, case when k1 % 47 = 0 or k2 % 47 = 0 then 'provider_missing_attempt_history' end, case when coalesce(c1 = 'cancelled', false) or coalesce(c2 = 'cancelled', false) then 'concurrency_cancellation' end, case when u % 5 = 0 then 'base_branch_update' end, case when u % 5 = 1 then 'force_updated_pr_branch' end, case when u % 7 = 0 then 'squash_merge' end, case when n <> way then 'intervention_evidence_missing' end], lambda v: v is not null)) as cf from x),
+  z as (select *, 100 - case when not gone and not contract and not named then 15 else 0 end - case when len(r) > 0 then 35 else 0 end as complete,
+    case when same and result = 'success' then 1 when len(r) > 0 then 2 when n <> way or (not same and (n = 0 or empty)) then 3 when result is null or result in ('cancelled', 'timed_out', 'skipped') then 4 when same then 5 when len(list_filter(cf, lambda v: v <> 'rerun_without_code_change')) > 0 then 6 else 7 end as kase,
+    case when present then 'repeated_failure' when fresh > 0 or other then 'new_failure' when result = 'success' then 'clean_verified' when result = 'failure' then 'partial_resolution' else 'outcome_unknown' end as raw from y),
+  o as (select *, case when kase <= 3 then 'outcome_unknown' when kase = 4 then 'unresolved' when kase = 5 and raw = 'clean_verified' then 'outcome_unknown' else raw end as oc from z), q as (select *, unsteady and oc = 'clean_verified' as flaky from o)
+  select workflow as scope, ref1 as before_execution_ref, ref2 as after_execution_ref, cast(job as varchar) as job_ref, name, n as change_count, 1 + two::int as before_failure_count, fresh as new_failure_count, case when present then 'present' when gone then 'unknown' else 'absent' end as failure_after, array_to_string(r, ',') as reasons,
+  array_to_string(""" + CONFOUNDED.format(found="cf") + """, ',') as confounders, array_to_string(""" + LIMITS.format(reasons="r") + """, ',') as limitations, case when flaky then 'U' else ['C', 'U', 'U', 'U', 'C', 'C', 'B'][kase] end as grade,
+  case when flaky then 'unresolved' else ['transition_inferred', 'unresolved', 'unresolved', 'unresolved', 'transition_inferred', 'transition_inferred', 'direct_transition_verified'][kase] end as attribution_class, case when flaky then 'outcome_unknown' else oc end as outcome,
+  least(complete, [70, 50, 50, 60, 75, 85, 100][kase], case when flaky then 50 else 100 end) as evidence_completeness, kase = 1 or flaky as suspected_flake from q""", *history, recursive=True)

@@ -12,6 +12,7 @@ from siltstone.operators import envelope as V
 from siltstone.operators import history as H
 from siltstone.operators import ingest as I
 from siltstone.operators import metrics as M
+from siltstone.operators import objects as O
 from siltstone.operators import publish as P
 from siltstone.operators import snapshot as S
 from siltstone.sources.bridge import table, view
@@ -215,7 +216,8 @@ def ledger_sequence(spark, sf_dir):
 @query
 def ledger_gaps(spark, sf_dir):
     rows = I.ledger(deliveries(spark, sf_dir).select("delivery", "event_id"), ["delivery"])
-    return I.ledger_gaps(rows.where("sequence > 2 and sequence % 1000 not in (7, 20, 21, 22, 23, 24)").unionByName(rows.where("sequence % 1000 = 9")))
+    odd = rows.where("sequence % 2500 = 11").withColumn("sequence", F.when(F.col("sequence") % 5000 == 11, -F.col("sequence")))
+    return I.ledger_gaps(rows.where("sequence > 2 and sequence % 1000 not in (7, 20, 21, 22, 23, 24)").unionByName(rows.where("sequence % 1000 = 9")).unionByName(odd))
 
 
 def records(spark, sf_dir):
@@ -412,7 +414,7 @@ def episode_attribution(spark, sf_dir):
         (k % 10 == 0).alias("target_failure_present"), (k % 12 == 1).cast("int").alias("new_failure_count"), (k % 71 == 0).alias("other_failure"),
         F.when(k % 4 == 1, "suspected").otherwise("none").alias("flake_class"))
     out = H.attribution(H.confounders(H.equivalence(rows)))
-    return out.select("episode", F.array_join("equivalence_reasons", ",").alias("reasons"), "completeness", F.array_join("confounders", ",").alias("confounders"), "grade", "attribution_class", "outcome", "evidence_completeness", "suspected_flake", H.strength(F.col("grade")).alias("strength"))
+    return out.select("episode", F.array_join("equivalence_reasons", ",").alias("reasons"), "completeness", F.array_join("confounders", ",").alias("confounders"), F.array_join("limitations", ",").alias("limitations"), "grade", "attribution_class", "outcome", "evidence_completeness", "suspected_flake", H.strength(F.col("grade")).alias("strength"))
 
 
 @query
@@ -431,12 +433,12 @@ def evidence_graph(spark, sf_dir):
 @query
 def change_features(spark, sf_dir):
     k = F.col("p_partkey")
-    file = lambda path, patch: F.struct(F.lit(path).alias("path"), F.lit(patch).alias("patch"))
+    file = lambda path, patch, status="modified": F.struct(F.lit(path).alias("path"), F.lit(status).alias("status"), F.lit(patch).cast("string").alias("patch"))
     files = F.array_compact(F.array(
-        F.when(k % 2 == 0, file("src/core/app.py", "+x = 1\n-y = 2")), F.when(k % 3 == 0, file("tests/test_app.py", "-    assert x\n+    pass")),
-        F.when(k % 5 == 0, file(".github/workflows/ci.yml", "+  continue-on-error: true")), F.when(k % 7 == 0, file("poetry.lock", None)), F.when(k % 11 == 0, file("docker/Dockerfile", "+FROM x"))))
-    rows = H.change_features(table(spark, sf_dir, "part").select(k.alias("change"), files.alias("files")))
-    return rows.select("change", "file_count", "workflow_changed", "test_changed", "environment_changed", "lockfile_changed", F.array_join("weakening", ",").alias("weakening"), "change_fingerprint")
+        F.when(k % 2 == 0, file("src/core/app.py", "+x = 1\n-y = 2")), F.when(k % 3 == 0, file("tests/test_app.py", "-    assert x\n+    pass")), F.when(k % 5 == 0, file(".github/workflows/ci.yml", "+  if: FALSE")),
+        F.when(k % 7 == 0, file("deps/x.lock", None)), F.when(k % 11 == 0, file("docker/Dockerfile", "+FROM x")), F.when(k % 13 == 0, file("src/tests/old.py", None, "removed")), F.when(k % 17 == 0, file("src/b_test.py", "+++ a\n+@unittest.skip"))))
+    rows = H.change_features(table(spark, sf_dir, "part").select(k.alias("change"), F.when(k % 19 != 0, files).alias("files")))
+    return rows.select("change", "file_count", "workflow_changed", "test_changed", "environment_changed", "lockfile_changed", F.array_join("weakening", ",").alias("weakening"))
 
 
 @query
@@ -535,8 +537,14 @@ def ingress_status(spark, sf_dir):
 
 @query
 def verify_store(spark, sf_dir):
-    entries = I.ledger(deliveries(spark, sf_dir).select("delivery"), ["delivery"]).where("sequence % 500 != 3")
-    return I.verify_store(records(spark, sf_dir), entries, observation=learned(spark, sf_dir))
+    """A store with planted faults: entries missing and pointing nowhere, a changed payload hash, lost observations."""
+    rows = records(spark, sf_dir)
+    runs_of = deliveries(spark, sf_dir).select("delivery", "snapshot_or_run_id")
+    rows = rows.join(runs_of, "delivery").withColumn("payload_hash", F.when(F.col("delivery") % 301 == 7, "changed").otherwise(F.col("payload_hash")))
+    entries = I.ledger(deliveries(spark, sf_dir).select("delivery"), ["delivery"]).join(rows.select("delivery", "record_id"), "delivery", "left")
+    entries = entries.withColumn("record_id", F.when(F.col("delivery") % 211 == 3, F.concat("record_id", F.lit("z"))).otherwise(F.col("record_id")))
+    entries = entries.withColumn("disposition", F.when(F.col("record_id").isNotNull(), "accepted").otherwise("quarantined"))
+    return I.verify_store(rows, entries.where("sequence % 500 != 3"), observation=learned(spark, sf_dir))
 
 
 @query
@@ -564,11 +572,49 @@ def hydrated_episodes(spark, sf_dir):
     return H.hydrated(episodes, jobs, all_runs, times)
 
 
+def provider_objects(spark, sf_dir):
+    """Seven kinds of provider objects in a pull request per workflow: two jobs per run, a commit per revision with the
+    parents of ``commits``, and of some kinds what is missing, blank or of the wrong type."""
+    all_runs = runs(spark, sf_dir).withColumn("user", F.regexp_extract("workflow", r"(\d+)$", 1).cast("bigint"))
+    n, k, user = F.col("number"), F.col("run_id"), F.col("user")
+    text = lambda c: c.cast("string")
+    shape = lambda kind, source, payload, attempt=F.lit(None), limitations=F.array(): (F.col("workflow").alias("scope"), source.alias("source"), F.lit(kind).alias("kind"), payload.alias("payload"), attempt.cast("int").alias("run_attempt"), limitations.cast("array<string>").alias("limitations"))
+    name = lambda x: F.concat("workflow", F.lit("-r"), text(x))
+    json = lambda **fields: F.to_json(F.struct(*(v.alias(x) for x, v in fields.items())))
+    users = all_runs.groupBy("workflow", "user").agg(F.max("number").alias("number"))
+    pulls = users.select(*shape("pull_request", F.lit("pull"), json(number=user, base=F.struct(name(F.lit(0)).alias("sha")), head=F.struct(F.when(user % 6 != 0, name(n)).alias("sha")), auto_merge=F.struct(F.when(user % 7 == 0, "squash").otherwise("").alias("merge_method")))))
+    signals = users.where("user % 5 < 3").select(*shape("timeline_event", F.lit("event"), json(event=F.when(user % 5 == 0, "base_ref_changed").when(user % 5 == 1, "head_ref_force_pushed").otherwise("labeled"), created_at=F.lit("t"))))
+    file = lambda path, patch, status="modified": F.struct(F.lit(path).alias("filename"), F.lit(status).alias("status"), F.lit(patch).cast("string").alias("patch"))
+    files = F.array_compact(F.array(
+        F.when(n % 29 != 9, file("src/a.py", "+x")), F.when(n % 7 == 3, file(".github/workflows/ci.yml", "+y")), F.when(n % 11 == 4, file("pyproject.toml", None)), F.when(n % 3 == 1, file("tests/test_a.py", "+z")), F.when(n % 13 == 5, file("poetry.lock", None)),
+        F.when(n % 17 == 6, file("tests/old.py", None, "removed")), F.when(n % 19 == 7, file("src/b.py", "+@pytest.mark.skip"))))
+    tips = commits(spark, sf_dir).groupBy("workflow", "revision").agg(F.sort_array(F.collect_list(F.struct(F.col("parent").alias("sha"))), asc=False).alias("parents"))
+    tips = tips.join(all_runs.select("workflow", "revision", "number").distinct(), ["workflow", "revision"]).where("number % 31 != 10")
+    made = tips.select(*shape("commit", F.concat(F.lit("c"), text(n)), json(sha=F.col("revision"), parents=F.filter("parents", lambda p: p["sha"].isNotNull()), files=F.when(n % 23 != 8, files), commit=F.struct(F.struct(F.concat(F.lit("d"), text(n)).alias("date")).alias("committer")))))
+    gap = F.when(k % 47 == 0, F.array(F.lit("provider_attempt_history_missing"))).otherwise(F.array())
+    ran = all_runs.select(*shape("workflow_run", F.concat(F.lit("r"), text(k)), json(id=k, head_sha=F.col("revision"), run_attempt=F.col("attempt"), path=F.lit("ci.yml"), conclusion=F.col("conclusion"), updated_at=F.col("updated_at")), limitations=gap))
+    step = lambda title, state: F.struct(F.lit(title).alias("name"), state.alias("conclusion"))
+    tested = F.when(k % 41 == 0, F.array().cast("array<struct<name:string,conclusion:string>>")).when(k % 37 == 0, F.array(step("run", F.col("conclusion")))).otherwise(F.array(step("setup", F.lit("success")), step("run", F.when((k % 43 == 0) & (F.col("conclusion") == "success"), "skipped").otherwise(F.col("conclusion")))))
+    job = lambda ref, title, ended, steps: json(id=ref, run_id=k, head_sha=F.col("revision"), run_attempt=F.col("attempt"), name=F.lit(title), conclusion=ended, completed_at=F.col("updated_at"), steps=steps)
+    test = all_runs.where("run_id % 31 != 0").select(*shape("ci_job", F.concat(F.lit("t"), text(k)), job(2 * k + 1, "test", F.col("conclusion"), tested)))
+    built = F.when(k % 14 == 3, "failure").otherwise("success")
+    build = all_runs.select(*shape("ci_job", F.concat(F.lit("b"), text(k)), job(2 * k, "build", built, F.array(step("compile", built)))))
+    checks = all_runs.where("run_id % 10 = 0").select(*shape("check_run", F.concat(F.lit("k"), text(k)), json(id=text(k), head_sha=F.lit(""), name=F.lit("lint"), conclusion=F.col("conclusion"))))
+    logs = all_runs.where("run_id % 10 = 1").select(*shape("job_log", F.concat(F.lit("l"), text(k)), F.concat(F.lit("raw text "), text(k))))
+    odd = all_runs.where("run_id % 100 = 2").select(*shape("ci_job", F.concat(F.lit("o"), text(k)), F.lit("[1]")))
+    out = pulls
+    for part in (signals, made, ran, test, build, checks, logs, odd):
+        out = out.unionByName(part)
+    return out
+
+
+@query
+def normalized_objects(spark, sf_dir):
+    rows = O.normalized(provider_objects(spark, sf_dir))
+    return rows.select("scope", "source", "kind", "ref", "execution_ref", "revision", "name", "attempt", "conclusion", F.array_join("parents", ",").alias("parents"), F.array_join("weakening", ",").alias("weakening"), F.array_join("failed_steps", ",").alias("failed_steps"), "availability", F.array_join("limitations", ",").alias("limitations"))
+
+
 @query
 def episodes(spark, sf_dir):
-    all_runs = runs(spark, sf_dir)
-    paths = H.unique_paths(commits(spark, sf_dir), wanted(spark, sf_dir))
-    after = H.next_runs(all_runs.where("conclusion = 'failure'"), all_runs, paths.select("workflow", "before", "after", F.size("path").alias("distance")))
-    n = F.col("number")
-    changes = all_runs.select("workflow", "revision", "number").distinct().select("workflow", "revision", (n % 7 == 3).alias("workflow_changed"), (n % 11 == 4).alias("environment_changed"), (n % 3 == 1).alias("test_changed"), (n % 13 == 5).alias("lockfile_changed"), ((n % 5 == 0) & (n > 0)).alias("is_merge"))
-    return H.episodes(all_runs, after, changes, paths, H.flake_classes(all_runs))
+    rows = H.episodes(O.normalized(provider_objects(spark, sf_dir)))
+    return rows.select("scope", "before_execution_ref", "after_execution_ref", "job_ref", "name", "change_count", "before_failure_count", "new_failure_count", "failure_after", F.array_join("equivalence_reasons", ",").alias("reasons"), F.array_join("confounders", ",").alias("confounders"), F.array_join("limitations", ",").alias("limitations"), "grade", "attribution_class", "outcome", "evidence_completeness", "suspected_flake")

@@ -142,7 +142,7 @@ def test_ledger_is_dense_in_any_arrival_order(spark):
     assert sorted((r.delivery, r.sequence) for r in got.collect()) == [(k, n + 1) for n, k in enumerate(sorted(keys))]
     assert ingest.ledger_gaps(got).collect() == []
     gaps = ingest.ledger_gaps(got.where("sequence not in (7, 499)").unionByName(got.where("sequence = 3"))).collect()
-    assert {tuple(r) for r in gaps} == {(3, "repeated"), (7, "missing"), (499, "missing")}
+    assert {tuple(r) for r in gaps} == {(3, 3, "repeated"), (7, 7, "missing"), (499, 499, "missing")}
 
 
 def test_snapshot_keeps_records_without_observations_and_raw_keys(spark, tmp_path):
@@ -199,13 +199,33 @@ def test_flakes_need_conclusions_side_by_side(spark):
 
 
 def test_gaps_of_any_length_and_at_the_start(spark):
-    rows = [(k,) for k in range(1, 61) if k not in (1, 2, 9, 20, 21, 22, 23, 24, 41)] + [(30,)]
+    rows = [(k,) for k in range(1, 61) if k not in (1, 2, 9, 20, 21, 22, 23, 24, 41)] + [(30,), (0,), (-3,), (None,), (10**15,)]
     for width in (100_000, 7, 10):
         got = {tuple(r) for r in ingest.ledger_gaps(spark.createDataFrame(rows, "sequence long"), width).collect()}
-        assert got == {(k, "missing") for k in (1, 2, 9, 20, 21, 22, 23, 24, 41)} | {(30, "repeated")}
+        gaps = {(1, 2), (9, 9), (20, 24), (41, 41), (61, 10**15 - 1)}
+        assert got == {(*g, "missing") for g in gaps} | {(30, 30, "repeated")} | {(k, k, "invalid") for k in (0, -3, None)}
     assert ingest.ledger_gaps(spark.createDataFrame([], "sequence long")).collect() == []
 
 
+def test_a_store_with_planted_faults(spark):
+    fields = "producer_id string, producer_contract string, event_class string, snapshot_or_run_id string, payload_hash string"
+    rows = spark.createDataFrame([("p", "c", "e", f"run{k}", f"h{k}") for k in range(5)], fields)
+    rows = rows.withColumn("record_id", ingest.record_id(rows))
+    ids = [r.record_id for r in rows.orderBy("snapshot_or_run_id").collect()]
+    entries = spark.createDataFrame([(k + 1, i, "accepted") for k, i in enumerate(ids)], "sequence long, record_id string, disposition string")
+    fine = rows.select("record_id")
+    assert ingest.verify_store(rows, entries, observation=fine).collect() == []
+    bad = rows.withColumn("payload_hash", F.when(F.col("snapshot_or_run_id") == "run3", "x").otherwise(F.col("payload_hash"))).where("snapshot_or_run_id != 'run0'")
+    got = {tuple(r) for r in ingest.verify_store(bad.unionByName(bad.where("snapshot_or_run_id = 'run1'")), entries.where("sequence != 3"), observation=fine).collect()}
+    assert got == {("ledger missing", 1), ("ledger record missing", 1), ("orphan observation", 1), ("record identity", 1), ("record repeated", 1), ("record never accepted", 1)}
+
+
+def test_outcomes_delivered_twice_in_one_row(spark):
+    rows = spark.createDataFrame([("o", 1, "h"), ("o", 1, "h"), ("o", 1, "z"), ("o", 2, "h"), ("o", 3, None), ("p", None, None)], "outcome_id string, delivery long, document_hash string")
+    got = sorted((r.outcome_id, r.delivery or 0, r.status) for r in effectiveness.outcome_ingest(rows).collect())
+    assert got == [("o", 1, "accepted"), ("o", 1, "conflict"), ("o", 1, "duplicate"), ("o", 2, "duplicate"), ("o", 3, "conflict"), ("p", 0, "accepted")]
+
+
 def test_projections_of_nulls(spark):
     resolved = spark.createDataFrame([(1, "f", "passed"), (2, None, None), (3, " ", "odd")], "record_id long, failure_fingerprint string, validation_result string").withColumn("remediation_class", F.lit(None).cast("string"))
     got = {r.record_id: r for r in ingest.resolver_observations(resolved).collect()}
