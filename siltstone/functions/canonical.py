@@ -77,11 +77,6 @@ def ratio(part: Column, whole: Column) -> Column:
     return F.round(F.try_divide(part.cast("double"), whole.cast("double")), 12)
 
 
-def set_digest(rows: Column) -> Column:
-    """Aggregate: sha256 over the sorted rows' JSON texts; order of arrival never matters."""
-    return F.sha2(F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list(rows)), ","), F.lit("]")), 256)
-
-
 def path_safe(text: Column) -> Column:
     """A file-name component: other characters than letters, digits, ``._-`` become ``_``; at most 120, never empty.
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.functions.canonical import identity, set_digest
+from siltstone.functions.canonical import identity
+from siltstone.operators.ordered import tree_digest
 from siltstone.session import cut
 
 
@@ -358,8 +359,9 @@ def graph(runs: DataFrame, commits: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def graph_digest(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(row_count, digest) of an evidence graph, by a hash tree over its vertices and edges."""
     rows = nodes.select(F.to_json(F.struct("type", "id")).alias("row")).unionByName(edges.select(F.to_json(F.struct("type", "source", "target")).alias("row")))
-    return rows.agg(F.count(F.lit(1)).alias("row_count"), set_digest(F.col("row")).alias("digest"))
+    return tree_digest(rows, "row")
 
 
 # What kind of change a path stands for, and added lines that skip a validation.

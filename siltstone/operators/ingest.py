@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.functions.canonical import canonical_json, identity, namespaced, pseudonym
+from siltstone.operators.ordered import numbered
 from siltstone.schemas import REGISTRY
 
 # What must not be in an event (key words, credentials, absolute paths, git object ids).
@@ -99,26 +100,9 @@ def unseen(events: DataFrame, records: DataFrame) -> tuple[DataFrame, DataFrame]
     return fresh, events.join(records.select("record_id"), "record_id", "left_semi")
 
 
-def ledger(rows: DataFrame, order: list[str], ranges: int = 64) -> DataFrame:
-    """``rows`` with a dense ``sequence`` from 1 in the given order.
-
-    Ranges of the first order column (quantiles) are numbered by themselves and shifted by the sizes of the
-    ranges before them, so no task holds all rows; the driver sees one number per range.
-    """
-    spark = rows.sparkSession
-    key = F.col(order[0])
-    cuts = rows.select(F.percentile_approx(key, [k / ranges for k in range(1, ranges)], 10_000)).first()[0] or []
-    cuts = sorted(set(cuts))
-    place = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= key)) if cuts else F.lit(0)
-    placed = rows.withColumn("__range", place)
-    sizes = {r[0]: r[1] for r in placed.groupBy("__range").count().collect()}
-    shift, at = [], 0
-    for k in sorted(sizes):
-        shift.append((k, at))
-        at += sizes[k]
-    shifts = F.broadcast(spark.createDataFrame(shift, "__range int, __shift long"))  # a row per range
-    window = Window.partitionBy("__range").orderBy(*order)
-    return placed.withColumn("__n", F.row_number().over(window)).join(shifts, "__range").withColumn("sequence", F.col("__n") + F.col("__shift")).drop("__range", "__n", "__shift")
+def ledger(rows: DataFrame, order: list[str], stored: DataFrame | None = None) -> DataFrame:
+    """``rows`` with a dense ``sequence`` in the given order, from 1, or from behind the last of a ``stored`` ledger."""
+    return numbered(rows, order, 0 if stored is None else stored.agg(F.max("sequence")).first()[0] or 0)
 
 
 def ledger_gaps(entries: DataFrame, width: int = 100_000) -> DataFrame:

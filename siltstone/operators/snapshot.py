@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.functions.canonical import path_safe, set_digest
+from siltstone.functions.canonical import path_safe
+from siltstone.operators.ordered import tree_digest
 from siltstone.schemas import EXCLUDED_LIFECYCLE, LEARNING_COLUMNS
 
 
@@ -31,11 +32,8 @@ def collisions(rows: DataFrame, key: str, digest: str) -> DataFrame:
 
 
 def snapshot_digest(rows: DataFrame, *columns: str) -> DataFrame:
-    """One row: the order-free digest of the given columns. Rows are first digested per partition of their hash, so
-    what meets in one task is a digest per bucket."""
-    text = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
-    buckets = rows.select(text.alias("row")).groupBy(F.substring(F.sha2("row", 256), 1, 2).alias("bucket")).agg(F.count(F.lit(1)).alias("n"), set_digest(F.col("row")).alias("digest"))
-    return buckets.agg(F.sum("n").alias("row_count"), set_digest(F.concat_ws(":", "bucket", "digest")).alias("digest"))
+    """One row: the number of rows and the digest of the given columns, by a hash tree that no order changes."""
+    return tree_digest(rows.select(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("row")), "row")
 
 
 def unsorted_rows(rows: DataFrame, partition: list[str], position: str, key: str) -> DataFrame:

@@ -192,6 +192,9 @@ add("learning_projection", f"""with l as (select l_orderkey as k, nullif(case wh
     case when producer_contract = 'historical-resolution/v1' then coalesce(repo, 'record:' || record_id) when producer_contract = 'gate-outcome/v1' then null else repo end as repository_identity, component, remediation_class, validation_outcome, false_positive_disposition, cast(null as bigint) as effort_minutes,
     array_to_string(list_filter(notes, lambda x: x is not null), '; ') as limitations from u""")
 add("ledger_sequence", "select delivery, event_id, row_number() over (order by delivery) as sequence from deliveries", deliveries)
+add("ledger_batches", """, r as (select delivery, case when delivery % 3 = 0 then 'hot' else note end as note from deliveries)
+  select delivery, note, row_number() over (order by note, delivery) as sequence from r where delivery % 2 = 0 union all
+  select delivery, note, row_number() over (order by note, delivery) + (select count(*) from r where delivery % 2 = 0) from r where delivery % 2 = 1""", deliveries)
 add("ledger_gaps", """, s as (select row_number() over (order by delivery) as sequence from deliveries), e as (select * from s where sequence > 2 and sequence % 1000 not in (7, 20, 21, 22, 23, 24) union all select * from s where sequence % 1000 = 9),
   o as (select case when sequence % 5000 = 11 then -sequence end as sequence from s where sequence % 2500 = 11), g as (select distinct sequence, lag(sequence, 1, 0) over (order by sequence) as before from (select distinct sequence from e))
   select sequence as first, sequence as last, 'repeated' as problem from e group by 1 having count(*) > 1 union all select distinct sequence, sequence, 'invalid' from o
@@ -308,9 +311,14 @@ add("verify_store", """, s as (select delivery, row_number() over (order by deli
 add("report_document", """, j as (select recurrence_fingerprint as f, event_class as c, '{"canonical_rule_id":' || case when canonical_rule_id is null then 'null' else '"' || canonical_rule_id || '"' end || ',"event_class":"' || event_class || '","occurrence_count":' || occurrence_count
   || ',"recurrence_fingerprint":"' || recurrence_fingerprint || '"}' as j from recurrence), w as (select '{"rows":[' || string_agg(j, ',' order by f, c) || '],"source_snapshot_id":"cs_test"}' as document from j)
   select document, sha256(document) as report_hash from w""", stored, OBS, RECURRENCE)
-add("snapshot_digest", """, r as (select '{"record_id":"' || record_id || '","recurrence_fingerprint":"' || recurrence_fingerprint || '"}' as j from obs),
-  b as (select substring(sha256(j), 1, 2) as b, count(*) as n, sha256('[' || string_agg(j, ',' order by j) || ']') as d from r group by 1)
-  select cast(sum(n) as bigint) as row_count, sha256('[' || string_agg(b || ':' || d, ',' order by b) || ']') as digest from b""", stored, OBS)
+#: The tree over rows ``r`` of texts ``j``, up to 4096 ** 3 of them.
+TREE = ", ".join(["t0 as (select sha256(j) as h, row_number() over (order by sha256(j)) as s from r)", *(f"t{k} as (select sha256(string_agg(h, '' order by s)) as h, (s - 1) // 4096 + 1 as s from t{k - 1} group by 2)" for k in (1, 2, 3))])
+ROOT = "select (select count(*) from r) as row_count, case when (select count(*) from t1) = 1 then (select min(h) from t1) when (select count(*) from t2) = 1 then (select min(h) from t2) else (select min(h) from t3) end as digest"
+add("snapshot_digest", """, r as (select '{"record_id":"' || record_id || '","recurrence_fingerprint":"' || recurrence_fingerprint || '"}' as j from obs), """ + TREE + " " + ROOT, stored, OBS)
+add("graph_digest", """, r as (select '{"type":"run","id":"' || run_id || '"}' as j from (select distinct run_id from runs) union all select '{"type":"workflow","id":"' || workflow || '"}' from (select distinct workflow from runs)
+  union all select '{"type":"revision","id":"' || revision || '"}' from (select revision from runs union select revision from commits) union all select '{"type":"executes","source":"' || run_id || '","target":"' || workflow || '"}' from (select distinct run_id, workflow from runs)
+  union all select '{"type":"tests","source":"' || run_id || '","target":"' || revision || '"}' from (select distinct run_id, revision from runs)
+  union all select '{"type":"parent","source":"' || revision || '","target":"' || parent || '"}' from (select distinct revision, parent from commits where parent is not null)), """ + TREE + " " + ROOT, *history, recursive=True)
 add("normalized_runs", """select cast(event_id as varchar) as provider_run_ref, 'run:' || event_id || ':attempt:' || greatest(1, event_id % 4) as execution_ref, 'sha' || user_id as revision,
   case when event_id % 3 = 0 then '.github/ci.yml' when event_id % 5 <> 0 then cast(event_id % 7 as varchar) else 'CI' end as workflow_identity, cast(nullif(event_id % 4, 0) as int) as attempt,
   case when event_id % 2 = 0 then 'success' end as conclusion from events""")

@@ -213,6 +213,14 @@ def ledger_sequence(spark, sf_dir):
     return I.ledger(deliveries(spark, sf_dir).select("delivery", "event_id"), ["delivery"])
 
 
+@query
+def ledger_batches(spark, sf_dir):
+    """Two batches, one numbered behind the other, in an order in which one value is that of a third of the rows."""
+    rows = deliveries(spark, sf_dir).select("delivery", F.when(F.col("delivery") % 3 == 0, "hot").otherwise(F.col("note")).alias("note"))
+    first = I.ledger(rows.where("delivery % 2 = 0"), ["note", "delivery"])
+    return first.unionByName(I.ledger(rows.where("delivery % 2 = 1"), ["note", "delivery"], first))
+
+
 @query
 def ledger_gaps(spark, sf_dir):
     rows = I.ledger(deliveries(spark, sf_dir).select("delivery", "event_id"), ["delivery"])
@@ -553,6 +561,11 @@ def report_document(spark, sf_dir):
     return S.report_document(rows, "cs_test", "recurrence_fingerprint", "event_class")
 
 
+@query
+def graph_digest(spark, sf_dir):
+    return H.graph_digest(*H.graph(runs(spark, sf_dir), commits(spark, sf_dir)))
+
+
 @query
 def normalized_runs(spark, sf_dir):
     k = F.col("event_id")

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from siltstone.functions import canonical
-from siltstone.operators import candidates, effectiveness, history, ingest, metrics, publish, snapshot
+from siltstone.operators import candidates, effectiveness, history, ingest, metrics, ordered, publish, snapshot
 from siltstone.schemas import OBSERVATION
 
 
@@ -145,6 +145,29 @@ def test_ledger_is_dense_in_any_arrival_order(spark):
     assert {tuple(r) for r in gaps} == {(3, 3, "repeated"), (7, 7, "missing"), (499, 499, "missing")}
 
 
+def test_numbers_go_on_and_a_hot_value_is_split(spark):
+    rows = spark.createDataFrame([("hot", k) for k in range(400)] + [(None, 1), ("a", 2)], "note string, k long").repartition(3)
+    first = ingest.ledger(rows, ["note"])
+    got = sorted((r.sequence, r.note or "") for r in first.collect())
+    assert [s for s, _ in got] == list(range(1, 403)) and got[:2] == [(1, ""), (2, "a")]
+    assert first.select(F.spark_partition_id()).distinct().count() > 1
+    assert sorted(r.sequence for r in ingest.ledger(rows.limit(5), ["note"], first).collect()) == list(range(403, 408))
+    assert ingest.ledger(rows.limit(0), ["note"]).count() == 0
+
+
+def test_tree_digest_of_any_order(spark):
+    texts = [f"t{k % 90}" for k in range(100)] + ["é"]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    level = sorted(hashlib.sha256(t.encode()).hexdigest() for t in texts)
+    while True:
+        level = [hashlib.sha256("".join(level[k : k + 7]).encode()).hexdigest() for k in range(0, len(level), 7)]
+        if len(level) == 1:
+            break
+    for shape in (frame, frame.repartition(5), frame.orderBy(F.desc("t")).coalesce(1)):
+        assert tuple(ordered.tree_digest(shape, "t", 7).first()) == (101, level[0])
+    assert tuple(ordered.tree_digest(frame.limit(0), "t").first()) == (0, hashlib.sha256(b"").hexdigest())
+
+
 def test_snapshot_keeps_records_without_observations_and_raw_keys(spark, tmp_path):
     records = spark.createDataFrame([("r1", "A/b", "p", "ACCEPTED", None), ("r2", "A_b", "p", "ACCEPTED", "old"), ("r3", "A_b", "p", "RETRACTED", None)], "record_id string, event_class string, producer_id string, lifecycle_state string, superseded_by string")
     overlay = spark.createDataFrame([("r2", "new")], "record_id string, superseded_by string")
