@@ -375,3 +375,6 @@ add("episodes", """, """ + OBJECTS + """, fl as (select *, lag(conclusion) over
   array_to_string(""" + CONFOUNDED.format(found="cf") + """, ',') as confounders, array_to_string(""" + LIMITS.format(reasons="r") + """, ',') as limitations, case when flaky then 'U' else ['C', 'U', 'U', 'U', 'C', 'C', 'B'][kase] end as grade,
   case when flaky then 'unresolved' else ['transition_inferred', 'unresolved', 'unresolved', 'unresolved', 'transition_inferred', 'transition_inferred', 'direct_transition_verified'][kase] end as attribution_class, case when flaky then 'outcome_unknown' else oc end as outcome,
   least(complete, [70, 50, 50, 60, 75, 85, 100][kase], case when flaky then 50 else 100 end) as evidence_completeness, kase = 1 or flaky as suspected_flake from q""", *history, recursive=True)
+add("store_write_once", """ select 1 as write, record_id, 'written' as status from records where delivery % 2 = 0 union all
+  select 2, record_id, case when delivery % 10 = 4 then 'conflict' when delivery % 2 = 0 then 'unchanged' else 'written' end from records union all select 3, record_id, case when delivery % 10 = 4 then 'conflict' else 'unchanged' end from records""", *stored_records)
+add("manifest_view", "select record_id, event_class, producer_id, source_event_id, delivery from records where event_class = 'static_finding'", *stored_records)

@@ -15,6 +15,7 @@ from siltstone.operators import metrics as M
 from siltstone.operators import objects as O
 from siltstone.operators import publish as P
 from siltstone.operators import snapshot as S
+from siltstone.operators import store as W
 from siltstone.sources.bridge import table, view
 
 QUERIES = {}
@@ -631,3 +632,35 @@ def normalized_objects(spark, sf_dir):
 def episodes(spark, sf_dir):
     rows = H.episodes(O.normalized(provider_objects(spark, sf_dir)))
     return rows.select("scope", "before_execution_ref", "after_execution_ref", "job_ref", "name", "change_count", "before_failure_count", "new_failure_count", "failure_after", F.array_join("equivalence_reasons", ",").alias("reasons"), F.array_join("confounders", ",").alias("confounders"), F.array_join("limitations", ",").alias("limitations"), "grade", "attribution_class", "outcome", "evidence_completeness", "suspected_flake")
+
+
+STORED = "record_id string, event_class string, producer_id string, source_event_id string, delivery bigint"
+
+
+def written(spark, sf_dir):
+    """A store in the shared folder, and what its three writes said: a half of the records, all of them with some bodies
+    changed, and all of them again."""
+    import uuid
+
+    from siltstone.session import shared_folder
+
+    path = f"{shared_folder(spark)}/store-{uuid.uuid4().hex}"
+    rows = records(spark, sf_dir).select("record_id", "event_class", "producer_id", "source_event_id", "delivery")
+    changed = rows.withColumn("source_event_id", F.when(F.col("delivery") % 10 == 4, "changed").otherwise(F.col("source_event_id")))
+    said = None
+    for number, batch in enumerate((rows.where("delivery % 2 = 0"), changed, changed), 1):
+        out = W.write_once(batch, path).select(F.lit(number).alias("write"), "record_id", "status")
+        said = out if said is None else said.unionByName(out)
+    return path, said
+
+
+@query
+def store_write_once(spark, sf_dir):
+    return written(spark, sf_dir)[1]
+
+
+@query
+def manifest_view(spark, sf_dir):
+    path, _ = written(spark, sf_dir)
+    records(spark, sf_dir).limit(5).write.parquet(f"{path}/data/batch=stray")  # no manifest lists these
+    return W.view(spark, path, STORED, "event_class = 'static_finding'")
