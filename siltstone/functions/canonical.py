@@ -17,10 +17,15 @@ def canonical_json(doc: Column) -> Column:
     VARIANT prints control characters in upper-case hex; they are brought to lower case.
     """
     text = F.to_json(F.try_parse_json(doc))
-    for code in [*range(8), 11, *range(14, 32)]:
-        if f"{code:04X}" != f"{code:04x}":
-            text = F.replace(text, F.lit(f"\\u{code:04X}"), F.lit(f"\\u{code:04x}"))
-    return text
+
+    def lowered(t: Column) -> Column:
+        out = t
+        for code in [*range(8), 11, *range(14, 32)]:
+            if f"{code:04X}" != f"{code:04x}":
+                out = F.replace(out, F.lit(f"\\u{code:04X}"), F.lit(f"\\u{code:04x}"))
+        return F.when(F.contains(t, F.lit("\\u00")), out).otherwise(t)
+
+    return F.get(F.transform(F.array(text), lambda t: lowered(t)), F.lit(0))  # the text is made once
 
 
 def sha(text: Column) -> Column:

@@ -13,12 +13,17 @@ from pyspark.sql import functions as F
 from siltstone.functions.canonical import canonical_json, namespaced, nfc
 from siltstone.operators.ingest import HISTORICAL, SENSITIVE_KEY, compatibility, has_float, record_id, redaction_hits, said
 from siltstone.schemas import ENVELOPE_RULES, VALIDATION_OUTCOMES
-from siltstone.session import cut
+from siltstone.session import cut, spread
 
 ERRORS = "array<struct<path:string,message:string>>"
 OBJECT, LIST = "map<string,variant>", "array<variant>"
 
 
+def let(value: Column, then) -> Column:
+    """``then`` of a value that is computed once, however often ``then`` looks at it."""
+    return F.get(F.transform(F.array(value), lambda x: then(x)), F.lit(0))
+
+
 def child(value: Column, name: str) -> Column:
     """A field of an object: null if it is missing or ``value`` is no object."""
     return F.try_variant_get(value, f"$['{name}']", "variant")
@@ -26,25 +31,22 @@ def child(value: Column, name: str) -> Column:
 
 def text_at(value: Column, *path: str) -> Column:
     """The string at a path; null for what is missing, empty or of another type."""
-    for name in path:
-        value = child(value, name)
-    return F.when(kind(value) == "string", F.nullif(F.try_variant_get(value, "$", "string"), F.lit("")))
+    found = F.try_variant_get(value, "$" + "".join(f"['{name}']" for name in path), "variant")
+    return let(found, lambda v: F.when(F.schema_of_variant(v) == "STRING", F.nullif(F.try_variant_get(v, "$", "string"), F.lit(""))))
 
 
 def kind(value: Column) -> Column:
     """The JSON type of a VARIANT: object, array, string, integer, number, boolean or null; SQL null if there is none."""
-    scalar = F.schema_of_variant(value)
-    whole = F.try_variant_get(value, "$", "double")
-    return (
-        F.when(value.isNull(), F.lit(None).cast("string"))
-        .when(F.is_variant_null(value), "null")
-        .when(F.try_variant_get(value, "$", OBJECT).isNotNull(), "object")
-        .when(F.try_variant_get(value, "$", LIST).isNotNull(), "array")
-        .when(scalar == "STRING", "string")
-        .when(scalar == "BOOLEAN", "boolean")
-        .when(whole == F.floor(whole), "integer")
+    return let(F.struct(value.alias("v"), F.schema_of_variant(value).alias("s")), lambda x: (
+        F.when(x["v"].isNull(), F.lit(None).cast("string"))
+        .when(x["s"] == "VOID", "null")
+        .when(F.startswith(x["s"], F.lit("OBJECT")), "object")
+        .when(F.startswith(x["s"], F.lit("ARRAY")), "array")
+        .when(x["s"] == "STRING", "string")
+        .when(x["s"] == "BOOLEAN", "boolean")
+        .when((x["s"] == "BIGINT") | (F.try_variant_get(x["v"], "$", "double") == F.floor(F.try_variant_get(x["v"], "$", "double"))), "integer")
         .otherwise("number")
-    )
+    ))
 
 
 def errors_of(value: Column, rules: dict, path: Column | str = "") -> Column:
@@ -53,10 +55,14 @@ def errors_of(value: Column, rules: dict, path: Column | str = "") -> Column:
     Understands type, const, enum, minLength, maxLength, pattern, minimum, required, properties, additionalProperties
     (false), items and uniqueItems.
     """
+    return let(F.struct(value.alias("v"), kind(value).alias("k")), lambda x: checked(x["v"], x["k"], rules, path))
+
+
+def checked(value: Column, is_a: Column, rules: dict, path: Column | str) -> Column:
     at = F.lit(path) if isinstance(path, str) else path
     under = lambda name: F.lit(f"{path}/{name}".lstrip("/")) if isinstance(path, str) else F.concat(path, F.lit("/"), name if isinstance(name, Column) else F.lit(name))
     error = lambda where, message: F.struct(where.alias("path"), (message if isinstance(message, Column) else F.lit(message)).alias("message"))
-    is_a, text = kind(value), F.try_variant_get(value, "$", "string")
+    text = F.try_variant_get(value, "$", "string")
     none = F.from_json(F.lit("[]"), ERRORS)
     checks = []
     if "type" in rules:
@@ -96,7 +102,7 @@ def errors_of(value: Column, rules: dict, path: Column | str = "") -> Column:
 def sorted_set(value: Column) -> Column:
     """A VARIANT array of strings without repeats in order; anything else as it is."""
     items = F.try_variant_get(value, "$", LIST)
-    strings = F.coalesce(F.forall(items, lambda x: kind(x) == "string"), F.lit(False))
+    strings = F.coalesce(F.forall(items, lambda x: F.schema_of_variant(x) == "STRING"), F.lit(False))
     return F.when(strings, F.to_variant_object(F.array_sort(F.array_distinct(F.try_variant_get(value, "$", "array<string>"))))).otherwise(value)
 
 
@@ -108,43 +114,41 @@ def by_field(value: Column) -> Column:
     return F.when(items.isNotNull(), F.to_variant_object(order)).otherwise(value)
 
 
-def composed_json(doc: Column) -> Column:
-    """Canonical JSON with every key and text in canonical composition; null for what is no JSON, repeats a key (also by
-    composition), or has a number with a fraction."""
-    text = canonical_json(doc)
-    again = F.when(text.rlike(r"[^\x00-\x7F]"), canonical_json(nfc(text))).otherwise(text)
-    return F.when(~has_float(again), again)
+def with_normal_form(rows: DataFrame, doc: str = "document", name: str = "normal") -> DataFrame:
+    """``rows`` with the normal form of an event document: canonical JSON with every key and text in canonical
+    composition, set-like arrays sorted and distinct, and an empty list where limitations are missing.
 
-
-def normalized_document(doc: Column) -> Column:
-    """An event document in its normal form: ``composed_json``, set-like arrays sorted and distinct, and an empty list
-    where limitations are missing. Null if it is malformed or no object."""
-    fields = F.try_variant_get(F.try_parse_json(composed_json(doc)), "$", OBJECT)
-    lineage = lambda x: F.coalesce(F.to_variant_object(F.transform_values(F.try_variant_get(x, "$", OBJECT), lambda k, v: F.when(k == "parent_event_ids", sorted_set(v)).otherwise(v))), x)
+    Null for what is no JSON object, repeats a key (also by composition), or has a number with a fraction.
+    """
+    wide = F.col("__text").rlike(r"[^\x00-\x7F]")
+    rows = rows.withColumn("__text", canonical_json(F.col(doc)))
+    rows = rows.withColumn("__text", F.when(wide, nfc(F.col("__text"))).otherwise(F.col("__text")))
+    rows = rows.withColumn("__text", F.when(wide, canonical_json(F.col("__text"))).otherwise(F.col("__text")))
+    fields = F.try_variant_get(F.try_parse_json(F.when(~has_float(F.col("__text")), F.col("__text"))), "$", OBJECT)
+    lineage = lambda x: let(F.try_variant_get(x, "$", OBJECT), lambda m: F.coalesce(F.to_variant_object(F.transform_values(m, lambda k, v: F.when(k == "parent_event_ids", sorted_set(v)).otherwise(v))), x))
     ordered = F.transform_values(fields, lambda k, v: F.when(k == "limitations", sorted_set(v)).when(k == "unknowns", by_field(v)).when(k == "lineage", lineage(v)).otherwise(v))
     empty = F.create_map(F.lit("limitations"), F.parse_json(F.lit("[]")))
-    return canonical_json(F.to_json(F.when(F.array_contains(F.map_keys(ordered), "limitations"), ordered).otherwise(F.map_concat(ordered, empty))))
+    whole = let(ordered, lambda m: F.to_json(F.when(F.array_contains(F.map_keys(m), "limitations"), m).otherwise(F.map_concat(m, empty))))
+    return rows.withColumn(name, canonical_json(whole)).drop("__text")
+
+
+def json_strings(doc: Column) -> Column:
+    """Keys (with a colon behind them) and text values of a canonical JSON text, in quotes, unescaped but for what the
+    two marks stand for. Escapes leave first, so that a string is what stands between two quotes, however long."""
+    text = F.replace(F.replace(doc, F.lit("\\\\"), F.lit(SLASH)), F.lit('\\"'), F.lit(QUOTE))
+    text = F.regexp_replace(text, r"\\([nrtbf]|u[0-9a-f]{4})", " ")
+    return F.regexp_extract_all(text, F.lit('"[^"]*":?'), F.lit(0))
 
 
-def json_strings(doc: Column) -> tuple[Column, Column]:
-    """Keys and text values of a canonical JSON text, unescaped. Escapes leave first, so that a string is what stands
-    between two quotes, however long."""
-    slash, quote = "\x01", "\x02"
-    text = F.replace(F.replace(doc, F.lit("\\\\"), F.lit(slash)), F.lit('\\"'), F.lit(quote))
-    text = F.regexp_replace(F.regexp_replace(text, r"\\[nrtbf]", " "), r"\\u[0-9a-f]{4}", " ")
-    parts = F.regexp_extract_all(text, F.lit('"[^"]*":?'), F.lit(0))
-    plain = lambda p: F.replace(F.replace(p, F.lit(slash), F.lit("\\")), F.lit(quote), F.lit('"'))
-    inner = lambda p, end: plain(F.substring(p, F.lit(2), F.length(p) - end))
-    keys = F.transform(F.filter(parts, lambda p: F.endswith(p, F.lit(":"))), lambda p: inner(p, 3))
-    values = F.transform(F.filter(parts, lambda p: ~F.endswith(p, F.lit(":"))), lambda p: inner(p, 2))
-    return keys, values
+SLASH, QUOTE = "\x01", "\x02"
 
 
 def document_hits(doc: Column) -> Column:
     """Names of the redaction rules that keys or texts anywhere in a canonical JSON text break."""
-    keys, values = json_strings(doc)
-    word = F.when(F.exists(keys, lambda k: k.rlike(SENSITIVE_KEY)), F.array(F.lit("sensitive_key"))).otherwise(F.array().cast("array<string>"))
-    return F.array_sort(F.array_distinct(F.concat(word, F.flatten(F.transform(values, lambda x: redaction_hits(x))))))
+    inner = lambda p: F.replace(F.replace(F.substring(p, F.lit(2), F.length(p) - 2), F.lit(SLASH), F.lit("\\")), F.lit(QUOTE), F.lit('"'))
+    key = lambda p: F.endswith(p, F.lit(":"))
+    hits = lambda p: F.when(key(p), F.array_compact(F.array(F.when(p.rlike(SENSITIVE_KEY), F.lit("sensitive_key"))))).otherwise(let(inner(p), redaction_hits))
+    return F.array_sort(F.array_distinct(F.flatten(F.transform(json_strings(doc), lambda p: hits(p)))))
 
 
 #: The envelope's fields that redaction looks at.
@@ -154,16 +158,16 @@ INSPECTED = ("snapshot_or_run_id", "limitations", "unknowns", "lineage", "payloa
 def opened(deliveries: DataFrame) -> DataFrame:
     """``deliveries`` (delivery, document) with ``event`` (VARIANT of the normal form, null if malformed), its hash, its
     fields as columns, and payload and payload hash."""
-    rows = cut(deliveries.withColumn("normal", normalized_document(F.col("document"))))  # written once; all that follows reads it
+    rows = cut(with_normal_form(spread(deliveries)))  # written once; all that follows reads it
     rows = rows.withColumn("event", F.try_parse_json("normal"))
     fields = {n: text_at(F.col("event"), n) for n in ("event_id", "producer_id", "producer_contract", "sdk_contract", "event_class", "event_time", "snapshot_or_run_id", "redaction_status")}
-    rows = rows.withColumns(fields).withColumn("payload", F.when(kind(child(F.col("event"), "payload")) == "object", F.to_json(child(F.col("event"), "payload"))))
+    rows = rows.withColumns(fields).withColumn("payload", let(child(F.col("event"), "payload"), lambda v: F.when(F.startswith(F.schema_of_variant(v), F.lit("OBJECT")), F.to_json(v))))
     return rows.withColumns({"payload": canonical_json(F.col("payload")), "event_hash": F.sha2(F.coalesce("normal", "document"), 256)}).withColumn("payload_hash", F.sha2("payload", 256))
 
 
 def validation_errors(deliveries: DataFrame, rules: dict = ENVELOPE_RULES) -> DataFrame:
     """(delivery, path, message): every error of every delivery, in order of path; a malformed one has the path ''."""
-    rows = cut(deliveries.select("delivery", normalized_document(F.col("document")).alias("normal")))
+    rows = cut(with_normal_form(spread(deliveries.select("delivery", "document"))))
     malformed = F.array(F.struct(F.lit("").alias("path"), F.lit("is malformed").alias("message")))
     found = F.when(F.col("normal").isNull(), malformed).otherwise(errors_of(F.try_parse_json("normal"), rules))
     return rows.select("delivery", F.explode(found).alias("e")).select("delivery", "e.*")
@@ -176,17 +180,18 @@ def judged(deliveries: DataFrame, known: DataFrame, rules: dict = ENVELOPE_RULES
     producer, or with sensitive keys or texts in what redaction inspects.
     """
     rows = opened(deliveries)
-    rows = rows.withColumn("wrong", F.size(errors_of(F.col("event"), rules)))
-    rows = compatibility(rows, known).withColumn("record_id", F.when(F.col("normal").isNotNull() & (F.col("wrong") == 0), record_id(rows)))
     seen = F.to_json(F.to_variant_object(F.array(*(child(F.col("event"), n) for n in INSPECTED))))
+    rows = rows.withColumns({"wrong": F.size(errors_of(F.col("event"), rules)), "hits": F.size(document_hits(canonical_json(seen)))})
+    rows = compatibility(cut(rows.drop("event", "document")), known)  # the expensive columns once, not again in what uses them
+    rows = rows.withColumn("record_id", F.when(F.col("normal").isNotNull() & (F.col("wrong") == 0), record_id(rows)))
     reason = (
         F.when(F.col("normal").isNull(), "malformed_event")
         .when(F.col("wrong") > 0, "invalid_schema")
         .when(F.col("incompatible").isNotNull(), F.col("incompatible"))
         .when(F.col("redaction_status") == "quarantine_required", "redaction_required")
-        .when(F.size(document_hits(canonical_json(seen))) > 0, "sensitive_content")
+        .when(F.col("hits") > 0, "sensitive_content")
     )
-    return cut(rows.withColumn("reason", reason).drop("wrong", "incompatible", "event"))
+    return rows.withColumn("reason", reason).drop("wrong", "hits", "incompatible")
 
 
 def dispositions(deliveries: DataFrame, known: DataFrame, stored: DataFrame | None = None, rules: dict = ENVELOPE_RULES) -> DataFrame:
@@ -269,4 +274,4 @@ def observations(events: DataFrame) -> DataFrame:
     generic = row(scope, alone, limitations=notes(no_scope, (F.lit(True), F.concat(F.lit("no projection for "), F.col("producer_contract")))))
     contract = F.col("producer_contract")
     branch = F.when(contract == SDK, F.transform(findings, finding)).when(contract == RESOLVER, F.array(resolver)).when(contract == HISTORY, F.array(history)).otherwise(F.array(generic))
-    return events.select("record_id", "producer_id", "event_class", "producer_contract", F.explode(branch).alias("o")).select("record_id", "producer_id", "event_class", "producer_contract", "o.*")
+    return spread(events).select("record_id", "producer_id", "event_class", "producer_contract", F.explode(branch).alias("o")).select("record_id", "producer_id", "event_class", "producer_contract", "o.*")

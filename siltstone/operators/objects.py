@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from siltstone.functions.canonical import identity
 from siltstone.operators.envelope import LIST, child, kind, text_at
 from siltstone.operators.history import change_flags
+from siltstone.session import spread
 
 STEPS = "array<struct<name:string,state:string>>"
 FIELDS = {
@@ -94,7 +95,7 @@ def normalized(objects: DataFrame) -> DataFrame:
         .when(c("kind") == "ci_job", F.array(job))
         .when(c("kind") == "check_run", F.array(check))
     )
-    rows = objects.withColumn("p", F.try_parse_json("payload")).select("scope", "source", F.coalesce("limitations", none).alias("given"), F.explode(found).alias("o"))
+    rows = spread(objects).withColumn("p", F.try_parse_json("payload")).select("scope", "source", F.coalesce("limitations", none).alias("given"), F.explode(found).alias("o"))
     limits = F.array_sort(F.array_distinct(F.concat("given", F.coalesce("o.notes", none))))
     name = identity("hno_", {"data": F.to_json("o"), "scope": c("scope").cast("string"), "source": c("source").cast("string")})
     return rows.select("scope", "source", name.alias("observation_id"), limits.alias("limitations"), "o.*").drop("notes")

@@ -45,3 +45,9 @@ def cut(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder, so that later steps don't repeat it and survive lost executors."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over as many tasks as there are cores, where it comes in fewer (a small table in one file); else as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
