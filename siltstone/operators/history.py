@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.canonical import identity
 from siltstone.operators.ordered import tree_digest
-from siltstone.session import cut
+from siltstone.session import written as cut
 
 
 def flake_classes(runs: DataFrame) -> DataFrame:

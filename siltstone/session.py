@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,3 +52,11 @@ def spread(df: DataFrame) -> DataFrame:
     """``df`` over as many tasks as there are cores, where it comes in fewer (a small table in one file); else as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as Parquet below the shared folder, read again. For loops of joins: a checkpoint keeps the optimizer's guess of
+    a result's size, which each join multiplies; a file has the size that it has."""
+    path = f"{shared_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -48,7 +48,7 @@ def test_a_path_of_5000_commits_takes_rounds_by_its_logarithm(spark):
     began = time.time()
     got = {r.before: r.path for r in H.unique_paths(chain, wanted).collect()}
     assert got == {"c0": [f"c{k}" for k in range(1, 5001)], "c17": [f"c{k}" for k in range(18, 4243)]}
-    assert time.time() - began < 60
+    assert time.time() - began < 120
 
 
 def brute_next(failed, runs, parents):
