@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,3 +45,26 @@ def tree_digest(rows: DataFrame, column: str, fan_out: int = 4096) -> DataFrame:
         level, left = level.select((F.col("group") + 1).alias("sequence"), "h"), -(-left // fan_out)
         if left == 1:
             return level.select(F.lit(count).cast("long").alias("row_count"), F.col("h").alias("digest"))
+
+
+def grouped_digest(rows: DataFrame, by: list[str], column: str, fan_out: int = 4096) -> DataFrame:
+    """(``by``, row_count, digest): ``tree_digest`` of every group. Null is a group like others, a null text an empty one.
+
+    Hashes are numbered over all groups at once and then from each group's first, so neither many small groups nor one
+    huge group is a single task; levels grow with the logarithm of the largest group.
+    """
+    level = numbered(rows.select(*by, F.sha2(F.coalesce(column, F.lit("")), 256).alias("h")), [*by, "h"])
+    sizes = level.groupBy(*by).agg(F.count(F.lit(1)).alias("row_count"), F.min("sequence").alias("first"))
+    sizes = cut(sizes.select(*(F.col(b).alias(f"__{b}") for b in by), "row_count", "first"))
+    same = reduce(and_, (F.col(b).eqNullSafe(F.col(f"__{b}")) for b in by))
+    level = level.join(sizes, same).select(*by, "row_count", (F.col("sequence") - F.col("first")).alias("place"), "h")
+    left, reach = sizes.agg(F.max("row_count")).first()[0] or 1, 1
+    while True:
+        below = F.transform(F.array_sort(F.collect_list(F.struct("place", "h"))), lambda x: x["h"])
+        node = F.sha2(F.array_join(below, ""), 256)
+        if reach > 1:  # a group that has its root already keeps it, however large others are
+            node = F.when(F.col("row_count") <= reach, F.min("h")).otherwise(node)
+        level = level.groupBy(*by, "row_count", F.floor(F.col("place") / fan_out).alias("above")).agg(node.alias("h"))
+        level, left, reach = level.withColumnRenamed("above", "place"), -(-left // fan_out), reach * fan_out
+        if left == 1:
+            return level.select(*by, "row_count", F.col("h").alias("digest"))

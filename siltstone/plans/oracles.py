@@ -378,3 +378,62 @@ add("episodes", """, """ + OBJECTS + """, fl as (select *, lag(conclusion) over
 add("store_write_once", """ select 1 as write, record_id, 'written' as status from records where delivery % 2 = 0 union all
   select 2, record_id, case when delivery % 10 = 4 then 'conflict' when delivery % 2 = 0 then 'unchanged' else 'written' end from records union all select 3, record_id, case when delivery % 10 = 4 then 'conflict' else 'unchanged' end from records""", *stored_records)
 add("manifest_view", "select record_id, event_class, producer_id, source_event_id, delivery from records where event_class = 'static_finding'", *stored_records)
+
+
+def json_sql(**fields: str) -> str:
+    """JSON of the fields by name; each is an expression of a text, a whole number (``#`` before it), a number with a point
+    (``.``) or of JSON (``@``)."""
+
+    def value(e: str) -> str:
+        kind, inner = (e[0], e[1:]) if e[0] in "#.@" else ("", e)
+        text = {"#": f"cast({inner} as varchar)", ".": f"'\"' || printf('%.9f', round(cast({inner} as double), 9)) || '\"'", "@": f"{inner}", "": f"cast(to_json({inner}) as varchar)"}[kind]
+        return f"coalesce({text}, 'null')"
+
+    return "'{' || " + " || ',' || ".join(f"'\"{k}\":' || {value(fields[k])}" for k in sorted(fields)) + " || '}'"
+
+
+def grouped_sql(by: str) -> str:
+    """Digests of ``r`` (``by``, j) per group, as a tree of two levels: up to 4096 x 4096 rows in a group."""
+    return f"""g0 as (select {by}, sha256(coalesce(j, '')) as h, row_number() over (partition by {by} order by sha256(coalesce(j, ''))) - 1 as s from r),
+  g1 as (select {by}, s // 4096 as s, count(*) as n, sha256(string_agg(h, '' order by s)) as h from g0 group by 1, 2),
+  digests as (select {by}, cast(sum(n) as bigint) as row_count, case when count(*) = 1 then min(h) else sha256(string_agg(h, '' order by s)) end as digest from g1 group by 1)"""
+
+
+PAIRS = """marks as (select distinct occurrence_scope as s, recurrence_fingerprint as f from obs), counts as (select f, count(*) as n from marks group by 1),
+  pairs as (select a.f as l, b.f as r, count(*) as shared from marks a join marks b on a.s = b.s and a.f < b.f group by 1, 2),
+  cooccurrence as (select l, r, shared, x.n as ln, y.n as rn, shared / (x.n + y.n - shared) as jaccard from pairs join counts x on x.f = l join counts y on y.f = r)"""
+RULE_COUNTS = ("attempt_count", "confirmed_false_positive_count", "confirmed_true_positive_count", "inconclusive_count", "successful_count", "failed_count", "partial_count", "unknown_count", "validation_unknown_count")
+REPORT_TEXTS = f"""r as (select 'recurrence' as name, {json_sql(recurrence_fingerprint="recurrence_fingerprint", event_class="event_class", canonical_rule_id="canonical_rule_id", first_scope="first_scope", last_scope="last_scope", **{c: "#" + c for c in ("occurrence_count", "distinct_scope_count", "distinct_producer_count")})} as j from recurrence
+  union all select 'cooccurrence', {json_sql(left_fingerprint="l", right_fingerprint="r", shared_scope_count="#shared", left_scope_count="#ln", right_scope_count="#rn", jaccard_ratio=".jaccard")} from cooccurrence
+  union all select 'effort', {json_sql(event_class="event_class", remediation_class="remediation_class", known_observation_count="#known_observation_count", unknown_observation_count="#unknown_observation_count", total_minutes="#total_minutes", mean_minutes=".mean_minutes", median_minutes=".median_minutes", p95_minutes=".p95_minutes")} from atlas
+  union all select 'effectiveness', {json_sql(canonical_rule_id="canonical_rule_id", false_positive_ratio=".false_positive_ratio", success_ratio=".success_ratio", **{c: "#" + c for c in RULE_COUNTS})} from effectiveness)"""
+LIMITED = """limited as (select list_sort(list_filter([case when bool_or(canonical_rule_id is null) then 'canonical_rule_id unavailable for some records' end, case when bool_or(effort_minutes is null) then 'effort_minutes unavailable for some records' end,
+  case when bool_or(occurrence_scope like 'record:%') then 'occurrence_scope unavailable for some records; record identity was used as a non-cooccurring fallback' end], lambda x: x is not null)) as limitations from obs)"""
+RUN = f"""run as (select 'ar_' || sha256({json_sql(source_snapshot_id="'cs_test'", contract="'analytics-contract/v1'", report_hashes="(select string_agg(name || '=' || digest, chr(10) order by name) from digests)")}) as run_id, 'cs_test' as source_snapshot_id)"""
+analysed = (stored, OBS, RECURRENCE, ATLAS, RULES, MEANS, PAIRS, REPORT_TEXTS, grouped_sql("name"), RUN)
+add("report_manifest", "select run_id, source_snapshot_id, name, row_count, digest from digests, run", *analysed)
+add("verify_analytics", """select 'cs_test' as source_snapshot_id, 'recurrence' as name, unnest(['report hash', 'row count']) as fault where exists (select 1 from recurrence where recurrence_fingerprint like '0%')
+  union all select 'cs_test', 'effectiveness', 'report hash' where exists (select 1 from effectiveness where failed_count > 0) union all select 'cs_test', 'cooccurrence', 'report missing'
+  union all select 'cs_test', null, unnest(['output hash', 'run identity']) union all select null, 'effort', unnest(['report missing', 'run missing'])""", *analysed)
+MATCH = "@" + "'{\"event_class\":\"' || event_class || '\",\"recurrence_fingerprint\":\"' || recurrence_fingerprint || '\"}'"
+EVIDENCE = "@" + json_sql(analysis_run_id="run_id", recurrence_fingerprint="recurrence_fingerprint", source_snapshot_id="source_snapshot_id")
+ACTION = "@'{\"automatic_fix\":false,\"behavior\":\"diagnose\",\"blocking\":false}'"
+NAMED = f"""docs as (select c.* exclude (candidate_id), run_id, source_snapshot_id, 'Prevent recurring ' || event_class || ' pattern ' || left(recurrence_fingerprint, 12) as title,
+  'candidate_' || sha256({json_sql(source_snapshot_id="source_snapshot_id", analysis_run_id="run_id", recurrence_fingerprint="recurrence_fingerprint", candidate_kind="candidate_kind", match_contract=MATCH, action_contract=ACTION)}) as candidate_id from compiled c, run)"""
+BODIES = f"""files as (select recurrence_fingerprint, case when candidate_kind = 'ast_grep' then 'rules/' || candidate_id || '.yml' else 'contracts/' || candidate_id || '.json' end as file, case when candidate_kind = 'ast_grep' then
+  'id: ' || candidate_id || chr(10) || 'language: generic' || chr(10) || 'message: ' || title || chr(10) || 'metadata:' || chr(10) || '  analysis_run_id: ' || run_id || chr(10) || '  automatic_fix: false' || chr(10) || '  blocking: false' || chr(10)
+  || '  score: ' || cast(cast(score as decimal(10,6)) as varchar) || chr(10) || '  source_snapshot_id: ' || source_snapshot_id || chr(10) || '  state: candidate' || chr(10) || 'rule:' || chr(10) || '  kind: candidate_placeholder' || chr(10)
+  || '  regex: CANDIDATE_' || left(recurrence_fingerprint, 16) || chr(10) || 'severity: warning' || chr(10)
+  else {json_sql(schema="'architecture-contract-candidate/v1'", contract_id="candidate_id", state="'candidate'", blocking="@'false'", selector=MATCH, expectation="@" + json_sql(automatic_remediation="@'false'", diagnostic="title"), lineage=EVIDENCE)} end as body from docs where state <> 'deferred'
+  union all select recurrence_fingerprint, 'invariants/' || candidate_id || '.json', {json_sql(schema_version="'generated-invariant/v1'", invariant_id="'invariant_' || sha256(" + json_sql(candidate_id="candidate_id", statement="title") + ")", candidate_id="candidate_id", statement="title", scope="event_class", severity="case when state = 'promotion_eligible' then 'warning' else 'info' end", evidence=EVIDENCE, state="'candidate'")} from docs where state <> 'deferred')"""
+documented = (*analysed, CANDIDATES, NAMED)
+add("candidate_documents", """select candidate_id, run_id, source_snapshot_id, recurrence_fingerprint, title, 'Observed ' || occurrence_count || ' times across ' || distinct_scope_count || ' distinct scopes.' as rationale, state,
+  array_to_string(limitations, '|') as limitations from docs, limited""", *documented, LIMITED)
+add("artifact_files", "select file, body from files", *documented, BODIES)
+add("verify_compilation", """select file, 'file missing' as fault from files where recurrence_fingerprint like '1%' union all select file, 'file hash' from files where recurrence_fingerprint like '2%'
+  union all select file || '.bak', 'file unlisted' from files where recurrence_fingerprint like '3%'""", *documented, BODIES)
+add("outcome_digests", f", r as (select pack_id, {json_sql(**{c: c for c in ('outcome_key', 'pack_id', 'canonical_rule_id', 'surface', 'outcome_class', 'period')}, latency_ms='#latency_ms')} as j from outcomes), {grouped_sql('pack_id')} select pack_id, row_count, digest from digests", outcomes)
+add("verify_effectiveness", """, packs as (select pack_id || ':' || canonical_rule_id as pack, count(*) filter (outcome_class = 'repair_failed') as failed, count(*) as n from outcomes group by 1)
+  select pack as pack_id, unnest(['outcome lineage', 'observation count']) as fault from packs where pack like '%:rule_1_' and failed > 0 union all select pack, 'report missing' from packs where pack like '%:rule_2'
+  union all select pack, 'report hash' from packs where pack like '%:rule_3_' union all select pack, 'report unlisted' from packs where pack like '%:rule_4'
+  union all select pack, 'report identity' from packs where pack = 'pack_0:rule_5'""", outcomes)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions import canonical
+from siltstone.operators import artifacts as A
 from siltstone.operators import candidates as C
 from siltstone.operators import effectiveness as E
 from siltstone.operators import envelope as V
@@ -13,6 +14,7 @@ from siltstone.operators import history as H
 from siltstone.operators import ingest as I
 from siltstone.operators import metrics as M
 from siltstone.operators import objects as O
+from siltstone.operators import outputs as R
 from siltstone.operators import publish as P
 from siltstone.operators import snapshot as S
 from siltstone.operators import store as W
@@ -664,3 +666,72 @@ def manifest_view(spark, sf_dir):
     path, _ = written(spark, sf_dir)
     records(spark, sf_dir).limit(5).write.parquet(f"{path}/data/batch=stray")  # no manifest lists these
     return W.view(spark, path, STORED, "event_class = 'static_finding'")
+
+
+SNAPSHOT_ID = "cs_test"
+
+
+@query
+def report_manifest(spark, sf_dir):
+    return R.analysis(observations(spark, sf_dir), SNAPSHOT_ID)[1]
+
+
+@query
+def verify_analytics(spark, sf_dir):
+    """A run with planted faults (recurrence rows lost, a changed row of each rule with failures, a report unlisted) beside
+    an intact one and one that is nowhere listed; the name of the snapshot stands for the run's identity."""
+    obs = observations(spark, sf_dir)
+    rows, manifest, run = R.analysis(obs, SNAPSHOT_ID)
+    other_rows, other_manifest, other = R.analysis(obs.where("occurrence_scope not like 'record:%'"), "cs_other")
+    lost = (F.col("name") == "recurrence") & F.col("row").rlike('"recurrence_fingerprint":"0')
+    rows = rows.where(~lost).withColumn("row", F.when((F.col("name") == "effectiveness") & ~F.col("row").contains('"failed_count":0,'), F.concat("row", F.lit(" "))).otherwise(F.col("row")))
+    manifest = manifest.where("name != 'cooccurrence'")
+    stray = rows.where("name = 'effort'").withColumn("run_id", F.lit("ar_stray"))
+    found = R.verify_analytics(rows.unionByName(other_rows).unionByName(stray), manifest.unionByName(other_manifest), run.unionByName(other))
+    named = run.unionByName(other).select("run_id", "source_snapshot_id")
+    return found.join(F.broadcast(named), "run_id", "left").select("source_snapshot_id", "name", "fault")
+
+
+def documents_of(spark, sf_dir):
+    run = R.analysis(observations(spark, sf_dir), SNAPSHOT_ID)[2]
+    return A.candidate_documents(compiled(spark, sf_dir), run)
+
+
+@query
+def candidate_documents(spark, sf_dir):
+    return documents_of(spark, sf_dir).select("candidate_id", "run_id", "source_snapshot_id", "recurrence_fingerprint", "title", "rationale", "state", F.array_join("limitations", "|").alias("limitations"))
+
+
+@query
+def artifact_files(spark, sf_dir):
+    return A.files(documents_of(spark, sf_dir)).select("file", "body")
+
+
+@query
+def verify_compilation(spark, sf_dir):
+    """A compilation whose files were lost, changed or added afterwards, by the first digit of their fingerprint."""
+    docs = documents_of(spark, sf_dir)
+    files = A.files(docs)
+    lines, made = R.compilation(docs, files, C.regression(docs, C.fixtures(docs)))
+    first = docs.select("candidate_id", F.left("recurrence_fingerprint", F.lit(1)).alias("first"))
+    now = files.join(first, "candidate_id").where("first != '1'").withColumn("body", F.when(F.col("first") == "2", F.concat("body", F.lit("#"))).otherwise(F.col("body")))
+    stray = now.where("first = '3'").withColumn("file", F.concat("file", F.lit(".bak")))
+    return R.verify_compilation(now.unionByName(stray).select("file", "body"), lines, made)
+
+
+@query
+def outcome_digests(spark, sf_dir):
+    from siltstone.operators.ordered import grouped_digest
+
+    return grouped_digest(R.outcome_texts(outcomes(spark, sf_dir)), ["pack_id"], "row")
+
+
+@query
+def verify_effectiveness(spark, sf_dir):
+    """Reports of packs (one per pack and rule) whose outcomes, rows or manifest lines changed afterwards."""
+    seen = outcomes(spark, sf_dir).withColumn("pack_id", F.concat_ws(":", "pack_id", "canonical_rule_id"))
+    rows, manifest = R.effectiveness_reports(seen, E.rule_metrics(seen, "pack_id"))
+    late = seen.where("not (pack_id like '%:rule_1_' and outcome_class = 'repair_failed')").withColumn("observed_at", F.lit("later"))
+    rows = rows.where("pack_id not like '%:rule_2'").withColumn("row", F.when(F.col("pack_id").like("%:rule_3_"), F.concat("row", F.lit(" "))).otherwise(F.col("row")))
+    manifest = manifest.where("pack_id not like '%:rule_4'").withColumn("report_id", F.when(F.col("pack_id").like("pack_0:rule_5"), "er_other").otherwise(F.col("report_id")))
+    return R.verify_effectiveness(rows, manifest, late)
