@@ -437,3 +437,16 @@ add("verify_effectiveness", """, packs as (select pack_id || ':' || canonical_ru
   select pack as pack_id, unnest(['outcome lineage', 'observation count']) as fault from packs where pack like '%:rule_1_' and failed > 0 union all select pack, 'report missing' from packs where pack like '%:rule_2'
   union all select pack, 'report hash' from packs where pack like '%:rule_3_' union all select pack, 'report unlisted' from packs where pack like '%:rule_4'
   union all select pack, 'report identity' from packs where pack = 'pack_0:rule_5'""", outcomes)
+PUBLISHED = """p as (select 'channel_' || (o_custkey % 50) as channel, o_orderkey as sequence, (o_orderkey % 12) || '.' || (o_orderkey % 5) || '.0' as v, o_orderkey * 3 // (max(o_orderkey) over () + 1) as third from orders),
+  q as (select *, lag(v) over (partition by channel order by sequence) as pv, max(sequence) over (partition by channel) as top, max(sequence) over (partition by channel, v) as last from p)"""
+RETIRED = f"""retired as (select channel, v, sha256(v) as pack_sha256, case when sequence % 21 = 0 then ' ' when sequence % 35 = 0 then null else 'reason ' || (sequence % 4) end as reason, case when sequence % 2 = 0 then '99.0.0' end as replacement,
+  case when sequence % 77 <> 0 then 'ops' else '' end as issuer from p where sequence % 7 = 0),
+  named as (select *, case when trim(reason) <> '' and issuer <> '' then 'retire_' || sha256({json_sql(pack_id="channel", pack_version="v", pack_sha256="pack_sha256", reason="reason", replacement_version="replacement", retired_at="'2026-01-01T00:00:00Z'", issuer="issuer")}) end as id from retired)"""
+add("channel_index", "select channel, sha256(v) as archive_hash, v as pack_version, sequence, pv as previous_version, sequence = top as is_active from q where sequence = last", PUBLISHED)
+add("channel_writes", """select third + 1 as "write", channel, sequence, 'published' as status from q where third < 2 union all select 3, channel, sequence, 'conflict' from q where third = 2
+  union all select 4, channel, sequence, 'published' from q where third = 2 union all select 5, channel, sequence, case when sequence = last then 'unchanged' else 'late' end from q where third = 0""", PUBLISHED)
+add("retirement_ledger", """, t as (select id, count(*) as n, min(v) < '5' as early from named where id is not null group by 1)
+  select id as retirement_id, 'written' as status, 1 as n from t union all select id, 'unchanged', case when early then 2 * n - 1 else n - 1 end from t where early or n > 1
+  union all select null, 'refused', count(*) + count(*) filter (v < '5') from named where id is null having count(*) > 0""", PUBLISHED, RETIRED)
+add("channels_in_force", """, g as (select pack_sha256, max(struct_pack(k := replacement is not null, replacement := coalesce(replacement, ''))) as x from retired where reason is not null group by 1)
+  select channel, v as pack_version, sequence, pv as previous_version, x is not null as retired, nullif(x.replacement, '') as replacement_version from q left join g on pack_sha256 = sha256(v) where sequence = top""", PUBLISHED, RETIRED)

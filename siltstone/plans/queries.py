@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from siltstone.functions import canonical
 from siltstone.operators import artifacts as A
 from siltstone.operators import candidates as C
+from siltstone.operators import channels as N
 from siltstone.operators import effectiveness as E
 from siltstone.operators import envelope as V
 from siltstone.operators import history as H
@@ -735,3 +736,61 @@ def verify_effectiveness(spark, sf_dir):
     rows = rows.where("pack_id not like '%:rule_2'").withColumn("row", F.when(F.col("pack_id").like("%:rule_3_"), F.concat("row", F.lit(" "))).otherwise(F.col("row")))
     manifest = manifest.where("pack_id not like '%:rule_4'").withColumn("report_id", F.when(F.col("pack_id").like("pack_0:rule_5"), "er_other").otherwise(F.col("report_id")))
     return R.verify_effectiveness(rows, manifest, late)
+
+
+def publications(spark, sf_dir):
+    k = F.col("o_orderkey")
+    version = F.concat((k % 12).cast("string"), F.lit("."), (k % 5).cast("string"), F.lit(".0"))
+    return table(spark, sf_dir, "orders").select(F.concat(F.lit("channel_"), (F.col("o_custkey") % 50).cast("string")).alias("channel"), k.alias("sequence"), version.alias("pack_version"), F.sha2(version, 256).alias("archive_hash"))
+
+
+def published(spark, sf_dir):
+    """An index in the shared folder after three batches, a stale writer and the first batch again; and what each was told."""
+    import uuid
+
+    from siltstone.session import shared_folder
+
+    path = f"{shared_folder(spark)}/channels-{uuid.uuid4().hex}"
+    rows = publications(spark, sf_dir)
+    third = F.floor(F.col("sequence") * 3 / F.lit(rows.agg(F.max("sequence")).first()[0] + 1))
+    batches = [rows.where(third == k) for k in range(3)]
+    said = None
+    for number, (batch, expected) in enumerate(((batches[0], 0), (batches[1], 1), (batches[2], 1), (batches[2], 2), (batches[0], 3)), 1):
+        out = N.publish(batch, path, expected).select(F.lit(number).alias("write"), "channel", "sequence", "status")
+        said = out if said is None else said.unionByName(out)
+    return path, said
+
+
+@query
+def channel_index(spark, sf_dir):
+    return N.entries(spark, published(spark, sf_dir)[0])
+
+
+@query
+def channel_writes(spark, sf_dir):
+    return published(spark, sf_dir)[1]
+
+
+def retirements(spark, sf_dir):
+    k, rows = F.col("sequence"), publications(spark, sf_dir)
+    reason = F.when(k % 21 == 0, " ").when(k % 35 == 0, F.lit(None)).otherwise(F.concat(F.lit("reason "), (k % 4).cast("string")))
+    return rows.where("sequence % 7 = 0").select(F.col("channel").alias("pack_id"), "pack_version", F.col("archive_hash").alias("pack_sha256"), reason.alias("reason"), F.when(k % 2 == 0, "99.0.0").alias("replacement_version"), F.lit("2026-01-01T00:00:00Z").alias("retired_at"), F.when(k % 77 != 0, "ops").otherwise("").alias("issuer"))
+
+
+@query
+def retirement_ledger(spark, sf_dir):
+    """Retirements written in two batches that overlap: how often each was said to be what."""
+    import uuid
+
+    from siltstone.session import shared_folder
+
+    path = f"{shared_folder(spark)}/retired-{uuid.uuid4().hex}"
+    rows = retirements(spark, sf_dir)
+    first, second = N.retire(rows.where("pack_version < '5'"), path), N.retire(rows, path)
+    return first.unionByName(second).groupBy("retirement_id", "status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def channels_in_force(spark, sf_dir):
+    offered = N.entries(spark, published(spark, sf_dir)[0])
+    return N.in_force(offered, retirements(spark, sf_dir).where("reason is not null")).select("channel", "pack_version", "sequence", "previous_version", "retired", "replacement_version")
