@@ -31,8 +31,9 @@ def with_rule_effectiveness(recurrence: DataFrame, effectiveness: DataFrame) ->
 
 
 def capped(value: Column, target: int) -> Column:
+    """``value``'s share of ``target`` in fives, 0 to 5. It is capped before it is narrowed: a count may be any number."""
     part = F.coalesce(value.cast("decimal(20,6)"), F.lit(0)) * 5 / F.lit(target)
-    return F.least(F.lit(5).cast(SCORE), F.greatest(F.lit(0).cast(SCORE), F.bround(part, 6).cast(SCORE)))
+    return F.least(F.lit(5), F.greatest(F.lit(0), F.bround(part, 6))).cast(SCORE)
 
 
 def score_parts() -> dict[str, Column]:
