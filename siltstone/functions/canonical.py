@@ -77,9 +77,9 @@ def blank_to_null(text: Column) -> Column:
     return F.when(F.trim(text) == "", None).otherwise(text)
 
 
-def ratio(part: Column, whole: Column) -> Column:
-    """``part / whole`` to 12 places; null if the whole is 0."""
-    return F.round(F.try_divide(part.cast("double"), whole.cast("double")), 12)
+def ratio(part: Column, whole: Column, places: int = 12) -> Column:
+    """``part / whole`` to ``places``; null if the whole is 0."""
+    return F.round(F.try_divide(part.cast("double"), whole.cast("double")), places)
 
 
 def path_safe(text: Column) -> Column:

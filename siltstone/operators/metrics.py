@@ -37,8 +37,8 @@ def recurrence(obs: DataFrame) -> DataFrame:
     )
 
 
-def cooccurrence(obs: DataFrame) -> DataFrame:
-    """Pairs of fingerprints that share scopes, with the Jaccard ratio of their scope sets.
+def cooccurrence(obs: DataFrame, places: int = 12) -> DataFrame:
+    """Pairs of fingerprints that share scopes, with the Jaccard ratio of their scope sets to ``places``.
 
     Scopes with a single fingerprint can't form a pair and leave before the self-join, fallback scopes of
     single records among them; a very large scope is split by Spark's skew handling.
@@ -53,7 +53,7 @@ def cooccurrence(obs: DataFrame) -> DataFrame:
     for side in ("left", "right"):
         pairs = pairs.join(counts.select(F.col("fp").alias(f"{side}_fingerprint"), F.col("n").alias(f"{side}_scope_count")), f"{side}_fingerprint")
     whole = F.col("left_scope_count") + F.col("right_scope_count") - F.col("shared_scope_count")
-    return pairs.select("left_fingerprint", "right_fingerprint", "shared_scope_count", "left_scope_count", "right_scope_count", ratio(F.col("shared_scope_count"), whole).alias("jaccard_ratio"))
+    return pairs.select("left_fingerprint", "right_fingerprint", "shared_scope_count", "left_scope_count", "right_scope_count", ratio(F.col("shared_scope_count"), whole, places).alias("jaccard_ratio"))
 
 
 def effort_atlas(obs: DataFrame) -> DataFrame:

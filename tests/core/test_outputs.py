@@ -61,6 +61,13 @@ def test_an_analysis_is_its_observations_and_every_fault_is_a_row(spark):
     assert found(outputs.verify_analytics(rows, manifest, counted)) == [(id_, None, "output hash")]
 
 
+def test_a_reports_ratios_are_rounded_once(spark):
+    scopes = {"a" * 64: range(273), "b" * 64: range(233, 233 + 19777)}  # 40 of 20010 shared: 0.00199900049975
+    rows = [(f"r{f[0]}{k}", "p", "gate_outcome", "c/v1", f"scope{k}", f, None, None, None, None, None) for f, ks in scopes.items() for k in ks]
+    report = outputs.analysis(spark.createDataFrame(rows, OBS), "cs")[0]
+    assert json.loads(report.where("name = 'cooccurrence'").first().row)["jaccard_ratio"] == "0.001999000"
+
+
 def compiled(spark):
     obs = observations(spark)
     run = outputs.analysis(obs, "cs")[2]
