@@ -11,21 +11,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 
-def canonical_json(doc: Column) -> Column:
-    """Sorted keys, no spaces, UTF-8 unescaped. Null for text that is not JSON or repeats a key.
-
-    VARIANT prints control characters in upper-case hex; they are brought to lower case.
-    """
-    text = F.to_json(F.try_parse_json(doc))
+def lower_escapes(text: Column) -> Column:
+    """VARIANT prints control characters in upper-case hex; they are brought to lower case."""
+    out = text
+    for code in [*range(8), 11, *range(14, 32)]:
+        if f"{code:04X}" != f"{code:04x}":
+            out = F.replace(out, F.lit(f"\\u{code:04X}"), F.lit(f"\\u{code:04x}"))
+    return F.when(F.contains(text, F.lit("\\u00")), out).otherwise(text)
 
-    def lowered(t: Column) -> Column:
-        out = t
-        for code in [*range(8), 11, *range(14, 32)]:
-            if f"{code:04X}" != f"{code:04x}":
-                out = F.replace(out, F.lit(f"\\u{code:04X}"), F.lit(f"\\u{code:04x}"))
-        return F.when(F.contains(t, F.lit("\\u00")), out).otherwise(t)
 
-    return F.get(F.transform(F.array(text), lambda t: lowered(t)), F.lit(0))  # the text is made once
+def canonical_json(doc: Column) -> Column:
+    """Sorted keys, no spaces, UTF-8 unescaped. Null for text that is not JSON or repeats a key."""
+    return F.get(F.transform(F.array(F.to_json(F.try_parse_json(doc))), lower_escapes), F.lit(0))  # the text is made once
 
 
 def sha(text: Column) -> Column:
@@ -70,7 +67,8 @@ def _compose(text: pd.Series) -> pd.Series:
 
 def nfc(text: Column) -> Column:
     """Canonical composition; only texts beyond ASCII reach Python."""
-    return F.when(text.rlike(r"[^\x00-\x7F]"), F.pandas_udf(_compose, StringType())(text)).otherwise(text)
+    wide = text.rlike(r"[^\x00-\x7F]")
+    return F.when(wide, F.pandas_udf(_compose, StringType())(F.when(wide, text))).otherwise(text)  # Python is sent nulls for the others
 
 
 def blank_to_null(text: Column) -> Column:

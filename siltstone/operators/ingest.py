@@ -15,6 +15,18 @@ SENSITIVE_VALUES = (r"-----BEGIN [A-Z ]*PRIVATE KEY-----", r"(?i)\bbearer\s+[A-Z
 ABSOLUTE_PATH = r"(^|[^A-Za-z0-9_.-])(/(home|Users|var|tmp|private|opt)/\S+|[A-Za-z]:\\\S+)"
 OBJECT_ID = r"\b[0-9a-fA-F]{40}\b"
 
+#: In small letters, what stands in every text that one of the above but OBJECT_ID finds something in. Keep with them.
+MARKS = ("\\", "authorization", "passw", "secret", "token", "api", "private", "bearer", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "github_pat_", "akia", "/home/", "/users/", "/var/", "/tmp/", "/opt/")
+
+
+def suspect(small: Column) -> Column:
+    """Whether a JSON text, in small letters, may break a rule of redaction. Where this is false none is broken: a mark is
+    missing of each, and the quotes around a text bound it as its ends do. ``small`` is best a column of its own."""
+    found = small.rlike(r"[0-9a-f]{40}")
+    for mark in MARKS:
+        found = found | F.contains(small, F.lit(mark))
+    return found
+
 
 def redaction_hits(text: Column, object_ids: bool = True) -> Column:
     """Names of the rules that a value breaks, in a fixed order; words for secrets count in keys alone (``redaction_paths``)."""
@@ -25,7 +37,8 @@ def redaction_hits(text: Column, object_ids: bool = True) -> Column:
 def has_float(doc: Column) -> Column:
     """Whether a JSON text has a number with a fraction or exponent anywhere; numbers inside strings don't count."""
     outside = F.regexp_replace(F.regexp_replace(doc, r"\\.", ""), r'"[^"]*"', '""')  # escapes first, so that long strings need no stack
-    return outside.rlike(r"\d[.eE]")
+    mark = r"\d[.eE]"
+    return doc.rlike(mark) & outside.rlike(mark)  # most texts have the mark nowhere, also not in strings
 
 
 def redaction_paths(docs: DataFrame, key: str, doc: str) -> DataFrame:
