@@ -501,9 +501,10 @@ def streaming_ingest(spark, sf_dir):
     rows = deliveries(spark, sf_dir).select("delivery", F.sha2("event_id", 256).alias("record_id"), null.alias("kind"), null.alias("replacement"))
     target = F.when(F.col("delivery") % 22 == 0, F.concat("record_id", F.lit("x"))).otherwise(F.col("record_id"))
     fixes = rows.where("delivery % 11 = 0 and record_id is not null").select("delivery", target.alias("record_id"), F.lit("correction").alias("kind"), F.concat(F.lit("r"), F.col("delivery").cast("string")).alias("replacement"))
+    files = max(2, spark.sparkContext.defaultParallelism)  # of each part; two batches
     for part in (fixes, rows.where("delivery % 20 = 0"), rows):
-        part.repartition(2, "delivery").write.mode("append").parquet(f"{store}/source")
-    ingest_stream(spark, f"{store}/source", rows.schema, store, files_per_batch=3).awaitTermination()
+        part.repartition(files, "delivery").write.mode("append").parquet(f"{store}/source")
+    ingest_stream(spark, f"{store}/source", rows.schema, store, files_per_batch=-(-3 * files // 2)).awaitTermination()
     ledger = spark.read.parquet(f"{store}/ledger").select("kind", "disposition", "record_id", null.alias("superseded_by"))
     overlay = spark.read.parquet(f"{store}/overlay").groupBy("kind", "disposition", "record_id").agg(F.max("superseded_by").alias("superseded_by"))
     return ledger.unionByName(overlay).groupBy("kind", "disposition").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("record_id").alias("records"), F.max("superseded_by").alias("last"))

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siltstone.sources import provider, readers
-from siltstone.streaming.ingest import ingest_stream, windowed_counts
+from siltstone.streaming.ingest import ingest_stream, judged, marked, windowed_counts
 
 
 def test_provider_pages_retries_and_missing(spark):
@@ -73,6 +73,18 @@ def test_repeats_null_ids_and_corrections_in_any_order(spark, tmp_path):
     assert sorted(r.record_id for r in spark.read.parquet(f"{tmp_path}/store/records").collect()) == ["a", "b", "late"]
 
 
+def test_batches_are_judged_without_python(spark):
+    rows = spark.createDataFrame([(4, "a", "event", None), (None, "a", "event", None), (5, "b", "event", None), (6, "b", "correction", "b"), (7, "c", "correction", "r1"), (8, "d", "correction", "r1"), (9, "d", "correction", "r0")], "delivery long, record_id string, kind string, replacement string")
+    known = spark.createDataFrame([("b", True, None), ("c", False, "r2"), ("d", True, "r0"), ("z", True, "r9")], "record_id string, accepted boolean, superseded_by string")
+    parts = marked(judged(rows, known))
+    assert "Python" not in parts["ledger"]._jdf.queryExecution().executedPlan().toString().replace("Scan ExistingRDD", "")
+    assert sorted((r.record_id, r.delivery or 0, r.disposition, r.superseded_by) for r in parts["ledger"].collect()) == [
+        ("a", 0, "accepted", None), ("a", 4, "duplicate", None), ("b", 5, "duplicate", None), ("b", 6, "recorded", "b"), ("c", 7, "recorded", "r1"), ("d", 8, "recorded", "r1"), ("d", 9, "recorded", "r0")]
+    assert [(r.record_id, r.delivery) for r in parts["records"].collect()] == [("a", None)]
+    assert [(r.record_id, r.superseded_by) for r in parts["overlay"].collect()] == [("d", "r1")]
+    assert sorted(tuple(r) for r in parts["known"].collect()) == [("a", True, None), ("d", True, "r1")]
+
+
 def test_windows(spark):
     df = spark.createDataFrame([("2024-01-01 00:10:00", "a", 1.0), ("2024-01-01 00:50:00", "a", 2.0), ("2024-01-01 01:00:00", "a", 4.0)], "t string, event_type string, value double").withColumn("ts", F.to_timestamp("t"))
     assert sorted((r.n, r.total) for r in windowed_counts(df).collect()) == [(1, 4.0), (2, 3.0)]
