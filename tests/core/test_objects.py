@@ -73,3 +73,17 @@ def test_failures_before_and_after_by_identity(spark):
     }
     assert got["13"].equivalence_reasons == ["job_removed"] and got["22"].confounders == ["multiple_failure_fingerprints"]
     assert history.episodes(normalized(spark, rows[1:])).count() == 0  # no pull request, no context
+
+
+def test_values_read_once_are_told_apart_by_type(spark):
+    from pyspark.sql import functions as F
+
+    from siltstone.operators import objects
+
+    given = ["1", "1.0", "2.5", "-1", '"x"', '""', "true", "null", "[1]", "{}", "99999999999", "1e2", None]
+    rows = spark.createDataFrame([(k, None if v is None else f'{{"id":{v},"other":1}}') for k, v in enumerate(given)], "k int, doc string")
+    v = rows.select("k", F.try_variant_get(F.try_parse_json("doc"), "$", objects.fields("id")).alias("v"))
+    got = v.select(objects.a_number(F.col("v.id")), objects.a_name(F.col("v.id")), objects.a_text(F.col("v.id"))).orderBy("k").collect()
+    assert [r[0] for r in got] == [1, 1, None, None, None, None, None, None, None, None, None, 100, None]
+    assert [r[1] for r in got] == ["1", "1", None, "-1", "x", None, None, None, None, None, "99999999999", "100.0", None]
+    assert [r[2] for r in got] == [None] * 4 + ["x"] + [None] * 8
