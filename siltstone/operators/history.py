@@ -31,82 +31,140 @@ def flake_classes(runs: DataFrame) -> DataFrame:
 MOST = 2  #: Paths are counted to two: what matters is whether there is exactly one.
 
 
-def jumps(edges: DataFrame, longest: int) -> tuple[list[DataFrame], DataFrame, DataFrame | None]:
-    """Jump tables of a commit graph, its generations, and the workflows whose graph has a cycle (None without any).
+def generations(edges: DataFrame, longest: int) -> tuple[DataFrame, DataFrame | None]:
+    """(node, generation): the steps of the longest walk from a commit to a root; and the commits (at) of walks without an
+    end (None without any). Walks double in each round; one of more steps than ``longest`` is in a cycle."""
+    generation = cut(edges.select(F.explode(F.array("at", "to")).alias("node")).distinct().withColumn("generation", F.lit(0).cast("long")))
+    walks, step = edges.select("at", "to"), 1
+    while not walks.isEmpty():
+        if step > longest:
+            return generation, walks.select("at").distinct()
+        further = walks.join(generation.select(F.col("node").alias("to"), F.col("generation").alias("g")), "to").groupBy(F.col("at").alias("node")).agg((F.max("g") + step).alias("g"))
+        generation = cut(generation.join(further, "node", "left").select("node", F.greatest("generation", F.coalesce("g", F.lit(0))).alias("generation")))
+        walks = cut(walks.join(walks.select(F.col("at").alias("to"), F.col("to").alias("end")), "to").select("at", F.col("end").alias("to")).distinct())
+        step *= 2
+    return generation, None
+
 
-    ``edges``: workflow, at, to (a parent). Table k has a row (workflow, at, to, n, mid) for commits that are 2^k steps
-    apart: n paths, and if it is one, the commit in its middle. The generation of a commit is the length of the longest
-    walk from it to a root. ``longest``: commits of the largest workflow; a walk of more steps is one in a cycle.
+def floors(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(workflow, height, floor): the generation at or below which a commit of this generation has no unique path.
+
+    A generation is narrow if it has one commit and no edge passes it by, so that all walks go through that commit. If it is
+    a merge, two paths at least lead from it to the next narrow generation below, and so to all that is further down.
+    ``edges``: workflow, height, deep (of both ends); ``nodes``: workflow, height, a row per commit.
+    """
+    mark = lambda level, parents, over: F.struct(level.cast("long").alias("height"), F.lit(0).alias("commits"), F.lit(parents).alias("parents"), over.alias("over"))
+    past = F.when(F.col("height") > F.col("deep") + 1, 1).otherwise(0)
+    marks = edges.select("workflow", F.explode(F.array(mark(F.col("height"), 1, -past), mark(F.col("deep") + 1, 0, past))).alias("m")).select("workflow", "m.*")
+    marks = marks.unionByName(nodes.select("workflow", "height", F.lit(1).alias("commits"), F.lit(0).alias("parents"), F.lit(0).alias("over")))
+    levels = marks.groupBy("workflow", "height").agg(*(F.sum(x).alias(x) for x in ("commits", "parents", "over")))
+    order = Window.partitionBy("workflow").orderBy("height")
+    so_far, before = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(Window.unboundedPreceding, -1)
+    narrow = (F.col("commits") == 1) & (F.col("passing") == 0)
+    levels = levels.withColumn("passing", F.sum("over").over(so_far))
+    levels = levels.withColumn("under", F.last(F.when(narrow, F.col("height")), ignorenulls=True).over(before))
+    return levels.select("workflow", "height", F.coalesce(F.max(F.when(narrow & (F.col("parents") > 1), F.col("under"))).over(so_far), F.lit(-1)).alias("floor"))
+
+
+def graph_of(commits: DataFrame, named: DataFrame, tips: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """The nodes and edges of a commit table by number, so that rounds move numbers instead of names, and the workflows whose
+    graph has a cycle (None without any), which are left out.
+
+    Nodes: id, workflow, node, height (generation), floor (see ``floors``), tip (whether it is among ``tips``), of commits
+    with an edge and of those ``named`` (workflow, node). Edges: at, to, once each, with height, floor and tip of the upper
+    end and the depth of the lower.
     """
-    nodes = edges.select("workflow", F.explode(F.array("at", "to")).alias("node")).distinct()
-    generation = cut(nodes.withColumn("generation", F.lit(0).cast("long")))
-    tables = [cut(edges.select("workflow", "at", "to", F.lit(1).alias("n"), F.lit(None).cast("string").alias("mid")))]
+    edges = cut(commits.where("parent is not null").select("workflow", F.col("revision").alias("at"), F.col("parent").alias("to")).distinct())
+    longest = edges.groupBy("workflow").count().agg(F.max("count")).first()[0] or 0
+    nodes = edges.select("workflow", F.explode(F.array("at", "to")).alias("node")).unionByName(named.select("workflow", "node")).dropna().distinct()
+    nodes = cut(nodes.select(F.monotonically_increasing_id().alias("id"), "workflow", "node"))
+    for end in ("at", "to"):
+        edges = edges.join(nodes.select("workflow", F.col("node").alias(end), F.col("id").alias(f"{end}_id")), ["workflow", end])
+    edges = cut(edges.select(F.col("at_id").alias("at"), F.col("to_id").alias("to")))
+    generation, cyclic = generations(edges, longest + 1)
+    if cyclic is not None:
+        cyclic = cut(nodes.join(cyclic.select(F.col("at").alias("id")), "id").select("workflow").distinct())
+        nodes = nodes.join(cyclic, "workflow", "left_anti")
+    nodes = cut(nodes.join(generation.select(F.col("node").alias("id"), F.col("generation").alias("height"), F.lit(True).alias("joined")), "id", "left"))
+    edges = edges.join(nodes.select(F.col("id").alias("at"), "workflow", "height"), "at").join(nodes.select(F.col("id").alias("to"), F.col("height").alias("deep")), "to")
+    edges = cut(edges)
+    nodes = nodes.join(floors(edges, nodes.where("joined").select("workflow", "height")), ["workflow", "height"], "left")
+    if tips is None:
+        nodes = nodes.withColumn("tip", F.lit(False))
+    else:
+        nodes = nodes.join(tips.select("workflow", "node").distinct().withColumn("tip", F.lit(True)), ["workflow", "node"], "left")
+    nodes = cut(nodes.select("id", "workflow", "node", F.coalesce("height", F.lit(0)).alias("height"), F.coalesce("floor", F.lit(-1)).alias("floor"), F.coalesce("tip", F.lit(False)).alias("tip")))
+    return nodes, edges.join(nodes.select(F.col("id").alias("at"), "floor", "tip"), "at").select("at", "to", "height", "floor", "tip", "deep"), cyclic
+
+
+def jumps(edges: DataFrame) -> list[DataFrame]:
+    """Jump tables of a graph without cycles. Table k has a row (at, to, n, mid) for commits that are 2^k steps apart: n
+    paths, and if it is one, the commit in its middle. What is at or below the floor of its upper end is left out: it is
+    no part of a unique path, nor can it make one look unique, as floors never rise on the way down."""
+    tables = [cut(edges.where("deep > floor").withColumns({"n": F.lit(1), "mid": F.lit(None).cast("long")}))]
     while not tables[-1].isEmpty():
-        step = 2 ** (len(tables) - 1)
-        if step > longest:
-            return tables[:-1], generation, tables[-1].select("workflow").distinct()
-        here, there = tables[-1].alias("x"), tables[-1].select("workflow", F.col("at").alias("to"), F.col("to").alias("end"), F.col("n").alias("m"))
-        further = here.join(generation.select("workflow", F.col("node").alias("to"), F.col("generation").alias("g")), ["workflow", "to"])
-        further = further.groupBy("workflow", F.col("at").alias("node")).agg((F.max("g") + step).alias("g"))
-        generation = cut(generation.join(further, ["workflow", "node"], "left").select("workflow", "node", F.greatest("generation", F.coalesce("g", F.lit(0))).alias("generation")))
-        twice = here.join(there, ["workflow", "to"]).groupBy("workflow", "at", "end")
-        twice = twice.agg(F.least(F.lit(MOST), F.sum(F.col("n") * F.col("m"))).cast("int").alias("n"), F.min("to").alias("mid"))
-        tables.append(cut(twice.select("workflow", "at", F.col("end").alias("to"), "n", "mid")))
-    return tables[:-1], generation, None
-
-
-def counted_paths(tables: list[DataFrame], goals: DataFrame, within=None, settled=None) -> DataFrame:
-    """(workflow, at, goal, n, far, level, via) for all commits that a goal can be reached from.
-
-    ``goals``: workflow, goal. n paths (to two); if it is one, it has ``far`` steps, and begins with a jump of 2^level
-    steps to ``via`` (level -1: none). Round k adds the paths of 2^k to 2^(k+1) - 1 steps as a jump and a shorter path.
-    ``within`` may filter what a round adds; ``settled(found, steps)`` may name goals that need no longer paths.
+        there = tables[-1].select(F.col("at").alias("to"), F.col("to").alias("end"), F.col("deep").alias("end_deep"), F.col("n").alias("m"))
+        twice = tables[-1].join(there, "to").where("end_deep > floor").groupBy("at", F.col("end").alias("below"))
+        twice = twice.agg(F.least(F.lit(MOST), F.sum(F.col("n") * F.col("m"))).cast("int").alias("n"), F.min("to").alias("mid"), F.max("end_deep").alias("deep"), *(F.max(c).alias(c) for c in ("height", "floor", "tip")))
+        tables.append(cut(twice.withColumnRenamed("below", "to")))
+    return tables[:-1]
+
+
+def counted_paths(tables: list[DataFrame], goals: DataFrame, settled=None) -> DataFrame:
+    """(at, goal, base, top, height, tip, n, far, level, via) for commits above a goal's floor that it can be reached from.
+
+    ``goals``: goal, base (its generation), top: commits of a higher generation than top are of no interest (null: all are).
+    n paths (to two); if it is one, it has ``far`` steps, and begins with a jump of 2^level steps to ``via`` (level -1:
+    none). Round k adds the paths of 2^k to 2^(k+1) - 1 steps as a jump and a shorter path. ``settled(steps)`` may be a
+    condition on all rows of a goal for that no longer paths are needed.
     """
-    found = cut(goals.select("workflow", F.col("goal").alias("at"), "goal", F.lit(1).alias("n"), F.lit(0).cast("long").alias("far"), F.lit(-1).alias("level"), F.lit(None).cast("string").alias("via")))
+    found = cut(goals.select(F.col("goal").alias("at"), "goal", "base", "top", F.col("base").alias("height"), F.lit(False).alias("tip"), F.lit(1).alias("n"), F.lit(0).cast("long").alias("far"), F.lit(-1).alias("level"), F.lit(None).cast("long").alias("via")))
     done = None
     for k, table in enumerate(tables):
-        jump = table.select("workflow", F.col("at").alias("from"), F.col("to").alias("at"), F.col("n").alias("m"))
-        longer = found.join(jump, ["workflow", "at"]).select("workflow", F.col("from").alias("at"), "goal", F.least(F.lit(MOST), F.col("n") * F.col("m")).alias("n"), (F.col("far") + 2**k).alias("far"), F.lit(k).alias("level"), F.col("at").alias("via"))
-        both = found.unionByName(within(longer) if within else longer).groupBy("workflow", "at", "goal")
-        found = cut(both.agg(F.least(F.lit(MOST), F.sum("n")).cast("int").alias("n"), F.min("far").alias("far"), F.max("level").alias("level"), F.min("via").alias("via")))
-        if settled is not None and k + 1 < len(tables):
-            ready = cut(settled(found, 2 ** (k + 1)))
-            out = found.join(ready, ["workflow", "goal"], "left_semi")
+        jump = table.select(F.col("at").alias("from"), F.col("to").alias("at"), F.col("n").alias("m"), F.col("height").alias("high"), "floor", F.col("tip").alias("tested"))
+        longer = found.join(jump, "at").where("base > floor and (top is null or high <= top)")
+        longer = longer.select(F.col("from").alias("at"), "goal", "base", "top", F.col("high").alias("height"), F.col("tested").alias("tip"), F.least(F.lit(MOST), F.col("n") * F.col("m")).alias("n"), (F.col("far") + 2**k).alias("far"), F.lit(k).alias("level"), F.col("at").alias("via"))
+        both = found.unionByName(longer)
+        if settled is not None:  # a goal's rows in one place serve the sums and the condition
+            both = both.repartition("goal")
+        both = both.groupBy("at", "goal").agg(F.least(F.lit(MOST), F.sum("n")).cast("int").alias("n"), *(F.max(c).alias(c) for c in ("base", "top", "height", "tip", "level")), *(F.min(c).alias(c) for c in ("far", "via")))
+        if settled is None or k + 1 == len(tables):
+            found = cut(both)
+        else:
+            both = cut(both.withColumn("ready", settled(2 ** (k + 1))))
+            out, found = both.where("ready").drop("ready"), both.where("not ready").drop("ready")
             done = out if done is None else done.unionByName(out)
-            found = found.join(ready, ["workflow", "goal"], "left_anti")
     return found if done is None else done.unionByName(found)
 
 
-def spelled(pairs: DataFrame, found: DataFrame, tables: list[DataFrame]) -> DataFrame:
-    """(workflow, before, after, path) of pairs that one path joins, from the jumps that it is made of.
+def spelled(pairs: DataFrame, found: DataFrame, tables: list[DataFrame], nodes: DataFrame) -> DataFrame:
+    """(workflow, before, after, path) of pairs (goal, tip, level, via) that one path joins, from the jumps that it is made of.
 
-    From the largest jumps down, each is split in its middle, until single steps with their place in the path are left.
+    From the largest jumps down, each is split in its middle, until single steps with their place in the path are left. A
+    head is the commit that the rest of a path begins at; it waits for the round of its own jump.
     """
-    key = ["workflow", "before", "after"]
-    origin = cut(found.where("n = 1 and level >= 0").select("workflow", F.col("goal").alias("before"), "at", "level", "via"))
-    heads = pairs.select(*key, F.col("after").alias("at"), F.lit(0).cast("long").alias("place"))
-    parts = None
-    for k in reversed(range(len(tables))):
+    key = ["goal", "tip"]
+    pairs = cut(pairs)
+    origin = found.where("n = 1 and level >= 0").select("goal", "at", "level", "via")
+    heads = pairs.where("level >= 0").select(*key, F.col("tip").alias("at"), "level", "via", F.lit(0).cast("long").alias("place"))
+    parts, most = None, pairs.agg(F.max("level")).first()[0]
+    for k in reversed(range(0 if most is None else most + 1)):
         step = 2**k
         if parts is not None:
-            middle = tables[k + 1].where("n = 1").select("workflow", "at", "to", "mid")
+            middle = tables[k + 1].where("n = 1").select("at", "to", "mid")
             halves = F.explode(F.array(F.struct(F.col("at"), F.col("mid").alias("to"), F.col("place")), F.struct(F.col("mid").alias("at"), F.col("to"), (F.col("place") + step).alias("place"))))
-            parts = parts.join(middle, ["workflow", "at", "to"]).select(*key, halves.alias("h")).select(*key, "h.*")
-        first = origin.where(F.col("level") == k).drop("level")
-        heads = heads.join(first, ["workflow", "before", "at"], "left")
-        taken = heads.where("via is not null").select(*key, "at", F.col("via").alias("to"), "place")
+            parts = parts.join(middle, ["at", "to"]).select(*key, halves.alias("h")).select(*key, "h.*")
+        taken = heads.where(F.col("level") == k).select(*key, "at", F.col("via").alias("to"), "place")
         parts = cut(taken if parts is None else parts.unionByName(taken))
-        heads = cut(heads.select(*key, F.coalesce("via", "at").alias("at"), (F.col("place") + F.when(F.col("via").isNull(), 0).otherwise(step)).alias("place")))
-    if parts is None:
-        return pairs.select(*key, F.array().cast("array<string>").alias("path"))
-    listed = parts.groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("place")).alias("place"), "at"))), lambda x: x["at"]).alias("path"))
-    return pairs.select(*key).join(listed, key, "left").select(*key, F.coalesce("path", F.array().cast("array<string>")).alias("path"))
-
-
-def graph_of(commits: DataFrame) -> tuple[DataFrame, int]:
-    """Edges (workflow, at, to) of a commit table, each once, and the commits of the largest workflow."""
-    edges = cut(commits.where("parent is not null").select("workflow", F.col("revision").alias("at"), F.col("parent").alias("to")).distinct())
-    return edges, edges.groupBy("workflow").count().agg(F.max("count")).first()[0] or 0
+        if k:
+            moved = heads.where(F.col("level") == k).select(*key, F.col("via").alias("at"), (F.col("place") + step).alias("place")).join(origin.where(F.col("level") < k), ["goal", "at"])
+            heads = cut(heads.where(F.col("level") < k).unionByName(moved.select(heads.columns)))
+    rows = pairs.select(*key, F.col("goal").alias("id"), F.lit(None).cast("long").alias("place"))  # the goal itself comes first
+    if parts is not None:
+        rows = rows.unionByName(parts.select(*key, F.col("at").alias("id"), "place"))
+    rows = rows.join(nodes.select("id", "workflow", "node"), "id").select(*key, F.when(F.col("place").isNull(), F.col("workflow")).alias("workflow"), F.struct((-F.col("place")).alias("place"), "node").alias("x"))
+    rows = rows.groupBy(*key).agg(F.max("workflow").alias("workflow"), F.transform(F.array_sort(F.collect_list("x")), lambda x: x["node"]).alias("names"))
+    return rows.select("workflow", F.col("names")[0].alias("before"), F.element_at("names", -1).alias("after"), F.slice("names", F.lit(2), F.size("names")).alias("path"))
 
 
 def unique_paths(commits: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -114,24 +172,19 @@ def unique_paths(commits: DataFrame, wanted: DataFrame) -> DataFrame:
 
     ``commits``: workflow, revision, parent (null at the root). ``wanted``: workflow, before, after. The path leaves out
     ``before`` and ends in ``after``; equal ends have an empty path. Rounds grow with the logarithm of the longest path;
-    only commits between a goal and the highest generation of its wanted tips are counted. Workflows whose graph has a
-    cycle, which no history of commits has, are walked step by step.
+    only commits between a goal and the highest generation of its wanted tips are counted, and none that a merge through
+    which all walks go already joins by two paths. Workflows whose graph has a cycle, which no history of commits has, are
+    walked step by step.
     """
-    wanted = cut(wanted.select("workflow", "before", "after").distinct())
-    edges, longest = graph_of(commits)
-    tables, generation, cyclic = jumps(edges, longest + 1)
-    acyclic = wanted if cyclic is None else wanted.join(cyclic, "workflow", "left_anti")
-    height = generation.select("workflow", F.col("node").alias("after"), "generation")
-    top = cut(acyclic.join(height, ["workflow", "after"], "left").groupBy("workflow", F.col("before").alias("goal")).agg(F.coalesce(F.max("generation"), F.lit(0)).alias("top")))
-
-    def within(longer: DataFrame) -> DataFrame:
-        """Commits above all tips of a goal lead to none of them, and leave."""
-        near = longer.join(height.withColumnRenamed("after", "at"), ["workflow", "at"]).join(top, ["workflow", "goal"])
-        return near.where("generation <= top").select(*longer.columns)
-
-    found = counted_paths(tables, top.select("workflow", "goal"), within)
-    one = found.where("n = 1").select("workflow", F.col("goal").alias("before"), F.col("at").alias("after")).join(acyclic, ["workflow", "before", "after"])
-    out = spelled(cut(one), found, tables)
+    wanted = wanted.select("workflow", "before", "after")
+    nodes, edges, cyclic = graph_of(commits, wanted.where("before = after").select("workflow", F.col("before").alias("node")))
+    end = lambda name, new, *more: nodes.select("workflow", F.col("node").alias(name), F.col("id").alias(new), *more)
+    pairs = wanted.join(end("before", "goal", F.col("height").alias("base")), ["workflow", "before"]).join(end("after", "tip", "height", "floor"), ["workflow", "after"])
+    pairs = cut(pairs.where("goal = tip or (base < height and base > floor)").select("goal", "tip", "base", "height").distinct())
+    tables = jumps(edges)
+    found = counted_paths(tables, pairs.groupBy("goal", "base").agg(F.max("height").alias("top")))
+    one = found.where("n = 1").select("goal", F.col("at").alias("tip"), "level", "via").join(pairs.select("goal", "tip"), ["goal", "tip"])
+    out = spelled(one, found, tables, nodes)
     return out if cyclic is None else out.unionByName(walked_paths(commits.join(cyclic, "workflow", "left_semi"), wanted.join(cyclic, "workflow", "left_semi")))
 
 
@@ -162,28 +215,28 @@ def nearest_descendants(commits: DataFrame, failed: DataFrame, tested: DataFrame
     path can be longer than the difference of generations) and no pair that is still open could be nearer, so the work
     depends on how far away the next run is, not on the length of the history.
     """
-    goals = cut(failed.select("workflow", F.col("revision").alias("goal")).distinct())
-    edges, longest = graph_of(commits)
-    tables, generation, cyclic = jumps(edges, longest + 1)
-    height = cut(generation.select("workflow", F.col("node").alias("at"), "generation"))
-    tips = cut(tested.select("workflow", F.col("revision").alias("at")).distinct())
-
-    def settled(found: DataFrame, steps: int) -> DataFrame:
-        rows = found.where("n = 1 and far > 0").join(tips, ["workflow", "at"]).join(height, ["workflow", "at"])
-        rows = rows.join(height.select("workflow", F.col("at").alias("goal"), F.col("generation").alias("below")), ["workflow", "goal"])
-        final = F.col("generation") - F.col("below") < steps
-        best = rows.groupBy("workflow", "goal").agg(F.min(F.when(final, F.col("far"))).alias("nearest"), F.min(F.when(~final, F.col("far"))).alias("open"))
-        return best.where("nearest is not null and (open is null or open > nearest)").select("workflow", "goal")
-
-    acyclic = goals if cyclic is None else goals.join(cyclic, "workflow", "left_anti")
-    found = counted_paths(tables, acyclic, settled=settled).where("n = 1 and far > 0").join(tips, ["workflow", "at"])
-    out = found.select("workflow", F.col("goal").alias("before"), F.col("at").alias("after"), F.col("far").alias("distance"))
-    if cyclic is not None:
-        pairs = goals.join(cyclic, "workflow", "left_semi").select("workflow", F.col("goal").alias("before")).join(tips.select("workflow", F.col("at").alias("after")), "workflow")
-        walked = walked_paths(commits.join(cyclic, "workflow", "left_semi"), pairs)
-        out = out.unionByName(walked.select("workflow", "before", "after", F.size("path").cast("long").alias("distance")).where("distance > 0"))
-    best = out.groupBy("workflow", "before").agg(F.min("distance").alias("best"))
-    return out.join(best, ["workflow", "before"]).where("distance = best").drop("best")
+    goals = failed.select("workflow", F.col("revision").alias("node")).distinct()
+    tips = tested.select("workflow", F.col("revision").alias("node"))
+    nodes, edges, cyclic = graph_of(commits, goals.limit(0), tips)
+    hit = F.col("tip") & (F.col("n") == 1) & (F.col("far") > 0)
+
+    def settled(steps: int) -> Column:
+        final, goal = F.col("height") - F.col("base") < steps, Window.partitionBy("goal")
+        nearest, still_open = F.min(F.when(hit & final, F.col("far"))).over(goal), F.min(F.when(hit & ~final, F.col("far"))).over(goal)
+        return nearest.isNotNull() & (still_open.isNull() | (still_open > nearest))
+
+    known = nodes.join(goals, ["workflow", "node"]).select(F.col("id").alias("goal"), F.col("height").alias("base"), F.lit(None).cast("long").alias("top"))
+    out = counted_paths(jumps(edges), known, settled).where(hit).select("goal", F.col("at").alias("tip"), F.col("far").alias("distance"))
+    out = out.withColumn("best", F.min("distance").over(Window.partitionBy("goal"))).where("distance = best").drop("best")
+    named = lambda old, new: nodes.select(F.col("id").alias(old), F.col("node").alias(new))
+    out = out.join(nodes.select(F.col("id").alias("goal"), "workflow", F.col("node").alias("before")), "goal").join(named("tip", "after"), "tip").select("workflow", "before", "after", "distance")
+    if cyclic is None:
+        return out
+    pairs = goals.join(cyclic, "workflow", "left_semi").select("workflow", F.col("node").alias("before")).join(tips.distinct().select("workflow", F.col("node").alias("after")), "workflow")
+    walked = walked_paths(commits.join(cyclic, "workflow", "left_semi"), pairs)
+    walked = walked.select("workflow", "before", "after", F.size("path").cast("long").alias("distance")).where("distance > 0")
+    walked = walked.withColumn("best", F.min("distance").over(Window.partitionBy("workflow", "before"))).where("distance = best").drop("best")
+    return out.unionByName(walked)
 
 
 def known_attempt(attempt: Column) -> Column:

@@ -79,3 +79,16 @@ def test_next_runs_with_unknown_attempts_and_far_descendants(spark):
     nearest = H.nearest_descendants(commits, frame.where("revision is not null"), frame.where("revision is not null"))
     got = {r.run_id: (r.next_run_id, r.distance) for r in H.next_runs(frame, frame, nearest).collect()}
     assert got == {r[3]: found for r in runs if (found := brute_next(r, runs, parents))}
+
+
+def test_work_on_long_histories_ends_at_merges_that_all_walks_pass(spark):
+    """Every fifth commit merges the two before it: no unique path is longer than six steps, however long the history."""
+    rows = [("w", f"c{k}", f"c{k - d}" if k else None) for k in range(200) for d in ((1, 2) if k and k % 5 == 0 else (1,))]
+    commits = spark.createDataFrame(rows, "workflow string, revision string, parent string")
+    nodes, edges, cyclic = H.graph_of(commits, commits.limit(0).select("workflow", commits.revision.alias("node")))
+    assert cyclic is None
+    assert {r.node: (r.height, r.floor) for r in nodes.collect()} == {f"c{k}": (k, k - k % 5 - 2 if k >= 5 else -1) for k in range(200)}
+    tables = H.jumps(edges)
+    assert len(tables) == 3
+    goals = nodes.selectExpr("id as goal", "height as base", "cast(null as bigint) as top")
+    assert H.counted_paths(tables, goals).count() == sum(min(k, k % 5 + 1 if k >= 5 else k) + 1 for k in range(200))  # of 20,100 pairs
