@@ -256,18 +256,15 @@ def next_runs(failures: DataFrame, runs: DataFrame, nearest: DataFrame) -> DataF
     r = runs.select(F.col("workflow").alias("w"), F.col("revision").alias("after"), known_attempt(F.col("attempt")).alias("attempt"), "run_id")
     candidate = lambda kind, far, run: F.struct(F.lit(kind).alias("kind"), far.cast("long").alias("far"), run.alias("run_id"))
     group = ["w", "after"]
-    here = F.col("workflow").eqNullSafe(F.col("w")) & F.col("before").eqNullSafe(F.col("after"))
-    first = r.groupBy(*group, "attempt").agg(F.min("run_id").alias("run_id"))
-    known = first.where("attempt is not null")
-    after_it = F.lead(candidate(0, F.col("attempt"), F.col("run_id"))).over(Window.partitionBy(*group).orderBy("attempt"))
-    lowest = known.groupBy(*group).agg(F.min(candidate(0, F.col("attempt"), F.col("run_id"))).alias("lowest"))
-    unknown = first.where("attempt is null").select(*group, F.col("run_id").alias("u1"))
-    second = r.where("attempt is null").join(unknown.select(F.col("w").alias("w1"), F.col("after").alias("a1"), "u1"), F.col("w").eqNullSafe(F.col("w1")) & F.col("after").eqNullSafe(F.col("a1"))).where("run_id != u1").groupBy(*group).agg(F.min("run_id").alias("u2"))
-    rows = f
-    for side, condition in ((unknown, here), (second, here), (lowest, here), (known.withColumn("next", after_it).drop("run_id"), here & (F.col("attempt0") == F.col("attempt")))):
-        rows = rows.join(side, condition, "left").drop("w", "after", "attempt")
+    ranked = r.withColumn("place", F.dense_rank().over(Window.partitionBy(*group, "attempt").orderBy(F.col("run_id").asc_nulls_last()))).where("place <= 2")
+    first = ranked.groupBy(*group, "attempt").agg(F.min("run_id").alias("run_id"), F.max(F.when(F.col("place") == 2, F.col("run_id"))).alias("second"))
+    whole, unknown = Window.partitionBy(*group), F.col("attempt").isNull()
+    # The attempt after the unknown ones, which come first, is the lowest.
+    after_it = F.lead(candidate(0, F.col("attempt"), F.col("run_id"))).over(whole.orderBy(F.col("attempt").asc_nulls_first()))
+    first = cut(first.withColumns({"u1": F.min(F.when(unknown, F.col("run_id"))).over(whole), "u2": F.min(F.when(unknown, F.col("second"))).over(whole), "next": after_it}))
+    rows = f.join(first.drop("run_id", "second"), F.col("workflow").eqNullSafe(F.col("w")) & F.col("before").eqNullSafe(F.col("after")) & F.col("attempt0").eqNullSafe(F.col("attempt")), "left")
     other = F.when(F.col("u1") != F.col("failed_run"), F.col("u1")).otherwise(F.col("u2"))
-    same = F.when(other.isNotNull(), candidate(0, F.lit(0), other)).when(F.col("attempt0").isNull(), F.col("lowest")).otherwise(F.col("next"))
+    same = F.when(other.isNotNull(), candidate(0, F.lit(0), other)).otherwise(F.col("next"))
     near = nearest.where("distance > 0").join(first.groupBy(F.col("w").alias("workflow"), "after").agg(F.min("run_id").alias("run_id")), ["workflow", "after"])
     near = near.groupBy("workflow", "before").agg(F.min(candidate(1, F.col("distance"), F.col("run_id"))).alias("near"))
     best = rows.select("workflow", "before", "failed_run", same.alias("same")).join(near, ["workflow", "before"], "left").withColumn("c", F.coalesce("same", "near")).where("c is not null")

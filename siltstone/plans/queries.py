@@ -374,23 +374,28 @@ def runs(spark, sf_dir):
 
 
 def commits(spark, sf_dir):
+    return commits_of(runs(spark, sf_dir))
+
+
+def commits_of(all_runs):
     """A chain of revisions per workflow; every fifth revision is a merge that also has the one before the last as parent."""
-    revs = runs(spark, sf_dir).select("workflow", "number").distinct()
+    revs = all_runs.select("workflow", "number").distinct()
     name = lambda n: F.concat("workflow", F.lit("-r"), n.cast("string"))
     parents = F.when(F.col("number") == 0, F.array(F.lit(None).cast("bigint"))).when((F.col("number") % 5 == 0), F.array(F.col("number") - 1, F.col("number") - 2)).otherwise(F.array(F.col("number") - 1))
     return revs.select("workflow", "number", F.explode(parents).alias("p")).select("workflow", name(F.col("number")).alias("revision"), F.when(F.col("p").isNotNull(), name(F.col("p"))).alias("parent"))
 
 
-def wanted(spark, sf_dir):
+def wanted(all_runs):
     """All pairs of a revision and one that is not before it, of each workflow."""
-    revs = runs(spark, sf_dir).select("workflow", "number", "revision").distinct()
+    revs = all_runs.select("workflow", "number", "revision").distinct()
     pairs = revs.select("workflow", F.col("number").alias("n0"), F.col("revision").alias("before")).join(revs.select("workflow", "number", F.col("revision").alias("after")), "workflow")
     return pairs.where("n0 <= number").select("workflow", "before", "after")
 
 
 @query
 def path_unique(spark, sf_dir):
-    found = H.unique_paths(commits(spark, sf_dir), wanted(spark, sf_dir))
+    all_runs = H.cut(runs(spark, sf_dir))  # read several times
+    found = H.unique_paths(commits_of(all_runs), wanted(all_runs))
     return found.select("workflow", "before", "after", F.array_join("path", ">").alias("path"))
 
 
@@ -399,15 +404,11 @@ def flake_classes(spark, sf_dir):
     return H.flake_classes(runs(spark, sf_dir))
 
 
-def nearest(spark, sf_dir):
-    all_runs = runs(spark, sf_dir)
-    return H.nearest_descendants(commits(spark, sf_dir), all_runs.where("conclusion = 'failure'"), all_runs)
-
-
 @query
 def next_run(spark, sf_dir):
-    all_runs = runs(spark, sf_dir)
-    return H.next_runs(all_runs.where("conclusion = 'failure'"), all_runs, nearest(spark, sf_dir))
+    all_runs = H.cut(runs(spark, sf_dir))  # read many times
+    failed = all_runs.where("conclusion = 'failure'")
+    return H.next_runs(failed, all_runs, H.nearest_descendants(commits_of(all_runs), failed, all_runs))
 
 
 @query
@@ -593,7 +594,8 @@ def hydrated_episodes(spark, sf_dir):
 def provider_objects(spark, sf_dir):
     """Seven kinds of provider objects in a pull request per workflow: two jobs per run, a commit per revision with the
     parents of ``commits``, and of some kinds what is missing, blank or of the wrong type."""
-    all_runs = runs(spark, sf_dir).withColumn("user", F.regexp_extract("workflow", r"(\d+)$", 1).cast("bigint"))
+    all_runs = H.cut(runs(spark, sf_dir))  # each kind reads it
+    all_runs = all_runs.withColumn("user", F.regexp_extract("workflow", r"(\d+)$", 1).cast("bigint"))
     n, k, user = F.col("number"), F.col("run_id"), F.col("user")
     text = lambda c: c.cast("string")
     shape = lambda kind, source, payload, attempt=F.lit(None), limitations=F.array(): (F.col("workflow").alias("scope"), source.alias("source"), F.lit(kind).alias("kind"), payload.alias("payload"), attempt.cast("int").alias("run_attempt"), limitations.cast("array<string>").alias("limitations"))
@@ -606,7 +608,7 @@ def provider_objects(spark, sf_dir):
     files = F.array_compact(F.array(
         F.when(n % 29 != 9, file("src/a.py", "+x")), F.when(n % 7 == 3, file(".github/workflows/ci.yml", "+y")), F.when(n % 11 == 4, file("pyproject.toml", None)), F.when(n % 3 == 1, file("tests/test_a.py", "+z")), F.when(n % 13 == 5, file("poetry.lock", None)),
         F.when(n % 17 == 6, file("tests/old.py", None, "removed")), F.when(n % 19 == 7, file("src/b.py", "+@pytest.mark.skip"))))
-    tips = commits(spark, sf_dir).groupBy("workflow", "revision").agg(F.sort_array(F.collect_list(F.struct(F.col("parent").alias("sha"))), asc=False).alias("parents"))
+    tips = commits_of(all_runs).groupBy("workflow", "revision").agg(F.sort_array(F.collect_list(F.struct(F.col("parent").alias("sha"))), asc=False).alias("parents"))
     tips = tips.join(all_runs.select("workflow", "revision", "number").distinct(), ["workflow", "revision"]).where("number % 31 != 10")
     made = tips.select(*shape("commit", F.concat(F.lit("c"), text(n)), json(sha=F.col("revision"), parents=F.filter("parents", lambda p: p["sha"].isNotNull()), files=F.when(n % 23 != 8, files), commit=F.struct(F.struct(F.concat(F.lit("d"), text(n)).alias("date")).alias("committer")))))
     gap = F.when(k % 47 == 0, F.array(F.lit("provider_attempt_history_missing"))).otherwise(F.array())

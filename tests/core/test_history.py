@@ -81,6 +81,13 @@ def test_next_runs_with_unknown_attempts_and_far_descendants(spark):
     assert got == {r[3]: found for r in runs if (found := brute_next(r, runs, parents))}
 
 
+def test_next_runs_read_the_runs_once_and_failures_once(spark):
+    frame = spark.createDataFrame([("w", "c0", None, 1), ("w", "c0", None, 1), ("w", "c0", 1, 2), ("w", "c0", 1, 3), ("w", "c0", 4, 4)], "workflow string, revision string, attempt int, run_id long")
+    found = H.next_runs(frame, frame, spark.createDataFrame([], "workflow string, before string, after string, distance long"))
+    assert {(r.run_id, r.next_run_id) for r in found.collect()} == {(1, 2), (2, 1), (3, 1), (4, 1)}
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") <= 2
+
+
 def test_work_on_long_histories_ends_at_merges_that_all_walks_pass(spark):
     """Every fifth commit merges the two before it: no unique path is longer than six steps, however long the history."""
     rows = [("w", f"c{k}", f"c{k - d}" if k else None) for k in range(200) for d in ((1, 2) if k and k % 5 == 0 else (1,))]
