@@ -120,3 +120,12 @@ def test_faults_of_effectiveness_reports(spark):
     assert found(outputs.verify_effectiveness(report.where("pack_id != 'pack0'"), manifest.where("pack_id != 'pack2'"), seen)) == [("pack0", "report missing"), ("pack2", "report unlisted")]
     other = manifest.withColumn("report_id", F.lit("er_x"))
     assert {f for _, f in found(outputs.verify_effectiveness(report, other, seen))} == {"report identity"}
+
+
+def test_hashes_move_as_bytes_without_a_tie_of_equal_rows(spark):
+    from siltstone.operators import ordered
+
+    frame = spark.createDataFrame([("a",), ("b",), ("b",)], "t string").select(ordered.leaf("t").alias("h"))
+    moved = ordered.numbered(frame, ["h"])
+    assert [(f.name, f.dataType.simpleString()) for f in moved.schema] == [("h", "binary"), ("sequence", "bigint")]
+    assert sorted((hashlib.sha256(t).digest(), k) for t, k in ((b"a", 3), (b"b", 1), (b"b", 2))) == sorted((bytes(r.h), r.sequence) for r in moved.collect())
