@@ -526,7 +526,7 @@ def episodes(seen: DataFrame) -> DataFrame:
     then = lambda rows, *more: rows.withColumnsRenamed({"execution_ref": "after_execution_ref"} | dict(more))
     rows = failures.select("scope", c("execution_ref").alias("before_execution_ref"), c("ref").alias("job_ref"), "name", "semantic_identity", "occurrence_identity", c("observation_id").alias("failure_id"))
     rows = rows.join(jobs.select("scope", c("execution_ref").alias("before_execution_ref"), "job_ref", c("steps").alias("first_steps"), c("started_at").alias("job_started"), c("finished_at").alias("job_finished")), ["scope", "before_execution_ref", "job_ref"])
-    rows = rows.join(pairs, ["scope", "before_execution_ref"]).join(ways, ends, "left").join(summed, ends, "left")
+    rows = rows.join(pairs, ["scope", "before_execution_ref"]).join(ways.select(*ends, F.size("path").alias("way")), ends, "left").join(summed, ends, "left")
     rows = rows.join(whole.select("scope", c("execution_ref").alias("before_execution_ref"), c("identities").alias("before_failure_count")), ["scope", "before_execution_ref"])
     for side_rows, keys in ((then(named), ["scope", "after_execution_ref", "name"]), (then(marks, ("n", "same_failures")), ["scope", "after_execution_ref", "semantic_identity"]), (then(whole).drop("identities"), ["scope", "after_execution_ref"]), (then(broken), ["scope", "after_execution_ref"])):
         rows = rows.join(side_rows, keys, "left")
@@ -540,7 +540,7 @@ def episodes(seen: DataFrame) -> DataFrame:
     rows = rows.join(gaps.select("scope", c("execution_ref").alias("before_execution_ref"), c("gap").alias("gap0")), ["scope", "before_execution_ref"]).join(gaps.select("scope", c("execution_ref").alias("after_execution_ref"), c("gap").alias("gap1")), ["scope", "after_execution_ref"])
     no, none = F.lit(False), F.array().cast("array<string>")
     same = c("before_revision") == c("after_revision")
-    way = F.coalesce(F.size("path"), F.lit(0))
+    way = F.coalesce("way", F.lit(0))
     names = lambda steps: F.transform(F.coalesce(steps, F.array().cast("array<struct<name:string,state:string>>")), lambda s: s["name"])
     other_broken = F.coalesce("broken_jobs", F.lit(0)) - F.when(c("after_job.conclusion") == "failure", 1).otherwise(0)
     rows = rows.withColumns({f: F.coalesce(f, no) for f in (*flags, "empty_change")} | {
@@ -551,7 +551,10 @@ def episodes(seen: DataFrame) -> DataFrame:
     })
     rows = rows.withColumn("extra_confounders", strings((c("rebased"), "base_branch_update"), (c("forced"), "force_updated_pr_branch"), (c("squashed"), "squash_merge"), (c("change_count") != way, "intervention_evidence_missing")))
     rows = rows.withColumn("after_job", c("after_job.name"))
-    out = attribution(confounders(equivalence(cut(rows))))
+    # Only what is read below goes through the joins above and is written.
+    needed = ("scope", "failure_id", "before_execution_ref", "after_execution_ref", "job_ref", "name", "semantic_identity", "before_revision", "after_revision", "change_fingerprint", "before_workflow", "after_workflow", "before_job", "after_job", "before_steps", "after_steps", "step_skipped", "weakening", *flags, "empty_change", "change_count",
+              "before_failure_count", "same_revision", "attempt_history_missing", "before_conclusion", "after_conclusion", "extra_confounders", "target_conclusion", "target_failure_present", "new_failure_count", "other_failure", "flake_class")
+    out = attribution(confounders(equivalence(cut(rows.select(*needed)))))
     state = F.when(c("target_failure_present"), "present").when(c("after_job").isNotNull(), "absent").otherwise("unknown")
     out = out.withColumn("failure_after", state)
     shown = ("scope", "failure_id", "before_execution_ref", "after_execution_ref", "job_ref", "name", "semantic_identity", "before_revision", "after_revision", "change_count", "before_failure_count", "new_failure_count", "failure_after", "equivalent", "equivalence_reasons", "confounders", "limitations", "grade", "attribution_class", "outcome", "evidence_completeness", "suspected_flake", "flake_class", "change_fingerprint")
