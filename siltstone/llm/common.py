@@ -47,6 +47,16 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Rows of a few numbers that one task takes.
+ROWS_A_TASK = 50_000
+
+
+def gathered(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, at most ``rows`` rows of a few numbers, in as many tasks as they need (one per core at least) instead of
+    all partitions of a shuffle; larger tables stay as they are."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS_A_TASK)))
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """A column name that ``df`` doesn't have yet (names compare without case, as Spark does)."""
     taken = {c.lower() for c in df.columns}

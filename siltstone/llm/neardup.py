@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from siltstone.llm import simhash
-from siltstone.llm.common import col, cut, lean, partitions, small_enough
+from siltstone.llm.common import col, cut, gathered, lean, partitions, small_enough
 from siltstone.llm.components import components
 
 WORDS = 5
@@ -279,14 +279,16 @@ def agreeing(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, share: float,
     Of a pair the node with more pairs is the hub. Only texts in pairs are hashed. The set of a hub and those to compare
     with it meet in tasks, as many for each hub as its pairs need, the hub's own first.
     """
-    degree = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).groupBy("node").agg(F.count("*").alias("d"))
-    degree = F.broadcast(degree) if small_enough(pairs, most_broadcast) else degree
+    n = pairs.count()
+    pairs = gathered(pairs, n)
+    degree = gathered(pairs.select(F.explode(F.array("u", "v")).alias("node")).groupBy("node").agg(F.count("*").alias("d")), n)
+    degree = F.broadcast(degree) if n <= most_broadcast else degree
     both = pairs.join(degree.withColumnsRenamed({"node": "u", "d": "du"}), "u").join(degree.withColumnsRenamed({"node": "v", "d": "dv"}), "v")
     first, salts = F.col("du") >= F.col("dv"), F.ceil(F.greatest("du", "dv") / AT_ONCE).cast("int")
     both = cut(both.select(F.when(first, F.col("u")).otherwise(F.col("v")).alias("hub"), F.when(first, F.col("v")).otherwise(F.col("u")).alias("node"), salts.alias("salts")))
     others = both.select("hub", "node", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt"), F.lit(False).alias("own"))
     own = both.select("hub", "salts").distinct().select("hub", F.col("hub").alias("node"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(True).alias("own"))
-    wanted = cut(others.unionByName(own).join(nodes.select("node", F.col("least").alias("__id")), "node"))
+    wanted = cut(gathered(others.unionByName(own).join(nodes.select("node", F.col("least").alias("__id")), "node"), 2 * n))
     few = F.broadcast(wanted) if small_enough(wanted, most_broadcast) else wanted
     raw = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
     rows = raw.join(few, F.col("doc_id") == F.col("__id")).select("text", "hub", "salt", "own", "node")
@@ -344,8 +346,9 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     """
     docs = df.select(col(doc_id).alias("doc_id"), col(text).alias("text"))
     found = cut(sets(docs))
-    nodes = cut(found.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("simhash").alias("simhash")))
-    heads = cut(nodes.groupBy("simhash").agg(F.min("node").alias("head")))
+    n = found.count()
+    nodes = cut(gathered(found.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("simhash").alias("simhash")), n))
+    heads = cut(gathered(nodes.groupBy("simhash").agg(F.min("node").alias("head")), n))
     near = simhash.links(heads.select("simhash"))
     name = lambda k: heads.select(F.col("simhash").alias(k), F.col("head").alias(f"n{k}"))
     near = near.join(name("u"), "u").join(name("v"), "v").select(F.col("nu").alias("u"), F.col("nv").alias("v"))
@@ -355,8 +358,8 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     rows = shared(docs, frequent(docs, share), share)
     odd = found.select("node", "odd").dropDuplicates(["node"])
     for turn in range(ROUNDS + 1):
-        crossing, n, pairs = rooted(rows, roots, most_broadcast)
-        last = pairs <= MANY * n or turn == ROUNDS
+        crossing, among, pairs = rooted(rows, roots, most_broadcast)
+        last = pairs <= MANY * among or turn == ROUNDS
         few = crossing.where("root != major") if last else hubs(crossing, turn)
         more = cut(meeting(few, crossing, odd, share))
         more = agreeing(more, docs, nodes, share, most_broadcast)

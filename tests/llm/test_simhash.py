@@ -69,3 +69,20 @@ def test_documents(spark):
     assert kept == [(False, 2), (False, 4), (False, 5), (True, 0)]
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(empty).collect() == [] and simhash.deduplicate(empty).collect() == []
+
+
+def test_few_links_go_to_few_tasks(spark):
+    chains = [(100 * c + k, 100 * c + k + 1) for c in range(20) for k in range(30)]
+    links = spark.createDataFrame(chains, "u long, v long").repartition(40)
+    want = {u: 100 * (u // 100) for u in {x for pair in chains for x in pair} if u % 100}
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for most_broadcast in (500_000, 0):
+            roots = components.components(links, most_broadcast)
+            assert {r.u: r.v for r in roots.collect()} == want
+            assert roots.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
