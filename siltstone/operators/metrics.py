@@ -27,9 +27,13 @@ def unanimous(value: Column) -> Column:
 
 
 def recurrence(obs: DataFrame) -> DataFrame:
-    return obs.groupBy("recurrence_fingerprint", "event_class").agg(
+    """Counts by fingerprint and class. Least and greatest texts are found by sorting, so rows that say the same are counted
+    first, by hash; only one row of each goes on."""
+    key = ["recurrence_fingerprint", "event_class"]
+    same = obs.groupBy(*key, "canonical_rule_id", "occurrence_scope", "producer_id").agg(F.count(F.lit(1)).alias("n"))
+    return same.groupBy(*key).agg(
         unanimous(F.col("canonical_rule_id")).alias("canonical_rule_id"),
-        F.count(F.lit(1)).alias("occurrence_count"),
+        F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("occurrence_count"),
         F.count_distinct("occurrence_scope").alias("distinct_scope_count"),
         F.count_distinct("producer_id").alias("distinct_producer_count"),
         F.min("occurrence_scope").alias("first_scope"),  # by text, not by time

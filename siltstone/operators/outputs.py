@@ -16,7 +16,7 @@ from siltstone.functions.canonical import sha
 from siltstone.operators import metrics
 from siltstone.operators.artifacts import json_of
 from siltstone.operators.ordered import grouped_digest, tree_digest
-from siltstone.session import cut
+from siltstone.session import cut, written
 
 #: The reports of an analysis, and what is said of observations that lack something.
 REPORTS = ("cooccurrence", "effectiveness", "effort", "recurrence")
@@ -25,6 +25,8 @@ LIMITATIONS = {
     "rule_unknown": "canonical_rule_id unavailable for some records",
     "effort_unknown": "effort_minutes unavailable for some records",
 }
+#: What the reports read of an observation.
+READ = ("producer_id", "event_class", "occurrence_scope", "recurrence_fingerprint", "canonical_rule_id", "remediation_class", "effort_minutes", "validation_outcome", "false_positive_disposition")
 EMPTY = hashlib.sha256(b"").hexdigest()
 PLACES = 9  #: Of numbers with a point in texts that are hashed.
 
@@ -57,14 +59,20 @@ def analysis_hash() -> Column:
     return sha(json_of(**{c: F.col(c) for c in ("run_id", "source_snapshot_id", "observation_count", "limitations")}, report_hashes=F.col("hashes")))
 
 
-def analysis(obs: DataFrame, snapshot_id: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def observed(obs: DataFrame) -> DataFrame:
+    """The columns of observations that reports read, written once; each report reads its own of them again."""
+    return written(obs.select(*READ))
+
+
+def analysis(obs: DataFrame, snapshot_id: str, is_written: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The four reports of the observations: rows (run_id, name, row), a manifest (run_id, name, source_snapshot_id,
     row_count, digest), and the run (run_id, source_snapshot_id, observation_count, limitations, output_hash).
 
     The run's identity covers the snapshot and all digests, so the same observations in any order are the same run. A
-    report without rows has the digest of the empty text.
+    report without rows has the digest of the empty text. Of several analyses of one table, ``observed`` writes it once for all
+    (``is_written``).
     """
-    obs, spark = cut(obs), obs.sparkSession
+    obs, spark = obs if is_written else observed(obs), obs.sparkSession
     # A ratio is rounded once, to the places of its text: by way of 12 places 40/20010 would end in a 1 instead of a 0.
     rows = cut(report_rows({"recurrence": metrics.recurrence(obs), "cooccurrence": metrics.cooccurrence(obs, PLACES), "effort": metrics.effort_atlas(obs), "effectiveness": metrics.rule_effectiveness(obs)}))
     names = spark.range(1).select(F.explode(F.array(*map(F.lit, REPORTS))).alias("name"))

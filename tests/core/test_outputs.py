@@ -129,3 +129,21 @@ def test_hashes_move_as_bytes_without_a_tie_of_equal_rows(spark):
     moved = ordered.numbered(frame, ["h"])
     assert [(f.name, f.dataType.simpleString()) for f in moved.schema] == [("h", "binary"), ("sequence", "bigint")]
     assert sorted((hashlib.sha256(t).digest(), k) for t, k in ((b"a", 3), (b"b", 1), (b"b", 2))) == sorted((bytes(r.h), r.sequence) for r in moved.collect())
+
+
+def test_an_analysis_writes_only_what_reports_read_and_several_share_it(spark):
+    obs, made = observations(spark), spark.sparkContext.accumulator(0)
+
+    def mark(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    counted = obs.mapInArrow(mark, obs.schema)
+    ids = F.udf(lambda x: made.add(1) or x, "string").asNondeterministic()
+    want = outputs.analysis(obs, "cs")[2].collect()
+    assert outputs.analysis(obs.withColumn("record_id", ids("record_id")), "cs")[2].collect() == want and made.value == 0
+    kept = outputs.observed(counted)
+    assert outputs.analysis(kept, "cs", is_written=True)[2].collect() == want
+    outputs.analysis(kept.where("event_class = 'gate_outcome'"), "other", is_written=True)
+    assert made.value == 40
