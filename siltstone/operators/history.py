@@ -244,19 +244,19 @@ def known_attempt(attempt: Column) -> Column:
     return F.when(attempt >= 1, attempt)
 
 
-def next_runs(failures: DataFrame, runs: DataFrame, nearest: DataFrame) -> DataFrame:
-    """(run_id, next_run_id, distance): for each failed run the next of its workflow: another run at the same revision
+def next_runs(failures: DataFrame, runs: DataFrame, nearest: DataFrame, *kept: str) -> DataFrame:
+    """(run_id, next_run_id, distance; if columns of the failures are ``kept``, next_revision and these): for each failed run the next of its workflow: another run at the same revision
     with a later attempt first, where an unknown attempt on either side counts as later; else a run at the nearest
     descendant revision. Ties by attempt (unknown first) and run id; missing workflows or revisions are one of their kind.
 
     ``failures`` are rows of ``runs``; ``nearest``: workflow, before, after, distance (commits on the unique path). Runs
     of a revision meet as attempts, combined before the shuffle, never as pairs.
     """
-    f = failures.select("workflow", F.col("revision").alias("before"), known_attempt(F.col("attempt")).alias("attempt0"), F.col("run_id").alias("failed_run"))
+    f = failures.select("workflow", F.col("revision").alias("before"), known_attempt(F.col("attempt")).alias("attempt0"), F.col("run_id").alias("failed_run"), *(F.col(n).alias(f"kept_{n}") for n in kept))
     r = runs.select(F.col("workflow").alias("w"), F.col("revision").alias("after"), known_attempt(F.col("attempt")).alias("attempt"), "run_id")
     candidate = lambda kind, far, run: F.struct(F.lit(kind).alias("kind"), far.cast("long").alias("far"), run.alias("run_id"))
     group = ["w", "after"]
-    ranked = r.withColumn("place", F.dense_rank().over(Window.partitionBy(*group, "attempt").orderBy(F.col("run_id").asc_nulls_last()))).where("place <= 2")
+    ranked = r.repartition(*group).withColumn("place", F.dense_rank().over(Window.partitionBy(*group, "attempt").orderBy(F.col("run_id").asc_nulls_last()))).where("place <= 2")
     first = ranked.groupBy(*group, "attempt").agg(F.min("run_id").alias("run_id"), F.max(F.when(F.col("place") == 2, F.col("run_id"))).alias("second"))
     whole, unknown = Window.partitionBy(*group), F.col("attempt").isNull()
     # The attempt after the unknown ones, which come first, is the lowest.
@@ -266,9 +266,11 @@ def next_runs(failures: DataFrame, runs: DataFrame, nearest: DataFrame) -> DataF
     other = F.when(F.col("u1") != F.col("failed_run"), F.col("u1")).otherwise(F.col("u2"))
     same = F.when(other.isNotNull(), candidate(0, F.lit(0), other)).otherwise(F.col("next"))
     near = nearest.where("distance > 0").join(first.groupBy(F.col("w").alias("workflow"), "after").agg(F.min("run_id").alias("run_id")), ["workflow", "after"])
-    near = near.groupBy("workflow", "before").agg(F.min(candidate(1, F.col("distance"), F.col("run_id"))).alias("near"))
-    best = rows.select("workflow", "before", "failed_run", same.alias("same")).join(near, ["workflow", "before"], "left").withColumn("c", F.coalesce("same", "near")).where("c is not null")
-    return best.select(F.col("failed_run").alias("run_id"), F.col("c.run_id").alias("next_run_id"), F.when(F.col("c.kind") == 0, F.lit(0).cast("long")).otherwise(F.col("c.far")).alias("distance"))
+    near = near.groupBy("workflow", "before").agg(F.min(F.struct(candidate(1, F.col("distance"), F.col("run_id")).alias("c"), "after")).alias("near"))
+    best = rows.select("workflow", "before", "failed_run", same.alias("same"), *(f"kept_{n}" for n in kept)).join(near, ["workflow", "before"], "left").withColumn("c", F.coalesce("same", "near.c")).where("c is not null")
+    at = F.when(F.col("c.kind") == 0, F.col("before")).otherwise(F.col("near.after"))
+    more = (at.alias("next_revision"), *(F.col(f"kept_{n}").alias(n) for n in kept)) if kept else ()
+    return best.select(F.col("failed_run").alias("run_id"), F.col("c.run_id").alias("next_run_id"), F.when(F.col("c.kind") == 0, F.lit(0).cast("long")).otherwise(F.col("c.far")).alias("distance"), *more)
 
 
 def strings(*pairs: tuple[Column, str]) -> Column:
@@ -477,6 +479,17 @@ def step_became_skipped(before: Column, after: Column) -> Column:
     return F.exists(after, lambda s: (last(after, s["name"]) == "skipped") & F.coalesce(last(F.filter(before, lambda b: b["name"] == s["name"]), s["name"]).isin(*RAN), F.lit(False)))
 
 
+def packed(name: Column) -> Column:
+    """An observation's name as the bytes of its hash, half as long and in the same order; other texts stay as they are,
+    and come first."""
+    hashed = F.coalesce(name.rlike("^hno_[0-9a-f]{64}$"), F.lit(False))
+    return F.struct(F.when(hashed, F.unhex(F.substring(name, 5, 64))).alias("hash"), F.when(~hashed, name).alias("text"))
+
+
+def unpacked(name: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("hno_"), F.lower(F.hex(name["hash"]))), name["text"])
+
+
 def episodes(seen: DataFrame) -> DataFrame:
     """Repair episodes from the observations of ``objects.normalized``, a scope (a pull request) at a time: each failure
     with the run after it, what changed on the path between, and what that proves.
@@ -487,57 +500,59 @@ def episodes(seen: DataFrame) -> DataFrame:
     after them, give no episode.
     """
     c = F.col
-    seen = cut(seen)
+    used = ("scope", "kind", "ref", "execution_ref", "revision", "workflow", "name", "attempt", "conclusion", "finished_at", "parents", "is_merge", "steps", "file_count", "workflow_changed", "test_changed", "environment_changed", "lockfile_changed", "weakening", "change_fingerprint", "semantic_identity")
+    kinds = ("ci_execution", "ci_job", "failure", "commit", "change", "pull_request", "review_signal")
+    gap = F.array_contains("limitations", "provider_attempt_history_missing")
+    seen = cut(seen.where(c("kind").isin(*kinds)).select(*used, packed(c("observation_id")).alias("id"), F.when(c("kind") == "ci_execution", gap).alias("gap")))
     of = lambda kind: seen.where(c("kind") == kind)
-    latest = lambda rows, *keys: rows.groupBy(*keys).agg(F.max_by(F.struct(*rows.columns), "observation_id").alias("x")).select("x.*")
+    latest = lambda rows, keys, *values: rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "id").alias("x")).select(*keys, "x.*")
     lane = F.concat_ws("\0", "scope", "workflow")
-    runs = cut(latest(of("ci_execution").where("execution_ref is not null"), "scope", "execution_ref").withColumn("lane", lane))
-    as_runs = runs.select(c("lane").alias("workflow"), "revision", "attempt", F.concat_ws("\0", "scope", "execution_ref").alias("run_id"), "conclusion", c("finished_at").alias("updated_at"), "scope", "execution_ref")
-    jobs = cut(of("ci_job").select("scope", "execution_ref", c("ref").alias("job_ref"), "name", "steps", "conclusion", "observation_id", "started_at", "finished_at"))
+    run, before, after = ["scope", "execution_ref"], ["scope", "before_execution_ref"], ["scope", "after_execution_ref"]
+    runs = cut(latest(of("ci_execution").where("execution_ref is not null"), run, "revision", "workflow", "attempt", "conclusion", "finished_at", "gap"))
+    as_runs = runs.select(lane.alias("workflow"), "revision", "attempt", F.concat_ws("\0", *run).alias("run_id"), "conclusion", c("finished_at").alias("updated_at"), *run, c("workflow").alias("named_workflow"))
+    jobs = of("ci_job").select(*run, c("ref").alias("job_ref"), "name", "steps", "conclusion", "id")
     failures = of("failure").where("execution_ref is not null and ref is not null and name is not null and semantic_identity is not null")
-    commits = latest(of("commit").where("revision is not null"), "scope", "revision")
-    edges = commits.select(c("scope").alias("workflow"), "revision", F.explode_outer("parents").alias("parent"))
-    edges = cut(edges)
+    edges = cut(latest(of("commit").where("revision is not null"), ("scope", "revision"), "parents").select(c("scope").alias("workflow"), "revision", F.explode_outer("parents").alias("parent")))
     # Next runs, in lanes of scope and workflow; each lane has the commits of its scope.
-    lanes = runs.select("scope", "lane").distinct()
+    lanes = runs.select("scope", lane.alias("lane")).distinct()
     lane_edges = edges.join(lanes.withColumnRenamed("scope", "workflow"), "workflow").select(c("lane").alias("workflow"), "revision", "parent")
-    failed = failures.select("scope", "execution_ref").distinct().join(as_runs, ["scope", "execution_ref"])
+    failed = failures.select(*run).distinct().join(as_runs, run)
     near = nearest_descendants(lane_edges, failed.where("revision is not null"), as_runs.where("revision is not null"))
-    after = next_runs(failed, as_runs, near)
-    side = lambda rows, prefix: rows.select(*(c(n).alias(f"{prefix}_{n}") for n in ("run_id", "execution_ref", "revision", "conclusion", "attempt")), "scope")
-    pairs = after.select(c("run_id").alias("before_run_id"), c("next_run_id").alias("after_run_id")).join(side(as_runs, "before"), "before_run_id").join(side(as_runs, "after"), ["after_run_id", "scope"])
-    pairs = cut(pairs.where("before_revision is not null and after_revision is not null"))
-    # What changed on the way.
+    pairs = next_runs(failed, as_runs, near, *run, "named_workflow", "revision", "conclusion").where("revision is not null and next_revision is not null")
+    # A run's name begins with its scope.
+    pairs = cut(pairs.select("scope", c("execution_ref").alias("before_execution_ref"), F.substr("next_run_id", F.length("scope") + 2).alias("after_execution_ref"), c("revision").alias("before_revision"), c("next_revision").alias("after_revision"), c("conclusion").alias("before_conclusion"), c("named_workflow").alias("before_workflow")))
+    # What changed on the way. What is joined by more than one key is dealt by the one they share, so that it moves once.
     ways = unique_paths(edges, pairs.select(c("scope").alias("workflow"), c("before_revision").alias("before"), c("after_revision").alias("after")))
     ways = cut(ways.select(c("workflow").alias("scope"), c("before").alias("before_revision"), c("after").alias("after_revision"), "path"))
-    ends = ["scope", "before_revision", "after_revision"]
-    changes = latest(of("change"), "scope", "revision").select("scope", "revision", "file_count", "workflow_changed", "environment_changed", "test_changed", "lockfile_changed", "is_merge", "weakening", "change_fingerprint", "finished_at")
+    ends, start = ["scope", "before_revision", "after_revision"], ["scope", "before_revision"]
     flags = ("workflow_changed", "environment_changed", "test_changed", "lockfile_changed", "is_merge")
+    changes = latest(of("change"), ("scope", "revision"), *flags, "file_count", "weakening", "change_fingerprint")
     steps = ways.select(*ends, F.posexplode("path").alias("place", "revision")).join(changes, ["scope", "revision"])
     made = F.transform(F.array_sort(F.collect_list(F.struct("place", "change_fingerprint"))), lambda x: x["change_fingerprint"])
-    summed = steps.groupBy(*ends).agg(
+    summed = steps.repartition(*start).groupBy(*ends).agg(
         F.count(F.lit(1)).alias("change_count"), F.bool_or(c("file_count") == 0).alias("empty_change"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("weakening")))).alias("weakening"),
-        F.sha2(F.concat(F.lit('["'), F.array_join(made, '","'), F.lit('"]')), 256).alias("change_fingerprint"), F.max(F.when(c("finished_at").isNotNull(), F.struct("place", "finished_at"))).alias("committed"), *(F.bool_or(f).alias(f) for f in flags))
-    # Failures of both runs by semantic identity, and jobs by name.
-    marks = failures.groupBy("scope", "execution_ref", "semantic_identity").agg(F.count(F.lit(1)).alias("n"))
-    whole = marks.groupBy("scope", "execution_ref").agg(F.sum("n").alias("all_failures"), F.count(F.lit(1)).alias("identities"))
-    broken = jobs.where("conclusion = 'failure'").groupBy("scope", "execution_ref").agg(F.count(F.lit(1)).alias("broken_jobs"))
-    named = jobs.groupBy("scope", "execution_ref", "name").agg(F.min_by(F.struct("observation_id", "steps", "conclusion", "name"), "observation_id").alias("after_job"))
-    then = lambda rows, *more: rows.withColumnsRenamed({"execution_ref": "after_execution_ref"} | dict(more))
-    rows = failures.select("scope", c("execution_ref").alias("before_execution_ref"), c("ref").alias("job_ref"), "name", "semantic_identity", "occurrence_identity", c("observation_id").alias("failure_id"))
-    rows = rows.join(jobs.select("scope", c("execution_ref").alias("before_execution_ref"), "job_ref", c("steps").alias("first_steps"), c("started_at").alias("job_started"), c("finished_at").alias("job_finished")), ["scope", "before_execution_ref", "job_ref"])
-    rows = rows.join(pairs, ["scope", "before_execution_ref"]).join(ways.select(*ends, F.size("path").alias("way")), ends, "left").join(summed, ends, "left")
-    rows = rows.join(whole.select("scope", c("execution_ref").alias("before_execution_ref"), c("identities").alias("before_failure_count")), ["scope", "before_execution_ref"])
-    for side_rows, keys in ((then(named), ["scope", "after_execution_ref", "name"]), (then(marks, ("n", "same_failures")), ["scope", "after_execution_ref", "semantic_identity"]), (then(whole).drop("identities"), ["scope", "after_execution_ref"]), (then(broken), ["scope", "after_execution_ref"])):
-        rows = rows.join(side_rows, keys, "left")
+        F.sha2(F.concat(F.lit('["'), F.array_join(made, '","'), F.lit('"]')), 256).alias("change_fingerprint"), *(F.bool_or(f).alias(f) for f in flags))
     notes = seen.where("kind in ('pull_request', 'review_signal')").groupBy("scope").agg(
         F.bool_or((c("kind") == "review_signal") & (c("name") == "base_ref_changed")).alias("rebased"), F.bool_or((c("kind") == "review_signal") & (c("name") == "head_ref_force_pushed")).alias("forced"),
         F.bool_or((c("kind") == "pull_request") & (c("name") == "squash")).alias("squashed"), F.bool_or(c("kind") == "pull_request").alias("known"))
-    rows = rows.join(notes.where("known"), "scope")  # without the pull request there is no context
     classes = flake_classes(as_runs).select(c("workflow").alias("lane"), c("revision").alias("before_revision"), "flake_class")
-    gaps = runs.select("scope", "execution_ref", F.array_contains("limitations", "provider_attempt_history_missing").alias("gap"))
-    rows = rows.join(runs.select("scope", c("execution_ref").alias("before_execution_ref"), "lane", c("workflow").alias("before_workflow")), ["scope", "before_execution_ref"]).join(classes, ["lane", "before_revision"], "left")
-    rows = rows.join(gaps.select("scope", c("execution_ref").alias("before_execution_ref"), c("gap").alias("gap0")), ["scope", "before_execution_ref"]).join(gaps.select("scope", c("execution_ref").alias("after_execution_ref"), c("gap").alias("gap1")), ["scope", "after_execution_ref"])
+    spots = runs.select("scope", lane.alias("lane"), c("revision").alias("before_revision")).distinct().join(classes, ["lane", "before_revision"], "left")
+    spots = spots.join(notes.where("known"), "scope")  # without the pull request there is no context
+    pairs = pairs.withColumn("lane", F.concat_ws("\0", "scope", "before_workflow")).repartition(*start).join(spots.repartition(*start), [*start, "lane"])
+    pairs = pairs.drop("lane").join(ways.select(*ends, F.size("path").alias("way")).repartition(*start).join(summed, ends, "left"), ends, "left")
+    # Failures of both runs by semantic identity, and jobs by name.
+    marks = failures.groupBy(*run, "semantic_identity").agg(F.count(F.lit(1)).alias("n"))
+    whole = marks.groupBy(*run).agg(F.sum("n").alias("all_failures"), F.count(F.lit(1)).alias("identities"))
+    broken = jobs.where("conclusion = 'failure'").groupBy(*run).agg(F.count(F.lit(1)).alias("broken_jobs"))
+    facts = cut(runs.select(*run, "conclusion", "gap").join(whole, run, "left").join(broken, run, "left"))
+    named = jobs.repartition(*run).groupBy(*run, "name").agg(F.min_by(F.struct("steps", "conclusion", "name"), "id").alias("after_job"))
+    first = lambda rows, **more: rows.withColumnsRenamed({"execution_ref": "before_execution_ref"} | more).repartition(*before)
+    then = lambda rows, **more: rows.withColumnsRenamed({"execution_ref": "after_execution_ref"} | more)
+    rows = first(failures.select(*run, c("ref").alias("job_ref"), "name", "semantic_identity", "id"))
+    rows = rows.join(first(jobs.select(*run, "job_ref", "steps"), steps="first_steps"), [*before, "job_ref"])
+    rows = rows.join(pairs.repartition(*before), before).join(first(facts.select(*run, "gap", "identities"), gap="gap0", identities="before_failure_count"), before)
+    rows = rows.repartition(*after).join(then(facts.select(*run, "conclusion", "gap", "all_failures", "broken_jobs"), gap="gap1", conclusion="after_conclusion").repartition(*after), after)
+    rows = rows.join(then(named), [*after, "name"], "left").join(then(marks, n="same_failures").repartition(*after), [*after, "semantic_identity"], "left")
     no, none = F.lit(False), F.array().cast("array<string>")
     same = c("before_revision") == c("after_revision")
     way = F.coalesce("way", F.lit(0))
@@ -552,10 +567,10 @@ def episodes(seen: DataFrame) -> DataFrame:
     rows = rows.withColumn("extra_confounders", strings((c("rebased"), "base_branch_update"), (c("forced"), "force_updated_pr_branch"), (c("squashed"), "squash_merge"), (c("change_count") != way, "intervention_evidence_missing")))
     rows = rows.withColumn("after_job", c("after_job.name"))
     # Only what is read below goes through the joins above and is written.
-    needed = ("scope", "failure_id", "before_execution_ref", "after_execution_ref", "job_ref", "name", "semantic_identity", "before_revision", "after_revision", "change_fingerprint", "before_workflow", "after_workflow", "before_job", "after_job", "before_steps", "after_steps", "step_skipped", "weakening", *flags, "empty_change", "change_count",
+    needed = ("scope", "id", "before_execution_ref", "after_execution_ref", "job_ref", "name", "semantic_identity", "before_revision", "after_revision", "change_fingerprint", "before_workflow", "after_workflow", "before_job", "after_job", "before_steps", "after_steps", "step_skipped", "weakening", *flags, "empty_change", "change_count",
               "before_failure_count", "same_revision", "attempt_history_missing", "before_conclusion", "after_conclusion", "extra_confounders", "target_conclusion", "target_failure_present", "new_failure_count", "other_failure", "flake_class")
     out = attribution(confounders(equivalence(cut(rows.select(*needed)))))
     state = F.when(c("target_failure_present"), "present").when(c("after_job").isNotNull(), "absent").otherwise("unknown")
-    out = out.withColumn("failure_after", state)
+    out = out.withColumn("failure_after", state).withColumn("failure_id", unpacked(c("id")))
     shown = ("scope", "failure_id", "before_execution_ref", "after_execution_ref", "job_ref", "name", "semantic_identity", "before_revision", "after_revision", "change_count", "before_failure_count", "new_failure_count", "failure_after", "equivalent", "equivalence_reasons", "confounders", "limitations", "grade", "attribution_class", "outcome", "evidence_completeness", "suspected_flake", "flake_class", "change_fingerprint")
     return out.select(identity("hep_", {n: c(n).cast("string") for n in ("scope", "failure_id", "after_execution_ref", "outcome")}).alias("episode_id"), *shown)

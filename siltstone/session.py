@@ -56,7 +56,7 @@ def spread(df: DataFrame) -> DataFrame:
 
 def written(df: DataFrame) -> DataFrame:
     """``df`` as Parquet below the shared folder, read again. For loops of joins: a checkpoint keeps the optimizer's guess of
-    a result's size, which each join multiplies; a file has the size that it has."""
+    a result's size, which each join multiplies; a file has the size that it has. Most of what is written is names and hashes, which Zstandard halves."""
     path = f"{shared_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
