@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -245,9 +247,9 @@ def known_attempt(attempt: Column) -> Column:
 
 
 def next_runs(failures: DataFrame, runs: DataFrame, nearest: DataFrame, *kept: str) -> DataFrame:
-    """(run_id, next_run_id, distance; if columns of the failures are ``kept``, next_revision and these): for each failed run the next of its workflow: another run at the same revision
-    with a later attempt first, where an unknown attempt on either side counts as later; else a run at the nearest
-    descendant revision. Ties by attempt (unknown first) and run id; missing workflows or revisions are one of their kind.
+    """(run_id, next_run_id, distance; if columns of the failures are ``kept``, next_revision and these): for each failed
+    run the next of its workflow: another run at the same revision with a later attempt first, where an unknown attempt on
+    either side counts as later; else a run at the nearest descendant revision. Ties by attempt (unknown first) and run id; missing workflows or revisions are one of their kind.
 
     ``failures`` are rows of ``runs``; ``nearest``: workflow, before, after, distance (commits on the unique path). Runs
     of a revision meet as attempts, combined before the shuffle, never as pairs.
@@ -507,9 +509,9 @@ def episodes(seen: DataFrame) -> DataFrame:
     of = lambda kind: seen.where(c("kind") == kind)
     latest = lambda rows, keys, *values: rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "id").alias("x")).select(*keys, "x.*")
     lane = F.concat_ws("\0", "scope", "workflow")
-    run, before, after = ["scope", "execution_ref"], ["scope", "before_execution_ref"], ["scope", "after_execution_ref"]
+    run = ["scope", "execution_ref"]
     runs = cut(latest(of("ci_execution").where("execution_ref is not null"), run, "revision", "workflow", "attempt", "conclusion", "finished_at", "gap"))
-    as_runs = runs.select(lane.alias("workflow"), "revision", "attempt", F.concat_ws("\0", *run).alias("run_id"), "conclusion", c("finished_at").alias("updated_at"), *run, c("workflow").alias("named_workflow"))
+    as_runs = runs.select(lane.alias("workflow"), "revision", "attempt", F.concat_ws("\0", *run).alias("run_id"), "conclusion", c("finished_at").alias("updated_at"), *run, c("workflow").alias("named_workflow"), "gap")
     jobs = of("ci_job").select(*run, c("ref").alias("job_ref"), "name", "steps", "conclusion", "id")
     failures = of("failure").where("execution_ref is not null and ref is not null and name is not null and semantic_identity is not null")
     edges = cut(latest(of("commit").where("revision is not null"), ("scope", "revision"), "parents").select(c("scope").alias("workflow"), "revision", F.explode_outer("parents").alias("parent")))
@@ -518,18 +520,18 @@ def episodes(seen: DataFrame) -> DataFrame:
     lane_edges = edges.join(lanes.withColumnRenamed("scope", "workflow"), "workflow").select(c("lane").alias("workflow"), "revision", "parent")
     failed = failures.select(*run).distinct().join(as_runs, run)
     near = nearest_descendants(lane_edges, failed.where("revision is not null"), as_runs.where("revision is not null"))
-    pairs = next_runs(failed, as_runs, near, *run, "named_workflow", "revision", "conclusion").where("revision is not null and next_revision is not null")
+    pairs = next_runs(failed, as_runs, near, *run, "named_workflow", "revision", "conclusion", "gap").where("revision is not null and next_revision is not null")
     # A run's name begins with its scope.
-    pairs = cut(pairs.select("scope", c("execution_ref").alias("before_execution_ref"), F.substr("next_run_id", F.length("scope") + 2).alias("after_execution_ref"), c("revision").alias("before_revision"), c("next_revision").alias("after_revision"), c("conclusion").alias("before_conclusion"), c("named_workflow").alias("before_workflow")))
-    # What changed on the way. What is joined by more than one key is dealt by the one they share, so that it moves once.
+    pairs = cut(pairs.select("scope", c("execution_ref").alias("before_execution_ref"), F.substr("next_run_id", F.length("scope") + 2).alias("after_execution_ref"), c("revision").alias("before_revision"), c("next_revision").alias("after_revision"), c("conclusion").alias("before_conclusion"), c("named_workflow").alias("before_workflow"), c("gap").alias("gap0")))
+    # What changed on the way.
     ways = unique_paths(edges, pairs.select(c("scope").alias("workflow"), c("before_revision").alias("before"), c("after_revision").alias("after")))
     ways = cut(ways.select(c("workflow").alias("scope"), c("before").alias("before_revision"), c("after").alias("after_revision"), "path"))
-    ends, start = ["scope", "before_revision", "after_revision"], ["scope", "before_revision"]
+    ends = ["scope", "before_revision", "after_revision"]
     flags = ("workflow_changed", "environment_changed", "test_changed", "lockfile_changed", "is_merge")
     changes = latest(of("change"), ("scope", "revision"), *flags, "file_count", "weakening", "change_fingerprint")
     steps = ways.select(*ends, F.posexplode("path").alias("place", "revision")).join(changes, ["scope", "revision"])
     made = F.transform(F.array_sort(F.collect_list(F.struct("place", "change_fingerprint"))), lambda x: x["change_fingerprint"])
-    summed = steps.repartition(*start).groupBy(*ends).agg(
+    summed = steps.groupBy(*ends).agg(
         F.count(F.lit(1)).alias("change_count"), F.bool_or(c("file_count") == 0).alias("empty_change"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("weakening")))).alias("weakening"),
         F.sha2(F.concat(F.lit('["'), F.array_join(made, '","'), F.lit('"]')), 256).alias("change_fingerprint"), *(F.bool_or(f).alias(f) for f in flags))
     notes = seen.where("kind in ('pull_request', 'review_signal')").groupBy("scope").agg(
@@ -538,21 +540,29 @@ def episodes(seen: DataFrame) -> DataFrame:
     classes = flake_classes(as_runs).select(c("workflow").alias("lane"), c("revision").alias("before_revision"), "flake_class")
     spots = runs.select("scope", lane.alias("lane"), c("revision").alias("before_revision")).distinct().join(classes, ["lane", "before_revision"], "left")
     spots = spots.join(notes.where("known"), "scope")  # without the pull request there is no context
-    pairs = pairs.withColumn("lane", F.concat_ws("\0", "scope", "before_workflow")).repartition(*start).join(spots.repartition(*start), [*start, "lane"])
-    pairs = pairs.drop("lane").join(ways.select(*ends, F.size("path").alias("way")).repartition(*start).join(summed, ends, "left"), ends, "left")
-    # Failures of both runs by semantic identity, and jobs by name.
+    pairs = pairs.withColumn("lane", F.concat_ws("\0", "scope", "before_workflow")).join(spots, ["scope", "lane", "before_revision"]).drop("lane")
+    pairs = pairs.join(ways.select(*ends, F.size("path").alias("way")).join(summed, ends, "left"), ends, "left")
+    # Each failure with its job and the pair of its run, then with the jobs and failures of the run after. All that is told of
+    # a run moves to one place once, where windows do what would be a join for each key.
+    over = lambda value, *keys: value.over(Window.partitionBy(*run, *keys))
+    only = lambda name: over(F.first(name, ignorenulls=True))
+    together = lambda *parts: reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts).repartition(*run)
+    of_pair = [n for n in pairs.columns if n not in ("scope", "before_execution_ref", "after_execution_ref")]
+    broke = failures.where("scope is not null").select(*run, c("ref").alias("job_ref"), "semantic_identity", F.struct("name", "id").alias("failure"))
+    began = jobs.where("job_ref is not null").select(*run, "job_ref", F.struct("steps").alias("job"))
+    paired = pairs.select("scope", c("before_execution_ref").alias("execution_ref"), F.struct("after_execution_ref", *of_pair).alias("pair"))
+    rows = together(broke, began, paired).withColumns({
+        "jobs": over(F.collect_list("job"), "job_ref"), "pair": only("pair"), "place": F.row_number().over(Window.partitionBy(*run, "semantic_identity").orderBy(c("failure").isNull())),
+    }).withColumn("before_failure_count", over(F.count_if(c("failure").isNotNull() & (c("place") == 1)))).where("failure is not null and pair is not null")
+    rows = rows.withColumn("job", F.explode("jobs"))
+    first = F.struct(c("execution_ref").alias("before_execution_ref"), "job_ref", "failure.id", "before_failure_count", c("job.steps").alias("first_steps"), *(f"pair.{n}" for n in of_pair))
+    rows = rows.select("scope", c("pair.after_execution_ref").alias("execution_ref"), "failure.name", "semantic_identity", first.alias("first"))
+    ended = jobs.select(*run, "name", F.struct("steps", "conclusion", "name").alias("job"), "id")
     marks = failures.groupBy(*run, "semantic_identity").agg(F.count(F.lit(1)).alias("n"))
-    whole = marks.groupBy(*run).agg(F.sum("n").alias("all_failures"), F.count(F.lit(1)).alias("identities"))
-    broken = jobs.where("conclusion = 'failure'").groupBy(*run).agg(F.count(F.lit(1)).alias("broken_jobs"))
-    facts = cut(runs.select(*run, "conclusion", "gap").join(whole, run, "left").join(broken, run, "left"))
-    named = jobs.repartition(*run).groupBy(*run, "name").agg(F.min_by(F.struct("steps", "conclusion", "name"), "id").alias("after_job"))
-    first = lambda rows, **more: rows.withColumnsRenamed({"execution_ref": "before_execution_ref"} | more).repartition(*before)
-    then = lambda rows, **more: rows.withColumnsRenamed({"execution_ref": "after_execution_ref"} | more)
-    rows = first(failures.select(*run, c("ref").alias("job_ref"), "name", "semantic_identity", "id"))
-    rows = rows.join(first(jobs.select(*run, "job_ref", "steps"), steps="first_steps"), [*before, "job_ref"])
-    rows = rows.join(pairs.repartition(*before), before).join(first(facts.select(*run, "gap", "identities"), gap="gap0", identities="before_failure_count"), before)
-    rows = rows.repartition(*after).join(then(facts.select(*run, "conclusion", "gap", "all_failures", "broken_jobs"), gap="gap1", conclusion="after_conclusion").repartition(*after), after)
-    rows = rows.join(then(named), [*after, "name"], "left").join(then(marks, n="same_failures").repartition(*after), [*after, "semantic_identity"], "left")
+    rows = together(rows, ended, marks, runs.select(*run, F.struct("conclusion", "gap").alias("run"))).withColumns({
+        "after_job": over(F.min_by("job", "id"), "name"), "same_failures": over(F.sum("n"), "semantic_identity"), "all_failures": over(F.sum("n")), "broken_jobs": over(F.count_if(c("job.conclusion") == "failure")), "run": only("run"),
+    }).where("first is not null and run is not null")
+    rows = rows.select("scope", c("execution_ref").alias("after_execution_ref"), "name", "semantic_identity", "after_job", "same_failures", "all_failures", "broken_jobs", c("run.conclusion").alias("after_conclusion"), c("run.gap").alias("gap1"), "first.*")
     no, none = F.lit(False), F.array().cast("array<string>")
     same = c("before_revision") == c("after_revision")
     way = F.coalesce("way", F.lit(0))

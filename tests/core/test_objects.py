@@ -87,3 +87,31 @@ def test_values_read_once_are_told_apart_by_type(spark):
     assert [r[0] for r in got] == [1, 1, None, None, None, None, None, None, None, None, None, 100, None]
     assert [r[1] for r in got] == ["1", "1", None, "-1", "x", None, None, None, None, None, "99999999999", "100.0", None]
     assert [r[2] for r in got] == [None] * 4 + ["x"] + [None] * 8
+
+
+def test_rows_of_episodes_move_twice_and_repeated_jobs_count(spark, monkeypatch):
+    """What is joined per run moves once for all its joins, nothing is written that nobody reads, and names come out as they
+    went in, whether they are hashes or not. A job that was observed twice gives its failures twice, as in a join."""
+    rows = [("pull_request", {"number": 7}, None, None), run(1, 1, "c0", "failure"), job(10, 1, 1, "test", "failure", "b"), job(11, 1, 1, "test", "failure", "b"), job(12, 1, 1, "build", "failure", "a")]
+    rows += [run(2, 1, "c1", "failure"), job(20, 2, 1, "test", "failure", "b"), job(22, 2, 1, "build", "success")]
+    rows += [("commit", {"sha": "c0", "parents": []}, None, None), ("commit", {"sha": "c1", "parents": [{"sha": "c0"}], "files": [{"filename": "a.py", "status": "modified"}]}, None, None)]
+    seen = normalized(spark, rows)
+    again = seen.where("kind = 'ci_job' and ref = '12'").withColumn("observation_id", F.lit("twice"))
+    seen = seen.withColumn("observation_id", F.when((F.col("kind") == "failure") & (F.col("ref") == "11"), "plain").otherwise(F.col("observation_id"))).unionByName(again).cache()
+    written, plans = [], []
+    cut = history.cut
+
+    def noted(rows):
+        written.append(rows.columns)
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return cut(rows)
+
+    monkeypatch.setattr(history, "cut", noted)
+    got = [(r.job_ref, r.failure_id, r.before_failure_count, r.new_failure_count, r.failure_after, r.change_count, r.outcome) for r in history.episodes(seen).collect()]
+    names = {r.ref: r.observation_id for r in seen.where("kind = 'failure'").collect()}
+    assert names["11"] == "plain" and names["10"].startswith("hno_")
+    assert sorted(got) == sorted([(ref, names[ref], 2, 0, "present", 1, "repeated_failure") for ref in ("10", "11")] + [("12", names["12"], 2, 1, "absent", 1, "new_failure")] * 2)
+    assert not {"occurrence_identity", "availability", "observation_id", "limitations"} & {c for columns in written for c in columns}
+    assert sum("Exchange hashpartitioning" in line and "semantic_identity" in line for line in plans[-1].splitlines()) <= 3
+    assert sum("Exchange" in line for line in plans[-1].splitlines()) <= 20
+    seen.unpersist()
